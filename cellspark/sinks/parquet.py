@@ -81,7 +81,10 @@ def write_chunks(
 
 
 def write_split(df: DataFrame, path: str, dataset: str, chunk_size: int | None = None, **options) -> None:
-    """``<path>/<dataset>/train`` and ``/test``, without the split column."""
+    """``<path>/<dataset>/train`` and ``/test``, without the split column.
+
+    Two writes, so ``df`` should be a stored table; :func:`write_all_splits` writes all in one job.
+    """
     for side in (TRAIN, TEST):
         part = df.filter(F.col("split") == side).drop("split")
         write_chunks(part, f"{path}/{dataset}/{side}", chunk_size=chunk_size, **options)
@@ -92,13 +95,13 @@ def write_all_splits(
 ) -> None:
     """All datasets in one job, as ``dataset_id=.../split=...`` folders.
 
-    Rows are spread by dataset, side and a hash of the row, so a large dataset is written by many
-    tasks while a small one gives few files.
+    The rebalance hint brings rows of one folder together and lets AQE cut a large folder into
+    several tasks and merge small ones, so neither one huge task nor many tiny files result.
     """
-    writer = _writer(df, DEFAULT_CODEC, DEFAULT_LEVEL, mode).partitionBy("dataset_id", "split")
+    writer = _writer(df.hint("rebalance", "dataset_id", "split"), DEFAULT_CODEC, DEFAULT_LEVEL, mode)
     if chunk_size is not None:
         writer = writer.option("maxRecordsPerFile", chunk_size)
-    writer.parquet(path)
+    writer.partitionBy("dataset_id", "split").parquet(path)
 
 
 def symbol_table_to_parquet(spark: SparkSession, tsv: str, path: str) -> None:

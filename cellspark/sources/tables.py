@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from cellspark.operators.columns import select_fields
 
@@ -65,10 +64,10 @@ def read_typed_symbol_table(spark: SparkSession, path: str) -> DataFrame:
 
 def read_gene_lists(spark: SparkSession, folder: str) -> DataFrame:
     """``(list_name, symbol)`` from every ``.txt`` file of a folder; empty if there is none."""
-    schema = "list_name string, symbol string"
-    if not _has_files(spark, folder, "*.txt"):
-        return spark.createDataFrame([], schema)
-    lines = spark.read.option("pathGlobFilter", "*.txt").text(folder)
+    try:
+        lines = spark.read.option("pathGlobFilter", "*.txt").text(folder)
+    except AnalysisException:  # no such folder
+        return spark.createDataFrame([], "list_name string, symbol string")
     name = F.regexp_replace(F.col("_metadata.file_name"), r"\.txt$", "")
     return clean_gene_lists(lines.select(name.alias("list_name"), F.col("value").alias("symbol")))
 
@@ -84,12 +83,6 @@ def gene_list_names(gene_lists: DataFrame) -> list[str]:
     return [row["list_name"] for row in gene_lists.select("list_name").distinct().orderBy("list_name").collect()]
 
 
-def _has_files(spark: SparkSession, folder: str, pattern: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(folder, pattern))
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return found is not None and len(found) > 0
-
-
 def scan_metadata(df: DataFrame, fields: list[str] | None, row: str | None = None, start: int = 0, end: int | None = None):
     """Chosen columns, optionally only rows ``start <= row < end``; both reach the Parquet scan."""
     rows = df
