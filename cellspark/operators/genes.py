@@ -101,7 +101,8 @@ def gene_panel(genes: DataFrame, list_names: list[str]) -> DataFrame:
     """
     symbol = F.when(~is_ensembl_id(F.col("symbol")), F.col("symbol"))
     position = F.col("gene_idx").cast("int")
-    by_position = {"symbols": F.transform(F.sort_array(F.collect_list(F.struct(position, symbol))), lambda g: g[1])}
+    ordered = F.sort_array(F.collect_list(F.struct(position.alias("position"), symbol.alias("symbol"))))
+    by_position = {"symbols": ordered["symbol"]}
     positions = F.collect_list(F.when(symbol.isNotNull(), position))
     by_position["usable"] = F.sort_array(positions, asc=False)
     for name in list_names:

@@ -77,17 +77,22 @@ def sentences_from_long(
         columns["gene_sentence_all"] = F.array_join(symbols, SEPARATOR)
     if top_n is not None:
         columns[f"gene_sentence_{top_n}"] = F.array_join(F.slice(symbols, 1, top_n), SEPARATOR)
+
+    def members(flag: str) -> Column:
+        return F.filter("_ranked", lambda gene: gene[flag])["symbol"]
+
     for name in list_names:
-        members = F.filter("_ranked", lambda g, flag=f"in_{name}": g[flag])
-        columns[f"gene_sentence_{name}"] = F.array_join(F.transform(members, lambda g: g["symbol"]), SEPARATOR)
+        columns[f"gene_sentence_{name}"] = F.array_join(members(f"in_{name}"), SEPARATOR)
     return ranked.select(*cell, *[column.alias(name) for name, column in columns.items()])
 
 
 def to_sparse(expr: DataFrame, cell: list[str]) -> DataFrame:
     """Long form -> one row per cell with ``indices`` and ``values``, in gene order."""
-    pairs = F.sort_array(F.collect_list(F.struct(F.col("gene_idx").cast("int"), F.col("value").cast("double"))))
+    position = F.col("gene_idx").cast("int").alias("indices")
+    value = F.col("value").cast("double").alias("values")
+    pairs = F.sort_array(F.collect_list(F.struct(position, value)))
     grouped = expr.groupBy(*cell).agg(pairs.alias("_pairs"))
-    return grouped.select(*cell, F.col("_pairs.gene_idx").alias("indices"), F.col("_pairs.value").alias("values"))
+    return grouped.select(*cell, "_pairs.indices", "_pairs.values")
 
 
 def to_long(cells: DataFrame, cell: list[str]) -> DataFrame:

@@ -392,11 +392,12 @@ def tissue_shares(spark, folder):
 @query(
     "c7_batch_plan",
     sql(r"""
-    SELECT lang || '_set_' || doc_id AS dataset_name, path, length,
-      CASE WHEN length / 1048576.0 > 0.005 THEN 'File exceeds the size limit'
-           WHEN lang || '_set_' || doc_id IN (SELECT split_part(path, '/', 3) FROM outputs)
-           THEN 'Output files already exist' END AS message,
-      CASE WHEN message IS NULL THEN 'run' ELSE 'skip' END AS action FROM files"""),
+    , planned AS (
+      SELECT lang || '_set_' || doc_id AS dataset_name, path, length,
+        CASE WHEN length / 1048576.0 > 0.005 THEN 'File exceeds the size limit'
+             WHEN lang || '_set_' || doc_id IN (SELECT split_part(path, '/', 3) FROM outputs)
+             THEN 'Output files already exist' END AS message FROM files)
+    SELECT *, CASE WHEN message IS NULL THEN 'run' ELSE 'skip' END AS action FROM planned"""),
 )
 def batch_plan(spark, folder):
     planned = plan_batch(files(spark, folder), outputs(spark, folder), 0.005)
