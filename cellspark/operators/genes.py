@@ -93,18 +93,26 @@ def flag_lists(genes: DataFrame, gene_lists: DataFrame | None, names: list[str])
 
 
 def gene_panel(genes: DataFrame, list_names: list[str]) -> DataFrame:
-    """One row per dataset: symbols by gene position, usable positions, positions per gene list.
+    """One row per dataset: symbols by gene position, usable positions, and both per gene list.
 
     ``genes`` holds (dataset_id, gene_idx, symbol, in_<list>...), with gene_idx 0..n-1 in each
-    dataset as in the columns of its matrix. Ensembl-like symbols become null and belong to no
-    list. A row grows with the genes of one dataset (tens of thousands), never with its cells.
+    dataset as in the columns of its matrix. ``symbols`` and ``list_<name>`` are null where the gene
+    does not count: Ensembl-like symbols anywhere, other genes in a list. ``usable`` (descending)
+    and ``members_<name>`` are the positions that do count. A row grows with the genes of one
+    dataset (tens of thousands), never with its cells.
     """
+    position = F.col("gene_idx").cast("int").alias("position")
     symbol = F.when(~is_ensembl_id(F.col("symbol")), F.col("symbol"))
-    position = F.col("gene_idx").cast("int")
-    ordered = F.sort_array(F.collect_list(F.struct(position.alias("position"), symbol.alias("symbol"))))
-    by_position = {"symbols": ordered["symbol"]}
-    positions = F.collect_list(F.when(symbol.isNotNull(), position))
-    by_position["usable"] = F.sort_array(positions, asc=False)
-    for name in list_names:
-        by_position[f"members_{name}"] = F.collect_list(F.when(symbol.isNotNull() & F.col(f"in_{name}"), position))
-    return genes.groupBy("dataset_id").agg(*[column.alias(name) for name, column in by_position.items()])
+    in_list = {f"list_{n}": F.when(F.col(f"in_{n}"), symbol) for n in list_names}
+    entry = F.struct(position, symbol.alias("symbols"), *[c.alias(n) for n, c in in_list.items()])
+
+    def positions(name: str, word: Column) -> Column:
+        return F.sort_array(F.collect_list(F.when(word.isNotNull(), position)), asc=False).alias(name)
+
+    panels = genes.groupBy("dataset_id").agg(
+        F.sort_array(F.collect_list(entry)).alias("_genes"),
+        positions("usable", symbol),
+        *[positions(name.replace("list_", "members_", 1), word) for name, word in in_list.items()],
+    )
+    members = [f"members_{n}" for n in list_names]
+    return panels.select("dataset_id", "usable", *members, "_genes.symbols", *[f"_genes.{n}" for n in in_list])

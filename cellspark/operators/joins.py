@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellspark.session import materialize
+
 # At most HOT_SHARE keys can each hold 1/HOT_SHARE of the rows, so the hot side of a
 # lookup that is unique per key never has more than HOT_SHARE rows.
 HOT_SHARE = 1000
 BROADCAST_ROWS = 200_000
+# Facts that one copy of a wide lookup row should meet, and the most copies in all.
+ROWS_PER_COPY = 20_000
+MAX_COPIES = 100_000
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
@@ -21,17 +26,31 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str =
     return facts.join(lookup, keys, how)
 
 
-def salted_join(
-    facts: DataFrame, lookup: DataFrame, keys: list[str], salt_by: list[str], salts: int = 16, how: str = "left"
+def spread_join(
+    facts: DataFrame, lookup: DataFrame, key: str, spread_by: list[str], items: int, broadcast_items: int
 ) -> DataFrame:
-    """Join on ``keys`` with every key spread over ``salts`` partitions.
+    """Inner join with few, wide lookup rows (one per key), where one key may hold most facts.
 
-    For keys known to be few and heavy (a dataset id): the lookup is copied ``salts`` times, the
-    facts are not copied. ``salt_by`` names fact columns that differ between rows of one key.
+    ``items`` is the counted size of the lookup: up to ``broadcast_items`` it is broadcast and the
+    facts do not move. Beyond that, a key with many facts gets as many copies of its lookup row as
+    it needs for every copy to meet a bounded number of facts; ``spread_by`` names fact columns
+    that differ between the rows of a key.
     """
-    salt = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return facts.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how).drop("_salt")
+    if items <= broadcast_items:
+        return facts.join(F.broadcast(lookup), key)
+    sizes = materialize(facts.sparkSession, facts.groupBy(key).agg(F.count("*").alias("_n")), "key-sizes")
+    total = sizes.agg(F.sum("_n").alias("n")).first()["n"] or 0
+    # Keys with more than one copy: fewer than MAX_COPIES rows, so they can be broadcast.
+    per_copy = max(ROWS_PER_COPY, total // MAX_COPIES)
+    copies = sizes.select(key, F.ceil(F.col("_n") / per_copy).cast("int").alias("_copies")).filter("_copies > 1")
+    n_copies = F.coalesce("_copies", F.lit(1))
+    salted = facts.join(F.broadcast(copies), key, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(*spread_by), n_copies).cast("int")
+    )
+    copied = lookup.join(F.broadcast(copies), key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), n_copies - 1))
+    )
+    return salted.drop("_copies").join(copied.drop("_copies"), [key, "_salt"]).drop("_salt")
 
 
 def hot_key_join(facts: DataFrame, lookup: DataFrame, key: str, rows_per_key: str) -> DataFrame:

@@ -5,7 +5,7 @@ look like Ensembl ids are left out. Two input forms give the same sentences:
 
 * long form ``(cell keys..., gene_idx, value)``, one row per cell and gene;
 * array form, one row per cell with ``indices``/``values`` (sparse) or ``expression`` (dense).
-  It needs no shuffle of the expression data.
+  While the gene tables can be broadcast, it needs no shuffle of the expression data.
 """
 
 from __future__ import annotations
@@ -14,9 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellspark.functions.text import has_ensembl_token, is_ensembl_id
-from cellspark.operators.joins import lookup_join, salted_join
+from cellspark.operators.genes import gene_panel
+from cellspark.operators.joins import lookup_join, spread_join
+from cellspark.session import materialize
 
 SEPARATOR = " "
+# Packed gene entries (symbols in all and per list) that may be broadcast: some 100 MB of short texts.
+BROADCAST_GENES = 5_000_000
 
 
 def sentence_columns(top_n: int | None, list_names: list[str], include_all: bool = True) -> list[str]:
@@ -112,60 +116,79 @@ def densify(cells: DataFrame, n_genes: str) -> DataFrame:
     return cells.withColumn("expression", F.sort_array(F.concat(stored, zeros))["values"])
 
 
-def sparse_order(include_zeros: bool) -> Column:
-    """Gene positions of a sparse cell in sentence order.
+def _positions(entries: Column) -> Column:
+    """Gene positions of ``(value, position)`` entries, highest value first, ties by position descending."""
+    return F.sort_array(entries, asc=False)["position"]
 
-    Only stored values are sorted. Genes that are not stored are zeros: they follow the positive
-    values in descending position, without being sorted again for each cell.
-    """
-    entries = F.arrays_zip("values", "indices")
-    if not include_zeros:
-        return F.sort_array(F.filter(entries, lambda e: e["values"] != 0), asc=False)["indices"]
-    above = F.sort_array(F.filter(entries, lambda e: e["values"] > 0), asc=False)["indices"]
-    below = F.sort_array(F.filter(entries, lambda e: e["values"] < 0), asc=False)["indices"]
-    return F.concat(above, F.array_except(F.array_except("usable", above), below), below)
 
+def stored_order(cells: DataFrame) -> DataFrame:
+    """Replace the values of each cell by gene positions in order: ``_above`` and ``_below`` zero.
 
-def dense_order() -> Column:
-    """Gene positions of a dense cell in sentence order; missing values count as zero."""
-    values = F.transform("expression", lambda v: F.coalesce(v.cast("double"), F.lit(0.0)))
-    positions = F.sequence(F.lit(0), F.size("expression") - 1)
-    entries = F.arrays_zip(values.alias("value"), positions.alias("position"))
-    ranked = F.sort_array(entries, asc=False)["position"]
-    return F.when(F.size("expression") > 0, ranked).otherwise(F.array().cast("array<int>"))
+    Zeros, stored or not, are left out and need no sorting. Works on narrow rows, before any symbol.
+    """
+    if "expression" in cells.columns:
+        every = F.when(F.size("expression") > 0, F.sequence(F.lit(0), F.size("expression") - 1))
+        entries = F.arrays_zip(F.col("expression").alias("value"), every.alias("position"))
+    else:
+        entries = F.arrays_zip(F.col("values").alias("value"), F.col("indices").alias("position"))
+    kept = [c for c in cells.columns if c not in ("indices", "values", "expression")]
+    stored = F.coalesce(F.filter(entries, lambda e: e["value"] != 0), F.filter(entries, lambda e: F.lit(False)))
+    above = _positions(F.filter("_stored", lambda e: e["value"] > 0))
+    below = _positions(F.filter("_stored", lambda e: e["value"] < 0))
+    return cells.select(*kept, stored.alias("_stored")).select(*kept, above.alias("_above"), below.alias("_below"))
 
 
 def sentences_from_arrays(
     cells: DataFrame,
-    panels: DataFrame,
+    genes: DataFrame,
     cell: list[str],
     top_n: int | None = 2000,
     list_names: tuple[str, ...] | list[str] = (),
     include_all: bool = True,
     include_zeros: bool = True,
 ) -> DataFrame:
-    """All sentence variants from array form; ``panels`` comes from :func:`gene_panel`.
+    """All sentence variants from array form; other cell columns are kept.
 
-    The join by dataset is salted, because one dataset may hold most cells; it is a broadcast join
-    as long as the planner finds the panels small enough. Other cell columns are kept.
+    ``genes`` holds (dataset_id, gene_idx, symbol, in_<list>...). They are packed into one row per
+    dataset, so that a cell finds its symbols by position; the packed rows are broadcast while the
+    counted number of genes allows it. Genes without a value follow the positive ones in descending
+    position, taken ready-made from the packed row. The packed columns are large next to a cell and
+    are left behind as early as possible.
     """
     kept = [c for c in cells.columns if c not in ("indices", "values", "expression")]
-    joined = salted_join(cells, panels, ["dataset_id"], salt_by=cell, how="inner")
-    order = dense_order() if "expression" in cells.columns else sparse_order(include_zeros)
+    panels = materialize(cells.sparkSession, gene_panel(genes, list(list_names)), "gene-panels")
+    n_genes = panels.agg(F.sum(F.size("symbols")).alias("n")).first()["n"] or 0
+    unused = "list_" if include_zeros else "members_"
+    panels = panels.drop(*[f"{unused}{name}" for name in list_names])
+    ordered = stored_order(cells)
+    if not include_zeros:
+        ordered = ordered.select(*kept, F.concat("_above", "_below").alias("_order"))
+    joined = spread_join(ordered, panels, "dataset_id", cell, n_genes * (1 + len(list_names)), BROADCAST_GENES)
+
+    def words(positions: str | Column, by_position: str = "symbols") -> Column:
+        return F.transform(positions, lambda p: F.get(F.col(by_position), p))
+
+    def usable(positions: str) -> Column:
+        return F.filter(positions, lambda p: F.get(F.col("symbols"), p).isNotNull())
 
-    def words(positions: Column) -> Column:
-        return F.array_compact(F.transform(positions, lambda p: F.get(F.col("symbols"), p)))
+    # array_join leaves out nulls, the words of genes that do not count.
+    if include_zeros:
+        zeros = F.array_except("usable", F.concat("_above", "_below"))
+        joined = joined.withColumn("_order", F.concat(usable("_above"), zeros, usable("_below")))
+        top = words(F.slice("_order", 1, top_n or 0))
+        listed = [words(F.array_intersect("_order", f"members_{name}")) for name in list_names]
+    else:
+        top = F.slice(words(usable("_order")), 1, top_n or 0)
+        listed = [words("_order", f"list_{name}") for name in list_names]
 
-    names = [f"gene_sentence_{name}" for name in list_names]
-    members = [F.array_intersect("_order", f"members_{name}") for name in list_names]
-    parts = joined.withColumn("_order", order).withColumn("_words", words(F.col("_order")))
     columns = []
     if include_all:
-        columns.append(F.array_join("_words", SEPARATOR).alias("gene_sentence_all"))
+        columns.append(F.array_join(words("_order"), SEPARATOR).alias("gene_sentence_all"))
     if top_n is not None:
-        columns.append(F.array_join(F.slice("_words", 1, top_n), SEPARATOR).alias(f"gene_sentence_{top_n}"))
-    columns += [F.array_join(words(m), SEPARATOR).alias(n) for n, m in zip(names, members, strict=True)]
-    return parts.select(*kept, *columns)
+        columns.append(F.array_join(top, SEPARATOR).alias(f"gene_sentence_{top_n}"))
+    for name, found in zip(list_names, listed, strict=True):
+        columns.append(F.array_join(found, SEPARATOR).alias(f"gene_sentence_{name}"))
+    return joined.select(*kept, *columns)
 
 
 def sentence_quality(sentences: DataFrame, column: str) -> DataFrame:

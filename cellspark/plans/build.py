@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cellspark.operators.ages import with_age_by_mode, with_known_age
 from cellspark.operators.columns import fill_missing_text
-from cellspark.operators.genes import flag_lists, gene_panel, map_genes, map_genes_without_table
+from cellspark.operators.genes import flag_lists, map_genes, map_genes_without_table
 from cellspark.operators.publications import join_publications, publication_text
 from cellspark.operators.sentences import (
     attach_symbols,
@@ -71,11 +71,9 @@ def build_sentences(expr: DataFrame, genes: DataFrame, options: BuildOptions) ->
     """Sentences from long form (``gene_idx``, ``value``) or array form, by the columns ``expr`` has."""
     variants = {"top_n": options.top_n, "list_names": options.list_names, "include_all": options.include_all}
     if "gene_idx" not in expr.columns:
-        panels = gene_panel(genes, list(options.list_names))
-        return sentences_from_arrays(expr, panels, CELL, include_zeros=options.include_zeros, **variants)
+        return sentences_from_arrays(expr, genes, CELL, include_zeros=options.include_zeros, **variants)
     if options.include_zeros:
-        panels = gene_panel(genes, list(options.list_names))
-        return sentences_from_arrays(to_sparse(expr, CELL), panels, CELL, include_zeros=True, **variants)
+        return sentences_from_arrays(to_sparse(expr, CELL), genes, CELL, include_zeros=True, **variants)
     return sentences_from_long(attach_symbols(expr, genes, ["dataset_id", "gene_idx"]), CELL, **variants)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cellspark.operators.ages import with_age, with_known_age
 from cellspark.operators.columns import fill_missing_text
-from cellspark.operators.genes import flag_lists, gene_panel, map_genes
+from cellspark.operators.genes import flag_lists, map_genes
 from cellspark.operators.sentences import (
     attach_symbols,
     sentences_from_arrays,
@@ -69,15 +69,15 @@ def _panel_cells(spark, folder, cell):
     return to_sparse(expr(spark, folder, cell), ["cell_id"]).withColumn("dataset_id", F.lit("parts"))
 
 
-def _panels(spark, folder):
-    return gene_panel(_genes(spark, folder).withColumn("dataset_id", F.lit("parts")), LISTS)
+def _panel_genes(spark, folder):
+    return _genes(spark, folder).withColumn("dataset_id", F.lit("parts"))
 
 
 @query("c1_cell_sentence_sparse", sql(f"{_sentences_sql('expr')} SELECT * FROM sentences"))
 def cell_sentence_sparse(spark, folder):
     """All variants of every order from array form, stored values only."""
     cells = _panel_cells(spark, folder, "l_orderkey")
-    built = sentences_from_arrays(cells, _panels(spark, folder), ["cell_id"], 10, LISTS, include_zeros=False)
+    built = sentences_from_arrays(cells, _panel_genes(spark, folder), ["cell_id"], 10, LISTS, include_zeros=False)
     return built.drop("dataset_id")
 
 
@@ -93,7 +93,7 @@ def cell_sentence_sparse(spark, folder):
 def cell_sentence_zero_filled(spark, folder):
     """All variants of every supplier, genes without a value ranked as zeros."""
     cells = _panel_cells(spark, folder, "l_suppkey")
-    return sentences_from_arrays(cells, _panels(spark, folder), ["cell_id"], 10, LISTS).drop("dataset_id")
+    return sentences_from_arrays(cells, _panel_genes(spark, folder), ["cell_id"], 10, LISTS).drop("dataset_id")
 
 
 @query(
@@ -110,7 +110,9 @@ def cell_sentence_dense(spark, folder):
         F.col("embedding").cast("array<double>").alias("expression"),
         F.lit("parts").alias("dataset_id"),
     )
-    return sentences_from_arrays(cells, _panels(spark, folder), ["cell_id"], 10, LISTS).drop("dataset_id")
+    positions = cells.select(F.explode(F.sequence(F.lit(0), F.size("expression") - 1)).alias("gene_idx")).distinct()
+    genes = _panel_genes(spark, folder).join(positions, "gene_idx", "left_semi")
+    return sentences_from_arrays(cells, genes, ["cell_id"], 10, LISTS).drop("dataset_id")
 
 
 OPTIONS = BuildOptions(top_n=10, list_names=tuple(LISTS), include_zeros=False)

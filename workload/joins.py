@@ -12,7 +12,7 @@ from cellspark.operators.genes import (
     symbol_checks,
     usable_symbols,
 )
-from cellspark.operators.joins import salted_join
+from cellspark.operators.joins import spread_join
 from cellspark.operators.publications import (
     flag_known_datasets,
     join_publications,
@@ -159,7 +159,8 @@ def expression_with_symbols(spark, folder):
 def salted_dataset_join(spark, folder):
     cells = obs(spark, folder).select("cell_id", "dataset_id")
     sizes = cells.groupBy("dataset_id").agg(F.count("*").alias("cells_in_dataset"))
-    return salted_join(cells, sizes, ["dataset_id"], salt_by=["cell_id"], how="inner")
+    n_datasets = sizes.count()
+    return spread_join(cells, sizes, "dataset_id", ["cell_id"], items=n_datasets, broadcast_items=0)
 
 
 @query(

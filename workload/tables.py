@@ -95,10 +95,9 @@ def hgnc(spark: SparkSession, folder: str) -> DataFrame:
 def gene_lists(spark: SparkSession, folder: str, genes: DataFrame) -> DataFrame:
     """Two lists: symbols of small parts and symbols of one brand."""
     part = load(spark, folder, "part").select(F.col("p_partkey").alias("gene_idx"), "p_size", "p_brand")
-    named = genes.select("gene_idx", "symbol").join(part, "gene_idx")
-    small = named.filter(F.col("p_size") <= 10).select(F.lit("small").alias("list_name"), "symbol")
-    brand = named.filter(F.col("p_brand") == "Brand#1").select(F.lit("brand1").alias("list_name"), "symbol")
-    return small.unionByName(brand)
+    names = F.array(F.when(F.col("p_size") <= 10, "small"), F.when(F.col("p_brand") == "Brand#1", "brand1"))
+    listed = part.select("gene_idx", F.explode(F.array_compact(names)).alias("list_name"))
+    return genes.select("gene_idx", "symbol").join(listed, "gene_idx").select("list_name", "symbol")
 
 
 def collections(spark: SparkSession, folder: str) -> DataFrame:
