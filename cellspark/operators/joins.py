@@ -29,7 +29,7 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str =
 def spread_join(
     facts: DataFrame, lookup: DataFrame, key: str, spread_by: list[str], items: int, broadcast_items: int
 ) -> DataFrame:
-    """Inner join with few, wide lookup rows (one per key), where one key may hold most facts.
+    """Left join with few, wide lookup rows (one per key), where one key may hold most facts.
 
     ``items`` is the counted size of the lookup: up to ``broadcast_items`` it is broadcast and the
     facts do not move. Beyond that, a key with many facts gets as many copies of its lookup row as
@@ -37,7 +37,7 @@ def spread_join(
     that differ between the rows of a key.
     """
     if items <= broadcast_items:
-        return facts.join(F.broadcast(lookup), key)
+        return facts.join(F.broadcast(lookup), key, "left")
     sizes = materialize(facts.sparkSession, facts.groupBy(key).agg(F.count("*").alias("_n")), "key-sizes")
     total = sizes.agg(F.sum("_n").alias("n")).first()["n"] or 0
     # Keys with more than one copy: fewer than MAX_COPIES rows, so they can be broadcast.
@@ -50,7 +50,7 @@ def spread_join(
     copied = lookup.join(F.broadcast(copies), key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), n_copies - 1))
     )
-    return salted.drop("_copies").join(copied.drop("_copies"), [key, "_salt"]).drop("_salt")
+    return salted.drop("_copies").join(copied.drop("_copies"), [key, "_salt"], "left").drop("_salt")
 
 
 def hot_key_join(facts: DataFrame, lookup: DataFrame, key: str, rows_per_key: str) -> DataFrame:

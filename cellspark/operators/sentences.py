@@ -21,9 +21,11 @@ from cellspark.session import materialize
 SEPARATOR = " "
 # Packed gene entries (symbols in all and per list) that may be broadcast: some 100 MB of short texts.
 BROADCAST_GENES = 5_000_000
+# Genes of one dataset that are packed into one row; far above the number of genes of any organism.
+PANEL_GENES = 1_000_000
 
 
-def sentence_columns(top_n: int | None, list_names: list[str], include_all: bool = True) -> list[str]:
+def sentence_columns(top_n: int | None, list_names: tuple[str, ...] | list[str], include_all: bool = True) -> list[str]:
     names = ["gene_sentence_all"] if include_all else []
     if top_n is not None:
         names.append(f"gene_sentence_{top_n}")
@@ -124,7 +126,8 @@ def _positions(entries: Column) -> Column:
 def stored_order(cells: DataFrame) -> DataFrame:
     """Replace the values of each cell by gene positions in order: ``_above`` and ``_below`` zero.
 
-    Zeros, stored or not, are left out and need no sorting. Works on narrow rows, before any symbol.
+    Zeros, stored or not, are left out and need no sorting; a cell without any array has none but
+    zeros. Works on narrow rows, before any symbol.
     """
     if "expression" in cells.columns:
         every = F.when(F.size("expression") > 0, F.sequence(F.lit(0), F.size("expression") - 1))
@@ -132,9 +135,10 @@ def stored_order(cells: DataFrame) -> DataFrame:
     else:
         entries = F.arrays_zip(F.col("values").alias("value"), F.col("indices").alias("position"))
     kept = [c for c in cells.columns if c not in ("indices", "values", "expression")]
-    stored = F.coalesce(F.filter(entries, lambda e: e["value"] != 0), F.filter(entries, lambda e: F.lit(False)))
-    above = _positions(F.filter("_stored", lambda e: e["value"] > 0))
-    below = _positions(F.filter("_stored", lambda e: e["value"] < 0))
+    stored = F.filter(entries, lambda e: e["value"] != 0)
+    nothing = F.array().cast("array<int>")
+    above = F.coalesce(_positions(F.filter("_stored", lambda e: e["value"] > 0)), nothing)
+    below = F.coalesce(_positions(F.filter("_stored", lambda e: e["value"] < 0)), nothing)
     return cells.select(*kept, stored.alias("_stored")).select(*kept, above.alias("_above"), below.alias("_below"))
 
 
@@ -152,18 +156,30 @@ def sentences_from_arrays(
     ``genes`` holds (dataset_id, gene_idx, symbol, in_<list>...). They are packed into one row per
     dataset, so that a cell finds its symbols by position; the packed rows are broadcast while the
     counted number of genes allows it. Genes without a value follow the positive ones in descending
-    position, taken ready-made from the packed row. The packed columns are large next to a cell and
-    are left behind as early as possible.
+    position, taken ready-made from the packed row, which is then no larger than a sentence. Where
+    only stored values count and a dataset has more genes than PANEL_GENES, genes are not packed:
+    the cells go to long form and meet their genes in a shuffled join.
     """
     kept = [c for c in cells.columns if c not in ("indices", "values", "expression")]
-    panels = materialize(cells.sparkSession, gene_panel(genes, list(list_names)), "gene-panels")
-    n_genes = panels.agg(F.sum(F.size("symbols")).alias("n")).first()["n"] or 0
-    unused = "list_" if include_zeros else "members_"
-    panels = panels.drop(*[f"{unused}{name}" for name in list_names])
+    genes = materialize(cells.sparkSession, genes, "genes")
+    per_dataset = genes.groupBy("dataset_id").agg(F.count("*").alias("n"))
+    sizes = per_dataset.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
+    if not include_zeros and "indices" in cells.columns and (sizes["largest"] or 0) > PANEL_GENES:
+        keys = list(dict.fromkeys(["dataset_id", *cell]))
+        rows = to_long(cells, keys).filter(F.col("value") != 0)
+        named = attach_symbols(rows, genes, ["dataset_id", "gene_idx"])
+        built = sentences_from_long(named, keys, top_n, list_names, include_all)
+        joined = cells.select(*kept).join(built, keys, "left")
+        return joined.select(*kept, *[_or_empty(n) for n in sentence_columns(top_n, list_names, include_all)])
+
+    panels = gene_panel(genes, list(list_names)).drop(
+        *[f"{'list' if include_zeros else 'members'}_{name}" for name in list_names]
+    )
     ordered = stored_order(cells)
     if not include_zeros:
         ordered = ordered.select(*kept, F.concat("_above", "_below").alias("_order"))
-    joined = spread_join(ordered, panels, "dataset_id", cell, n_genes * (1 + len(list_names)), BROADCAST_GENES)
+    entries = (sizes["total"] or 0) * (1 + len(list_names))
+    joined = spread_join(ordered, panels, "dataset_id", cell, entries, BROADCAST_GENES)
 
     def words(positions: str | Column, by_position: str = "symbols") -> Column:
         return F.transform(positions, lambda p: F.get(F.col(by_position), p))
@@ -188,7 +204,13 @@ def sentences_from_arrays(
         columns.append(F.array_join(top, SEPARATOR).alias(f"gene_sentence_{top_n}"))
     for name, found in zip(list_names, listed, strict=True):
         columns.append(F.array_join(found, SEPARATOR).alias(f"gene_sentence_{name}"))
-    return joined.select(*kept, *columns)
+    names = sentence_columns(top_n, list_names, include_all)
+    return joined.select(*kept, *columns).select(*kept, *[_or_empty(name) for name in names])
+
+
+def _or_empty(name: str) -> Column:
+    """Cells of a dataset without genes have no words."""
+    return F.coalesce(name, F.lit("")).alias(name)
 
 
 def sentence_quality(sentences: DataFrame, column: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cellspark.functions.hashing import digest_number, hash_uniform, key_digest
 from cellspark.functions.text import MISSING_TEXT, percent, ratio
 from cellspark.operators.columns import DONOR_COLUMNS, first_present
-from cellspark.operators.joins import hot_key_join
+from cellspark.operators.joins import BROADCAST_ROWS, hot_key_join
 from cellspark.operators.ranking import exact_median, rank_by_digest
 from cellspark.session import materialize
 
@@ -84,7 +84,7 @@ def _place_quotas(strata: DataFrame, n_donors: int, n_test: int, seed: int) -> D
     classes = shares.groupBy("_remainder").agg(F.count("*").alias("_size"))
     before = F.sum("_size").over(Window.orderBy(F.col("_remainder").desc())) - F.col("_size")
     places = classes.select("_remainder", (left_over - before).alias("_places"))
-    ranked = rank_by_digest(shares, ["_remainder"], "_digest", "stratum", "_rank").join(places, "_remainder")
+    ranked = rank_by_digest(shares, ["_remainder"], "_digest", "stratum", "_rank").join(F.broadcast(places), "_remainder")
     extra = (F.col("_rank") <= F.col("_places")) & (F.col("_remainder") > 0)
     return ranked.select("stratum", (F.col("_base") + extra.cast("int")).alias("quota"))
 
@@ -106,6 +106,8 @@ def quota_split(donors: DataFrame, donor: str, test_size: float = 0.05, seed: in
         keyed = keyed.withColumn("stratum", F.lit(WHOLE))
         strata = keyed.groupBy("stratum").agg(F.count("*").alias("donors"))
     quotas = _place_quotas(strata, max(n_donors, 1), n_test, seed)
+    if sizes["strata"] <= BROADCAST_ROWS:
+        quotas = F.broadcast(quotas)
     ranked = rank_by_digest(keyed, ["stratum"], "_donor_digest", donor).join(quotas, "stratum")
     side = F.when(F.col("rank") <= F.col("quota"), TEST).otherwise(TRAIN)
     return ranked.withColumn("split", side).select(*donors.columns, "stratum", "split")

@@ -38,6 +38,8 @@ class BuildOptions:
     seed: int = 42
     stratify_by_age: bool = True
     skip_split: bool = False
+    # Bring the cells of one output folder together before sentences are built, not after.
+    cluster_output: bool = False
     symbol_order: list[str] = field(default_factory=lambda: ["rank"])
 
 
@@ -67,14 +69,24 @@ def cell_metadata(obs: DataFrame, collections: DataFrame | None, options: BuildO
     return split_dataset(cells, CELL, "age", options.test_size, options.seed, options.stratify_by_age)
 
 
-def build_sentences(expr: DataFrame, genes: DataFrame, options: BuildOptions) -> DataFrame:
-    """Sentences from long form (``gene_idx``, ``value``) or array form, by the columns ``expr`` has."""
+def with_sentences(cells: DataFrame, expr: DataFrame, genes: DataFrame, options: BuildOptions) -> DataFrame:
+    """Add the sentences to ``cells``; ``expr`` is in long or array form, by the columns it has.
+
+    Cells and expression meet by cell key while expression is still numbers: those are a fraction of
+    the size of sentences, and cells left out earlier get no sentence built. A cell without
+    expression rows has only zeros.
+    """
     variants = {"top_n": options.top_n, "list_names": options.list_names, "include_all": options.include_all}
-    if "gene_idx" not in expr.columns:
-        return sentences_from_arrays(expr, genes, CELL, include_zeros=options.include_zeros, **variants)
-    if options.include_zeros:
-        return sentences_from_arrays(to_sparse(expr, CELL), genes, CELL, include_zeros=True, **variants)
-    return sentences_from_long(attach_symbols(expr, genes, ["dataset_id", "gene_idx"]), CELL, **variants)
+    is_long = "gene_idx" in expr.columns
+    if is_long and not options.include_zeros:
+        named = attach_symbols(expr, genes, ["dataset_id", "gene_idx"])
+        built = cells.join(sentences_from_long(named, CELL, **variants), CELL, "left")
+        names = sentence_columns(options.top_n, options.list_names, options.include_all)
+        return built.withColumns({n: F.coalesce(F.col(n), F.lit("")) for n in names})
+    measured = cells.join(to_sparse(expr, CELL) if is_long else expr, CELL, "left")
+    if options.cluster_output:
+        measured = measured.hint("rebalance", *[c for c in ("dataset_id", "split") if c in measured.columns])
+    return sentences_from_arrays(measured, genes, CELL, include_zeros=options.include_zeros, **variants)
 
 
 def build_dataset(
@@ -86,16 +98,10 @@ def build_dataset(
     gene_lists: DataFrame | None = None,
     options: BuildOptions | None = None,
 ) -> DataFrame:
-    """One row per kept cell of every dataset: metadata, age, publications, sentences, split.
-
-    Cells without any expression row get empty sentences, as cells without usable genes do.
-    """
+    """One row per kept cell of every dataset: metadata, age, publications, sentences, split."""
     options = options or BuildOptions()
     genes = gene_symbols(var, symbols, gene_lists, options)
-    sentences = build_sentences(expr, genes, options)
-    built = cell_metadata(obs, collections, options).join(sentences, CELL, "left")
-    names = sentence_columns(options.top_n, list(options.list_names), options.include_all)
-    return built.withColumns({n: F.coalesce(F.col(n), F.lit("")) for n in names})
+    return with_sentences(cell_metadata(obs, collections, options), expr, genes, options)
 
 
 def convert_dataset(
@@ -109,7 +115,4 @@ def convert_dataset(
     """Sentences and metadata of all cells: no age filter, no publications, no split."""
     options = options or BuildOptions()
     genes = gene_symbols(var, symbols, gene_lists, options)
-    cells = fill_missing_text(obs)
-    names = sentence_columns(options.top_n, list(options.list_names), options.include_all)
-    built = cells.join(build_sentences(expr, genes, options), CELL, "left")
-    return built.withColumns({n: F.coalesce(F.col(n), F.lit("")) for n in names})
+    return with_sentences(fill_missing_text(obs), expr, genes, options)

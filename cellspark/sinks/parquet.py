@@ -91,14 +91,20 @@ def write_split(df: DataFrame, path: str, dataset: str, chunk_size: int | None =
 
 
 def write_all_splits(
-    df: DataFrame, path: str, chunk_size: int | None = None, mode: str = "errorifexists"
+    df: DataFrame,
+    path: str,
+    chunk_size: int | None = None,
+    mode: str = "errorifexists",
+    clustered: bool = False,
 ) -> None:
     """All datasets in one job, as ``dataset_id=.../split=...`` folders.
 
     The rebalance hint brings rows of one folder together and lets AQE cut a large folder into
-    several tasks and merge small ones, so neither one huge task nor many tiny files result.
+    several tasks and merge small ones, so neither one huge task nor many tiny files result. Not
+    needed for rows that are already ``clustered`` (see ``BuildOptions.cluster_output``).
     """
-    writer = _writer(df.hint("rebalance", "dataset_id", "split"), DEFAULT_CODEC, DEFAULT_LEVEL, mode)
+    rows = df if clustered else df.hint("rebalance", "dataset_id", "split")
+    writer = _writer(rows, DEFAULT_CODEC, DEFAULT_LEVEL, mode)
     if chunk_size is not None:
         writer = writer.option("maxRecordsPerFile", chunk_size)
     writer.partitionBy("dataset_id", "split").parquet(path)

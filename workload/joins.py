@@ -36,30 +36,24 @@ def gene_symbol_mapping(spark, folder):
 @query(
     "j2_symbols_without_table",
     sql("""
-    , named AS (SELECT gene_idx, 'size_' || p_size AS dataset_id, v.ensembl_gene_id, v.feature_name,
-                  (row_number() OVER (PARTITION BY p_size ORDER BY gene_idx) - 1) AS pos
-                FROM var v JOIN part ON gene_idx = p_partkey),
+    , named AS (SELECT 'block_' || (gene_idx // 1000) AS dataset_id, gene_idx % 1000 AS pos, * FROM var),
       checked AS (SELECT dataset_id, avg(CASE WHEN pos < 100 THEN
                     CASE WHEN feature_name LIKE 'ENS%' THEN 1 ELSE 0 END END) < 0.5 AS ok FROM named GROUP BY 1)
     SELECT n.dataset_id, n.gene_idx, CASE WHEN ok THEN feature_name ELSE ensembl_gene_id END AS symbol
     FROM named n JOIN checked c ON n.dataset_id = c.dataset_id"""),
 )
 def symbols_without_table(spark, folder):
-    genes = _genes_by_size(spark, folder)
+    genes = _genes_by_block(spark, folder)
     return map_genes_without_table(genes).select("dataset_id", F.col("part").alias("gene_idx"), "symbol")
 
 
-def _genes_by_size(spark, folder):
-    """Parts of one size as the genes of one dataset, numbered from 0."""
-    from pyspark.sql import Window
-
-    part = load(spark, folder, "part").select(F.col("p_partkey").alias("part"), "p_size")
-    genes = var(spark, folder).withColumnRenamed("gene_idx", "part").join(part, "part")
-    position = F.row_number().over(Window.partitionBy("p_size").orderBy("part")) - 1
-    return genes.select(
-        F.concat(F.lit("size_"), F.col("p_size")).alias("dataset_id"),
-        position.alias("gene_idx"),
-        "part",
+def _genes_by_block(spark, folder):
+    """A thousand parts in turn as the genes of one dataset, numbered from 0."""
+    part = F.col("gene_idx")
+    return var(spark, folder).select(
+        F.concat(F.lit("block_"), F.floor(part / 1000)).alias("dataset_id"),
+        (part % 1000).alias("gene_idx"),
+        part.alias("part"),
         "ensembl_gene_id",
         "feature_name",
     )
@@ -68,9 +62,7 @@ def _genes_by_size(spark, folder):
 @query(
     "a20_symbol_check",
     sql("""
-    , named AS (SELECT 'size_' || p_size AS dataset_id, v.*,
-                  (row_number() OVER (PARTITION BY p_size ORDER BY gene_idx) - 1) AS pos
-                FROM var v JOIN part ON gene_idx = p_partkey)
+    , named AS (SELECT 'block_' || (gene_idx // 1000) AS dataset_id, gene_idx % 1000 AS pos, * FROM var)
     SELECT dataset_id,
       coalesce(avg(CASE WHEN pos < 100 THEN CASE WHEN ensembl_gene_id LIKE 'ENS%' THEN 1 ELSE 0 END END) < 0.5, false)
         AS var_names_are_symbols,
@@ -79,7 +71,7 @@ def _genes_by_size(spark, folder):
     FROM named GROUP BY 1"""),
 )
 def symbol_check(spark, folder):
-    return symbol_checks(_genes_by_size(spark, folder))
+    return symbol_checks(_genes_by_block(spark, folder))
 
 
 @query(
