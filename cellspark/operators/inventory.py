@@ -16,6 +16,11 @@ def within_size(limit_mb: float | None) -> Column:
     return F.lit(True) if limit_mb is None else megabytes(F.col("length")) <= limit_mb
 
 
+def size_message(limit_mb: float | None) -> Column:
+    """Why a file was left out."""
+    return F.format_string(f"skipped (file too large: %.2f MB > {limit_mb} MB)", megabytes(F.col("length")))
+
+
 def filter_by_size(files: DataFrame, limit_mb: float | None) -> DataFrame:
     return files.filter(within_size(limit_mb))
 

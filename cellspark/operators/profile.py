@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellspark.functions.text import percent
-from cellspark.operators.sentences import rank_genes
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -65,8 +64,9 @@ def nonzero_genes(cells: DataFrame, cell: list[str], expression: str = "expressi
 
 
 def top_genes_of_cell(expr: DataFrame, cell: str, wanted: object, n: int = 3, alternative: str | None = None) -> DataFrame:
-    """Top genes and values of one cell, found by its id or, failing that, by another id column."""
+    """Highest genes and values of one cell, found by its id or, failing that, by another id column."""
     chosen = expr.filter(F.col(cell) == F.lit(wanted))
     if alternative is not None and chosen.isEmpty():
         chosen = expr.filter(F.col(alternative) == F.lit(wanted))
-    return rank_genes(chosen, [cell], n).select(cell, "rank", "symbol", "value")
+    ordered = chosen.orderBy(F.col("value").desc(), F.col("gene_idx").desc())
+    return ordered.limit(n).select(cell, "gene_idx", "symbol", "value")

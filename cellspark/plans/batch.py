@@ -15,6 +15,7 @@ from cellspark.operators.inventory import (
     SUCCESS,
     finished_datasets,
     run_report,
+    size_message,
     with_dataset_name,
     within_size,
 )
@@ -33,7 +34,7 @@ def plan_batch(
         finished = finished_datasets(outputs, skip_split).withColumn("_done", F.lit(True))
         done = named.join(finished, "dataset_name", "left")
     reason = (
-        F.when(~within_size(limit_mb), F.lit("File exceeds the size limit"))
+        F.when(~within_size(limit_mb), size_message(limit_mb))
         .when(F.coalesce("_done", F.lit(False)), F.lit(EXISTS_MESSAGE))
     )
     return done.withColumn("message", reason).withColumn(

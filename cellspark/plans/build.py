@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,13 +40,14 @@ class BuildOptions:
     skip_split: bool = False
     # Bring the cells of one output folder together before sentences are built, not after.
     cluster_output: bool = False
-    symbol_order: list[str] = field(default_factory=lambda: ["rank"])
+    # Which of several symbols of one gene id is kept: the first in this order of columns.
+    symbol_order: tuple[str, ...] = ("symbol",)
 
 
 def gene_symbols(var: DataFrame, symbols: DataFrame | None, gene_lists: DataFrame | None, options: BuildOptions):
     """Genes of all datasets with symbol and list membership."""
     if options.use_hgnc and symbols is not None:
-        mapped = map_genes(var, symbols, options.symbol_order)
+        mapped = map_genes(var, symbols, list(options.symbol_order))
     else:
         mapped = map_genes_without_table(var)
     flags = [f"in_{n}" for n in options.list_names]

@@ -30,14 +30,13 @@ def extract_metadata(
     extract_age: bool = True,
     age_source: str = "development_stage",
 ) -> DataFrame:
-    """Chosen metadata columns with filled text, both age columns, dataset id and publications."""
-    helpers = [c for c in (age_source, "organism", "age") if extract_age and c in obs.columns]
-    wanted = select_fields(obs, fields).columns
-    extra = [c for c in helpers if c not in wanted]
-    cells = fill_missing_text(obs.select(*wanted, *extra))
+    """Chosen metadata columns with filled text, both age columns, dataset id and publications.
+
+    Ages come from the chosen columns only; without a stage column among them they are null.
+    """
+    cells = fill_missing_text(select_fields(obs, fields))
     if extract_age:
         cells = ensure_columns(with_species_ages(cells, age_source), AGE_COLUMNS)
-    cells = cells.drop(*extra)
     if dataset_id is not None and "dataset_id" not in cells.columns:
         cells = cells.withColumn("dataset_id", F.lit(dataset_id))
     if collections is not None:

@@ -132,7 +132,7 @@ def test_size_limit_accepts_the_exact_size(spark):
     assert plan == {
         "small_file": ("skip", "Output files already exist"),
         "edge": ("run", None),
-        "over": ("skip", "File exceeds the size limit"),
+        "over": ("skip", "skipped (file too large: 12000.01 MB > 12000.0 MB)"),
     }
     assert {r.action for r in plan_batch(files, None).collect()} == {"run"}
 
@@ -220,9 +220,11 @@ def test_build_without_split_or_age_filter(spark, tables):
 
 def test_metadata_extraction(spark, tables):
     obs = tables[0].withColumn("organism", F.lit("Homo sapiens"))
-    found = extract_metadata(obs, ["cell_id", "tissue", "absent"], dataset_id="one")
-    assert found.columns == ["cell_id", "tissue", "age_years", "age_months", "dataset_id"]
+    found = extract_metadata(obs, ["cell_id", "development_stage", "absent"], dataset_id="one")
+    assert found.columns == ["cell_id", "development_stage", "age_years", "age_months", "dataset_id"]
     assert found.filter("age_years IS NULL").count() == 9
+    assert extract_metadata(obs, ["tissue"]).filter("age_years IS NOT NULL").count() == 0
+    assert extract_metadata(obs).filter("age_months IS NOT NULL").count() == 0
     assert extract_metadata(obs, ["tissue"], extract_age=False).columns == ["tissue"]
     with pytest.raises(ValueError):
         extract_metadata(obs, ["absent"])

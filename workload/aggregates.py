@@ -394,7 +394,8 @@ def tissue_shares(spark, folder):
     sql(r"""
     , planned AS (
       SELECT lang || '_set_' || doc_id AS dataset_name, path, length,
-        CASE WHEN length / 1048576.0 > 0.005 THEN 'File exceeds the size limit'
+        CASE WHEN length / 1048576.0 > 0.005
+               THEN printf('skipped (file too large: %.2f MB > 0.005 MB)', length / 1048576.0::DOUBLE)
              WHEN lang || '_set_' || doc_id IN (SELECT split_part(path, '/', 3) FROM outputs)
              THEN 'Output files already exist' END AS message FROM files)
     SELECT *, CASE WHEN message IS NULL THEN 'run' ELSE 'skip' END AS action FROM planned"""),

@@ -115,7 +115,7 @@ def cell_sentence_dense(spark, folder):
     return sentences_from_arrays(cells, genes, ["cell_id"], 10, LISTS).drop("dataset_id")
 
 
-OPTIONS = BuildOptions(top_n=10, list_names=tuple(LISTS), include_zeros=False)
+OPTIONS = BuildOptions(top_n=10, list_names=tuple(LISTS), include_zeros=False, symbol_order=("rank",))
 
 
 def dataset_tables(spark, folder):
@@ -200,7 +200,7 @@ def resplit_statistics(spark, folder):
 @query(
     "c5_extract_metadata",
     sql("""
-    SELECT m.cell_id, m.dataset_id, tissue, coalesce(assay, 'nan') AS assay, age_years, age_months, collection_id,
+    SELECT m.cell_id, m.dataset_id, organism, sampling_stage, coalesce(assay, 'nan') AS assay, age_years, age_months, collection_id,
       title AS publication_title, doi AS publication_doi, description AS publication_description,
       contact_name AS publication_contact_name, contact_email AS publication_contact_email
     FROM meta m LEFT JOIN collections c ON m.dataset_id = c.dataset_id"""),
@@ -208,7 +208,7 @@ def resplit_statistics(spark, folder):
 def extracted_metadata(spark, folder):
     return extract_metadata(
         obs(spark, folder),
-        ["cell_id", "dataset_id", "tissue", "assay", "not_there"],
+        ["cell_id", "dataset_id", "organism", "sampling_stage", "assay", "not_there"],
         collections=collections(spark, folder),
         age_source="sampling_stage",
     )

@@ -81,9 +81,10 @@ def gene_order(spark, folder):
 
 @query(
     "t9_top3_of_largest_cell",
-    sql(f"""{_RANKED}
-    SELECT cell_id, rank, symbol, value FROM ranked
-    WHERE rank <= 3 AND cell_id = (SELECT cell_id FROM expr GROUP BY 1 ORDER BY sum(value) DESC, cell_id LIMIT 1)"""),
+    sql("""
+    SELECT cell_id, e.gene_idx, symbol, value FROM expr e JOIN genes g ON e.gene_idx = g.gene_idx
+    WHERE cell_id = (SELECT cell_id FROM expr GROUP BY 1 ORDER BY sum(value) DESC, cell_id LIMIT 1)
+    ORDER BY value DESC, e.gene_idx DESC LIMIT 3"""),
 )
 def top3_of_largest_cell(spark, folder):
     totals = expr(spark, folder).groupBy("cell_id").agg(F.sum("value").alias("total"))
