@@ -23,7 +23,19 @@ from workload.aggregates import SUMMARY_SQL, meta
 from workload.registry import query
 from workload.sorts import symbol_expr
 from workload.splits import _quota_sql, aged
-from workload.tables import collections, donor_expr, expr, gene_lists, hgnc, load, obs, sql, var
+from workload.tables import (
+    collections,
+    donor_expr,
+    expr,
+    gene_lists,
+    hgnc,
+    load,
+    obs,
+    panel_columns,
+    panel_expr,
+    sql,
+    var,
+)
 
 LISTS = ["small", "brand1"]
 
@@ -65,54 +77,63 @@ def cell_sentence_variants(spark, folder):
     return sentences_from_long(rows, ["cell_id"], 10, LISTS)
 
 
-def _panel_cells(spark, folder, cell):
-    return to_sparse(expr(spark, folder, cell), ["cell_id"]).withColumn("dataset_id", F.lit("parts"))
+PANEL_CELL = ["dataset_id", "cell_id"]
 
 
 def _panel_genes(spark, folder):
-    return _genes(spark, folder).withColumn("dataset_id", F.lit("parts"))
+    return _genes(spark, folder).withColumns(panel_columns(F.col("gene_idx")))
+
+
+def _panel_sentences_sql(source: str) -> str:
+    """Sentences by dataset and cell; the gene index orders as the position in the dataset does."""
+    keyed = f"(SELECT dataset_id || ' ' || cell_id AS cell_id, gene_idx, value FROM {source})"
+    return f"""{_sentences_sql(keyed)}
+    SELECT * EXCLUDE (cell_id), split_part(cell_id, ' ', 1) AS dataset_id, split_part(cell_id, ' ', 2)::BIGINT AS cell_id
+    FROM sentences"""
 
 
-@query("c1_cell_sentence_sparse", sql(f"{_sentences_sql('expr')} SELECT * FROM sentences"))
+@query("c1_cell_sentence_sparse", sql(_panel_sentences_sql("panel_expr")))
 def cell_sentence_sparse(spark, folder):
-    """All variants of every order from array form, stored values only."""
-    cells = _panel_cells(spark, folder, "l_orderkey")
-    built = sentences_from_arrays(cells, _panel_genes(spark, folder), ["cell_id"], 10, LISTS, include_zeros=False)
-    return built.drop("dataset_id")
+    """All variants of every order in every dataset from array form, stored values only."""
+    cells = to_sparse(panel_expr(spark, folder, "l_orderkey"), PANEL_CELL)
+    genes = _panel_genes(spark, folder)
+    return sentences_from_arrays(cells, genes, PANEL_CELL, 10, LISTS, include_zeros=False)
 
 
 @query(
     "c1_cell_sentence_zero_filled",
     sql(f"""
-    , dense AS (
-      SELECT c.cell_id, p_partkey AS gene_idx, coalesce(value, 0.0::DOUBLE) AS value
-      FROM (SELECT DISTINCT cell_id FROM supplier_expr) c, part
+    , filled AS (
+      SELECT c.dataset_id, c.cell_id, p_partkey AS gene_idx, coalesce(value, 0.0::DOUBLE) AS value
+      FROM (SELECT DISTINCT dataset_id, cell_id FROM panel_supplier_expr) c
+      JOIN part ON dataset_id = 'block_' || (p_partkey // 1000)
       LEFT JOIN supplier_expr e ON e.cell_id = c.cell_id AND e.gene_idx = p_partkey)
-    {_sentences_sql("dense")} SELECT * FROM sentences"""),
+    {_panel_sentences_sql("filled")}"""),
 )
 def cell_sentence_zero_filled(spark, folder):
-    """All variants of every supplier, genes without a value ranked as zeros."""
-    cells = _panel_cells(spark, folder, "l_suppkey")
-    return sentences_from_arrays(cells, _panel_genes(spark, folder), ["cell_id"], 10, LISTS).drop("dataset_id")
+    """All variants of every supplier in every dataset, genes without a value ranked as zeros."""
+    cells = to_sparse(panel_expr(spark, folder, "l_suppkey"), PANEL_CELL)
+    return sentences_from_arrays(cells, _panel_genes(spark, folder), PANEL_CELL, 10, LISTS)
 
 
 @query(
     "c1_cell_sentence_dense",
     sql(f"""
-    , dense AS (SELECT vec_id AS cell_id, i AS gene_idx, embedding[i + 1]::DOUBLE AS value
-                FROM embeddings, range(0, len(embedding)) AS r(i))
-    {_sentences_sql("dense")} SELECT * FROM sentences"""),
+    , filled AS (SELECT 'label_' || label AS dataset_id, vec_id AS cell_id, i AS gene_idx, embedding[i + 1]::DOUBLE AS value
+                 FROM embeddings, range(0, len(embedding)) AS r(i))
+    {_panel_sentences_sql("filled")}"""),
 )
 def cell_sentence_dense(spark, folder):
-    """All variants of every vector, its 64 positions being genes."""
+    """All variants of every vector; its label is the dataset, its positions are the genes."""
     cells = load(spark, folder, "embeddings").select(
+        F.concat(F.lit("label_"), F.col("label")).alias("dataset_id"),
         F.col("vec_id").alias("cell_id"),
         F.col("embedding").cast("array<double>").alias("expression"),
-        F.lit("parts").alias("dataset_id"),
     )
-    positions = cells.select(F.explode(F.sequence(F.lit(0), F.size("expression") - 1)).alias("gene_idx")).distinct()
-    genes = _panel_genes(spark, folder).join(positions, "gene_idx", "left_semi")
-    return sentences_from_arrays(cells, genes, ["cell_id"], 10, LISTS).drop("dataset_id")
+    position = F.explode(F.sequence(F.lit(0).cast("bigint"), F.size("expression") - 1)).alias("gene_idx")
+    measured = cells.select("dataset_id", position).distinct()
+    genes = measured.join(_genes(spark, folder), "gene_idx")
+    return sentences_from_arrays(cells, genes, PANEL_CELL, 10, LISTS)
 
 
 OPTIONS = BuildOptions(top_n=10, list_names=tuple(LISTS), include_zeros=False, symbol_order=("rank",))

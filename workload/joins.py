@@ -25,7 +25,7 @@ from cellspark.operators.splits import donor_age_split, join_split, split_label
 from cellspark.functions.hashing import hash_uniform
 from cellspark.session import materialize
 from workload.registry import query
-from workload.tables import collections, expr, hgnc, load, obs, sql, uniform_sql, var
+from workload.tables import collections, expr, hgnc, load, obs, panel_columns, sql, uniform_sql, var
 
 
 @query("j1_gene_symbol_mapping", sql("SELECT gene_idx, ensembl_gene_id, feature_name, symbol, mapped_via FROM genes"))
@@ -48,15 +48,8 @@ def symbols_without_table(spark, folder):
 
 
 def _genes_by_block(spark, folder):
-    """A thousand parts in turn as the genes of one dataset, numbered from 0."""
-    part = F.col("gene_idx")
-    return var(spark, folder).select(
-        F.concat(F.lit("block_"), F.floor(part / 1000)).alias("dataset_id"),
-        (part % 1000).alias("gene_idx"),
-        part.alias("part"),
-        "ensembl_gene_id",
-        "feature_name",
-    )
+    genes = var(spark, folder).withColumnRenamed("gene_idx", "part")
+    return genes.withColumns(panel_columns(F.col("part")))
 
 
 @query(

@@ -31,7 +31,7 @@ from cellspark.sources.tables import (
 )
 from workload.aggregates import LOG_MESSAGES, SUMMARY_SQL, log_lines, meta
 from workload.registry import query
-from workload.tables import collections, expr, hgnc, load, obs, sql, uniform_sql
+from workload.tables import collections, expr, hgnc, load, obs, panel_columns, panel_expr, sql, uniform_sql
 
 
 @query("s1_chunk_scan", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
@@ -133,16 +133,17 @@ def metadata_scan(spark, folder):
 @query(
     "s8_dense_expression",
     sql("""
-    SELECT s.cell_id, list(coalesce(value, 0.0::DOUBLE) ORDER BY p_partkey) AS expression
-    FROM (SELECT DISTINCT cell_id FROM supplier_expr) s, part
-    LEFT JOIN supplier_expr e ON e.cell_id = s.cell_id AND e.gene_idx = p_partkey GROUP BY 1"""),
+    SELECT s.dataset_id, s.cell_id, list(coalesce(value, 0.0::DOUBLE) ORDER BY p_partkey) AS expression
+    FROM (SELECT DISTINCT dataset_id, cell_id FROM panel_supplier_expr) s
+    JOIN part ON dataset_id = 'block_' || (p_partkey // 1000)
+    LEFT JOIN supplier_expr e ON e.cell_id = s.cell_id AND e.gene_idx = p_partkey GROUP BY 1, 2"""),
 )
 def dense_expression(spark, folder):
-    """Suppliers as cells: stored entries put into a row as long as the part table, zeros filled in."""
-    cells = to_sparse(expr(spark, folder, "l_suppkey"), ["cell_id"])
-    genes = load(spark, folder, "part").agg(F.count("*").alias("n"))
-    sized = cells.withColumn("n_genes", genes.select("n").scalar())
-    return densify(sized, "n_genes").select("cell_id", "expression")
+    """Suppliers as cells: stored entries put into a row as long as the dataset has genes, zeros filled in."""
+    cells = to_sparse(panel_expr(spark, folder, "l_suppkey"), ["dataset_id", "cell_id"])
+    genes = load(spark, folder, "part").select(panel_columns(F.col("p_partkey"))["dataset_id"].alias("dataset_id"))
+    sized = cells.join(genes.groupBy("dataset_id").agg(F.count("*").alias("n_genes")), "dataset_id")
+    return densify(sized, "n_genes").select("dataset_id", "cell_id", "expression")
 
 
 @query("s8_sparse_round_trip", sql("SELECT cell_id, gene_idx::INTEGER AS gene_idx, value FROM expr"))

@@ -59,6 +59,20 @@ def expr(spark: SparkSession, folder: str, cell: str = "l_orderkey") -> DataFram
     )
 
 
+PANEL = 1000
+
+
+def panel_columns(part: Column) -> dict[str, Column]:
+    """A thousand parts in turn are the genes of one dataset, numbered from 0."""
+    return {"dataset_id": _text("block_", F.floor(part / PANEL)), "gene_idx": part % PANEL}
+
+
+def panel_expr(spark: SparkSession, folder: str, cell: str) -> DataFrame:
+    """Expression by dataset: what a cell has of the thousand parts of each dataset."""
+    rows = expr(spark, folder, cell)
+    return rows.withColumns(panel_columns(F.col("gene_idx")))
+
+
 def donor_expr(spark: SparkSession, folder: str) -> DataFrame:
     """Expression with the customer as the cell."""
     orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey")
@@ -176,6 +190,10 @@ WITH obs AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2
 ), supplier_expr AS (
   SELECT l_suppkey AS cell_id, l_partkey AS gene_idx, sum(l_quantity) AS value FROM lineitem GROUP BY 1, 2
+), panel_expr AS (
+  SELECT 'block_' || (gene_idx // 1000) AS dataset_id, * FROM expr
+), panel_supplier_expr AS (
+  SELECT 'block_' || (gene_idx // 1000) AS dataset_id, * FROM supplier_expr
 ), var AS (
   SELECT p_partkey AS gene_idx, 'ENSG' || lpad(p_partkey::VARCHAR, 11, '0') AS ensembl_gene_id,
     CASE WHEN p_size <= 25 THEN 'F_' || replace(p_name, ' ', '_') || '_' || p_partkey
