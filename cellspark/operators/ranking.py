@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellspark.session import materialize
+
 
 def _with_bucket_offsets(df: DataFrame, group: list[str], bucket: str) -> DataFrame:
     """Add ``_offset``: how many rows of the group lie in earlier buckets."""
@@ -48,11 +50,13 @@ def with_row_index(df: DataFrame, key: str, name: str = "row_idx", pieces: int =
 def exact_median(df: DataFrame, key: str, value: str, name: str, count_name: str) -> DataFrame:
     """Exact median of ``value`` per key (mean of the two middle values) and the key's row count.
 
-    Equal values are counted first. The counts are then lined up in steps of a tenth, and only
-    the steps holding a middle row are looked at value by value, so a key with a large share of
-    the rows is not collected. Null values are skipped in the median and counted in the size.
+    Equal values are counted first, in the only pass over ``df``. The counts are then lined up in
+    steps of a tenth, and only the steps holding a middle row are looked at value by value, so a
+    key with a large share of the rows is not collected. Null values are skipped in the median and
+    counted in the size.
     """
-    counted = df.groupBy(key, value).agg(F.count("*").alias("_n")).withColumn("_step", F.floor(F.col(value) * 10))
+    counted = materialize(df.sparkSession, df.groupBy(key, value).agg(F.count("*").alias("_n")), "value-counts")
+    counted = counted.withColumn("_step", F.floor(F.col(value) * 10))
     by_step = counted.groupBy(key, "_step").agg(F.sum("_n").alias("_n"))
     whole = Window.partitionBy(key)
     valued = F.when(F.col("_step").isNotNull(), F.col("_n"))
