@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,6 +149,6 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def share_of_total(df: DataFrame, count: str, name: str, digits: int = 2) -> DataFrame:
-    """Add each row's percentage of the column total; for small aggregated tables."""
-    total = F.sum(count).over(Window.partitionBy())
+    """Add each row's percentage of the column total."""
+    total = df.agg(F.sum(count).alias("total")).select("total").scalar()
     return df.withColumn(name, F.when(total > 0, F.round(F.col(count) * 100.0 / total, digits)).otherwise(0.0))

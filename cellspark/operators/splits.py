@@ -103,12 +103,12 @@ def quota_split(donors: DataFrame, donor: str, test_size: float = 0.05, seed: in
     n_donors = sizes["n"] or 0
     n_test = math.ceil(test_size * n_donors) if n_donors > 1 else 0
     if sizes["strata"] > min(n_test, n_donors - n_test) or (sizes["least"] or 0) < 2:
-        keyed = keyed.withColumn("stratum", F.lit(WHOLE))
-        strata = keyed.groupBy("stratum").agg(F.count("*").alias("donors"))
-    quotas = _place_quotas(strata, max(n_donors, 1), n_test, seed)
-    if sizes["strata"] <= BROADCAST_ROWS:
-        quotas = F.broadcast(quotas)
-    ranked = rank_by_digest(keyed, ["stratum"], "_donor_digest", donor).join(quotas, "stratum")
+        whole = keyed.withColumn("stratum", F.lit(WHOLE))
+        ranked = rank_by_digest(whole, [], "_donor_digest", donor).withColumn("quota", F.lit(n_test))
+    else:
+        quotas = _place_quotas(strata, n_donors, n_test, seed)
+        quotas = F.broadcast(quotas) if sizes["strata"] <= BROADCAST_ROWS else quotas
+        ranked = rank_by_digest(keyed, ["stratum"], "_donor_digest", donor).join(quotas, "stratum")
     side = F.when(F.col("rank") <= F.col("quota"), TEST).otherwise(TRAIN)
     return ranked.withColumn("split", side).select(*donors.columns, "stratum", "split")
 
