@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The stage patterns and the species names the age rules know.
-YEARS_PATTERN = r"(\d+(?:\.\d+)?)-year-old"
-MONTHS_PATTERN = r"(\d+(?:\.\d+)?)\s*-?\s*m(?:onth)?"
+# The stage patterns and the species names the age rules know. (?U) makes \s and \d
+# take in non-ASCII blanks and digits; digits that do not parse as a number give null.
+YEARS_PATTERN = r"(?U)(\d+(?:\.\d+)?)-year-old"
+MONTHS_PATTERN = r"(?U)(\d+(?:\.\d+)?)\s*-?\s*m(?:onth)?"
 HUMAN = "Homo sapiens"
 MOUSE = "Mus musculus"
 

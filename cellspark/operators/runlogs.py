@@ -16,6 +16,8 @@ LOG_METRICS = {
     "genes_unmapped": ("gene_mapping_summary", "unmapped_using_ensembl_id"),
     "cells_discarded_in_split": ("filtering_summary", "cells_discarded"),
 }
+MISSING_MESSAGE = "warning_missing_column"
+SAMPLE_MESSAGE = "sample_null_age_development_stages"
 NULL_AGE_LIMIT = 0.1
 UNMAPPED_LIMIT = 0.05
 
@@ -26,17 +28,27 @@ def last_value(value: Column, time: Column, wanted: Column) -> Column:
 
 
 def log_metrics(events: DataFrame) -> DataFrame:
-    """One row: last value of every metric (0 if never logged) and the missing columns, sorted."""
+    """One row: last value of every metric (0 if never logged), the names of missing columns, sorted,
+    and the stages of the last sample of cells without an age."""
     message, time = F.col("message_type"), F.col("timestamp")
     metrics = []
     for name, (kind, field) in LOG_METRICS.items():
         found = last_value(F.col(field), time, message == kind) if field in events.columns else F.lit(0)
         metrics.append(F.coalesce(found, F.lit(0)).cast("bigint").alias(name))
-    column = F.when(message == "warning_missing_column", F.col("column")) if "column" in events.columns else F.lit(None)
+    column = F.when(message == MISSING_MESSAGE, F.col("column")) if "column" in events.columns else F.lit(None)
     metrics.append(F.sort_array(F.collect_set(column.cast("string"))).alias("missing_columns"))
+    if "samples" in events.columns:
+        stages = F.transform("samples", lambda s: s["development_stage"])
+        metrics.append(last_value(stages, time, message == SAMPLE_MESSAGE).alias("sample_null_ages"))
     return events.agg(*metrics)
 
 
+def missing_columns(events: DataFrame) -> DataFrame:
+    """How often each column was logged as missing."""
+    logged = events.filter(F.col("message_type") == MISSING_MESSAGE)
+    return logged.groupBy("column").agg(F.count("*").alias("events"))
+
+
 def log_advice(metrics: DataFrame) -> DataFrame:
     """Add the shares of null ages and unmapped genes and whether each is too high."""
     null_share = F.col("cells_with_null_age") / F.greatest("total_cells", F.lit(1))

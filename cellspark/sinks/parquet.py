@@ -14,8 +14,9 @@ from cellspark.sources.tables import read_typed_symbol_table
 
 DEFAULT_CODEC = "zstd"
 DEFAULT_LEVEL = 3
-# Rows written once to learn how many bytes a row takes on disk.
-PROBE_ROWS = 20_000
+# Rows of the trial writes that show how many bytes a row takes, and the file size that is enough.
+PROBE_ROWS = (500, 20_000)
+PROBE_BYTES = 1024 * 1024
 
 
 def _writer(df: DataFrame, codec: str, level: int, mode: str) -> DataFrameWriter:
@@ -42,13 +43,24 @@ def write_by_rows(
 
 
 def bytes_per_row(df: DataFrame, codec: str = DEFAULT_CODEC, level: int = DEFAULT_LEVEL) -> float:
-    """Compressed size of a row, measured on a trial write of some rows."""
+    """Compressed size of a row, measured on a trial write of the first rows.
+
+    The first rows come from as few tasks as needed. Short rows need more of them, as otherwise the
+    fixed part of a file counts too much.
+    """
     spark = df.sparkSession
-    probe = scratch_path(spark, "size-probe")
-    write_parquet(df.limit(PROBE_ROWS), probe, codec, level)
-    rows = spark.read.parquet(probe).count()
-    size = list_files(spark, probe, "*.parquet").agg(F.sum("length").alias("n")).first()["n"] or 0
-    return size / rows if rows else 0.0
+    size = 0.0
+    for n_rows in PROBE_ROWS:
+        rows = df.take(n_rows)
+        if not rows:
+            return 0.0
+        probe = scratch_path(spark, "size-probe")
+        write_parquet(spark.createDataFrame(rows, df.schema).coalesce(1), probe, codec, level)
+        length = list_files(spark, probe, "*.parquet").agg(F.sum("length").alias("n")).first()["n"] or 0
+        size = length / len(rows)
+        if length >= PROBE_BYTES or len(rows) < n_rows:
+            break
+    return size
 
 
 def rows_for_size(row_bytes: float, target_mb: float) -> int:
@@ -62,10 +74,12 @@ def write_by_size(
     codec: str = DEFAULT_CODEC,
     level: int = DEFAULT_LEVEL,
     mode: str = "errorifexists",
+    row_bytes: float | None = None,
 ) -> None:
-    """Files of about ``target_mb``: the trial gives bytes per row, then rows per file follow."""
-    rows = rows_for_size(bytes_per_row(df, codec, level), target_mb)
-    write_by_rows(df, path, rows, codec, level, mode)
+    """Files of about ``target_mb``; the bytes per row are known or come from a trial."""
+    if row_bytes is None:
+        row_bytes = bytes_per_row(df, codec, level)
+    write_by_rows(df, path, rows_for_size(row_bytes, target_mb), codec, level, mode)
 
 
 def write_chunks(

@@ -12,7 +12,8 @@ LOG_SCHEMA = (
     "message_type string, action_type string, action_status string, timestamp double, task_uuid string, "
     "task_level array<bigint>, column string, total_cells bigint, cells_with_valid_age bigint, "
     "cells_with_null_age bigint, total_genes bigint, mapped_via_hgnc bigint, mapped_via_fallback bigint, "
-    "unmapped_using_ensembl_id bigint, cells_discarded bigint, count bigint"
+    "unmapped_using_ensembl_id bigint, cells_discarded bigint, count bigint, "
+    "samples array<struct<development_stage:string>>"
 )
 
 

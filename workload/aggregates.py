@@ -9,7 +9,7 @@ from cellspark.operators.columns import fill_missing_text, share_of_total
 from cellspark.operators.genes import gene_list_sizes, map_genes
 from cellspark.operators.inventory import inventory_totals, run_report, run_totals, storage_by
 from cellspark.operators.profile import nonzero_columns, nonzero_genes, null_counts, table_profile
-from cellspark.operators.runlogs import last_by_message, log_advice, log_metrics
+from cellspark.operators.runlogs import last_by_message, log_advice, log_metrics, missing_columns
 from cellspark.operators.summaries import (
     category_summary,
     dataset_summaries,
@@ -190,6 +190,7 @@ LOG_MESSAGES = {
     "view": "gene_mapping_summary",
     "purchase": "age_extraction_summary",
     "signup": "filtering_summary",
+    "click": "sample_null_age_development_stages",
 }
 
 
@@ -213,6 +214,7 @@ def log_lines(spark, folder):
         F.lit(40).alias("mapped_via_fallback"),
         F.lit(60).alias("unmapped_using_ensembl_id"),
         k.alias("cells_discarded"),
+        F.array(F.struct(F.concat(F.lit("stage "), k.cast("string")).alias("development_stage"))).alias("samples"),
     )
     return events.select(F.to_json(fields).alias("value"))
 
@@ -224,11 +226,12 @@ _LAST_K = "arg_max((props->>'$.k')::BIGINT, ts) FILTER (event_type = '{event}')"
     "a22_log_metrics",
     f"""
     WITH k AS (SELECT {_LAST_K.format(event="view")} AS genes, {_LAST_K.format(event="purchase")} AS cells,
-        {_LAST_K.format(event="signup")} AS lost,
+        {_LAST_K.format(event="signup")} AS lost, {_LAST_K.format(event="click")} AS sample,
         list_sort(list_distinct(list('column_' || (props->>'$.k')) FILTER (event_type = 'error'))) AS missing FROM events)
     SELECT cells * 100 AS total_cells, cells * 90 AS cells_with_valid_age, cells * 10 AS cells_with_null_age,
       genes + 1000 AS genes_total, genes + 900 AS genes_mapped_hgnc, 40::BIGINT AS genes_mapped_fallback,
       60::BIGINT AS genes_unmapped, lost AS cells_discarded_in_split, missing AS missing_columns,
+      ['stage ' || sample] AS sample_null_ages,
       round(cells * 10 / greatest(cells * 100, 1)::DOUBLE, 4) AS null_age_share,
       round(60 / greatest(genes + 1000, 1)::DOUBLE, 4) AS unmapped_share,
       cells * 10 / greatest(cells * 100, 1)::DOUBLE > 0.1 AS too_many_null_ages,
@@ -239,6 +242,15 @@ def metrics(spark, folder):
     return log_advice(log_metrics(parse_event_log(log_lines(spark, folder))))
 
 
+@query(
+    "a22_missing_columns",
+    """SELECT 'column_' || (props->>'$.k') AS "column", count(*) AS events FROM events WHERE event_type = 'error'
+    GROUP BY 1""",
+)
+def missing_column_counts(spark, folder):
+    return missing_columns(parse_event_log(log_lines(spark, folder)))
+
+
 @query(
     "a22_last_value_per_message",
     """SELECT event_type, count(*) AS events, arg_max(value, ts) AS last_value, max(ts) AS last_time
