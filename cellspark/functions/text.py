@@ -21,7 +21,7 @@ def has_ensembl_token(text: Column) -> Column:
 
 
 def sanitize_name(name: Column) -> Column:
-    """File-system-safe name: all but letters, digits, ``-`` and ``.`` becomes ``_``, runs collapse, outer ``_`` go away."""
+    """File-system-safe name: all but letters, digits, ``-`` and ``.`` becomes ``_``; no ``_`` runs or outer ``_``."""
     safe = F.regexp_replace(name, r"[^\p{L}\p{N}_\-.]", "_")
     safe = F.regexp_replace(safe, "_+", "_")
     return F.regexp_replace(safe, "^_|_$", "")

@@ -128,7 +128,9 @@ def ensure_columns(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df.withColumns(absent) if absent else df
 
 
-def sample_rows(df: DataFrame, order: list[str], rows: int = 5, text_limit: int = 200, item_limit: int = 8) -> DataFrame:
+def sample_rows(
+    df: DataFrame, order: list[str], rows: int = 5, text_limit: int = 200, item_limit: int = 8
+) -> DataFrame:
     """First rows for diagnosis, with long text and long lists cut."""
     cut = []
     for field in df.schema:

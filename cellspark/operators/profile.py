@@ -25,7 +25,8 @@ def table_profile(df: DataFrame) -> DataFrame:
     """
     stats = []
     for field in df.schema:
-        number = F.col(field.name).cast("double") if isinstance(field.dataType, T.NumericType) else F.lit(None).cast("double")
+        is_number = isinstance(field.dataType, T.NumericType)
+        number = (F.col(field.name) if is_number else F.lit(None)).cast("double")
         stats.append(
             F.struct(
                 F.lit(field.name).alias("column_name"),
@@ -63,7 +64,9 @@ def nonzero_genes(cells: DataFrame, cell: list[str], expression: str = "expressi
     )
 
 
-def top_genes_of_cell(expr: DataFrame, cell: str, wanted: object, n: int = 3, alternative: str | None = None) -> DataFrame:
+def top_genes_of_cell(
+    expr: DataFrame, cell: str, wanted: object, n: int = 3, alternative: str | None = None
+) -> DataFrame:
     """Highest genes and values of one cell, found by its id or, failing that, by another id column."""
     chosen = expr.filter(F.col(cell) == F.lit(wanted))
     if alternative is not None and chosen.isEmpty():

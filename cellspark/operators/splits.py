@@ -84,7 +84,8 @@ def _place_quotas(strata: DataFrame, n_donors: int, n_test: int, seed: int) -> D
     classes = shares.groupBy("_remainder").agg(F.count("*").alias("_size"))
     before = F.sum("_size").over(Window.orderBy(F.col("_remainder").desc())) - F.col("_size")
     places = classes.select("_remainder", (left_over - before).alias("_places"))
-    ranked = rank_by_digest(shares, ["_remainder"], "_digest", "stratum", "_rank").join(F.broadcast(places), "_remainder")
+    ranked = rank_by_digest(shares, ["_remainder"], "_digest", "stratum", "_rank")
+    ranked = ranked.join(F.broadcast(places), "_remainder")
     extra = (F.col("_rank") <= F.col("_places")) & (F.col("_remainder") > 0)
     return ranked.select("stratum", (F.col("_base") + extra.cast("int")).alias("quota"))
 
@@ -158,7 +159,9 @@ def split_dataset(
     return split_cells(df, cell, test_size, seed)
 
 
-def split_cells_by_row(df: DataFrame, row: str, age: str = "age", test_size: float = 0.05, seed: int = 42) -> DataFrame:
+def split_cells_by_row(
+    df: DataFrame, row: str, age: str = "age", test_size: float = 0.05, seed: int = 42
+) -> DataFrame:
     """Cell-level hash split: the hash of the age plus the hash of the row key."""
     age_key = F.round(F.col(age) * 1000).cast("bigint")
     total = digest_number(key_digest([age_key], seed)) + digest_number(key_digest([row], seed + 1))

@@ -66,7 +66,8 @@ def _listed(combos: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
     distinct value but are not listed.
     """
     text = combos.select(*by, *[F.col(c).cast("string").alias(c) for c in columns], "_n")
-    values = text.unpivot([*by, "_n"], columns, "field", "value").groupBy(*by, "field", "value").agg(F.sum("_n").alias("n"))
+    by_field = text.unpivot([*by, "_n"], columns, "field", "value")
+    values = by_field.groupBy(*by, "field", "value").agg(F.sum("_n").alias("n"))
     is_age = F.col("field").startswith("age_")
     order = F.when(is_age, F.col("value").try_cast("double")).otherwise(-F.col("n").cast("double"))
     entry = F.struct(order.alias("o"), F.col("value"), F.concat_ws(": ", "value", F.col("n").cast("string")).alias("t"))

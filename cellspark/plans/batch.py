@@ -42,13 +42,32 @@ def plan_batch(
     ).drop("_done")
 
 
+def pending_rows(df: DataFrame, planned: DataFrame) -> DataFrame:
+    """Rows of the datasets that are to be run, of any table with a ``dataset_id``."""
+    to_run = planned.filter(F.col("action") == "run").select(F.col("dataset_name").alias("dataset_id"))
+    return df.join(to_run, "dataset_id", "left_semi")
+
+
+def batch_report(planned: DataFrame, built: DataFrame) -> DataFrame:
+    """Status and number of cells of every planned dataset, from the rows of one build of them all."""
+    cells = built.groupBy(F.col("dataset_id").alias("dataset_name")).agg(F.count("*").alias("cells"))
+    done = planned.select("dataset_name", "action", "message").join(cells, "dataset_name", "left")
+    ran = F.col("action") == "run"
+    return done.select(
+        "dataset_name",
+        F.when(ran, SUCCESS).otherwise(SKIPPED).alias("status"),
+        F.coalesce("cells", F.lit(0)).alias("cells"),
+        F.when(ran, "Successfully processed").otherwise(F.col("message")).alias("message"),
+    )
+
+
 def run_batch(
     spark: SparkSession, datasets: Iterable[str], process: Callable[[str], str], skipped: DataFrame | None = None
 ) -> DataFrame:
     """Run ``process(dataset) -> output path`` for each dataset; a failing one does not stop the rest.
 
-    For jobs whose inputs may be broken one by one. Sound inputs are better built together, with
-    the dataset as a column, by one :func:`cellspark.plans.build.build_dataset`.
+    For inputs that may be broken one by one. Sound inputs are better built together, with the
+    dataset as a column: :func:`pending_rows`, ``build_dataset`` and :func:`batch_report`.
     """
     results = []
     for dataset in datasets:

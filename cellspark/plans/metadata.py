@@ -13,7 +13,6 @@ from cellspark.operators.columns import (
     ensure_columns,
     fill_missing_text,
     first_present,
-    missing_fields,
     select_fields,
 )
 from cellspark.operators.publications import join_publications
@@ -44,10 +43,6 @@ def extract_metadata(
     return cells
 
 
-def requested_but_missing(obs: DataFrame, fields: list[str]) -> list[str]:
-    return missing_fields(obs, fields)
-
-
 @dataclass(frozen=True)
 class SplitResult:
     """A split dataset with the figures that describe it."""

@@ -83,7 +83,9 @@ def gene_list_names(gene_lists: DataFrame) -> list[str]:
     return [row["list_name"] for row in gene_lists.select("list_name").distinct().orderBy("list_name").collect()]
 
 
-def scan_metadata(df: DataFrame, fields: list[str] | None, row: str | None = None, start: int = 0, end: int | None = None):
+def scan_metadata(
+    df: DataFrame, fields: list[str] | None, row: str | None = None, start: int = 0, end: int | None = None
+) -> DataFrame:
     """Chosen columns, optionally only rows ``start <= row < end``; both reach the Parquet scan."""
     rows = df
     if row is not None:

@@ -237,3 +237,15 @@ def test_log_metrics(spark):
     found = log_advice(log_metrics(spark.createDataFrame(rows, schema))).first()
     assert (found.total_cells, found.cells_with_null_age, found.genes_total) == (20, 5, 0)
     assert found.missing_columns == ["tissue"] and found.too_many_null_ages and not found.too_many_unmapped_genes
+
+
+def test_collections_from_text_and_column_types(spark):
+    from cellspark.operators.profile import column_types
+    from cellspark.operators.publications import parse_collections
+
+    line = '{"collection_id": "c", "name": "N", "doi": null, "datasets": [{"id": "d"}]}'
+    rows = parse_collections(spark.createDataFrame([(line,)], "value string"))
+    assert [(r.dataset_id, r.collection_id, r.title, r.doi, r.contact_name) for r in rows.collect()] == [
+        ("d", "c", "N", None, "")
+    ]
+    assert column_types(rows)[:2] == [("dataset_id", "string"), ("collection_id", "string")]

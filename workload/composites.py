@@ -15,9 +15,11 @@ from cellspark.operators.sentences import (
     top_sentences,
 )
 from cellspark.operators.summaries import species_summary
+from cellspark.plans.batch import batch_report, pending_rows, plan_batch
 from cellspark.plans.build import BuildOptions, build_dataset, convert_dataset
 from cellspark.plans.metadata import extract_metadata, resplit_dataset
 from cellspark.session import scratch_path
+from cellspark.sinks.parquet import write_all_splits
 from cellspark.streaming.ingest import ingest_new_files, read_ingested
 from workload.aggregates import SUMMARY_SQL, meta
 from workload.registry import query
@@ -180,6 +182,40 @@ def built_dataset(spark, folder):
     return built.select(*kept, *_SENTENCES)
 
 
+@query(
+    "c7_batch_build",
+    sql(f"""
+    , inputs AS (SELECT dataset_id, count(*) * 104857600 // (SELECT count(*) FROM obs) AS length FROM obs GROUP BY 1)
+    , planned AS (
+      SELECT dataset_id, CASE
+        WHEN length / 1048576.0 > 4.1 THEN printf('skipped (file too large: %.2f MB > 4.1 MB)', length / 1048576.0::DOUBLE)
+        WHEN dataset_id IN (SELECT dataset_id FROM collections WHERE title = 'EUROPE') THEN 'Output files already exist'
+        END AS message FROM inputs)
+    , pending AS (SELECT * FROM aged WHERE dataset_id IN (SELECT dataset_id FROM planned WHERE message IS NULL))
+    {_quota_sql("pending", 0.05)}
+    , built AS (
+      SELECT dataset_id, count(*) AS cells FROM pending p JOIN donor_split d ON p.donor_id = d.donor_id
+      WHERE age IS NOT NULL GROUP BY 1)
+    SELECT p.dataset_id AS dataset_name, CASE WHEN message IS NULL THEN 'SUCCESS' ELSE 'SKIPPED' END AS status,
+      coalesce(cells, 0) AS cells, coalesce(message, 'Successfully processed') AS message
+    FROM planned p LEFT JOIN built b ON p.dataset_id = b.dataset_id"""),
+)
+def batch_build(spark, folder):
+    """All datasets that are neither too large nor finished, built in one job and written by side."""
+    cells, genes, rows = dataset_tables(spark, folder)
+    total = cells.agg(F.count("*").alias("n")).select("n").scalar()
+    sizes = cells.groupBy("dataset_id").agg(F.count("*").alias("n"))
+    length = F.floor(F.col("n") * 104857600 / total).alias("length")  # 100 MB over all datasets
+    inputs = sizes.select(F.concat(F.lit("/in/"), "dataset_id", F.lit(".h5ad")).alias("path"), length)
+    finished = collections(spark, folder).filter(F.col("title") == "EUROPE")
+    written = finished.select(F.concat(F.lit("/out/"), "dataset_id", F.lit("/train/chunk_0000.parquet")).alias("path"))
+    planned = plan_batch(inputs, written, 4.1)
+    tables = [pending_rows(table, planned) for table in (cells, genes, rows)]
+    path = scratch_path(spark, "batch")
+    write_all_splits(build_dataset(*tables, hgnc(spark, folder), options=BuildOptions(top_n=10, include_zeros=False)), path)
+    return batch_report(planned, spark.read.parquet(path))
+
+
 @query(
     "c3_convert_dataset",
     sql(f"""
