@@ -108,14 +108,27 @@ def to_long(cells: DataFrame, cell: list[str]) -> DataFrame:
 
 
 def densify(cells: DataFrame, n_genes: str) -> DataFrame:
-    """Sparse row -> ``expression`` array of ``n_genes`` values, zeros filled in.
+    """Sparse row -> ``expression`` array of ``n_genes`` values.
 
-    Gene positions not stored are appended as zeros and the whole put in gene order.
+    Every stored value is followed by the zeros up to the next one, so only stored values are
+    handled one by one.
     """
-    absent = F.array_except(F.sequence(F.lit(0), F.col(n_genes).cast("int") - 1), F.col("indices"))
-    zeros = F.arrays_zip(absent.alias("indices"), F.array_repeat(F.lit(0.0), F.size(absent)).alias("values"))
-    stored = F.arrays_zip("indices", F.transform("values", lambda v: F.coalesce(v, F.lit(0.0))).alias("values"))
-    return cells.withColumn("expression", F.sort_array(F.concat(stored, zeros))["values"])
+    pairs = F.arrays_zip(F.col("indices").alias("at"), F.col("values").alias("value"))
+    ordered = cells.withColumn("_stored", F.sort_array(pairs))
+    end = F.col(n_genes).cast("int")
+    zero = F.lit(0.0)
+    following = F.concat(F.slice("_stored.at", 2, F.greatest(F.size("_stored"), F.lit(1))), F.array(end))
+    entries = F.arrays_zip(
+        F.col("_stored.at").alias("at"),
+        F.col("_stored.value").alias("value"),
+        F.slice(following, 1, F.size("_stored")).alias("until"),
+    )
+    runs = F.transform(
+        entries,
+        lambda e: F.concat(F.array(F.coalesce(e["value"], zero)), F.array_repeat(zero, e["until"] - e["at"] - 1)),
+    )
+    before = F.array_repeat(zero, F.coalesce(F.get("_stored.at", F.lit(0)), end))
+    return ordered.withColumn("expression", F.concat(before, F.flatten(runs))).drop("_stored")
 
 
 def _positions(entries: Column) -> Column:

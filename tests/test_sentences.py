@@ -165,8 +165,16 @@ def test_forms_convert(spark):
     sparse = to_sparse(expr, ["cell_id"])
     assert {r.cell_id: (r.indices, r["values"]) for r in sparse.collect()} == {1: ([0, 3], [1.0, 2.0]), 2: ([2], [5.0])}
     assert sorted(map(tuple, to_long(sparse, ["cell_id"]).collect())) == sorted(map(tuple, expr.collect()))
-    dense = densify(sparse.withColumn("n", F.lit(4)), "n")
-    assert {r.cell_id: r.expression for r in dense.collect()} == {1: [1.0, 0.0, 0.0, 2.0], 2: [0.0, 0.0, 5.0, 0.0]}
+    stored = spark.createDataFrame(
+        [(3, [], []), (4, [3, 1], [7.0, None])], "cell_id int, indices array<int>, values array<double>"
+    )
+    dense = densify(sparse.unionByName(stored).withColumn("n", F.lit(4)), "n")
+    assert {r.cell_id: r.expression for r in dense.collect()} == {
+        1: [1.0, 0.0, 0.0, 2.0],
+        2: [0.0, 0.0, 5.0, 0.0],
+        3: [0.0, 0.0, 0.0, 0.0],
+        4: [0.0, 0.0, 0.0, 7.0],
+    }
 
 
 def test_quality(spark):

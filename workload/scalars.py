@@ -268,7 +268,7 @@ def null_tests(spark, folder):
     "x21_array_functions",
     sql("""
     SELECT vec_id, len(list_filter(embedding, lambda v: v > 0))::BIGINT AS positive,
-      list_transform(embedding[1:5], lambda v: round(v::DOUBLE * 2, 4)) AS doubled_head,
+      list_transform(embedding[1:5], lambda v: round(v::DOUBLE * 2, 4) + 0.0::DOUBLE) AS doubled_head,
       list_contains(list_transform(embedding, lambda v: v > 0.3), true) AS has_large
     FROM embeddings"""),
 )
@@ -276,7 +276,7 @@ def array_functions(spark, folder):
     return load(spark, folder, "embeddings").select(
         "vec_id",
         F.size(F.filter("embedding", lambda v: v > 0)).cast("bigint").alias("positive"),
-        F.transform(F.slice("embedding", 1, 5), lambda v: F.round(v.cast("double") * 2, 4)).alias("doubled_head"),
+        F.transform(F.slice("embedding", 1, 5), lambda v: F.round(v.cast("double") * 2, 4) + 0.0).alias("doubled_head"),
         F.array_contains(F.transform("embedding", lambda v: v > F.lit(0.3).cast("float")), True).alias("has_large"),
     )
 
