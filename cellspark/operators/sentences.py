@@ -155,6 +155,16 @@ def stored_order(cells: DataFrame) -> DataFrame:
     return cells.select(*kept, stored.alias("_stored")).select(*kept, above.alias("_above"), below.alias("_below"))
 
 
+def _gene_sizes(genes: DataFrame) -> dict[str, int | bool]:
+    """Genes of the largest dataset and of all, and whether any dataset's numbering has gaps."""
+    n, last = F.count("*"), F.max("gene_idx")
+    gaps = (F.min("gene_idx") != 0) | (last != n - 1) | (F.count_distinct("gene_idx") != n)
+    per_dataset = genes.groupBy("dataset_id").agg(n.alias("n"), gaps.alias("gaps"))
+    found = per_dataset.agg(F.max("n").alias("largest"), F.sum("n").alias("total"), F.max("gaps").alias("gaps"))
+    row = found.first()
+    return {"largest": row["largest"] or 0, "total": row["total"] or 0, "gaps": bool(row["gaps"])}
+
+
 def sentences_from_arrays(
     cells: DataFrame,
     genes: DataFrame,
@@ -171,13 +181,13 @@ def sentences_from_arrays(
     counted number of genes allows it. Genes without a value follow the positive ones in descending
     position, taken ready-made from the packed row, which is then no larger than a sentence. Where
     only stored values count and a dataset has more genes than PANEL_GENES, genes are not packed:
-    the cells go to long form and meet their genes in a shuffled join.
+    the cells go to long form and meet their genes in a shuffled join. So they do where genes are
+    not numbered from 0 without gaps, which the other cases need.
     """
     kept = [c for c in cells.columns if c not in ("indices", "values", "expression")]
     genes = materialize(cells.sparkSession, genes, "genes")
-    per_dataset = genes.groupBy("dataset_id").agg(F.count("*").alias("n"))
-    sizes = per_dataset.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
-    if not include_zeros and "indices" in cells.columns and (sizes["largest"] or 0) > PANEL_GENES:
+    sizes = _gene_sizes(genes)
+    if not include_zeros and "indices" in cells.columns and (sizes["largest"] > PANEL_GENES or sizes["gaps"]):
         keys = list(dict.fromkeys(["dataset_id", *cell]))
         rows = to_long(cells, keys).filter(F.col("value") != 0)
         named = attach_symbols(rows, genes, ["dataset_id", "gene_idx"])
@@ -185,13 +195,15 @@ def sentences_from_arrays(
         joined = cells.select(*kept).join(built, keys, "left")
         return joined.select(*kept, *[_or_empty(n) for n in sentence_columns(top_n, list_names, include_all)])
 
+    if sizes["gaps"]:
+        raise ValueError("gene_idx must number the genes of every dataset from 0 without gaps")
     panels = gene_panel(genes, list(list_names)).drop(
         *[f"{'list' if include_zeros else 'members'}_{name}" for name in list_names]
     )
     ordered = stored_order(cells)
     if not include_zeros:
         ordered = ordered.select(*kept, F.concat("_above", "_below").alias("_order"))
-    entries = (sizes["total"] or 0) * (1 + len(list_names))
+    entries = sizes["total"] * (1 + len(list_names))
     joined = spread_join(ordered, panels, "dataset_id", cell, entries, BROADCAST_GENES)
 
     def words(positions: str | Column, by_position: str = "symbols") -> Column:

@@ -17,6 +17,10 @@ from cellspark.operators.columns import (
 )
 from cellspark.operators.publications import join_publications
 from cellspark.operators.splits import donor_statistics, split_dataset, split_statistics
+from cellspark.operators.summaries import dataset_summaries, order_by_known_ages, species_summary
+from cellspark.session import materialize
+from cellspark.sinks.parquet import write_parquet
+from cellspark.sinks.summaries import separator_for, write_by_organism, write_summary
 
 AGE_COLUMNS = {"age_years": "double", "age_months": "double"}
 
@@ -43,6 +47,26 @@ def extract_metadata(
     return cells
 
 
+def store_metadata(meta: DataFrame, path: str, summary_path: str | None = None, fmt: str = "csv") -> DataFrame:
+    """Write extracted metadata and, if wanted, the summary of what was written; returns the stored table."""
+    if summary_path is not None:
+        separator_for(fmt)  # an unknown format is an error before anything is written
+    write_parquet(meta, path)
+    stored = meta.sparkSession.read.schema(meta.schema).parquet(path)
+    if summary_path is not None:
+        write_summary(dataset_summaries(stored), summary_path, fmt)
+    return stored
+
+
+def store_species_summary(meta: DataFrame, path: str, collections: DataFrame | None = None, fmt: str = "csv") -> None:
+    """``<path>/all_datasets_summary`` and one ``<path>/by_organism/organism_key=...`` folder per organism."""
+    separator_for(fmt)
+    summary = materialize(meta.sparkSession, species_summary(meta, collections), "species-summary")
+    ordered = order_by_known_ages(summary)
+    write_summary(ordered, f"{path}/all_datasets_summary", fmt)
+    write_by_organism(ordered, f"{path}/by_organism", fmt)
+
+
 @dataclass(frozen=True)
 class SplitResult:
     """A split dataset with the figures that describe it."""

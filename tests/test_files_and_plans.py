@@ -9,7 +9,7 @@ from cellspark.operators.inventory import storage_by
 from cellspark.operators.splits import split_leaks
 from cellspark.plans.batch import plan_batch, run_batch
 from cellspark.plans.build import BuildOptions, build_dataset, convert_dataset
-from cellspark.plans.metadata import extract_metadata, resplit_dataset
+from cellspark.plans.metadata import extract_metadata, resplit_dataset, store_metadata, store_species_summary
 from cellspark.session import scratch_path
 from cellspark.sinks.parquet import write_all_splits, write_by_rows, write_by_size, write_chunks, write_split
 from cellspark.sinks.summaries import write_by_organism, write_summary
@@ -230,6 +230,22 @@ def test_metadata_extraction(spark, tables):
         extract_metadata(obs, ["absent"])
 
 
+def test_stored_metadata_and_summaries(spark, tables):
+    obs = tables[0].withColumn("organism", F.when(F.col("dataset_id") == "d0", "Homo sapiens").otherwise("Mus musculus"))
+    root = scratch_path(spark, "meta")
+    stored = store_metadata(extract_metadata(obs), f"{root}/meta", f"{root}/summary", "tsv")
+    assert stored.count() == 60
+    summary = spark.read.option("sep", "\t").option("header", True).csv(f"{root}/summary")
+    assert {(r.dataset_id, r.total_cells) for r in summary.collect()} == {("d0", "30"), ("d1", "30")}
+    store_species_summary(stored, f"{root}/species")
+    everything = spark.read.option("header", True).csv(f"{root}/species/all_datasets_summary")
+    assert [r.dataset_id for r in everything.collect()] == ["d0", "d1"]
+    mouse = spark.read.option("header", True).csv(f"{root}/species/by_organism/organism_key=mus_musculus")
+    assert [r.dataset_id for r in mouse.collect()] == ["d1"]
+    with pytest.raises(ValueError):
+        store_metadata(stored, f"{root}/other", f"{root}/s", "xlsx")
+
+
 def test_resplit(spark, tables):
     cells = tables[0].withColumn("age", F.when(F.col("cell_id") > 5, F.col("cell_id") % 6 + 20.0))
     result = resplit_dataset(cells, ["cell_id"], test_size=0.3)

@@ -185,3 +185,14 @@ def test_quality(spark):
         "with_ensembl_token": 1,
         "longest": 8,
     }
+
+
+def test_gaps_in_gene_numbers(spark):
+    genes = genes_table(spark, ["A", "B", "C"], {}).filter("gene_idx <> 1")
+    cells = spark.createDataFrame(
+        [("d", 1, [0, 2], [1.0, 5.0])], "dataset_id string, cell_id int, indices array<int>, values array<double>"
+    )
+    found = as_dict(sentences_from_arrays(cells, genes, ["cell_id"], 1, include_zeros=False))
+    assert found == {1: {"gene_sentence_all": "C A", "gene_sentence_1": "C"}}
+    with pytest.raises(ValueError):
+        sentences_from_arrays(cells, genes, ["cell_id"], 1)
