@@ -17,6 +17,7 @@ HEADLINE = (
     "c1_cell_sentence_zero_filled",
     "c1_cell_sentence_dense",
     "c2_build_dataset",
+    "c2_build_from_one_table",
     "c3_convert_dataset",
     "c4_resplit_dataset",
     "c5_extract_metadata",

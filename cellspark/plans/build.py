@@ -70,21 +70,27 @@ def cell_metadata(obs: DataFrame, collections: DataFrame | None, options: BuildO
     return split_dataset(cells, CELL, "age", options.test_size, options.seed, options.stratify_by_age)
 
 
-def with_sentences(cells: DataFrame, expr: DataFrame, genes: DataFrame, options: BuildOptions) -> DataFrame:
+def with_sentences(
+    cells: DataFrame, expr: DataFrame | None, genes: DataFrame, options: BuildOptions
+) -> DataFrame:
     """Add the sentences to ``cells``; ``expr`` is in long or array form, by the columns it has.
 
+    Without ``expr`` the cells hold the arrays themselves, and nothing has to be joined by cell.
     Cells and expression meet by cell key while expression is still numbers: those are a fraction of
     the size of sentences, and cells left out earlier get no sentence built. A cell without
     expression rows has only zeros.
     """
     variants = {"top_n": options.top_n, "list_names": options.list_names, "include_all": options.include_all}
-    is_long = "gene_idx" in expr.columns
+    is_long = expr is not None and "gene_idx" in expr.columns
     if is_long and not options.include_zeros:
         named = attach_symbols(expr, genes, ["dataset_id", "gene_idx"])
         built = cells.join(sentences_from_long(named, CELL, **variants), CELL, "left")
         names = sentence_columns(options.top_n, options.list_names, options.include_all)
         return built.withColumns({n: F.coalesce(F.col(n), F.lit("")) for n in names})
-    measured = cells.join(to_sparse(expr, CELL) if is_long else expr, CELL, "left")
+    if expr is None:
+        measured = cells
+    else:
+        measured = cells.join(to_sparse(expr, CELL) if is_long else expr, CELL, "left")
     if options.cluster_output:
         measured = measured.hint("rebalance", *[c for c in ("dataset_id", "split") if c in measured.columns])
     return sentences_from_arrays(measured, genes, CELL, include_zeros=options.include_zeros, **variants)
@@ -93,7 +99,7 @@ def with_sentences(cells: DataFrame, expr: DataFrame, genes: DataFrame, options:
 def build_dataset(
     obs: DataFrame,
     var: DataFrame,
-    expr: DataFrame,
+    expr: DataFrame | None = None,
     symbols: DataFrame | None = None,
     collections: DataFrame | None = None,
     gene_lists: DataFrame | None = None,
@@ -108,7 +114,7 @@ def build_dataset(
 def convert_dataset(
     obs: DataFrame,
     var: DataFrame,
-    expr: DataFrame,
+    expr: DataFrame | None = None,
     symbols: DataFrame | None = None,
     gene_lists: DataFrame | None = None,
     options: BuildOptions | None = None,

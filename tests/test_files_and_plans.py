@@ -200,6 +200,8 @@ def test_build_is_the_same_from_long_and_array_form(spark, tables, zeros):
     clustered = BuildOptions(top_n=3, list_names=("l",), include_zeros=zeros, test_size=0.3, cluster_output=True)
     from_arrays = rows_of(build_dataset(obs, var, sparse, hgnc, None, lists, clustered))
     assert from_long == from_arrays
+    together = obs.join(sparse, ["dataset_id", "cell_id"], "left")
+    assert rows_of(build_dataset(together, var, None, hgnc, None, lists, options)) == from_long
     assert set(from_long) == {i for i in range(60) if i % 7}
     words = from_long[9]["gene_sentence_all"].split()
     assert words == (["F7", "F5", "F4", "SYM2", "SYM1"] if zeros else [])
@@ -280,3 +282,19 @@ def test_ingest_keeps_donors_on_their_side(spark, tmp_path):
     for donor, side in second.values():
         assert sides.setdefault(donor, side) == side
     assert len(sides) == 40 and 0 < sum(s == "test" for s in sides.values()) < 20
+
+
+def test_build_from_one_table_moves_no_cells(spark, tables):
+    """Arrays beside the metadata and a split by donor hash: only the gene rows are shuffled, then broadcast."""
+    from cellspark.operators.sentences import to_sparse
+
+    obs, var, expr, hgnc, lists = tables
+    together = obs.join(to_sparse(expr, ["dataset_id", "cell_id"]), ["dataset_id", "cell_id"])
+    path = scratch_path(spark, "cells")
+    together.write.parquet(path)
+    options = BuildOptions(top_n=3, list_names=("l",), stratify_by_age=False)
+    built = build_dataset(spark.read.parquet(path), var, None, hgnc, None, lists, options)
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning(dataset_id" in plan and "SortMergeJoin" not in plan
+    assert set(r.split for r in built.collect()) <= {"train", "test"}

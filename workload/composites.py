@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from cellspark.operators.ages import with_age, with_known_age
@@ -36,6 +38,7 @@ from workload.tables import (
     panel_columns,
     panel_expr,
     sql,
+    uniform_sql,
     var,
 )
 
@@ -86,15 +89,17 @@ def _panel_genes(spark, folder):
     return _genes(spark, folder).withColumns(panel_columns(F.col("gene_idx")))
 
 
-def _panel_sentences_sql(source: str) -> str:
+def _placed_sql(source: str) -> str:
     """Sentences by dataset and cell; the gene index orders as the position in the dataset does."""
     keyed = f"(SELECT dataset_id || ' ' || cell_id AS cell_id, gene_idx, value FROM {source})"
     return f"""{_sentences_sql(keyed)}
-    SELECT * EXCLUDE (cell_id), split_part(cell_id, ' ', 1) AS dataset_id, split_part(cell_id, ' ', 2)::BIGINT AS cell_id
-    FROM sentences"""
+    , placed AS (
+      SELECT * EXCLUDE (cell_id), split_part(cell_id, ' ', 1) AS dataset_id,
+        split_part(cell_id, ' ', 2)::BIGINT AS cell_id
+      FROM sentences)"""
 
 
-@query("c1_cell_sentence_sparse", sql(_panel_sentences_sql("panel_expr")))
+@query("c1_cell_sentence_sparse", sql(f"{_placed_sql('panel_expr')} SELECT * FROM placed"))
 def cell_sentence_sparse(spark, folder):
     """All variants of every order in every dataset from array form, stored values only."""
     cells = to_sparse(panel_expr(spark, folder, "l_orderkey"), PANEL_CELL)
@@ -110,7 +115,7 @@ def cell_sentence_sparse(spark, folder):
       FROM (SELECT DISTINCT dataset_id, cell_id FROM panel_supplier_expr) c
       JOIN part ON dataset_id = 'block_' || (p_partkey // 1000)
       LEFT JOIN supplier_expr e ON e.cell_id = c.cell_id AND e.gene_idx = p_partkey)
-    {_panel_sentences_sql("filled")}"""),
+    {_placed_sql("filled")} SELECT * FROM placed"""),
 )
 def cell_sentence_zero_filled(spark, folder):
     """All variants of every supplier in every dataset, genes without a value ranked as zeros."""
@@ -123,7 +128,7 @@ def cell_sentence_zero_filled(spark, folder):
     sql(f"""
     , filled AS (SELECT 'label_' || label AS dataset_id, vec_id AS cell_id, i AS gene_idx, embedding[i + 1]::DOUBLE AS value
                  FROM embeddings, range(0, len(embedding)) AS r(i))
-    {_panel_sentences_sql("filled")}"""),
+    {_placed_sql("filled")} SELECT * FROM placed"""),
 )
 def cell_sentence_dense(spark, folder):
     """All variants of every vector; its label is the dataset, its positions are the genes."""
@@ -182,6 +187,26 @@ def built_dataset(spark, folder):
     return built.select(*kept, *_SENTENCES)
 
 
+@query(
+    "c2_build_from_one_table",
+    sql(f"""
+    {_placed_sql("panel_expr")}
+    SELECT p.*, donor_id, age, CASE WHEN {uniform_sql("donor_id")} < 0.05 THEN 'test' ELSE 'train' END AS split
+    FROM placed p JOIN aged a ON p.cell_id = a.cell_id WHERE age IS NOT NULL"""),
+)
+def build_from_one_table(spark, folder):
+    """Arrays beside the metadata: orders by dataset of a thousand parts; split by donor hash."""
+    arrays = to_sparse(panel_expr(spark, folder, "l_orderkey"), PANEL_CELL)
+    cells = arrays.join(obs(spark, folder).drop("dataset_id"), "cell_id")
+    mapped = map_genes(var(spark, folder), hgnc(spark, folder), ["rank"])
+    genes = var(spark, folder).withColumns(panel_columns(F.col("gene_idx")))
+    options = replace(OPTIONS, stratify_by_age=False)
+    built = build_dataset(
+        cells, genes, None, hgnc(spark, folder), None, gene_lists(spark, folder, mapped), options
+    )
+    return built.select("dataset_id", "cell_id", "donor_id", "age", "split", *_SENTENCES)
+
+
 @query(
     "c7_batch_build",
     sql(f"""
