@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellspark.session import materialize
@@ -29,19 +29,14 @@ def rank_by_digest(df: DataFrame, group: list[str], digest: str, tie: str, name:
     return ranked.drop("_bucket", "_offset")
 
 
-def with_row_index(df: DataFrame, key: str, name: str = "row_idx", pieces: int = 64) -> DataFrame:
+def with_row_index(df: DataFrame, key: str, name: str = "row_idx") -> DataFrame:
     """Number rows 0..n-1 in the order of a unique key.
 
-    ``pieces`` cut points (approximate quantiles of a numeric key) are read first, then used as
-    constants: each piece is numbered by itself and shifted by the sizes of the earlier ones.
+    The rows are spread over the cluster by ranges of the key and stored with the number of their
+    range; each range is then numbered by itself and shifted by the sizes of the earlier ones.
     """
-    shares = [i / pieces for i in range(1, pieces)]
-    cuts = df.agg(F.percentile_approx(key, shares, 10000).alias("cuts")).first()["cuts"] or []
-    piece: Column = F.lit(0)
-    for cut in sorted(set(cuts)):
-        piece = piece + (F.col(key) >= F.lit(cut)).cast("int")
-    bucketed = df.withColumn("_piece", F.coalesce(piece, F.lit(-1)))
-    placed = _with_bucket_offsets(bucketed, [], "_piece")
+    ranges = df.repartitionByRange(key).withColumn("_piece", F.spark_partition_id())
+    placed = _with_bucket_offsets(materialize(df.sparkSession, ranges, "ranges"), [], "_piece")
     within = Window.partitionBy("_piece").orderBy(key)
     index = (F.row_number().over(within) + F.col("_offset") - 1).cast("bigint")
     return placed.withColumn(name, index).drop("_piece", "_offset")
