@@ -27,16 +27,16 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str =
 
 
 def spread_join(
-    facts: DataFrame, lookup: DataFrame, key: str, spread_by: list[str], items: int, broadcast_items: int
+    facts: DataFrame, lookup: DataFrame, key: str, spread_by: list[str], size: int, broadcast_size: int
 ) -> DataFrame:
     """Left join with few, wide lookup rows (one per key), where one key may hold most facts.
 
-    ``items`` is the counted size of the lookup: up to ``broadcast_items`` it is broadcast and the
+    ``size`` is the counted size of the lookup: up to ``broadcast_size`` it is broadcast and the
     facts do not move. Beyond that, a key with many facts gets as many copies of its lookup row as
     it needs for every copy to meet a bounded number of facts; ``spread_by`` names fact columns
     that differ between the rows of a key.
     """
-    if items <= broadcast_items:
+    if size <= broadcast_size:
         return facts.join(F.broadcast(lookup), key, "left")
     sizes = materialize(facts.sparkSession, facts.groupBy(key).agg(F.count("*").alias("_n")), "key-sizes")
     total = sizes.agg(F.sum("_n").alias("n")).first()["n"] or 0

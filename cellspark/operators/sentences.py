@@ -19,8 +19,10 @@ from cellspark.operators.joins import lookup_join, spread_join
 from cellspark.session import materialize
 
 SEPARATOR = " "
-# Packed gene entries (symbols in all and per list) that may be broadcast: some 100 MB of short texts.
-BROADCAST_GENES = 5_000_000
+# Counted size of packed genes that may be broadcast.
+BROADCAST_BYTES = 256 * 1024 * 1024
+# Fixed part of a gene in a packed row, beside the bytes of its symbol.
+GENE_BYTES = 16
 # Genes of one dataset that are packed into one row; far above the number of genes of any organism.
 PANEL_GENES = 1_000_000
 
@@ -156,13 +158,14 @@ def stored_order(cells: DataFrame) -> DataFrame:
 
 
 def _gene_sizes(genes: DataFrame) -> dict[str, int | bool]:
-    """Genes of the largest dataset and of all, and whether any dataset's numbering has gaps."""
+    """Genes of the largest dataset, bytes of all packed genes, and whether any numbering has gaps."""
     n, last = F.count("*"), F.max("gene_idx")
     gaps = (F.min("gene_idx") != 0) | (last != n - 1) | (F.count_distinct("gene_idx") != n)
-    per_dataset = genes.groupBy("dataset_id").agg(n.alias("n"), gaps.alias("gaps"))
-    found = per_dataset.agg(F.max("n").alias("largest"), F.sum("n").alias("total"), F.max("gaps").alias("gaps"))
+    size = F.sum(F.octet_length("symbol") + GENE_BYTES)
+    per_dataset = genes.groupBy("dataset_id").agg(n.alias("n"), size.alias("bytes"), gaps.alias("gaps"))
+    found = per_dataset.agg(F.max("n").alias("largest"), F.sum("bytes").alias("bytes"), F.max("gaps").alias("gaps"))
     row = found.first()
-    return {"largest": row["largest"] or 0, "total": row["total"] or 0, "gaps": bool(row["gaps"])}
+    return {"largest": row["largest"] or 0, "bytes": row["bytes"] or 0, "gaps": bool(row["gaps"])}
 
 
 def sentences_from_arrays(
@@ -178,7 +181,7 @@ def sentences_from_arrays(
 
     ``genes`` holds (dataset_id, gene_idx, symbol, in_<list>...). They are packed into one row per
     dataset, so that a cell finds its symbols by position; the packed rows are broadcast while the
-    counted number of genes allows it. Genes without a value follow the positive ones in descending
+    counted size of the genes allows it. Genes without a value follow the positive ones in descending
     position, taken ready-made from the packed row, which is then no larger than a sentence. Where
     only stored values count and a dataset has more genes than PANEL_GENES, genes are not packed:
     the cells go to long form and meet their genes in a shuffled join. So they do where genes are
@@ -203,8 +206,8 @@ def sentences_from_arrays(
     ordered = stored_order(cells)
     if not include_zeros:
         ordered = ordered.select(*kept, F.concat("_above", "_below").alias("_order"))
-    entries = sizes["total"] * (1 + len(list_names))
-    joined = spread_join(ordered, panels, "dataset_id", cell, entries, BROADCAST_GENES)
+    packed = sizes["bytes"] * (1 + len(list_names))
+    joined = spread_join(ordered, panels, "dataset_id", cell, packed, BROADCAST_BYTES)
 
     def words(positions: str | Column, by_position: str = "symbols") -> Column:
         return F.transform(positions, lambda p: F.get(F.col(by_position), p))

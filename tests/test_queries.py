@@ -6,6 +6,7 @@ import __spark_entry__ as contract
 from workload.check import connect, differences
 
 FOLDER = contract.SMOKE_FOLDER
+UNWANTED = ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "InArrow")
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +22,8 @@ def test_contract(spark):
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, duck, name):
     result = contract.queries()[name](spark, FOLDER)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert not [step for step in UNWANTED if step in plan]
     sql = contract.oracle_sql().get(name)
     if sql is None:
         assert result.count() > 0

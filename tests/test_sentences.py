@@ -100,7 +100,7 @@ def sparse_cells(spark, cells):
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_zero_filled_and_dense_match_brute_force(spark, fixture, broadcast, monkeypatch):
     if not broadcast:
-        monkeypatch.setattr(module, "BROADCAST_GENES", 0)
+        monkeypatch.setattr(module, "BROADCAST_BYTES", 0)
         monkeypatch.setattr("cellspark.operators.joins.ROWS_PER_COPY", 4)
     names, lists, cells = fixture
     expected = {c: brute(vs, names, 4, lists) for c, vs in cells.items()}

@@ -145,7 +145,7 @@ def salted_dataset_join(spark, folder):
     cells = obs(spark, folder).select("cell_id", "dataset_id")
     sizes = cells.groupBy("dataset_id").agg(F.count("*").alias("cells_in_dataset"))
     n_datasets = sizes.count()
-    return spread_join(cells, sizes, "dataset_id", ["cell_id"], items=n_datasets, broadcast_items=0)
+    return spread_join(cells, sizes, "dataset_id", ["cell_id"], size=n_datasets, broadcast_size=0)
 
 
 @query(
