@@ -298,3 +298,22 @@ def test_build_from_one_table_moves_no_cells(spark, tables):
     assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
     assert "Exchange hashpartitioning(dataset_id" in plan and "SortMergeJoin" not in plan
     assert set(r.split for r in built.collect()) <= {"train", "test"}
+
+
+def test_ingest_of_empty_batches_and_known_donors(spark, tmp_path):
+    source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    schema = "cell_id bigint, donor_id string, age double"
+    fields = spark.createDataFrame([], schema).schema
+
+    def add_and_run(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        ingest_new_files(
+            spark, source, fields, target, progress, lambda df: df.filter("age IS NOT NULL"), test_size=0.3
+        )
+        return {r.cell_id: r.split for r in read_ingested(spark, target).collect()}
+
+    assert add_and_run([(1, "a", None)]) == {}
+    first = add_and_run([(10 + i, f"p{i % 10}", 30.0) for i in range(50)])
+    assert len(first) == 50 and set(first.values()) == {"train", "test"}
+    again = add_and_run([(100 + i, f"p{i % 10}", 40.0) for i in range(50)])
+    assert len(again) == 100 and all(again[100 + i] == first[10 + i] for i in range(50))
