@@ -12,6 +12,11 @@ PORTAL_MARKERS = ("cellxgene", "cziscience")
 MISSING_TEXT = "nan"
 
 
+def quoted(name: str) -> str:
+    """Column name in backticks, so that dots and blanks in it are taken as they are."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def is_ensembl_id(name: Column) -> Column:
     return name.startswith(ENSEMBL_PREFIX)
 

@@ -28,8 +28,8 @@ def with_species_ages(df: DataFrame, source: str = "development_stage") -> DataF
     human = F.col("organism") == HUMAN if species_known else F.lit(True)
     mouse = F.col("organism") == MOUSE if species_known else F.lit(True)
 
-    years = [F.col("age_years").cast("double")] if "age_years" in df.columns else []
-    months = [F.col("age_months").cast("double")] if "age_months" in df.columns else []
+    years = [F.col("age_years").try_cast("double")] if "age_years" in df.columns else []
+    months = [F.col("age_months").try_cast("double")] if "age_months" in df.columns else []
     if source in df.columns:
         years.append(F.when(human, age_in_years(F.col(source))))
         months.append(F.when(mouse, age_in_months(F.col(source))))

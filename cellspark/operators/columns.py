@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellspark.functions.text import MISSING_TEXT, truncated
+from cellspark.functions.text import MISSING_TEXT, quoted, truncated
 
 # Candidate column names, first present one wins.
 DONOR_COLUMNS = ("donor_id", "donor", "subject_id", "individual")
@@ -50,7 +50,7 @@ def select_fields(df: DataFrame, fields: list[str] | None = None) -> DataFrame:
     kept = [name for name in wanted if name in df.columns]
     if not kept:
         raise ValueError(f"None of the requested fields exist: {wanted}; available: {df.columns}")
-    return df.select(*kept)
+    return df.select(*map(quoted, kept))
 
 
 def encoded_type(encoding: str, kind: str | None = None) -> T.DataType | None:
@@ -74,7 +74,7 @@ def schema_from_encodings(encodings: Mapping[str, tuple[str, str | None]]) -> T.
 
 def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast the columns named in ``schema``; a value that does not fit becomes null."""
-    casts = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema if f.name in df.columns}
+    casts = {f.name: F.col(quoted(f.name)).try_cast(f.dataType) for f in schema if f.name in df.columns}
     return df.withColumns(casts) if casts else df
 
 
@@ -92,7 +92,7 @@ def string_columns(df: DataFrame) -> list[str]:
 def fill_missing_text(df: DataFrame, columns: list[str] | None = None, text: str = MISSING_TEXT) -> DataFrame:
     """Replace nulls of text columns by ``text``; numbers and booleans keep their nulls."""
     names = string_columns(df) if columns is None else columns
-    return df.na.fill(text, subset=names) if names else df
+    return df.withColumns({n: F.coalesce(quoted(n), F.lit(text)) for n in names}) if names else df
 
 
 def decode_codes(code: Column, categories: Column) -> Column:
@@ -134,7 +134,7 @@ def sample_rows(
     """First rows for diagnosis, with long text and long lists cut."""
     cut = []
     for field in df.schema:
-        column = F.col(field.name)
+        column = F.col(quoted(field.name))
         if isinstance(field.dataType, T.StringType):
             column = truncated(column, text_limit)
         elif isinstance(field.dataType, T.ArrayType):

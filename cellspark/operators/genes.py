@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellspark.functions.text import is_ensembl_id, percent
+from cellspark.functions.text import is_ensembl_id, percent, quoted
 from cellspark.operators.columns import keep_first
 from cellspark.operators.joins import lookup_join
 
@@ -89,7 +89,7 @@ def flag_lists(genes: DataFrame, gene_lists: DataFrame | None, names: list[str])
     flags = [F.max(F.col("list_name") == name).alias(f"in_{name}") for name in names]
     members = gene_lists.filter(F.col("list_name").isin(names)).groupBy("symbol").agg(*flags)
     flagged = lookup_join(genes, members, ["symbol"])
-    return flagged.withColumns({f"in_{n}": F.coalesce(f"in_{n}", F.lit(False)) for n in names})
+    return flagged.withColumns({f"in_{n}": F.coalesce(quoted(f"in_{n}"), F.lit(False)) for n in names})
 
 
 def gene_panel(genes: DataFrame, list_names: list[str]) -> DataFrame:
@@ -103,7 +103,7 @@ def gene_panel(genes: DataFrame, list_names: list[str]) -> DataFrame:
     """
     position = F.col("gene_idx").cast("int").alias("position")
     symbol = F.when(~is_ensembl_id(F.col("symbol")), F.col("symbol"))
-    in_list = {f"list_{n}": F.when(F.col(f"in_{n}"), symbol) for n in list_names}
+    in_list = {f"list_{n}": F.when(F.col(quoted(f"in_{n}")), symbol) for n in list_names}
     entry = F.struct(position, symbol.alias("symbols"), *[c.alias(n) for n, c in in_list.items()])
 
     def positions(name: str, word: Column) -> Column:
@@ -114,5 +114,6 @@ def gene_panel(genes: DataFrame, list_names: list[str]) -> DataFrame:
         positions("usable", symbol),
         *[positions(name.replace("list_", "members_", 1), word) for name, word in in_list.items()],
     )
-    members = [f"members_{n}" for n in list_names]
-    return panels.select("dataset_id", "usable", *members, "_genes.symbols", *[f"_genes.{n}" for n in in_list])
+    members = [quoted(f"members_{n}") for n in list_names]
+    by_position = [F.col("_genes")[n].alias(n) for n in ("symbols", *in_list)]
+    return panels.select("dataset_id", "usable", *members, *by_position)

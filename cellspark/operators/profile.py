@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellspark.functions.text import percent
+from cellspark.functions.text import percent, quoted
 
 
 def null_counts(df: DataFrame) -> DataFrame:
     """One row with the number of nulls of every column."""
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    return df.agg(*[F.count_if(F.col(quoted(c)).isNull()).alias(c) for c in df.columns])
 
 
 def column_types(df: DataFrame) -> list[tuple[str, str]]:
@@ -26,13 +26,13 @@ def table_profile(df: DataFrame) -> DataFrame:
     stats = []
     for field in df.schema:
         is_number = isinstance(field.dataType, T.NumericType)
-        number = (F.col(field.name) if is_number else F.lit(None)).cast("double")
+        number = (F.col(quoted(field.name)) if is_number else F.lit(None)).cast("double")
         stats.append(
             F.struct(
                 F.lit(field.name).alias("column_name"),
                 F.lit(field.dataType.simpleString()).alias("column_type"),
                 F.count("*").alias("total_rows"),
-                F.count(field.name).alias("non_null"),
+                F.count(quoted(field.name)).alias("non_null"),
                 F.min(number).alias("min_value"),
                 F.max(number).alias("max_value"),
                 F.round(F.avg(number), 2).alias("mean_value"),

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellspark.functions.text import has_ensembl_token, is_ensembl_id
+from cellspark.functions.text import has_ensembl_token, is_ensembl_id, quoted
 from cellspark.operators.genes import gene_panel
 from cellspark.operators.joins import lookup_join, spread_join
 from cellspark.session import materialize
@@ -76,7 +76,7 @@ def sentences_from_long(
     """
     flags = [f"in_{name}" for name in list_names]
     value = F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("value")
-    gene = F.when(~is_ensembl_id(F.col("symbol")), F.struct(value, "gene_idx", "symbol", *flags))
+    gene = F.when(~is_ensembl_id(F.col("symbol")), F.struct(value, "gene_idx", "symbol", *map(quoted, flags)))
     ranked = expr.groupBy(*cell).agg(F.sort_array(F.collect_list(gene), asc=False).alias("_ranked"))
 
     columns: dict[str, Column] = {}
@@ -149,7 +149,7 @@ def stored_order(cells: DataFrame) -> DataFrame:
         entries = F.arrays_zip(F.col("expression").alias("value"), every.alias("position"))
     else:
         entries = F.arrays_zip(F.col("values").alias("value"), F.col("indices").alias("position"))
-    kept = [c for c in cells.columns if c not in ("indices", "values", "expression")]
+    kept = [quoted(c) for c in cells.columns if c not in ("indices", "values", "expression")]
     stored = F.filter(entries, lambda e: e["value"] != 0)
     nothing = F.array().cast("array<int>")
     above = F.coalesce(_positions(F.filter("_stored", lambda e: e["value"] > 0)), nothing)
@@ -187,7 +187,7 @@ def sentences_from_arrays(
     the cells go to long form and meet their genes in a shuffled join. So they do where genes are
     not numbered from 0 without gaps, which the other cases need.
     """
-    kept = [c for c in cells.columns if c not in ("indices", "values", "expression")]
+    kept = [quoted(c) for c in cells.columns if c not in ("indices", "values", "expression")]
     genes = materialize(cells.sparkSession, genes, "genes")
     sizes = _gene_sizes(genes)
     if not include_zeros and "indices" in cells.columns and (sizes["largest"] > PANEL_GENES or sizes["gaps"]):
@@ -210,7 +210,7 @@ def sentences_from_arrays(
     joined = spread_join(ordered, panels, "dataset_id", cell, packed, BROADCAST_BYTES)
 
     def words(positions: str | Column, by_position: str = "symbols") -> Column:
-        return F.transform(positions, lambda p: F.get(F.col(by_position), p))
+        return F.transform(positions, lambda p: F.get(F.col(quoted(by_position)), p))
 
     def usable(positions: str) -> Column:
         return F.filter(positions, lambda p: F.get(F.col("symbols"), p).isNotNull())
@@ -220,7 +220,7 @@ def sentences_from_arrays(
         zeros = F.array_except("usable", F.concat("_above", "_below"))
         joined = joined.withColumn("_order", F.concat(usable("_above"), zeros, usable("_below")))
         top = words(F.slice("_order", 1, top_n or 0))
-        listed = [words(F.array_intersect("_order", f"members_{name}")) for name in list_names]
+        listed = [words(F.array_intersect("_order", quoted(f"members_{name}"))) for name in list_names]
     else:
         top = F.slice(words(usable("_order")), 1, top_n or 0)
         listed = [words("_order", f"list_{name}") for name in list_names]
@@ -238,7 +238,7 @@ def sentences_from_arrays(
 
 def _or_empty(name: str) -> Column:
     """Cells of a dataset without genes have no words."""
-    return F.coalesce(name, F.lit("")).alias(name)
+    return F.coalesce(quoted(name), F.lit("")).alias(name)
 
 
 def sentence_quality(sentences: DataFrame, column: str) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellspark.functions.text import quoted
 from cellspark.operators.ages import with_age_by_mode, with_known_age
 from cellspark.operators.columns import fill_missing_text
 from cellspark.operators.genes import flag_lists, map_genes, map_genes_without_table
@@ -19,6 +20,7 @@ from cellspark.operators.sentences import (
     to_sparse,
 )
 from cellspark.operators.splits import split_dataset
+from cellspark.sources.tables import gene_list_names
 
 CELL = ["dataset_id", "cell_id"]
 
@@ -44,13 +46,20 @@ class BuildOptions:
     symbol_order: tuple[str, ...] = ("symbol",)
 
 
+def with_list_names(options: BuildOptions, gene_lists: DataFrame | None) -> BuildOptions:
+    """Options with all lists of the table, unless some are named; there are as many as list files."""
+    if gene_lists is None or options.list_names:
+        return options
+    return replace(options, list_names=tuple(gene_list_names(gene_lists)))
+
+
 def gene_symbols(var: DataFrame, symbols: DataFrame | None, gene_lists: DataFrame | None, options: BuildOptions):
     """Genes of all datasets with symbol and list membership."""
     if options.use_hgnc and symbols is not None:
         mapped = map_genes(var, symbols, list(options.symbol_order))
     else:
         mapped = map_genes_without_table(var)
-    flags = [f"in_{n}" for n in options.list_names]
+    flags = [quoted(f"in_{n}") for n in options.list_names]
     flagged = flag_lists(mapped, gene_lists, list(options.list_names))
     return flagged.select("dataset_id", "gene_idx", "symbol", *flags)
 
@@ -86,7 +95,7 @@ def with_sentences(
         named = attach_symbols(expr, genes, ["dataset_id", "gene_idx"])
         built = cells.join(sentences_from_long(named, CELL, **variants), CELL, "left")
         names = sentence_columns(options.top_n, options.list_names, options.include_all)
-        return built.withColumns({n: F.coalesce(F.col(n), F.lit("")) for n in names})
+        return built.withColumns({n: F.coalesce(quoted(n), F.lit("")) for n in names})
     if expr is None:
         measured = cells
     else:
@@ -106,7 +115,7 @@ def build_dataset(
     options: BuildOptions | None = None,
 ) -> DataFrame:
     """One row per kept cell of every dataset: metadata, age, publications, sentences, split."""
-    options = options or BuildOptions()
+    options = with_list_names(options or BuildOptions(), gene_lists)
     genes = gene_symbols(var, symbols, gene_lists, options)
     return with_sentences(cell_metadata(obs, collections, options), expr, genes, options)
 
@@ -120,6 +129,6 @@ def convert_dataset(
     options: BuildOptions | None = None,
 ) -> DataFrame:
     """Sentences and metadata of all cells: no age filter, no publications, no split."""
-    options = options or BuildOptions()
+    options = with_list_names(options or BuildOptions(), gene_lists)
     genes = gene_symbols(var, symbols, gene_lists, options)
     return with_sentences(fill_missing_text(obs), expr, genes, options)

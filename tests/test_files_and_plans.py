@@ -317,3 +317,17 @@ def test_ingest_of_empty_batches_and_known_donors(spark, tmp_path):
     assert len(first) == 50 and set(first.values()) == {"train", "test"}
     again = add_and_run([(100 + i, f"p{i % 10}", 40.0) for i in range(50)])
     assert len(again) == 100 and all(again[100 + i] == first[10 + i] for i in range(50))
+
+
+def test_names_with_dots_and_blanks(spark, tables):
+    obs, var, expr, hgnc, _ = tables
+    obs = obs.withColumnRenamed("tissue", "tissue. type")
+    lists = spark.createDataFrame([("my.list-1", "SYM1"), ("b c", "F4")], "list_name string, symbol string")
+    for zeros in (True, False):
+        options = BuildOptions(top_n=3, include_zeros=zeros)
+        built = build_dataset(obs, var, expr, hgnc, None, lists, options)
+        assert {"gene_sentence_my.list-1", "gene_sentence_b c", "tissue. type"} <= set(built.columns)
+        rows = built.collect()
+        assert {r["gene_sentence_my.list-1"] for r in rows} == ({"SYM1"} if zeros else {"", "SYM1"})
+        assert {r["tissue. type"] for r in rows} == {"lung", "nan"}
+    assert extract_metadata(obs, ["tissue. type"]).columns[0] == "tissue. type"
