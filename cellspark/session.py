@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import os
 import tempfile
 import uuid
@@ -34,14 +36,25 @@ def build_session(app_name: str = "cellspark", **conf: str) -> SparkSession:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder the cluster names; a local folder only where none is named."""
+    """A fresh path in the shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session may do without one: it then gets a temporary folder that goes with the process.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        root = tempfile.mkdtemp(prefix="cellspark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = _local_scratch()
     return os.path.join(root, "cellspark", f"{name}-{uuid.uuid4().hex}")
 
 
+@functools.cache
+def _local_scratch() -> str:
+    folder = tempfile.TemporaryDirectory(prefix="cellspark-", ignore_cleanup_errors=True)
+    atexit.register(folder.cleanup)
+    return folder.name
+
+
 def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write a table that is read several times to the shared folder and read it back.
 

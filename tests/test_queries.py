@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from workload import ORACLES, QUERIES
 from workload.check import connect, differences
 
 FOLDER = contract.SMOKE_FOLDER
@@ -19,12 +20,12 @@ def test_contract(spark):
     assert contract.entry(spark).limit(1).count() == 1
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    result = contract.queries()[name](spark, FOLDER)
+    result = QUERIES[name](spark, FOLDER)
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert not [step for step in UNWANTED if step in plan]
-    sql = contract.oracle_sql().get(name)
+    sql = ORACLES.get(name)
     if sql is None:
         assert result.count() > 0
     else:
