@@ -2,21 +2,46 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 from functools import reduce
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import cellspark
 from cellspark.session import materialize
 
 # Fixed value: white space that separates words, as a character class body for Java's expressions.
 BLANKS = r"\x20\x09-\x0D"
 
 
+@functools.cache
+def _shipped(application: str) -> str:
+    folder = tempfile.mkdtemp(prefix="cellspark-code-")
+    path = os.path.join(folder, "cellspark-code.zip")
+    package = Path(cellspark.__file__).parent
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    SparkContext.getOrCreate().addPyFile(path)
+    return path
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Spark send this package to the Python workers of the application, once."""
+    _shipped(spark.sparkContext.applicationId)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -225,11 +225,12 @@ def fit(docs: DataFrame, precision: float = 0.98, support: int = 20) -> dict[str
     One document in four is held back by the crc32 of its id; a threshold is taken only where at least
     ``support`` held-back candidates reach it.
     """
-    cells = []
     spans = _with_spans(docs.select("doc_id", "text"))
-    entries = F.concat(
-        *[F.transform(f"_pii_wide_{k}", lambda x, k=k: F.struct(F.lit(k).alias("kind"), x["bits"].alias("bits"), x["strict"].alias("strict"))) for k in KINDS]
-    )
+
+    def described(kind):
+        return F.transform(f"_pii_wide_{kind}", lambda x: F.struct(F.lit(kind).alias("kind"), x["bits"].alias("bits"), x["strict"].alias("strict")))
+
+    entries = F.concat(*[described(kind) for kind in KINDS])
     held = F.coalesce(fold("doc_id", 4) == 0, F.lit(False))
     rows = spans.select(held.alias("held"), F.explode(entries).alias("x")).groupBy("held", "x.kind", "x.bits").agg(
         F.count_if("x.strict").alias("pos"), F.count_if(~F.col("x.strict")).alias("neg")
@@ -250,26 +251,29 @@ def fit(docs: DataFrame, precision: float = 0.98, support: int = 20) -> dict[str
 def find(docs: DataFrame, models: dict[str, Trees]) -> DataFrame:
     """All columns of ``docs``, and ``_pii_base`` and ``_pii_spans``: sorted spans ``(start, rank, end)``."""
     spans = _with_spans(docs)
-    added = []
-    for rank, kind in enumerate(KINDS):
-        model = models[kind]
-        if not model.trees or model.threshold == math.inf:
-            continue
 
-        def chosen(x, rank=rank, model=model):
+    def chosen(kind: str) -> Column:
+        rank, model = KINDS.index(kind), models[kind]
+
+        def enough(x: Column) -> Column:
             apart = ~F.exists("_pii_base", lambda b: (b["rank"] == rank) & (b["start"] < x["end"]) & (x["start"] < b["end"]))
             return (model.expression(x["bits"]) >= model.threshold - 1e-9) & apart
 
-        added.append(
-            F.transform(
-                F.filter(f"_pii_wide_{kind}", chosen),
-                lambda x, rank=rank: F.struct(x["start"].alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end")),
-            )
+        return F.transform(
+            F.filter(f"_pii_wide_{kind}", enough), lambda x: F.struct(x["start"].alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end"))
         )
+
+    added = [chosen(kind) for kind in KINDS if models[kind].trees and models[kind].threshold < math.inf]
     everything = F.concat("_pii_base", *added)
     return spans.withColumns({"_pii_spans": F.array_sort(everything), "_pii_base": F.array_sort("_pii_base")}).drop(*[f"_pii_wide_{k}" for k in KINDS])
 
 
+def number(spans: str, kind: str) -> Column:
+    """How many spans are of a kind."""
+    rank = KINDS.index(kind)
+    return F.size(F.filter(spans, lambda x: x["rank"] == rank)).cast("long")
+
+
 def written(spans: str) -> Column:
     """Spans as text, ``kind:start:end`` joined by commas."""
     names = F.array(*[F.lit(k) for k in KINDS])

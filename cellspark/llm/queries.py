@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellspark.llm import pii, quality_rules, url_filters
-from cellspark.llm.common import documents
+from cellspark.llm import decontaminate, jaccard_join, language_id, license_scan, packing, pii, quality_rules, token_counts, toxicity, url_filters
+from cellspark.llm.common import documents, fold
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -26,7 +27,7 @@ def query(name: str, sql: str | None = None):
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     found = pii.find(docs, pii.fit(docs))
-    counts = [F.size(F.filter("_pii_base", lambda x, r=r: x["rank"] == r)).cast("long").alias(f"n_{k}") for r, k in enumerate(pii.KINDS)]
+    counts = [pii.number("_pii_base", kind).alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select(
         "doc_id",
         *counts,
@@ -109,3 +110,48 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(documents(spark, sf_dir))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op5_token_counts")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), 1024)
+
+
+@query("op7_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), 2048)
+
+
+@query("op2_license_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.learn(toxicity.labelled_sample(docs, labels, fold("doc_id", 5) != 0, 20_000))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    sample = language_id.labelled_sample(docs, fold("doc_id", 3) != 1, 20_000)
+    model = language_id.learn(sample, public_tokenizers.path("piece_bpe_32k.model"))
+    predicted = language_id.predict(docs, model)
+    return predicted.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op4_decontamination")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    marked = decontaminate.mark(documents(spark, sf_dir).select("doc_id", "text"), items)
+    return marked.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+@query("op6_jaccard_join")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(documents(spark, sf_dir), jaccard_join.Similarity(words=3, num=90, den=100))
