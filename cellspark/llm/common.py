@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import functools
+import math
 import os
 import tempfile
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator
 from functools import reduce
 from pathlib import Path
@@ -55,20 +57,38 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df.sparkSession, df, name)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, so that what is made of them stays small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def sum_over_partitions(df: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray], merge=np.add) -> np.ndarray | None:
-    """Merge one array of fixed size per partition, by a tree of tasks; None without partitions.
+    """Merge one uint32 array of fixed size per partition, in two steps of tasks; None without partitions.
 
-    Only arrays of that one size travel, so what reaches the driver does not grow with the rows.
+    Only arrays of that one size travel, packed, so what reaches the driver does not grow with the rows.
     """
 
-    def one(batches):
-        yield pa.RecordBatch.from_pydict({"part": pa.array([count(batches).tobytes()], pa.binary())})
+    def packed(values: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"part": pa.array([zlib.compress(values.tobytes(), 1)], pa.binary())})
 
-    def zero_or(a, b):
-        return b if a is None else a if b is None else merge(a, b)
-
-    parts = df.mapInArrow(one, "part binary").rdd.map(lambda row: np.frombuffer(row[0], np.uint32))
-    return parts.treeAggregate(None, zero_or, zero_or, 3)
+    def one(batches):
+        yield packed(count(batches))
+
+    def together(batches):
+        total = None
+        for batch in batches:
+            for part in batch.column("part"):
+                values = np.frombuffer(zlib.decompress(part.as_py()), np.uint32)
+                total = values.copy() if total is None else merge(total, values, out=total)
+        if total is not None:
+            yield packed(total)
+
+    between = math.ceil(math.sqrt(max(1, df.rdd.getNumPartitions())))
+    merged = df.mapInArrow(one, "part binary").repartition(between).mapInArrow(together, "part binary")
+    rows = merged.repartition(1).mapInArrow(together, "part binary").collect()
+    return np.frombuffer(zlib.decompress(rows[0][0]), np.uint32) if rows else None
 
 
 def components(edges: DataFrame) -> DataFrame:

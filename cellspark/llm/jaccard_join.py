@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellspark.llm.common import components, stored, sum_over_partitions
+from cellspark.llm.common import components, slices, stored, sum_over_partitions
 
 MAP_WORDS = 16  # 64-bit words of a parity map
 COUNTER_BITS = 21
@@ -70,10 +70,9 @@ def frequency_levels(docs: DataFrame, similarity: Similarity) -> np.ndarray:
 
     def count(batches):
         counts = np.zeros(1 << COUNTER_BITS, np.uint32)
-        for batch in batches:
-            found = [_slots(shingles(text, similarity.words)) for text in batch.column("text").to_pylist()]
-            if found:
-                counts += np.bincount(np.concatenate(found), minlength=len(counts)).astype(np.uint32)
+        for batch in slices(batches):
+            for text in batch.column("text").to_pylist():
+                np.add.at(counts, _slots(shingles(text, similarity.words)), 1)
         return counts
 
     counts = sum_over_partitions(docs.select("text"), count)
@@ -87,7 +86,7 @@ def describe(docs: DataFrame, similarity: Similarity) -> DataFrame:
     levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(docs, similarity))  # 2 ** COUNTER_BITS bytes
 
     def rows(batches):
-        for batch in batches:
+        for batch in slices(batches):
             columns = ([], [], [], [], [])
             for text in batch.column("text").to_pylist():
                 found = shingles(text, similarity.words)
@@ -176,7 +175,7 @@ def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, similarity: Sim
 
     def mark(batches):
         bits = np.zeros(size, np.uint8)
-        for batch in batches:
+        for batch in slices(batches, 4096):
             bits[batch.column("key").to_numpy().view(np.uint64) % np.uint64(size)] = 1
         return np.packbits(bits).view(np.uint32)
 
@@ -184,7 +183,7 @@ def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, similarity: Sim
     bits = docs.sparkSession.sparkContext.broadcast(np.zeros(size, np.uint8) if marks is None else np.unpackbits(marks.view(np.uint8)))
 
     def rows(batches):
-        for batch in batches:
+        for batch in slices(batches):
             near = bits.value[batch.column("key").to_numpy().view(np.uint64) % np.uint64(size)].astype(bool)
             found = [shingles(t, similarity.words).tobytes() for t in batch.column("text").filter(pa.array(near)).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(f) for f in found], pa.binary()), pa.array(found, pa.binary())], ["digest", "hashes"])
@@ -199,7 +198,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, similarity:
     sets = _sets(docs, classes, pairs, similarity)
 
     def linked(batches):
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
                 x, y = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellspark.llm.common import stored
+from cellspark.llm.common import slices, stored
 from cellspark.llm.units import Units
 
 END = 1
@@ -62,7 +62,7 @@ def tokenize(docs: DataFrame, path: str) -> DataFrame:
         part, begin = TaskContext.get().partitionId(), 0
         encode = encoder(path)
         width = encode.kind.itemsize
-        for batch in batches:
+        for batch in slices(batches, 1024):
             ids = list(encode.documents(batch.column("text").to_pylist()))
             n = np.array([len(x) // width for x in ids], np.int64)
             ends = begin + np.cumsum(n)
@@ -87,7 +87,7 @@ def cut(placed: DataFrame, size: int) -> DataFrame:
     """One row per piece."""
 
     def pieces(batches):
-        for batch in batches:
+        for batch in slices(batches, 1024):
             rows = []
             for doc, n, ids, at in zip(batch.column("doc_id").to_pylist(), batch.column("n").to_pylist(), batch.column("ids"), batch.column("at").to_pylist(), strict=True):
                 data = ids.as_py()
