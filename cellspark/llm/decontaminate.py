@@ -256,7 +256,8 @@ def mark(docs: DataFrame, items: DataFrame, name: str = "leaks", budget: Budget
             found = (scan_text(items, text.as_py()) for text in texts)
             return pa.array([[{"item_id": items.rows[i][0], "start": a, "end": b, "edits": e} for i, a, b, e in one] for one in found], arrow_type)
 
-        return leaks("text")
+        # Not to be run once more in a filter that the planner derives from what is done with the column.
+        return leaks.asNondeterministic()("text")
 
     return docs.withColumn(name, F.concat(*[scanner(block) for block in blocks(items, budget)]))
 
