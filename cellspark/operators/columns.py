@@ -111,9 +111,9 @@ def decode_codes_by_join(df: DataFrame, code: str, dictionary: DataFrame, name:
 
 
 def attach_by_position(df: DataFrame, index: str, values: DataFrame, name: str) -> DataFrame:
-    """Attach a stored array to rows by position; ``values`` is one row with one array column."""
-    source = values.columns[0]
-    by_row = values.select(F.posexplode(source).alias(index, name)).withColumn(index, F.col(index).cast("bigint"))
+    """Attach a stored column to rows by position; ``values`` is a table (position, value), one row per position."""
+    position, value = values.columns
+    by_row = values.select(F.col(quoted(position)).cast("bigint").alias(index), F.col(quoted(value)).alias(name))
     return df.join(by_row, index, "left")
 
 
@@ -128,18 +128,28 @@ def ensure_columns(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df.withColumns(absent) if absent else df
 
 
+def _shortened(column: Column, kind: T.DataType, text_limit: int, item_limit: int) -> Column:
+    """Long text and bytes cut, long lists and maps cut, and what is inside them as well."""
+    if isinstance(kind, T.StringType):
+        return truncated(column, text_limit)
+    if isinstance(kind, T.BinaryType):
+        return F.substring(column, 1, text_limit)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(F.slice(column, 1, item_limit), lambda x: _shortened(x, kind.elementType, text_limit, item_limit))
+    if isinstance(kind, T.MapType):
+        few = F.map_from_entries(F.slice(F.map_entries(column), 1, item_limit))
+        return F.transform_values(few, lambda _, v: _shortened(v, kind.valueType, text_limit, item_limit))
+    if isinstance(kind, T.StructType):
+        fields = [_shortened(column.getField(f.name), f.dataType, text_limit, item_limit).alias(f.name) for f in kind]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    return column
+
+
 def sample_rows(
     df: DataFrame, order: list[str], rows: int = 5, text_limit: int = 200, item_limit: int = 8
 ) -> DataFrame:
-    """First rows for diagnosis, with long text and long lists cut."""
-    cut = []
-    for field in df.schema:
-        column = F.col(quoted(field.name))
-        if isinstance(field.dataType, T.StringType):
-            column = truncated(column, text_limit)
-        elif isinstance(field.dataType, T.ArrayType):
-            column = F.slice(column, 1, item_limit)
-        cut.append(column.alias(field.name))
+    """First rows for diagnosis, with long text, bytes, lists and maps cut at every depth."""
+    cut = [_shortened(F.col(quoted(f.name)), f.dataType, text_limit, item_limit).alias(f.name) for f in df.schema]
     return df.orderBy(*order).limit(rows).select(*cut)
 
 

@@ -11,7 +11,6 @@ from cellspark.operators.joins import lookup_join
 
 # Column names of older symbol tables -> names used here.
 SYMBOL_TABLE_RENAMES = {"Ensembl gene ID": "ensembl_gene_id", "Approved symbol": "symbol"}
-NAME_SAMPLE = 100
 
 
 def usable_symbols(symbols: DataFrame, order: list[str]) -> DataFrame:
@@ -34,25 +33,29 @@ def map_genes(var: DataFrame, symbols: DataFrame, order: list[str]) -> DataFrame
     ).select(*var.columns, "symbol", "mapped_via")
 
 
-def symbol_share(name: Column, index: Column) -> Column:
-    """Aggregate: are under half of the first names Ensembl-like? False for no genes."""
-    sampled = F.when(index < NAME_SAMPLE, is_ensembl_id(F.coalesce(name, F.lit("nan"))).cast("int"))
-    return F.coalesce(F.avg(sampled) < 0.5, F.lit(False))
+def symbol_share(name: Column) -> Column:
+    """Aggregate: are under half of the names Ensembl-like? False for no genes."""
+    return F.coalesce(F.avg(is_ensembl_id(F.coalesce(name, F.lit("nan"))).cast("int")) < 0.5, F.lit(False))
+
+
+def _feature_name(var: DataFrame) -> Column:
+    return F.col("feature_name") if "feature_name" in var.columns else F.lit(None).cast("string")
 
 
 def symbol_checks(var: DataFrame) -> DataFrame:
-    """Per dataset: do gene ids and feature names look like symbols?"""
+    """Per dataset: do gene ids and feature names, all of them, look like symbols? Without feature names they do not."""
+    named = F.count(_feature_name(var)) > 0
     return var.groupBy("dataset_id").agg(
-        symbol_share(F.col("ensembl_gene_id"), F.col("gene_idx")).alias("var_names_are_symbols"),
-        symbol_share(F.col("feature_name"), F.col("gene_idx")).alias("feature_names_are_symbols"),
+        symbol_share(F.col("ensembl_gene_id")).alias("var_names_are_symbols"),
+        (named & symbol_share(_feature_name(var))).alias("feature_names_are_symbols"),
     )
 
 
 def map_genes_without_table(var: DataFrame) -> DataFrame:
-    """Symbols without a symbol table: feature names where they look like symbols, else the ids."""
+    """Symbols without a symbol table: feature names where they look like symbols, else (and where missing) the ids."""
     chosen = lookup_join(var, symbol_checks(var), ["dataset_id"])
-    symbol = F.when(F.col("feature_names_are_symbols"), F.col("feature_name")).otherwise(F.col("ensembl_gene_id"))
-    return chosen.select(*var.columns, symbol.alias("symbol"))
+    feature = F.when(F.col("feature_names_are_symbols"), _feature_name(var))
+    return chosen.select(*var.columns, F.coalesce(feature, F.col("ensembl_gene_id")).alias("symbol"))
 
 
 def mapping_stats(mapped: DataFrame) -> DataFrame:
@@ -95,8 +98,8 @@ def flag_lists(genes: DataFrame, gene_lists: DataFrame | None, names: list[str])
 def gene_panel(genes: DataFrame, list_names: list[str]) -> DataFrame:
     """One row per dataset: symbols by gene position, usable positions, and both per gene list.
 
-    ``genes`` holds (dataset_id, gene_idx, symbol, in_<list>...), with gene_idx 0..n-1 in each
-    dataset as in the columns of its matrix. ``symbols`` and ``list_<name>`` are null where the gene
+    ``genes`` holds (dataset_id, gene_idx, symbol, in_<list>...), with gene_idx as in the columns of
+    the dataset's matrix; places of numbers without a gene are null. ``symbols`` and ``list_<name>`` are null where the gene
     does not count: Ensembl-like symbols anywhere, other genes in a list. ``usable`` (descending)
     and ``members_<name>`` are the positions that do count. A row grows with the genes of one
     dataset (tens of thousands), never with its cells.
@@ -115,5 +118,20 @@ def gene_panel(genes: DataFrame, list_names: list[str]) -> DataFrame:
         *[positions(name.replace("list_", "members_", 1), word) for name, word in in_list.items()],
     )
     members = [quoted(f"members_{n}") for n in list_names]
-    by_position = [F.col("_genes")[n].alias(n) for n in ("symbols", *in_list)]
-    return panels.select("dataset_id", "usable", *members, *by_position)
+    placed = panels.withColumn("_next", F.slice(F.col("_genes.position"), F.lit(2), F.size("_genes")))
+
+    def by_position(name: str) -> Column:
+        """Every entry behind the empty places before it."""
+        none = F.lit(None).cast("string")
+        words = F.zip_with(
+            F.arrays_zip(F.col("_genes.position").alias("position"), F.col("_genes")[name].alias("word")),
+            "_next",
+            lambda gene, following: F.concat(
+                F.array(gene["word"]),
+                F.array_repeat(none, F.coalesce(following - gene["position"] - 1, F.lit(0))),
+            ),
+        )
+        before = F.array_repeat(none, F.coalesce(F.get("_genes.position", F.lit(0)), F.lit(0)))
+        return F.concat(before, F.flatten(words)).alias(name)
+
+    return placed.select("dataset_id", "usable", *members, *[by_position(n) for n in ("symbols", *in_list)])

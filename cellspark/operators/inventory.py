@@ -31,9 +31,13 @@ def with_dataset_name(files: DataFrame) -> DataFrame:
 
 
 def finished_datasets(outputs: DataFrame, skip_split: bool = False) -> DataFrame:
-    """Datasets with a Parquet file in a split folder (or in the dataset folder if not split)."""
-    folder = r"([^/]+)/[^/]+\.parquet$" if skip_split else r"([^/]+)/(?:train|test)/[^/]+\.parquet$"
-    name = F.regexp_extract("path", folder, 1)
+    """Datasets with a Parquet file in a split folder (or in the dataset folder if not split).
+
+    Folders may be named plainly (``ds/train``) or as partitions (``dataset_id=ds/split=train``).
+    """
+    name = r"(?:dataset_id=)?([^/=]+)/"
+    side = "" if skip_split else r"(?:split=)?(?:train|test)/"
+    name = F.regexp_extract("path", rf"(?:^|/){name}{side}[^/]+\.parquet$", 1)
     return outputs.select(name.alias("dataset_name")).filter(F.col("dataset_name") != "").distinct()
 
 

@@ -32,14 +32,15 @@ def rank_by_digest(df: DataFrame, group: list[str], digest: str, tie: str, name:
 def with_row_index(df: DataFrame, key: str, name: str = "row_idx") -> DataFrame:
     """Number rows 0..n-1 in the order of a unique key.
 
-    The rows are spread over the cluster by ranges of the key and stored with the number of their
-    range; each range is then numbered by itself and shifted by the sizes of the earlier ones.
+    Only the keys are spread over the cluster by ranges and stored with the number of their range; each
+    range is then numbered by itself and shifted by the sizes of the earlier ones, and the numbers are
+    joined back to the rows.
     """
-    ranges = df.repartitionByRange(key).withColumn("_piece", F.spark_partition_id())
+    ranges = df.select(key).repartitionByRange(key).withColumn("_piece", F.spark_partition_id())
     placed = _with_bucket_offsets(materialize(df.sparkSession, ranges, "ranges"), [], "_piece")
     within = Window.partitionBy("_piece").orderBy(key)
     index = (F.row_number().over(within) + F.col("_offset") - 1).cast("bigint")
-    return placed.withColumn(name, index).drop("_piece", "_offset")
+    return df.join(placed.select(key, index.alias(name)), key).select(*df.columns, name)
 
 
 def exact_median(df: DataFrame, key: str, value: str, name: str, count_name: str) -> DataFrame:

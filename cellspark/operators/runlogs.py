@@ -28,7 +28,7 @@ def last_value(value: Column, time: Column, wanted: Column) -> Column:
 
 
 def log_metrics(events: DataFrame) -> DataFrame:
-    """One row: last value of every metric (0 if never logged), the names of missing columns, sorted,
+    """One row: last value of every metric (0 if never logged), the names of missing columns, sorted, as often as they were logged,
     and the stages of the last sample of cells without an age."""
     message, time = F.col("message_type"), F.col("timestamp")
     metrics = []
@@ -36,7 +36,7 @@ def log_metrics(events: DataFrame) -> DataFrame:
         found = last_value(F.col(field), time, message == kind) if field in events.columns else F.lit(0)
         metrics.append(F.coalesce(found, F.lit(0)).cast("bigint").alias(name))
     column = F.when(message == MISSING_MESSAGE, F.col("column")) if "column" in events.columns else F.lit(None)
-    metrics.append(F.sort_array(F.collect_set(column.cast("string"))).alias("missing_columns"))
+    metrics.append(F.sort_array(F.collect_list(column.cast("string"))).alias("missing_columns"))
     if "samples" in events.columns:
         stages = F.transform("samples", lambda s: s["development_stage"])
         metrics.append(last_value(stages, time, message == SAMPLE_MESSAGE).alias("sample_null_ages"))

@@ -1,11 +1,15 @@
 """Cell sentences: the gene symbols of a cell in descending expression order.
 
 Order everywhere: NaN first, then value descending, ties by gene index descending. Symbols that
-look like Ensembl ids are left out. Two input forms give the same sentences:
+look like Ensembl ids are left out. Two input forms give the same sentences, by the same route:
 
-* long form ``(cell keys..., gene_idx, value)``, one row per cell and gene;
+* long form ``(cell keys..., gene_idx, value)``, one row per cell and gene; one shuffle of the numbers
+  by cell gives the array form;
 * array form, one row per cell with ``indices``/``values`` (sparse) or ``expression`` (dense).
   While the gene tables can be broadcast, it needs no shuffle of the expression data.
+
+A null or zero, stored or not, is a zero: it ranks among the zeros where genes without a value count
+(``include_zeros``) and is left out where only values count. Genes may be numbered with gaps.
 """
 
 from __future__ import annotations
@@ -23,8 +27,6 @@ SEPARATOR = " "
 BROADCAST_BYTES = 256 * 1024 * 1024
 # Fixed part of a gene in a packed row, beside the bytes of its symbol.
 GENE_BYTES = 16
-# Genes of one dataset that are packed into one row; far above the number of genes of any organism.
-PANEL_GENES = 1_000_000
 
 
 def sentence_columns(top_n: int | None, list_names: tuple[str, ...] | list[str], include_all: bool = True) -> list[str]:
@@ -64,34 +66,19 @@ def top_sentences(expr: DataFrame, cell: list[str], top_n: int) -> DataFrame:
 
 def sentences_from_long(
     expr: DataFrame,
+    genes: DataFrame,
     cell: list[str],
     top_n: int | None = 2000,
     list_names: tuple[str, ...] | list[str] = (),
     include_all: bool = True,
 ) -> DataFrame:
-    """All sentence variants from long form with ``symbol`` and ``in_<list>`` columns attached.
+    """All sentence variants of the cells of a long table, from its values only.
 
-    Only genes present as rows are ranked. One shuffle by cell, one sort per cell; every variant is
-    a slice or filter of that one order.
+    ``expr`` holds (dataset_id, cell keys..., gene_idx, value). The numbers are shuffled once, by cell;
+    symbols and list membership come from the packed genes afterwards.
     """
-    flags = [f"in_{name}" for name in list_names]
-    value = F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("value")
-    gene = F.when(~is_ensembl_id(F.col("symbol")), F.struct(value, "gene_idx", "symbol", *map(quoted, flags)))
-    ranked = expr.groupBy(*cell).agg(F.sort_array(F.collect_list(gene), asc=False).alias("_ranked"))
-
-    columns: dict[str, Column] = {}
-    symbols = F.col("_ranked.symbol")
-    if include_all:
-        columns["gene_sentence_all"] = F.array_join(symbols, SEPARATOR)
-    if top_n is not None:
-        columns[f"gene_sentence_{top_n}"] = F.array_join(F.slice(symbols, 1, top_n), SEPARATOR)
-
-    def members(flag: str) -> Column:
-        return F.filter("_ranked", lambda gene: gene[flag])["symbol"]
-
-    for name in list_names:
-        columns[f"gene_sentence_{name}"] = F.array_join(members(f"in_{name}"), SEPARATOR)
-    return ranked.select(*cell, *[column.alias(name) for name, column in columns.items()])
+    cells = to_sparse(expr, list(dict.fromkeys(["dataset_id", *cell])))
+    return sentences_from_arrays(cells, genes, cell, top_n, list_names, include_all, include_zeros=False)
 
 
 def to_sparse(expr: DataFrame, cell: list[str]) -> DataFrame:
@@ -157,15 +144,17 @@ def stored_order(cells: DataFrame) -> DataFrame:
     return cells.select(*kept, stored.alias("_stored")).select(*kept, above.alias("_above"), below.alias("_below"))
 
 
-def _gene_sizes(genes: DataFrame) -> dict[str, int | bool]:
-    """Genes of the largest dataset, bytes of all packed genes, and whether any numbering has gaps."""
+def _packed_bytes(genes: DataFrame) -> int:
+    """Counted size of the packed genes of all datasets, with the empty places between gene numbers."""
     n, last = F.count("*"), F.max("gene_idx")
-    gaps = (F.min("gene_idx") != 0) | (last != n - 1) | (F.count_distinct("gene_idx") != n)
-    size = F.sum(F.octet_length("symbol") + GENE_BYTES)
-    per_dataset = genes.groupBy("dataset_id").agg(n.alias("n"), size.alias("bytes"), gaps.alias("gaps"))
-    found = per_dataset.agg(F.max("n").alias("largest"), F.sum("bytes").alias("bytes"), F.max("gaps").alias("gaps"))
-    row = found.first()
-    return {"largest": row["largest"] or 0, "bytes": row["bytes"] or 0, "gaps": bool(row["gaps"])}
+    per_dataset = genes.groupBy("dataset_id").agg(
+        (F.sum(F.octet_length("symbol") + GENE_BYTES) + 8 * (last + 1)).alias("bytes"),
+        ((F.min("gene_idx") < 0) | (F.count_distinct("gene_idx") != n)).alias("wrong"),
+    )
+    found = per_dataset.agg(F.sum("bytes").alias("bytes"), F.max("wrong").alias("wrong")).first()
+    if found["wrong"]:
+        raise ValueError("gene_idx must number the genes of every dataset from 0 on, each once")
+    return found["bytes"] or 0
 
 
 def sentences_from_arrays(
@@ -177,36 +166,24 @@ def sentences_from_arrays(
     include_all: bool = True,
     include_zeros: bool = True,
 ) -> DataFrame:
-    """All sentence variants from array form; other cell columns are kept.
+    """All sentence variants from array form; other cell columns are kept, every row by itself.
 
     ``genes`` holds (dataset_id, gene_idx, symbol, in_<list>...). They are packed into one row per
     dataset, so that a cell finds its symbols by position; the packed rows are broadcast while the
     counted size of the genes allows it. Genes without a value follow the positive ones in descending
-    position, taken ready-made from the packed row, which is then no larger than a sentence. Where
-    only stored values count and a dataset has more genes than PANEL_GENES, genes are not packed:
-    the cells go to long form and meet their genes in a shuffled join. So they do where genes are
-    not numbered from 0 without gaps, which the other cases need.
+    position, taken ready-made from the packed row, which is then no larger than a sentence. A packed
+    row is as long as the largest gene number of its dataset; numbers without a gene are empty places.
     """
     kept = [quoted(c) for c in cells.columns if c not in ("indices", "values", "expression")]
     genes = materialize(cells.sparkSession, genes, "genes")
-    sizes = _gene_sizes(genes)
-    if not include_zeros and "indices" in cells.columns and (sizes["largest"] > PANEL_GENES or sizes["gaps"]):
-        keys = list(dict.fromkeys(["dataset_id", *cell]))
-        rows = to_long(cells, keys).filter(F.col("value") != 0)
-        named = attach_symbols(rows, genes, ["dataset_id", "gene_idx"])
-        built = sentences_from_long(named, keys, top_n, list_names, include_all)
-        joined = cells.select(*kept).join(built, keys, "left")
-        return joined.select(*kept, *[_or_empty(n) for n in sentence_columns(top_n, list_names, include_all)])
-
-    if sizes["gaps"]:
-        raise ValueError("gene_idx must number the genes of every dataset from 0 without gaps")
+    size = _packed_bytes(genes)
     panels = gene_panel(genes, list(list_names)).drop(
         *[f"{'list' if include_zeros else 'members'}_{name}" for name in list_names]
     )
     ordered = stored_order(cells)
     if not include_zeros:
         ordered = ordered.select(*kept, F.concat("_above", "_below").alias("_order"))
-    packed = sizes["bytes"] * (1 + len(list_names))
+    packed = size * (1 + len(list_names))
     joined = spread_join(ordered, panels, "dataset_id", cell, packed, BROADCAST_BYTES)
 
     def words(positions: str | Column, by_position: str = "symbols") -> Column:

@@ -48,17 +48,23 @@ def pending_rows(df: DataFrame, planned: DataFrame) -> DataFrame:
     return df.join(to_run, "dataset_id", "left_semi")
 
 
-def batch_report(planned: DataFrame, built: DataFrame) -> DataFrame:
-    """Status and number of cells of every planned dataset, from the rows of one build of them all."""
+def batch_report(planned: DataFrame, built: DataFrame, filtered: DataFrame | None = None) -> DataFrame:
+    """Status and number of cells of every planned dataset, from the rows of one build of them all.
+
+    A dataset that was to run and has no rows failed, unless it is in ``filtered`` (``dataset_id``): there
+    all of its cells were rightly left out.
+    """
     cells = built.groupBy(F.col("dataset_id").alias("dataset_name")).agg(F.count("*").alias("cells"))
     done = planned.select("dataset_name", "action", "message").join(cells, "dataset_name", "left")
-    ran = F.col("action") == "run"
-    return done.select(
-        "dataset_name",
-        F.when(ran, SUCCESS).otherwise(SKIPPED).alias("status"),
-        F.coalesce("cells", F.lit(0)).alias("cells"),
-        F.when(ran, "Successfully processed").otherwise(F.col("message")).alias("message"),
-    )
+    if filtered is None:
+        emptied = F.lit(False)
+    else:
+        names = filtered.select(F.col("dataset_id").alias("dataset_name")).distinct().withColumn("_emptied", F.lit(True))
+        done = done.join(names, "dataset_name", "left")
+        emptied = F.coalesce("_emptied", F.lit(False))
+    status = F.when(F.col("action") != "run", SKIPPED).when(F.col("cells").isNotNull() | emptied, SUCCESS).otherwise(FAILED)
+    message = F.when(status == SKIPPED, F.col("message")).when(status == FAILED, "No rows were built").otherwise("Successfully processed")
+    return done.select("dataset_name", status.alias("status"), F.coalesce("cells", F.lit(0)).alias("cells"), message.alias("message"))
 
 
 def run_batch(

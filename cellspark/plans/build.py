@@ -12,13 +12,7 @@ from cellspark.operators.ages import with_age_by_mode, with_known_age
 from cellspark.operators.columns import fill_missing_text
 from cellspark.operators.genes import flag_lists, map_genes, map_genes_without_table
 from cellspark.operators.publications import join_publications, publication_text
-from cellspark.operators.sentences import (
-    attach_symbols,
-    sentence_columns,
-    sentences_from_arrays,
-    sentences_from_long,
-    to_sparse,
-)
+from cellspark.operators.sentences import sentences_from_arrays, to_sparse
 from cellspark.operators.splits import split_dataset
 from cellspark.sources.tables import gene_list_names
 
@@ -85,21 +79,16 @@ def with_sentences(
     """Add the sentences to ``cells``; ``expr`` is in long or array form, by the columns it has.
 
     Without ``expr`` the cells hold the arrays themselves, and nothing has to be joined by cell.
-    Cells and expression meet by cell key while expression is still numbers: those are a fraction of
-    the size of sentences, and cells left out earlier get no sentence built. A cell without
-    expression rows has only zeros.
+    Long form becomes array form in one shuffle by cell, which the join with the cells then shares.
+    Cells and expression meet while expression is still numbers: those are a fraction of the size of
+    sentences, and cells left out earlier get no sentence built. A cell without expression rows has
+    only zeros; a cell that stands twice in ``cells`` gets its sentence twice.
     """
     variants = {"top_n": options.top_n, "list_names": options.list_names, "include_all": options.include_all}
-    is_long = expr is not None and "gene_idx" in expr.columns
-    if is_long and not options.include_zeros:
-        named = attach_symbols(expr, genes, ["dataset_id", "gene_idx"])
-        built = cells.join(sentences_from_long(named, CELL, **variants), CELL, "left")
-        names = sentence_columns(options.top_n, options.list_names, options.include_all)
-        return built.withColumns({n: F.coalesce(quoted(n), F.lit("")) for n in names})
     if expr is None:
         measured = cells
     else:
-        measured = cells.join(to_sparse(expr, CELL) if is_long else expr, CELL, "left")
+        measured = cells.join(to_sparse(expr, CELL) if "gene_idx" in expr.columns else expr, CELL, "left")
     if options.cluster_output:
         measured = measured.hint("rebalance", *[c for c in ("dataset_id", "split") if c in measured.columns])
     return sentences_from_arrays(measured, genes, CELL, include_zeros=options.include_zeros, **variants)

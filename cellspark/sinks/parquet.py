@@ -7,21 +7,42 @@ import math
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
-from cellspark.operators.splits import TEST, TRAIN
 from cellspark.session import scratch_path
 from cellspark.sources.files import list_files
 from cellspark.sources.tables import read_typed_symbol_table
 
 DEFAULT_CODEC = "zstd"
 DEFAULT_LEVEL = 3
-# Rows of the trial writes that show how many bytes a row takes, and the file size that is enough.
-PROBE_ROWS = (500, 20_000)
-PROBE_BYTES = 1024 * 1024
-
-
-def _writer(df: DataFrame, codec: str, level: int, mode: str) -> DataFrameWriter:
+# The option that carries a codec's level, for codecs that have levels.
+LEVEL_OPTIONS = {
+    "zstd": "parquet.compression.codec.zstd.level",
+    "gzip": "zlib.compress.level",
+    "brotli": "compression.brotli.quality",
+}
+# What the gzip option calls its levels.
+GZIP_LEVELS = {
+    1: "BEST_SPEED",
+    2: "TWO",
+    3: "THREE",
+    4: "FOUR",
+    5: "FIVE",
+    6: "SIX",
+    7: "SEVEN",
+    8: "EIGHT",
+    9: "BEST_COMPRESSION",
+}
+
+
+def _writer(df: DataFrame, codec: str, level: int | None, mode: str) -> DataFrameWriter:
+    """``level=None`` is the codec's own default; a level for a codec without levels is an error."""
     writer = df.write.mode(mode).option("compression", codec)
-    return writer.option(f"parquet.compression.codec.{codec}.level", str(level))
+    if level is None or codec not in LEVEL_OPTIONS:
+        if level not in (None, DEFAULT_LEVEL):
+            raise ValueError(f"{codec} has no compression levels")
+        return writer
+    if codec == "gzip" and level not in GZIP_LEVELS:
+        raise ValueError("gzip levels are 1 to 9")
+    return writer.option(LEVEL_OPTIONS[codec], GZIP_LEVELS[level] if codec == "gzip" else str(level))
 
 
 def write_parquet(
@@ -42,31 +63,6 @@ def write_by_rows(
     _writer(df, codec, level, mode).option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
-def bytes_per_row(df: DataFrame, codec: str = DEFAULT_CODEC, level: int = DEFAULT_LEVEL) -> float:
-    """Compressed size of a row, measured on a trial write of the first rows.
-
-    The first rows come from as few tasks as needed. Short rows need more of them, as otherwise the
-    fixed part of a file counts too much.
-    """
-    spark = df.sparkSession
-    size = 0.0
-    for n_rows in PROBE_ROWS:
-        rows = df.take(n_rows)
-        if not rows:
-            return 0.0
-        probe = scratch_path(spark, "size-probe")
-        write_parquet(spark.createDataFrame(rows, df.schema).coalesce(1), probe, codec, level)
-        length = list_files(spark, probe, "*.parquet").agg(F.sum("length").alias("n")).first()["n"] or 0
-        size = length / len(rows)
-        if length >= PROBE_BYTES or len(rows) < n_rows:
-            break
-    return size
-
-
-def rows_for_size(row_bytes: float, target_mb: float) -> int:
-    return max(1, math.floor(target_mb * 1024 * 1024 / row_bytes)) if row_bytes > 0 else 1
-
-
 def write_by_size(
     df: DataFrame,
     path: str,
@@ -74,12 +70,19 @@ def write_by_size(
     codec: str = DEFAULT_CODEC,
     level: int = DEFAULT_LEVEL,
     mode: str = "errorifexists",
-    row_bytes: float | None = None,
 ) -> None:
-    """Files of about ``target_mb``; the bytes per row are known or come from a trial."""
-    if row_bytes is None:
-        row_bytes = bytes_per_row(df, codec, level)
-    write_by_rows(df, path, rows_for_size(row_bytes, target_mb), codec, level, mode)
+    """Files of about ``target_mb``, none much larger and, but for one file in all, none under half of it.
+
+    The rows are first written to the shared folder with the same codec, which measures all of them and
+    runs the input plan only once; they are then dealt evenly over as many files as their size asks for.
+    """
+    spark = df.sparkSession
+    trial = scratch_path(spark, "by-size")
+    write_parquet(df, trial, codec, level)
+    length = list_files(spark, trial, "*.parquet").agg(F.sum("length").alias("n")).first()["n"] or 0
+    files = max(1, math.ceil(length / (target_mb * 1024 * 1024)))
+    stored = spark.read.schema(df.schema).parquet(trial)
+    write_parquet(stored.repartition(files), path, codec, level, mode)
 
 
 def write_chunks(
@@ -95,13 +98,16 @@ def write_chunks(
 
 
 def write_split(df: DataFrame, path: str, dataset: str, chunk_size: int | None = None, **options) -> None:
-    """``<path>/<dataset>/train`` and ``/test``, without the split column.
-
-    Two writes, so ``df`` should be a stored table; :func:`write_all_splits` writes all in one job.
-    """
-    for side in (TRAIN, TEST):
-        part = df.filter(F.col("split") == side).drop("split")
-        write_chunks(part, f"{path}/{dataset}/{side}", chunk_size=chunk_size, **options)
+    """One dataset in one job, as ``<path>/<dataset>/split=train`` and ``/split=test``."""
+    writer = _writer(
+        df.hint("rebalance", "split"),
+        options.get("codec", DEFAULT_CODEC),
+        options.get("level", DEFAULT_LEVEL),
+        options.get("mode", "errorifexists"),
+    )
+    if chunk_size is not None:
+        writer = writer.option("maxRecordsPerFile", chunk_size)
+    writer.partitionBy("split").parquet(f"{path}/{dataset}")
 
 
 def write_all_splits(

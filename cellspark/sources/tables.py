@@ -22,8 +22,8 @@ SYMBOL_TEXT_COLUMNS = (
 )
 
 
-def read_chunks(spark: SparkSession, folder: str, pattern: str = "chunk_*.parquet") -> DataFrame:
-    """All Parquet files of a folder that match a name pattern, as one table."""
+def read_chunks(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
+    """All Parquet files of a folder that match a name pattern (``chunk_*.parquet``, or Spark's own names), as one table."""
     return spark.read.option("pathGlobFilter", pattern).parquet(folder)
 
 
@@ -32,13 +32,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_datasets(spark: SparkSession, folders: list[str]) -> DataFrame:
-    """Several dataset folders as one table with ``dataset_id`` and ``split`` taken from the path."""
-    path = F.col("_metadata.file_path")
+    """Several dataset folders as one table with ``dataset_id`` and ``split`` taken from the path.
+
+    Folders may be named plainly (``ds/train``) or as partitions (``dataset_id=ds/split=train``).
+    """
+    path = F.url_decode(F.col("_metadata.file_path"))
     df = spark.read.option("recursiveFileLookup", "true").parquet(*folders)
     return df.withColumns(
         {
-            "dataset_id": F.regexp_extract(path, r"([^/]+)/(?:train|test)/[^/]+$", 1),
-            "split": F.regexp_extract(path, r"/(train|test)/[^/]+$", 1),
+            "dataset_id": F.regexp_extract(path, r"/(?:dataset_id=)?([^/=]+)/(?:split=)?(?:train|test)/[^/]+$", 1),
+            "split": F.regexp_extract(path, r"/(?:split=)?(train|test)/[^/]+$", 1),
         }
     )
 
@@ -66,7 +69,9 @@ def read_gene_lists(spark: SparkSession, folder: str) -> DataFrame:
     """``(list_name, symbol)`` from every ``.txt`` file of a folder; empty if there is none."""
     try:
         lines = spark.read.option("pathGlobFilter", "*.txt").text(folder)
-    except AnalysisException:  # no such folder
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "list_name string, symbol string")
     name = F.regexp_replace(F.col("_metadata.file_name"), r"\.txt$", "")
     return clean_gene_lists(lines.select(name.alias("list_name"), F.col("value").alias("symbol")))

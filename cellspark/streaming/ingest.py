@@ -5,44 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
-from cellspark.operators.joins import hot_key_join
-from cellspark.operators.splits import donor_ages, quota_split, with_donor_key
-from cellspark.session import materialize
+from cellspark.operators.splits import split_donors_by_hash
 
 BATCH = "batch_id"
 
 
-def _read_earlier(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """Rows written by earlier batches; a replay of this batch must not see its own first try."""
-    try:
-        return spark.read.parquet(path).filter(F.col(BATCH) < batch_id)
-    except AnalysisException:
-        return None
-
-
-def assign_new_donors(
-    cells: DataFrame, sides_path: str, batch_id: int, donor: str, age: str, test_size: float, seed: int
-) -> DataFrame:
-    """Sides of all donors of a batch: the stored side where there is one, else a new, stored one.
-
-    The sides of new donors go to ``<sides_path>/batch_id=<n>``, written anew when a batch is
-    replayed, so that a donor keeps the side of the first batch it was seen in.
-    """
-    spark = cells.sparkSession
-    donors = materialize(spark, donor_ages(cells, donor, age), "batch_donors")
-    earlier = _read_earlier(spark, sides_path, batch_id)
-    fresh = donors if earlier is None else donors.join(earlier.select(donor), donor, "left_anti")
-    fresh = materialize(spark, fresh, "new_donors")
-    new_sides = quota_split(fresh, donor, test_size, seed).select(donor, "split")
-    new_sides.write.mode("overwrite").parquet(f"{sides_path}/{BATCH}={batch_id}")
-    known = spark.read.parquet(sides_path).filter(F.col(BATCH) <= batch_id).select(donor, "split")
-    return materialize(spark, donors.select(donor, "cells").join(known, donor), "batch_sides")
-
-
 def ingest_new_files(
     spark: SparkSession,
     source: str,
@@ -51,7 +20,6 @@ def ingest_new_files(
     checkpoint: str,
     transform: Callable[[DataFrame], DataFrame],
     donor: str = "donor_id",
-    age: str = "age",
     test_size: float = 0.05,
     seed: int = 42,
     pattern: str = "*.parquet",
@@ -59,14 +27,14 @@ def ingest_new_files(
 ) -> None:
     """Process the files not seen yet, then stop; run it again for later files.
 
-    Each batch goes to ``<target>/cells/batch_id=<n>``, replaced on a replay, so a batch that is run
-    again after a failure leaves its rows once.
+    The side of a donor follows from its key alone, so it depends neither on the order in which files
+    arrive nor on how many make up a batch, and no state has to be kept or joined. Each batch goes to
+    ``<target>/cells/batch_id=<n>``, replaced on a replay, so a batch that is run again after a failure
+    leaves its rows once.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        keyed = with_donor_key(transform(batch), donor)
-        sides = assign_new_donors(keyed, f"{target}/donors", batch_id, donor, age, test_size, seed)
-        split = hot_key_join(keyed, sides, donor, "cells").drop("cells")
+        split = split_donors_by_hash(transform(batch), donor, test_size, seed)
         split.write.mode("overwrite").parquet(f"{target}/cells/{BATCH}={batch_id}")
 
     stream = (

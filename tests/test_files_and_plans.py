@@ -7,11 +7,18 @@ from pyspark.sql import functions as F
 from cellspark.operators.inventory import filter_by_size, filter_unfinished, finished_datasets, older_than, run_totals
 from cellspark.operators.inventory import storage_by
 from cellspark.operators.splits import split_leaks
-from cellspark.plans.batch import plan_batch, run_batch
+from cellspark.plans.batch import batch_report, plan_batch, run_batch
 from cellspark.plans.build import BuildOptions, build_dataset, convert_dataset
 from cellspark.plans.metadata import extract_metadata, resplit_dataset, store_metadata, store_species_summary
 from cellspark.session import scratch_path
-from cellspark.sinks.parquet import write_all_splits, write_by_rows, write_by_size, write_chunks, write_split
+from cellspark.sinks.parquet import (
+    write_all_splits,
+    write_by_rows,
+    write_by_size,
+    write_chunks,
+    write_parquet,
+    write_split,
+)
 from cellspark.sinks.summaries import write_by_organism, write_summary
 from cellspark.sources.files import list_files, read_collections, read_event_log
 from cellspark.sources.tables import (
@@ -63,8 +70,11 @@ def test_chunk_scan_and_row_range(spark, tmp_path):
     source = next(p for p in os.listdir(tmp_path / "a") if p.endswith(".parquet"))
     for name in ("chunk_0000.parquet", "other.parquet"):
         (tmp_path / name).write_bytes((tmp_path / "a" / source).read_bytes())
-    assert read_chunks(spark, str(tmp_path)).count() == 5
-    df = read_chunks(spark, str(tmp_path)).withColumn("v", F.lit("x"))
+    assert read_chunks(spark, str(tmp_path), "chunk_*.parquet").count() == 5
+    own = scratch_path(spark, "chunks")
+    write_chunks(spark.range(50), own, chunk_size=7)
+    assert read_chunks(spark, own).count() == 50
+    df = read_chunks(spark, str(tmp_path), "chunk_*.parquet").withColumn("v", F.lit("x"))
     assert [r.id for r in scan_metadata(df, ["id"], "id", 1, 3).orderBy("id").collect()] == [1, 2]
 
 
@@ -79,6 +89,18 @@ def test_files_by_rows_and_size(spark):
     sizes = [r.length for r in list_files(spark, path, "*.parquet").collect()]
     assert spark.read.parquet(path).count() == 60000
     assert len(sizes) > 3 and max(sizes) < 1.3 * 0.25 * 1024 * 1024
+    path = scratch_path(spark, "many-small")
+    write_by_size(big.repartition(64), path, 0.25)
+    shares = [r.length / (0.25 * 1024 * 1024) for r in list_files(spark, path, "*.parquet").collect()]
+    assert 0.5 < min(shares) and max(shares) < 1.3
+    sizes = []
+    for level in (1, 9):
+        path = scratch_path(spark, f"gzip-{level}")
+        write_parquet(big, path, "gzip", level)
+        sizes.append(sum(r.length for r in list_files(spark, path, "*.parquet").collect()))
+    assert sizes[1] < sizes[0]
+    with pytest.raises(ValueError):
+        write_parquet(big, scratch_path(spark, "snappy"), "snappy", 9)
     path = scratch_path(spark, "empty")
     write_by_size(big.limit(0), path, 1)
     assert spark.read.schema("m string").parquet(path).count() == 0
@@ -98,6 +120,12 @@ def test_split_folders(spark):
     whole = scratch_path(spark, "all")
     write_all_splits(df.withColumn("dataset_id", F.lit("d")), whole)
     assert spark.read.parquet(f"{whole}/dataset_id=d/split=test").count() == 10
+    assert [r.dataset_name for r in finished_datasets(list_files(spark, whole, "*.parquet")).collect()] == ["d"]
+    again = read_datasets(spark, [whole]).groupBy("dataset_id", "split").count().collect()
+    assert {tuple(r) for r in again} == {("d", "train", 90), ("d", "test", 10)}
+    plain = scratch_path(spark, "plain")
+    df.filter("split = 'test'").drop("split").write.parquet(f"{plain}/old/test")
+    assert {(r.dataset_id, r.split) for r in read_datasets(spark, [plain]).collect()} == {("old", "test")}
 
 
 def test_summary_files(spark):
@@ -154,6 +182,16 @@ def test_batch_goes_on_after_a_failure(spark):
             raise ValueError("broken input")
         return f"/out/{name}"
 
+    planned = spark.createDataFrame([("a", "run", None), ("b", "run", None), ("c", "run", None), ("d", "skip", "why")], "dataset_name string, action string, message string")
+    built = spark.createDataFrame([("a",), ("a",)], "dataset_id string")
+    emptied = spark.createDataFrame([("c",)], "dataset_id string")
+    rows = {tuple(r) for r in batch_report(planned, built, emptied).collect()}
+    assert rows == {
+        ("a", "SUCCESS", 2, "Successfully processed"),
+        ("b", "FAILED", 0, "No rows were built"),
+        ("c", "SUCCESS", 0, "Successfully processed"),
+        ("d", "SKIPPED", 0, "why"),
+    }
     skipped = spark.createDataFrame([("old", "Output files already exist")], "dataset_name string, message string")
     report = run_batch(spark, ["good", "bad", "fine"], process, skipped)
     found = {r.dataset_name: (r.status, r.output_path, r.message) for r in report.collect()}
@@ -314,11 +352,38 @@ def test_ingest_of_empty_batches_and_known_donors(spark, tmp_path):
 
     assert add_and_run([(1, "a", None)]) == {}
     first = add_and_run([(10 + i, f"p{i % 10}", 30.0) for i in range(50)])
-    assert len(first) == 50 and set(first.values()) == {"train", "test"}
+    assert len(first) == 50
     again = add_and_run([(100 + i, f"p{i % 10}", 40.0) for i in range(50)])
     assert len(again) == 100 and all(again[100 + i] == first[10 + i] for i in range(50))
 
 
+def test_ingest_does_not_depend_on_batches(spark, tmp_path):
+    schema = "cell_id bigint, donor_id string, age double"
+    source = str(tmp_path / "in")
+    rows = [(i, f"p{i % 400}", 30.0) for i in range(2000)]
+    spark.createDataFrame(rows, schema).repartition(8, "donor_id").write.parquet(source)
+    found = []
+    for files in (1, 1000):
+        out, progress = str(tmp_path / f"out{files}"), str(tmp_path / f"progress{files}")
+        fields = spark.createDataFrame([], schema).schema
+        ingest_new_files(spark, source, fields, out, progress, lambda df: df, test_size=0.2, files_per_batch=files)
+        found.append({r.cell_id: r.split for r in read_ingested(spark, out).collect()})
+    assert found[0] == found[1] and len(found[0]) == 2000
+    assert 0.15 < sum(s == "test" for s in found[0].values()) / 2000 < 0.25
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Context:
+        master = "spark://somewhere:7077"
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError):
+        scratch_path(Session(), "x")
+
+
 def test_names_with_dots_and_blanks(spark, tables):
     obs, var, expr, hgnc, _ = tables
     obs = obs.withColumnRenamed("tissue", "tissue. type")

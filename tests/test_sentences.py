@@ -48,8 +48,9 @@ NAMES = ["A", "ENSG1", "C", "D", "E"]
 def test_order_and_ties(spark):
     rows = [(1, i, v, NAMES[i]) for i, v in enumerate([0.0, 3.0, float("nan"), 3.0, 1.0])]
     expr = spark.createDataFrame(rows, "cell_id int, gene_idx int, value double, symbol string")
-    built = sentences_from_long(expr, ["cell_id"], 2)
-    assert as_dict(built)[1] == {"gene_sentence_all": "C D E A", "gene_sentence_2": "C D"}
+    genes = genes_table(spark, NAMES, {})
+    built = sentences_from_long(expr.drop("symbol").withColumn("dataset_id", F.lit("d")), genes, ["cell_id"], 2)
+    assert as_dict(built)[1] == {"gene_sentence_all": "C D E", "gene_sentence_2": "C D"}
     assert as_dict(top_sentences(expr, ["cell_id"], 2))[1] == {"gene_sentence_2": "C D"}
     assert as_dict(top_sentences(expr, ["cell_id"], 9))[1] == {"gene_sentence_9": "C D E A"}
     assert as_dict(top_sentences(expr, ["cell_id"], 0))[1] == {"gene_sentence_0": ""}
@@ -60,15 +61,17 @@ def test_edges(spark):
         [(1, 0, 2.0, "ENSG1"), (1, 1, 1.0, "ENSG2"), (2, 0, 1.0, "a"), (2, 1, None, "A")],
         "cell_id int, gene_idx int, value double, symbol string",
     )
-    found = as_dict(sentences_from_long(expr, ["cell_id"], None))
-    assert found == {1: {"gene_sentence_all": ""}, 2: {"gene_sentence_all": "a A"}}
+    keyed = expr.withColumn("dataset_id", F.when(F.col("cell_id") == 1, "x").otherwise("y"))
+    genes = keyed.select("dataset_id", F.col("gene_idx").cast("bigint").alias("gene_idx"), "symbol")
+    found = as_dict(sentences_from_long(keyed.drop("symbol"), genes, ["cell_id"], None))
+    assert found == {1: {"gene_sentence_all": ""}, 2: {"gene_sentence_all": "a"}}
     assert as_dict(top_sentences(expr, ["cell_id"], 5))[1] == {"gene_sentence_5": ""}
-    listed = expr.withColumn("in_up", F.col("symbol") == "A").withColumn("in_empty", F.lit(False))
-    found = as_dict(sentences_from_long(listed, ["cell_id"], 0, ["up", "empty"]))
+    listed = genes.withColumn("in_up", F.col("symbol") == "a").withColumn("in_empty", F.lit(False))
+    found = as_dict(sentences_from_long(keyed.drop("symbol"), listed, ["cell_id"], 0, ["up", "empty"]))
     assert found[2] == {
-        "gene_sentence_all": "a A",
+        "gene_sentence_all": "a",
         "gene_sentence_0": "",
-        "gene_sentence_up": "A",
+        "gene_sentence_up": "a",
         "gene_sentence_empty": "",
     }
 
@@ -113,15 +116,17 @@ def test_zero_filled_and_dense_match_brute_force(spark, fixture, broadcast, monk
     assert as_dict(sentences_from_arrays(dense, genes, ["cell_id"], 4, list(lists))) == expected
 
 
-@pytest.mark.parametrize("packed", [True, False])
-def test_stored_values_only(spark, fixture, packed, monkeypatch):
-    if not packed:
-        monkeypatch.setattr(module, "PANEL_GENES", 1)
+def brute_stored(values, names, top_n, lists):
+    """Sentences of one cell from what is neither zero nor missing."""
+    kept = [i for i, v in enumerate(values) if v is not None and v != 0.0]
+    return brute([values[i] for i in kept], [names[i] for i in kept], top_n, lists)
+
+
+def test_stored_values_only(spark, fixture):
     names, lists, cells = fixture
 
     def stored(vs):
-        kept = [i for i, v in enumerate(vs) if v is not None and v != 0.0]
-        return brute([vs[i] for i in kept], [names[i] for i in kept], 4, lists)
+        return brute_stored(vs, names, 4, lists)
 
     expected = {c: stored(vs) for c, vs in cells.items()}
     genes = genes_table(spark, names, lists)
@@ -135,9 +140,8 @@ def test_long_form_matches_brute_force(spark, fixture):
     names, lists, cells = fixture
     rows = [("d", c, i, v) for c, vs in cells.items() for i, v in enumerate(vs)]
     expr = spark.createDataFrame(rows, "dataset_id string, cell_id int, gene_idx bigint, value double")
-    named = expr.join(genes_table(spark, names, lists), ["dataset_id", "gene_idx"])
-    built = sentences_from_long(named, ["cell_id"], 4, list(lists))
-    assert as_dict(built) == {c: brute(vs, names, 4, lists) for c, vs in cells.items()}
+    built = sentences_from_long(expr, genes_table(spark, names, lists), ["cell_id"], 4, list(lists))
+    assert as_dict(built) == {c: brute_stored(vs, names, 4, lists) for c, vs in cells.items()}
 
 
 def test_cells_of_unknown_datasets_and_without_values_are_kept(spark):
@@ -194,5 +198,18 @@ def test_gaps_in_gene_numbers(spark):
     )
     found = as_dict(sentences_from_arrays(cells, genes, ["cell_id"], 1, include_zeros=False))
     assert found == {1: {"gene_sentence_all": "C A", "gene_sentence_1": "C"}}
+    cells = cells.withColumn("values", F.array(F.lit(0.0), F.lit(5.0)))
+    assert as_dict(sentences_from_arrays(cells, genes, ["cell_id"], 1))[1]["gene_sentence_all"] == "C A"
+    dense = cells.select("dataset_id", "cell_id", F.array(*[F.lit(x) for x in (1.0, 9.0, 2.0)]).alias("expression"))
+    assert as_dict(sentences_from_arrays(dense, genes, ["cell_id"], 1))[1]["gene_sentence_all"] == "C A"
     with pytest.raises(ValueError):
-        sentences_from_arrays(cells, genes, ["cell_id"], 1)
+        sentences_from_arrays(cells, genes.unionByName(genes), ["cell_id"], 1)
+
+
+def test_cells_that_come_twice_keep_their_own_sentence(spark):
+    genes = genes_table(spark, ["A", "B", "C"], {})
+    cells = spark.createDataFrame(
+        [("d", 1, [0, 2], [1.0, 5.0])] * 2, "dataset_id string, cell_id int, indices array<int>, values array<double>"
+    )
+    built = sentences_from_arrays(cells, genes, ["cell_id"], None, include_zeros=False)
+    assert [r.gene_sentence_all for r in built.collect()] == ["C A", "C A"]

@@ -26,7 +26,6 @@ NAMES = [
     "sp5_donor_quota_split_cells",
     "j4_donor_split_join",
     "j7_expression_with_symbols",
-    "j7_salted_dataset_join",
     "a7_donor_median_age",
     "a22_last_value_per_message",
     "u3_keep_first_order",

@@ -39,14 +39,19 @@ def test_symbol_fallback(spark):
     assert mapping_stats(mapped.limit(0)).first().hgnc_mapping_percentage == 0.0
 
 
-def test_symbol_check_looks_at_the_first_hundred(spark):
-    rows = [("a", i, f"ENSG{i}", f"g{i}" if i < 60 or i >= 100 else f"ENSG{i}") for i in range(300)]
-    rows += [("b", i, f"ENSG{i}", f"g{i}" if i < 50 or i >= 100 else f"ENSG{i}") for i in range(300)]
+def test_symbol_check_looks_at_all_names(spark):
+    rows = [("a", i, f"ENSG{i}", f"g{i}" if i >= 140 or i == 3 else f"ENSG{i}") for i in range(300)]
+    rows += [("b", i, f"ENSG{i}", f"g{i}" if i < 140 else f"ENSG{i}") for i in range(300)]
     var = spark.createDataFrame(rows, "dataset_id string, gene_idx int, ensembl_gene_id string, feature_name string")
     found = {r.dataset_id: (r.var_names_are_symbols, r.feature_names_are_symbols) for r in symbol_checks(var).collect()}
     assert found == {"a": (False, True), "b": (False, False)}
     symbols = {(r.dataset_id, r.gene_idx): r.symbol for r in map_genes_without_table(var).collect()}
     assert symbols["a", 3] == "g3" and symbols["b", 3] == "ENSG3" and len(symbols) == 600
+    plain = map_genes_without_table(var.drop("feature_name")).collect()
+    assert {r.symbol for r in plain} == {f"ENSG{i}" for i in range(300)}
+    assert not any(r.feature_names_are_symbols for r in symbol_checks(var.drop("feature_name")).collect())
+    holes = var.withColumn("feature_name", F.when(F.col("gene_idx") != 200, F.col("feature_name")))
+    assert {(r.dataset_id, r.gene_idx): r.symbol for r in map_genes_without_table(holes).collect()}["a", 200] == "ENSG200"
 
 
 def test_fields_and_types(spark):
@@ -81,8 +86,8 @@ def test_codes(spark):
 
 def test_preloaded_columns(spark):
     rows = spark.range(4).withColumnRenamed("id", "i")
-    array = spark.createDataFrame([(["x", "y", "z"],)], "v array<string>")
-    found = c.attach_scalar(c.attach_by_position(rows, "i", array, "name"), spark.sql("SELECT 7 AS v"), "seven")
+    stored = spark.createDataFrame([(0, "x"), (1, "y"), (2, "z")], "at int, v string")
+    found = c.attach_scalar(c.attach_by_position(rows, "i", stored, "name"), spark.sql("SELECT 7 AS v"), "seven")
     assert sorted(tuple(r) for r in found.collect()) == [(0, "x", 7), (1, "y", 7), (2, "z", 7), (3, None, 7)]
 
 
@@ -90,6 +95,9 @@ def test_sample_rows_and_keep_first(spark):
     df = spark.createDataFrame([(i, "x" * 300, list(range(20))) for i in range(9)], "i int, t string, a array<int>")
     rows = c.sample_rows(df, ["i"]).collect()
     assert len(rows) == 5 and len(rows[0].t) == 214 and rows[0].a == list(range(8))
+    nested = spark.sql("SELECT 1 AS i, array(named_struct('t', repeat('x', 300))) AS s, map('k', repeat('y', 300)) AS m, CAST(repeat('z', 300) AS BINARY) AS b")
+    row = c.sample_rows(nested, ["i"]).first()
+    assert (len(row.s[0].t), len(row.m["k"]), len(row.b)) == (214, 214, 200)
     pairs = spark.createDataFrame([("a", 2, None), ("a", 1, "first"), ("b", 3, "only")], "k string, o int, v string")
     assert sorted(tuple(r) for r in c.keep_first(pairs, ["k"], ["o"]).collect()) == [("a", 1, "first"), ("b", 3, "only")]
 
@@ -209,7 +217,7 @@ def test_counts(spark):
     assert [tuple(r) for r in top_values(df, "v", 1).collect()] == [(1, 2)]
     assert null_counts(df).first().v == 1
     assert [tuple(r) for r in nonzero_columns(df, ["v"]).collect()] == [("v", 2, 66.67)]
-    assert [tuple(r) for r in table_profile(df).collect()] == [("v", "int", 3, 2, 1.0, 1.0, 1.0)]
+    assert [tuple(r) for r in table_profile(df).collect()] == [("v", "int", 3, 2, 1.0, 1.0, 1.0, 0.0, 1.0, 1.0, 1.0)]
     cells = spark.createDataFrame([(1, [0.0, 2.0, 3.0])], "c int, expression array<double>")
     assert tuple(nonzero_genes(cells, ["c"]).first()) == (1, 3, 2, 66.67)
 
@@ -232,11 +240,12 @@ def test_log_metrics(spark):
         ("age_extraction_summary", 1.0, 10, 1, None),
         ("age_extraction_summary", 2.0, 20, 5, None),
         ("warning_missing_column", 3.0, None, None, "tissue"),
+        ("warning_missing_column", 3.5, None, None, "tissue"),
         ("other", 4.0, 99, 99, None),
     ]
     found = log_advice(log_metrics(spark.createDataFrame(rows, schema))).first()
     assert (found.total_cells, found.cells_with_null_age, found.genes_total) == (20, 5, 0)
-    assert found.missing_columns == ["tissue"] and found.too_many_null_ages and not found.too_many_unmapped_genes
+    assert found.missing_columns == ["tissue", "tissue"] and found.too_many_null_ages and not found.too_many_unmapped_genes
 
 
 def test_collections_from_text_and_column_types(spark):

@@ -8,7 +8,7 @@ from cellspark.operators.ages import age_distribution, with_age, with_species_ag
 from cellspark.operators.columns import fill_missing_text, share_of_total
 from cellspark.operators.genes import gene_list_sizes, map_genes
 from cellspark.operators.inventory import inventory_totals, run_report, run_totals, storage_by
-from cellspark.operators.profile import nonzero_columns, nonzero_genes, null_counts, table_profile
+from cellspark.operators.profile import QUARTILES, nonzero_columns, nonzero_genes, null_counts, table_profile
 from cellspark.operators.runlogs import last_by_message, log_advice, log_metrics, missing_columns
 from cellspark.operators.summaries import (
     category_summary,
@@ -86,10 +86,10 @@ def first_known(spark, folder):
     sql("SELECT gene_idx, symbol, mapped_via FROM genes"),
 )
 def group_and_explode(spark, folder):
-    """Genes put into lists by feature name and taken apart again: the same rows in group order."""
+    """Genes put into lists of at most a hundred by number and taken apart again: the same rows in group order."""
     genes = map_genes(var(spark, folder), hgnc(spark, folder), ["rank"])
     rows = F.collect_list(F.struct("gene_idx", "symbol", "mapped_via")).alias("rows")
-    return genes.groupBy("feature_name").agg(rows).select(F.inline("rows"))
+    return genes.groupBy(F.floor(F.col("gene_idx") / 100).alias("hundred")).agg(rows).select(F.inline("rows"))
 
 
 _LISTED = """
@@ -227,7 +227,7 @@ _LAST_K = "arg_max((props->>'$.k')::BIGINT, ts) FILTER (event_type = '{event}')"
     f"""
     WITH k AS (SELECT {_LAST_K.format(event="view")} AS genes, {_LAST_K.format(event="purchase")} AS cells,
         {_LAST_K.format(event="signup")} AS lost, {_LAST_K.format(event="click")} AS sample,
-        list_sort(list_distinct(list('column_' || (props->>'$.k')) FILTER (event_type = 'error'))) AS missing FROM events)
+        list_sort(list('column_' || (props->>'$.k')) FILTER (event_type = 'error')) AS missing FROM events)
     SELECT cells * 100 AS total_cells, cells * 90 AS cells_with_valid_age, cells * 10 AS cells_with_null_age,
       genes + 1000 AS genes_total, genes + 900 AS genes_mapped_hgnc, 40::BIGINT AS genes_mapped_fallback,
       60::BIGINT AS genes_unmapped, lost AS cells_discarded_in_split, missing AS missing_columns,
@@ -274,9 +274,13 @@ def _profile_sql(columns: list[tuple[str, str, bool]]) -> str:
     rows = []
     for name, dtype, number in columns:
         if number:
-            stats = f"min({name})::DOUBLE AS min_value, max({name})::DOUBLE AS max_value, round(avg({name}), 2) AS mean_value"
+            quartiles = ", ".join(f"quantile_disc({name}, {q})::DOUBLE AS {n}" for n, q in QUARTILES.items())
+            stats = (
+                f"min({name})::DOUBLE AS min_value, max({name})::DOUBLE AS max_value, round(avg({name}), 2) AS mean_value, "
+                f"round(stddev_samp({name}), 2) AS std_value, {quartiles}"
+            )
         else:
-            stats = "NULL::DOUBLE AS min_value, NULL::DOUBLE AS max_value, NULL::DOUBLE AS mean_value"
+            stats = ", ".join(f"NULL::DOUBLE AS {n}" for n in ("min_value", "max_value", "mean_value", "std_value", *QUARTILES))
         rows.append(
             f"SELECT '{name}' AS column_name, '{dtype}' AS column_type, count(*) AS total_rows, "
             f"count({name}) AS non_null, {stats} FROM lineitem"
@@ -314,12 +318,14 @@ def nonzero(spark, folder):
 
 @query(
     "a26_nonzero_genes",
-    """SELECT vec_id, len(embedding)::INTEGER AS genes, len(list_filter(embedding, lambda v: v <> 0))::INTEGER AS nonzero,
-      round(len(list_filter(embedding, lambda v: v <> 0))::DOUBLE * 100 / len(embedding), 2) AS nonzero_pct
+    """SELECT vec_id, len(embedding)::INTEGER AS genes, len(list_filter(embedding, lambda v: abs(v) >= 0.0625))::INTEGER AS nonzero,
+      round(len(list_filter(embedding, lambda v: abs(v) >= 0.0625))::DOUBLE * 100 / len(embedding), 2) AS nonzero_pct
     FROM embeddings""",
 )
 def nonzero_by_cell(spark, folder):
-    return nonzero_genes(load(spark, folder, "embeddings"), ["vec_id"], "embedding")
+    """Small values of the vectors are set to zero first, so that there are zeros."""
+    cut = F.transform("embedding", lambda v: F.when(F.abs(v) >= 0.0625, v).otherwise(F.lit(0.0)))
+    return nonzero_genes(load(spark, folder, "embeddings").withColumn("embedding", cut), ["vec_id"], "embedding")
 
 
 @query(

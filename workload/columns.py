@@ -137,12 +137,11 @@ def candidates(spark, folder):
     FROM part LEFT JOIN (SELECT n_nationkey, n_name FROM nation) n ON p_partkey = n_nationkey""",
 )
 def attached(spark, folder):
-    """A stored array by row position and a stored scalar on every row."""
+    """A stored column by row position and a stored scalar on every row."""
     rows = load(spark, folder, "part").select("p_partkey")
-    names = F.sort_array(F.collect_list(F.struct("n_nationkey", "n_name")))["n_name"]
-    array = load(spark, folder, "nation").agg(names.alias("values"))
+    stored = load(spark, folder, "nation").select("n_nationkey", "n_name")
     scalar = load(spark, folder, "region").agg(F.max("r_name").alias("value"))
-    return attach_scalar(attach_by_position(rows, "p_partkey", array, "name"), scalar, "region")
+    return attach_scalar(attach_by_position(rows, "p_partkey", stored, "name"), scalar, "region")
 
 
 @query("p13_ensure_age_columns", sql("SELECT cell_id, NULL::DOUBLE AS age_years, NULL::DOUBLE AS age_months FROM obs"))

@@ -10,7 +10,6 @@ from cellspark.operators.ages import with_age, with_known_age
 from cellspark.operators.columns import fill_missing_text
 from cellspark.operators.genes import flag_lists, map_genes
 from cellspark.operators.sentences import (
-    attach_symbols,
     sentences_from_arrays,
     sentences_from_long,
     to_sparse,
@@ -22,6 +21,7 @@ from cellspark.plans.build import BuildOptions, build_dataset, convert_dataset
 from cellspark.plans.metadata import extract_metadata, resplit_dataset
 from cellspark.session import scratch_path
 from cellspark.sinks.parquet import write_all_splits
+from cellspark.sources.files import list_files
 from cellspark.streaming.ingest import ingest_new_files, read_ingested
 from workload.aggregates import SUMMARY_SQL, meta
 from workload.registry import query
@@ -78,8 +78,9 @@ def cell_sentence_topn(spark, folder):
 @query("c1_cell_sentence_variants", sql(f"{_sentences_sql('donor_expr')} SELECT * FROM sentences"))
 def cell_sentence_variants(spark, folder):
     """All, top-10 and per-list sentences of every customer, from long form."""
-    rows = attach_symbols(donor_expr(spark, folder), _genes(spark, folder), ["gene_idx"])
-    return sentences_from_long(rows, ["cell_id"], 10, LISTS)
+    whole = F.lit("all").alias("dataset_id")
+    rows, genes = donor_expr(spark, folder).select(whole, "*"), _genes(spark, folder).select(whole, "*")
+    return sentences_from_long(rows, genes, ["cell_id"], 10, LISTS).drop("dataset_id")
 
 
 PANEL_CELL = ["dataset_id", "cell_id"]
@@ -107,6 +108,42 @@ def cell_sentence_sparse(spark, folder):
     return sentences_from_arrays(cells, genes, PANEL_CELL, 10, LISTS, include_zeros=False)
 
 
+def _both_forms(rows, genes):
+    """Sentences of the same cells from long and from array form."""
+    from_long = sentences_from_long(rows, genes, PANEL_CELL, 10, LISTS).withColumn("form", F.lit("long"))
+    cells = to_sparse(rows, PANEL_CELL)
+    from_arrays = sentences_from_arrays(cells, genes, PANEL_CELL, 10, LISTS, include_zeros=False)
+    return from_long.unionByName(from_arrays.withColumn("form", F.lit("array")))
+
+
+def _both_forms_sql(rows: str) -> str:
+    """``rows`` is what counts of panel_expr; a cell without any has empty sentences."""
+    columns = ", ".join(f"coalesce({n}, '') AS {n}" for n in ("gene_sentence_all", "gene_sentence_10", *(f"gene_sentence_{n}" for n in LISTS)))
+    return f"""
+    , counted AS ({rows}) {_placed_sql("counted")}
+    SELECT c.dataset_id, c.cell_id, form, {columns}
+    FROM (SELECT DISTINCT dataset_id, cell_id FROM panel_expr) c CROSS JOIN (VALUES ('long'), ('array')) f(form)
+    LEFT JOIN placed p ON c.dataset_id = p.dataset_id AND c.cell_id = p.cell_id"""
+
+
+@query(
+    "c1_zeros_and_nulls",
+    sql(_both_forms_sql("SELECT * FROM panel_expr WHERE (gene_idx % 1000) % 5 <> 0 AND (gene_idx % 1000) % 7 <> 0")),
+)
+def zeros_and_nulls(spark, folder):
+    """Stored zeros and nulls do not count where only values do, in either form."""
+    place = F.col("gene_idx")
+    value = F.when(place % 5 == 0, 0.0).when(place % 7 != 0, F.col("value"))
+    return _both_forms(panel_expr(spark, folder, "l_orderkey").withColumn("value", value), _panel_genes(spark, folder))
+
+
+@query("c1_gene_gaps", sql(_both_forms_sql("SELECT * FROM panel_expr WHERE (gene_idx % 1000) % 3 <> 1")))
+def gene_gaps(spark, folder):
+    """A third of the gene numbers has no gene, in either form."""
+    genes = _panel_genes(spark, folder).filter(F.col("gene_idx") % 3 != 1)
+    return _both_forms(panel_expr(spark, folder, "l_orderkey"), genes)
+
+
 @query(
     "c1_cell_sentence_zero_filled",
     sql(f"""
@@ -208,9 +245,34 @@ def build_from_one_table(spark, folder):
 
 
 @query(
-    "c7_batch_build",
+    "c2_two_collections",
     sql(f"""
-    , inputs AS (SELECT dataset_id, count(*) * 104857600 // (SELECT count(*) FROM obs) AS length FROM obs GROUP BY 1)
+    , more AS (SELECT dataset_id, collection_id, title FROM collections UNION ALL
+      SELECT dataset_id, 'again', 'second' FROM collections WHERE title <> 'EUROPE')
+    {_sentences_sql("expr")}
+    SELECT form, a.{_BUILT}, a.dataset_id, coalesce(collection_id, 'nan') AS collection_id,
+      CASE WHEN {uniform_sql("donor_id")} < 0.05 THEN 'test' ELSE 'train' END AS split
+    FROM aged a CROSS JOIN (VALUES ('long'), ('array')) f(form) LEFT JOIN more c ON a.dataset_id = c.dataset_id
+    LEFT JOIN sentences s ON a.cell_id = s.cell_id WHERE age IS NOT NULL"""),
+)
+def two_collections(spark, folder):
+    """Cells of a dataset in two collections come twice, each with its own sentence, from either form."""
+    cells, genes, rows = dataset_tables(spark, folder)
+    mapped = map_genes(var(spark, folder), hgnc(spark, folder), ["rank"])
+    known = collections(spark, folder)
+    second = {"collection_id": F.lit("again"), "title": F.lit("second")}
+    both = known.unionByName(known.filter("title <> 'EUROPE'").withColumns(second))
+    tables = (hgnc(spark, folder), both, gene_lists(spark, folder, mapped), replace(OPTIONS, stratify_by_age=False))
+    kept = ["cell_id", "dataset_id", "collection_id", "split", *_SENTENCES]
+    from_long = build_dataset(cells, genes, rows, *tables).select(F.lit("long").alias("form"), *kept)
+    from_arrays = build_dataset(cells, genes, to_sparse(rows, PANEL_CELL), *tables).select(F.lit("array").alias("form"), *kept)
+    return from_long.unionByName(from_arrays)
+
+
+_BATCH_SQL = f"""
+    , inputs AS (
+      SELECT dataset_id, count(*) * 104857600 // (SELECT count(*) FROM obs) AS length FROM obs GROUP BY 1
+      UNION ALL SELECT 'broken', 1024)
     , planned AS (
       SELECT dataset_id, CASE
         WHEN length / 1048576.0 > 4.1 THEN printf('skipped (file too large: %.2f MB > 4.1 MB)', length / 1048576.0::DOUBLE)
@@ -220,24 +282,53 @@ def build_from_one_table(spark, folder):
     {_quota_sql("pending", 0.05)}
     , built AS (
       SELECT dataset_id, count(*) AS cells FROM pending p JOIN donor_split d ON p.donor_id = d.donor_id
-      WHERE age IS NOT NULL GROUP BY 1)
-    SELECT p.dataset_id AS dataset_name, CASE WHEN message IS NULL THEN 'SUCCESS' ELSE 'SKIPPED' END AS status,
-      coalesce(cells, 0) AS cells, coalesce(message, 'Successfully processed') AS message
-    FROM planned p LEFT JOIN built b ON p.dataset_id = b.dataset_id"""),
-)
-def batch_build(spark, folder):
-    """All datasets that are neither too large nor finished, built in one job and written by side."""
+      WHERE age IS NOT NULL GROUP BY 1)"""
+
+
+def _batch(spark, folder):
+    """Inputs, their plan, and the folder with what was built of them; one input has no rows anywhere."""
     cells, genes, rows = dataset_tables(spark, folder)
     total = cells.agg(F.count("*").alias("n")).select("n").scalar()
     sizes = cells.groupBy("dataset_id").agg(F.count("*").alias("n"))
     length = F.floor(F.col("n") * 104857600 / total).alias("length")  # 100 MB over all datasets
     inputs = sizes.select(F.concat(F.lit("/in/"), "dataset_id", F.lit(".h5ad")).alias("path"), length)
+    inputs = inputs.unionByName(spark.createDataFrame([("/in/broken.h5ad", 1024)], "path string, length bigint"))
     finished = collections(spark, folder).filter(F.col("title") == "EUROPE")
     written = finished.select(F.concat(F.lit("/out/"), "dataset_id", F.lit("/train/chunk_0000.parquet")).alias("path"))
     planned = plan_batch(inputs, written, 4.1)
     tables = [pending_rows(table, planned) for table in (cells, genes, rows)]
     path = scratch_path(spark, "batch")
     write_all_splits(build_dataset(*tables, hgnc(spark, folder), options=BuildOptions(top_n=10, include_zeros=False)), path)
+    return inputs, planned, path
+
+
+@query(
+    "c7_batch_rerun",
+    sql(f"""
+    {_BATCH_SQL}
+    SELECT p.dataset_id AS dataset_name, CASE WHEN b.dataset_id IS NULL THEN 'run' ELSE 'skip' END AS action,
+      CASE WHEN b.dataset_id IS NOT NULL THEN 'Output files already exist' END AS message
+    FROM planned p LEFT JOIN built b ON p.dataset_id = b.dataset_id"""),
+)
+def batch_rerun(spark, folder):
+    """Planned again over the files that the first run really wrote: what is there is skipped."""
+    inputs, _, path = _batch(spark, folder)
+    return plan_batch(inputs, list_files(spark, path, "*.parquet")).select("dataset_name", "action", "message")
+
+
+@query(
+    "c7_batch_build",
+    sql(f"""
+    {_BATCH_SQL}
+    SELECT p.dataset_id AS dataset_name,
+      CASE WHEN message IS NOT NULL THEN 'SKIPPED' WHEN b.dataset_id IS NULL THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+      coalesce(cells, 0) AS cells,
+      coalesce(message, CASE WHEN b.dataset_id IS NULL THEN 'No rows were built' ELSE 'Successfully processed' END) AS message
+    FROM planned p LEFT JOIN built b ON p.dataset_id = b.dataset_id"""),
+)
+def batch_build(spark, folder):
+    """All datasets that are neither too large nor finished, built in one job and written by side."""
+    _, planned, path = _batch(spark, folder)
     return batch_report(planned, spark.read.parquet(path))
 
 
@@ -312,21 +403,24 @@ def all_species(spark, folder):
 @query(
     "st1_incremental_ingest",
     sql(f"""
-    {_quota_sql("aged", 0.05)}
-    SELECT cell_id, a.donor_id, age, split FROM aged a JOIN donor_split d ON a.donor_id = d.donor_id
-    WHERE age IS NOT NULL"""),
+    SELECT files_per_batch, cell_id, donor_id, age,
+      CASE WHEN {uniform_sql("donor_id")} < 0.05 THEN 'test' ELSE 'train' END AS split
+    FROM aged CROSS JOIN (VALUES (1), (1000)) f(files_per_batch) WHERE age IS NOT NULL"""),
 )
 def incremental_ingest(spark, folder):
-    """Order files not seen yet go through age extraction and the donor split; run twice, they stay once."""
+    """Six files of orders, one by one and all at once, through age extraction and the donor split; run twice, they stay once."""
     root = scratch_path(spark, "ingest")
-    schema = load(spark, folder, "orders").schema
+    orders = load(spark, folder, "orders")
+    orders.repartition(6, "o_orderkey").write.parquet(f"{root}/in")
 
     def to_cells(batch):
         cells = with_known_age(with_age(obs(batch.sparkSession, folder, batch)))
         return cells.select("cell_id", "donor_id", "age")
 
-    for _ in range(2):
-        ingest_new_files(
-            spark, folder, schema, f"{root}/out", f"{root}/progress", to_cells, pattern="orders.parquet"
-        )
-    return read_ingested(spark, f"{root}/out")
+    found = []
+    for files in (1, 1000):
+        out, progress = f"{root}/out-{files}", f"{root}/progress-{files}"
+        for _ in range(2):
+            ingest_new_files(spark, f"{root}/in", orders.schema, out, progress, to_cells, files_per_batch=files)
+        found.append(read_ingested(spark, out).withColumn("files_per_batch", F.lit(files)))
+    return found[0].unionByName(found[1])

@@ -97,9 +97,16 @@ def unfinished_files(spark, folder):
     return waiting.select("dataset_name", "path")
 
 
-@query("f10_portal_pages", sql("SELECT page_id, url FROM pages WHERE lower(url) LIKE '%cellxgene%' OR lower(url) LIKE '%cziscience%'"))
+@query(
+    "f10_portal_pages",
+    sql("""
+    , moved AS (SELECT page_id, CASE WHEN page_id % 4 = 0 THEN replace(url, 'example', 'CellxGene') ELSE url END AS url FROM pages)
+    SELECT page_id, url FROM moved WHERE lower(url) LIKE '%cellxgene%' OR lower(url) LIKE '%cziscience%'"""),
+)
 def portal_pages(spark, folder):
-    return portal_datasets(load(spark, folder, "pages").select("page_id", "url"), "url")
+    """One page in four is moved to the portal first."""
+    moved = F.when(F.col("page_id") % 4 == 0, F.replace("url", F.lit("example"), F.lit("CellxGene"))).otherwise(F.col("url"))
+    return portal_datasets(load(spark, folder, "pages").select("page_id", moved.alias("url")), "url")
 
 
 @query(
@@ -110,23 +117,31 @@ def portal_pages(spark, folder):
         PARTITION BY cell_id ORDER BY symbol LIKE 'ENS%', value DESC, e.gene_idx DESC) AS rank
       FROM expr e JOIN genes g ON e.gene_idx = g.gene_idx)
     , sentences AS (SELECT cell_id, coalesce(string_agg(symbol, ' ' ORDER BY rank)
-        FILTER (rank <= 5 AND symbol NOT LIKE 'ENS%'), '') AS s FROM ranked GROUP BY 1)
+        FILTER (rank <= 5 AND symbol NOT LIKE 'ENS%'), '') || CASE WHEN cell_id % 5 = 0 THEN ' ENSG1' ELSE '' END AS s
+      FROM ranked GROUP BY 1)
     SELECT count(*) AS sentences, (count(*) FILTER (length(s) = 0))::BIGINT AS empty,
       (count(*) FILTER (regexp_matches(s, 'ENS[A-Z]*[0-9]+')))::BIGINT AS with_ensembl_token,
       max(length(s))::INTEGER AS longest FROM sentences"""),
 )
 def quality(spark, folder):
-    return sentence_quality(top_sentences(symbol_expr(spark, folder), ["cell_id"], 5), "gene_sentence_5")
+    """One sentence in five gets a token that does not belong there."""
+    sentences = top_sentences(symbol_expr(spark, folder), ["cell_id"], 5)
+    spoilt = F.concat("gene_sentence_5", F.when(F.col("cell_id") % 5 == 0, F.lit(" ENSG1")).otherwise(F.lit("")))
+    return sentence_quality(sentences.withColumn("gene_sentence_5", spoilt), "gene_sentence_5")
 
 
 @query(
     "f13_age_range",
     sql("""
+    , wrong AS (SELECT CASE WHEN cell_id % 7 = 0 THEN age + 120 ELSE age END AS age FROM sampled)
     SELECT min(age) AS age_min, max(age) AS age_max, (count(*) FILTER (age < 0 OR age > 150))::BIGINT AS out_of_range
-    FROM sampled"""),
+    FROM wrong"""),
 )
 def age_range(spark, folder):
-    return age_range_violations(with_age(obs(spark, folder), "sampling_stage"))
+    """One cell in seven is made too old first."""
+    cells = with_age(obs(spark, folder), "sampling_stage")
+    wrong = F.when(F.col("cell_id") % 7 == 0, F.col("age") + 120).otherwise(F.col("age"))
+    return age_range_violations(cells.withColumn("age", wrong))
 
 
 @query(

@@ -13,7 +13,6 @@ from cellspark.operators.genes import (
     symbol_checks,
     usable_symbols,
 )
-from cellspark.operators.joins import spread_join
 from cellspark.operators.publications import (
     flag_known_datasets,
     join_publications,
@@ -38,9 +37,9 @@ def gene_symbol_mapping(spark, folder):
     "j2_symbols_without_table",
     sql("""
     , named AS (SELECT 'block_' || (gene_idx // 1000) AS dataset_id, gene_idx % 1000 AS pos, * FROM var),
-      checked AS (SELECT dataset_id, avg(CASE WHEN pos < 100 THEN
-                    CASE WHEN feature_name LIKE 'ENS%' THEN 1 ELSE 0 END END) < 0.5 AS ok FROM named GROUP BY 1)
-    SELECT n.dataset_id, n.gene_idx, CASE WHEN ok THEN feature_name ELSE ensembl_gene_id END AS symbol
+      checked AS (SELECT dataset_id, avg(CASE WHEN feature_name LIKE 'ENS%' THEN 1 ELSE 0 END) < 0.5 AS ok
+                  FROM named GROUP BY 1)
+    SELECT n.dataset_id, n.gene_idx, coalesce(CASE WHEN ok THEN feature_name END, ensembl_gene_id) AS symbol
     FROM named n JOIN checked c ON n.dataset_id = c.dataset_id"""),
 )
 def symbols_without_table(spark, folder):
@@ -58,9 +57,9 @@ def _genes_by_block(spark, folder):
     sql("""
     , named AS (SELECT 'block_' || (gene_idx // 1000) AS dataset_id, gene_idx % 1000 AS pos, * FROM var)
     SELECT dataset_id,
-      coalesce(avg(CASE WHEN pos < 100 THEN CASE WHEN ensembl_gene_id LIKE 'ENS%' THEN 1 ELSE 0 END END) < 0.5, false)
+      coalesce(avg(CASE WHEN ensembl_gene_id LIKE 'ENS%' THEN 1 ELSE 0 END) < 0.5, false)
         AS var_names_are_symbols,
-      coalesce(avg(CASE WHEN pos < 100 THEN CASE WHEN feature_name LIKE 'ENS%' THEN 1 ELSE 0 END END) < 0.5, false)
+      coalesce(avg(CASE WHEN feature_name LIKE 'ENS%' THEN 1 ELSE 0 END) < 0.5, false)
         AS feature_names_are_symbols
     FROM named GROUP BY 1"""),
 )
@@ -136,19 +135,6 @@ def expression_with_symbols(spark, folder):
     return attach_symbols(expr(spark, folder), genes, ["gene_idx"])
 
 
-@query(
-    "j7_salted_dataset_join",
-    sql("""
-    SELECT cell_id, o.dataset_id, d.cells_in_dataset FROM obs o
-    JOIN (SELECT dataset_id, count(*) AS cells_in_dataset FROM obs GROUP BY 1) d ON o.dataset_id = d.dataset_id"""),
-)
-def salted_dataset_join(spark, folder):
-    cells = obs(spark, folder).select("cell_id", "dataset_id")
-    sizes = cells.groupBy("dataset_id").agg(F.count("*").alias("cells_in_dataset"))
-    n_datasets = sizes.count()
-    return spread_join(cells, sizes, "dataset_id", ["cell_id"], size=n_datasets, broadcast_size=0)
-
-
 @query(
     "a13_gene_mapping_stats",
     sql("""

@@ -38,10 +38,16 @@ def age_years(spark, folder):
 @query(
     "x1_x2_ages_of_any_text",
     sql(f"""
-    SELECT conv_id, turn, {_YEARS.format(c="text")} AS years, {_MONTHS.format(c="text")} AS months FROM conversations"""),
+    , told AS (SELECT conv_id, turn, text || CASE conv_id % 3 WHEN 0 THEN ' a ' || (conv_id % 90) || '-year-old stage'
+      WHEN 1 THEN ' a ' || (conv_id % 30) || '-month-old stage' ELSE '' END AS text FROM conversations)
+    SELECT conv_id, turn, {_YEARS.format(c="text")} AS years, {_MONTHS.format(c="text")} AS months FROM told"""),
 )
 def ages_of_any_text(spark, folder):
-    text = F.col("text")
+    """Turns of two conversations in three tell an age, in years or months."""
+    conv = F.col("conv_id")
+    years = F.concat(F.lit(" a "), (conv % 90).cast("string"), F.lit("-year-old stage"))
+    months = F.concat(F.lit(" a "), (conv % 30).cast("string"), F.lit("-month-old stage"))
+    text = F.concat("text", F.when(conv % 3 == 0, years).when(conv % 3 == 1, months).otherwise(F.lit("")))
     return load(spark, folder, "conversations").select(
         "conv_id", "turn", age_in_years(text).alias("years"), age_in_months(text).alias("months")
     )
@@ -110,11 +116,16 @@ def join_strings(spark, folder):
 @query(
     "x7_x8_text_checks",
     sql(r"""
+    , told AS (SELECT doc_id, text || CASE doc_id % 3 WHEN 0 THEN ' ENSG' || doc_id WHEN 1 THEN ' 31-year-old' ELSE '' END AS text
+      FROM documents)
     SELECT doc_id, length(text)::BIGINT AS chars, regexp_matches(text, '\bENS[A-Z]*[0-9]+') AS has_ensembl,
-      regexp_matches(text, '[0-9]+-year-old') AS has_age FROM documents"""),
+      regexp_matches(text, '[0-9]+-year-old') AS has_age FROM told"""),
 )
 def text_checks(spark, folder):
-    text = F.col("text")
+    """Two documents in three end in an Ensembl id or an age."""
+    doc = F.col("doc_id")
+    gene = F.concat(F.lit(" ENSG"), doc.cast("string"))
+    text = F.concat("text", F.when(doc % 3 == 0, gene).when(doc % 3 == 1, F.lit(" 31-year-old")).otherwise(F.lit("")))
     return load(spark, folder, "documents").select(
         "doc_id",
         F.length(text).cast("bigint").alias("chars"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellspark.functions.text import path_stem
@@ -125,9 +128,10 @@ def nested_collections(spark, folder):
     return read_collections(spark, path, multi_line=False)
 
 
-@query("s7_metadata_scan", "SELECT o_orderkey, o_orderstatus FROM orders")
+@query("s7_metadata_scan", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey >= 500 AND o_orderkey < 1400")
 def metadata_scan(spark, folder):
-    return scan_metadata(load(spark, folder, "orders"), ["o_orderkey", "o_orderstatus", "not_there"], "o_orderkey")
+    """A range of rows, which is the feature."""
+    return scan_metadata(load(spark, folder, "orders"), ["o_orderkey", "o_orderstatus", "not_there"], "o_orderkey", 500, 1400)
 
 
 @query(
@@ -151,10 +155,18 @@ def sparse_round_trip(spark, folder):
     return to_long(to_sparse(expr(spark, folder), ["cell_id"]), ["cell_id"])
 
 
-@query("s9_file_inventory")
+_LISTED_TABLES = ("customer", "lineitem", "orders", "part", "supplier")
+
+
+@query(
+    "s9_file_inventory",
+    " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows, true AS has_bytes FROM {t}" for t in _LISTED_TABLES),
+)
 def file_inventory(spark, folder):
-    files = list_files(spark, folder, "*.parquet")
-    return files.select(path_stem(F.col("path")).alias("name"), "length")
+    """Listed files with the rows that Spark reads from each."""
+    files = list_files(spark, folder, "*.parquet").select(path_stem(F.col("path")).alias("name"), (F.col("length") > 0).alias("has_bytes"))
+    rows = [load(spark, folder, t).groupBy(path_stem(F.col("_metadata.file_path")).alias("name")).agg(F.count("*").alias("rows")) for t in _LISTED_TABLES]
+    return files.join(functools.reduce(DataFrame.unionByName, rows), "name").select("name", "rows", "has_bytes")
 
 
 _BY_STATUS = "SELECT o_orderstatus, count(*) AS rows, sum(o_orderkey)::BIGINT AS keys FROM orders GROUP BY 1"
@@ -183,13 +195,15 @@ def rows_write(spark, folder):
     return _rows_per_file(spark, path)
 
 
-@query("k3_write_by_size", "SELECT count(*) AS rows, true AS within_limit FROM lineitem")
+@query("k3_write_by_size", "SELECT count(*) AS rows, true AS not_too_large, true AS not_too_small FROM lineitem")
 def size_write(spark, folder):
-    """Files of about 0.1 MB; with some slack, as later rows may compress less well than the trial's."""
-    path = scratch_path(spark, "lineitem-by-size")
-    write_by_size(load(spark, folder, "lineitem"), path, 0.1)
-    largest = list_files(spark, path, "*.parquet").agg(F.max("length").alias("n")).select("n").scalar()
-    return spark.read.parquet(path).agg(F.count("*").alias("rows")).withColumn("within_limit", largest < 2 * 104858)
+    """Files of about 0.05 MB, from many small partitions."""
+    path, target = scratch_path(spark, "lineitem-by-size"), 0.05
+    write_by_size(load(spark, folder, "lineitem").repartition(32), path, target)
+    files = list_files(spark, path, "*.parquet").select((F.col("length") / (target * 1024 * 1024)).alias("share"))
+    found = files.agg(F.min("share").alias("least"), F.max("share").alias("most"), F.count("*").alias("n")).first()
+    rows = spark.read.parquet(path).agg(F.count("*").alias("rows"))
+    return rows.withColumns({"not_too_large": F.lit(found.most < 1.3), "not_too_small": F.lit(found.n == 1 or found.least > 0.5)})
 
 
 _SPLIT_SQL = f"""
