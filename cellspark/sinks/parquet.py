@@ -73,12 +73,13 @@ def write_by_size(
 ) -> None:
     """Files of about ``target_mb``, none much larger and, but for one file in all, none under half of it.
 
-    The rows are first written to the shared folder with the same codec, which measures all of them and
-    runs the input plan only once; they are then dealt evenly over as many files as their size asks for.
+    The rows are first written to the shared folder with the same codec, in few large files, which measures
+    all of them and runs the input plan only once; they are then dealt evenly over as many files as their
+    size asks for.
     """
     spark = df.sparkSession
     trial = scratch_path(spark, "by-size")
-    write_parquet(df, trial, codec, level)
+    write_parquet(df.hint("rebalance"), trial, codec, level)
     length = list_files(spark, trial, "*.parquet").agg(F.sum("length").alias("n")).first()["n"] or 0
     files = max(1, math.ceil(length / (target_mb * 1024 * 1024)))
     stored = spark.read.schema(df.schema).parquet(trial)

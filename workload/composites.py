@@ -78,7 +78,7 @@ def cell_sentence_topn(spark, folder):
 @query("c1_cell_sentence_variants", sql(f"{_sentences_sql('donor_expr')} SELECT * FROM sentences"))
 def cell_sentence_variants(spark, folder):
     """All, top-10 and per-list sentences of every customer, from long form."""
-    whole = F.lit("all").alias("dataset_id")
+    whole = F.when(F.col("gene_idx").isNotNull(), "all").alias("dataset_id")
     rows, genes = donor_expr(spark, folder).select(whole, "*"), _genes(spark, folder).select(whole, "*")
     return sentences_from_long(rows, genes, ["cell_id"], 10, LISTS).drop("dataset_id")
 
