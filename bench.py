@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from cellspark.session import build_session
@@ -55,6 +56,7 @@ def main() -> None:
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions=cpus,
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["a1_row_counts"](spark, folder).collect()  # start-up is not measured

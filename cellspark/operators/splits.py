@@ -7,6 +7,7 @@ task gives the same rows.
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -95,7 +96,8 @@ def quota_split(donors: DataFrame, donor: str, test_size: float = 0.05, seed: in
 
     ``donors`` comes from :func:`donor_ages`, materialised (it is read several times). As with a
     stratified shuffle split, the strata are dropped when one has a single donor or when a side
-    has fewer places than there are strata. One lone donor stays in train.
+    has fewer places than there are strata; a warning says so, and ``stratum`` is then the same for all.
+    One lone donor stays in train.
     """
     text = F.coalesce((F.rint(F.col("donor_age") * 10) / 10).cast("string"), F.lit(MISSING_TEXT))
     keyed = donors.withColumn("stratum", text).withColumn("_donor_digest", key_digest([donor], seed))
@@ -104,6 +106,8 @@ def quota_split(donors: DataFrame, donor: str, test_size: float = 0.05, seed: in
     n_donors = sizes["n"] or 0
     n_test = math.ceil(test_size * n_donors) if n_donors > 1 else 0
     if sizes["strata"] > min(n_test, n_donors - n_test) or (sizes["least"] or 0) < 2:
+        if n_donors > 1:
+            warnings.warn(f"{sizes['strata']} age strata for {n_test} test donors: split without strata", stacklevel=2)
         whole = keyed.withColumn("stratum", F.lit(WHOLE))
         ranked = rank_by_digest(whole, [], "_donor_digest", donor).withColumn("quota", F.lit(n_test))
     else:

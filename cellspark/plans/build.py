@@ -14,7 +14,7 @@ from cellspark.operators.genes import flag_lists, map_genes, map_genes_without_t
 from cellspark.operators.publications import join_publications, publication_text
 from cellspark.operators.sentences import sentences_from_arrays, to_sparse
 from cellspark.operators.splits import split_dataset
-from cellspark.sources.tables import gene_list_names
+from cellspark.sources.tables import TABLE_ROW, gene_list_names
 
 CELL = ["dataset_id", "cell_id"]
 
@@ -36,8 +36,9 @@ class BuildOptions:
     skip_split: bool = False
     # Bring the cells of one output folder together before sentences are built, not after.
     cluster_output: bool = False
-    # Which of several symbols of one gene id is kept: the first in this order of columns.
-    symbol_order: tuple[str, ...] = ("symbol",)
+    # Which of several symbols of one gene id is kept: the first in this order of columns. By default the
+    # first line of the symbol table, where its reader has numbered them, else the first in the alphabet.
+    symbol_order: tuple[str, ...] | None = None
 
 
 def with_list_names(options: BuildOptions, gene_lists: DataFrame | None) -> BuildOptions:
@@ -50,7 +51,8 @@ def with_list_names(options: BuildOptions, gene_lists: DataFrame | None) -> Buil
 def gene_symbols(var: DataFrame, symbols: DataFrame | None, gene_lists: DataFrame | None, options: BuildOptions):
     """Genes of all datasets with symbol and list membership."""
     if options.use_hgnc and symbols is not None:
-        mapped = map_genes(var, symbols, list(options.symbol_order))
+        default = [TABLE_ROW if TABLE_ROW in symbols.columns else "symbol"]
+        mapped = map_genes(var, symbols, list(options.symbol_order or default))
     else:
         mapped = map_genes_without_table(var)
     flags = [quoted(f"in_{n}") for n in options.list_names]

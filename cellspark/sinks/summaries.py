@@ -17,11 +17,11 @@ def separator_for(fmt: str) -> str:
 
 def write_summary(summary: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
     """One delimited file with a header; summaries have one row per dataset."""
-    writer = summary.coalesce(1).write.mode(mode).option("header", True)
+    writer = summary.repartition(1).write.mode(mode).option("header", True)
     writer.option("sep", separator_for(fmt)).csv(path)
 
 
 def write_by_organism(summary: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
     """One folder per organism, named by its key; unknown organisms are skipped."""
-    writer = by_organism(summary).coalesce(1).write.mode(mode).option("header", True)
+    writer = by_organism(summary).repartition(1).write.mode(mode).option("header", True)
     writer.partitionBy("organism_key").option("sep", separator_for(fmt)).csv(path)

@@ -9,6 +9,9 @@ from pyspark.sql.utils import AnalysisException
 
 from cellspark.operators.columns import select_fields
 
+# Order of the lines in the symbol table.
+TABLE_ROW = "table_row"
+
 # Id columns of the symbol table that must stay text (they hold "312095|465000").
 SYMBOL_TEXT_COLUMNS = (
     "omim_id",
@@ -47,16 +50,21 @@ def read_datasets(spark: SparkSession, folders: list[str]) -> DataFrame:
 
 
 def read_symbol_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Tab-separated symbol table; the listed id columns are always text.
+    """Tab-separated symbol table; the listed id columns are always text. Adds ``table_row``.
 
     Without a schema only the header is read first; all columns come as text, which is what the
     join on id and symbol needs, and saves a pass over the file to guess types.
     """
     reader = spark.read.option("sep", "\t").option("header", True).option("quote", "")
     if schema is None:
-        return reader.csv(path)
+        return _with_table_row(reader.csv(path))
     fixed = [T.StructField(f.name, T.StringType()) if f.name in SYMBOL_TEXT_COLUMNS else f for f in schema]
-    return reader.schema(T.StructType(fixed)).csv(path)
+    return _with_table_row(reader.schema(T.StructType(fixed)).csv(path))
+
+
+def _with_table_row(symbols: DataFrame) -> DataFrame:
+    """Numbers that grow with the lines of the file, so that the first of several symbols can be kept."""
+    return symbols.withColumn(TABLE_ROW, F.monotonically_increasing_id())
 
 
 def read_typed_symbol_table(spark: SparkSession, path: str) -> DataFrame:

@@ -49,9 +49,11 @@ def test_symbol_table(spark, tmp_path):
     path = tmp_path / "symbols.tsv"
     path.write_text('ensembl_gene_id\tsymbol\tomim_id\trank\nENSG1\tA\t312095|465000\t1\nENSG2\tB "x\t12\t2\n')
     typed = read_typed_symbol_table(spark, str(path))
-    assert dict(typed.dtypes) == {"ensembl_gene_id": "string", "symbol": "string", "omim_id": "string", "rank": "int"}
+    types = {"ensembl_gene_id": "string", "symbol": "string", "omim_id": "string", "rank": "int", "table_row": "bigint"}
+    assert dict(typed.dtypes) == types
+    assert [r.symbol for r in typed.orderBy("table_row").collect()] == ["A", 'B "x']
     assert [r.omim_id for r in typed.orderBy("rank").collect()] == ["312095|465000", "12"]
-    assert set(dict(read_symbol_table(spark, str(path)).dtypes).values()) == {"string"}
+    assert set(dict(read_symbol_table(spark, str(path)).drop("table_row").dtypes).values()) == {"string"}
 
 
 def test_event_log_and_collections(spark, tmp_path):
@@ -247,6 +249,15 @@ def test_build_is_the_same_from_long_and_array_form(spark, tables, zeros):
     assert all(r["tissue"] in ("lung", "nan") for r in from_long.values())
 
 
+def test_first_symbol_of_the_table_wins(spark, tables):
+    obs, var, expr, _, _ = tables
+    rows = [("ENSG1", "ZZZ", 1), ("ENSG1", "AAA", 2)]
+    symbols = spark.createDataFrame(rows, "ensembl_gene_id string, symbol string, table_row long")
+    built = build_dataset(obs, var, expr, symbols, options=BuildOptions(top_n=None, skip_split=True))
+    words = {w for r in built.collect() for w in r["gene_sentence_all"].split()}
+    assert "ZZZ" in words and "AAA" not in words
+
+
 def test_build_without_split_or_age_filter(spark, tables):
     obs, var, expr, hgnc, lists = tables
     options = BuildOptions(top_n=None, skip_split=True, filter_by_age=False, use_hgnc=False, include_all=True)

@@ -49,3 +49,16 @@ def test_summaries_scan_the_cells_once_per_branch_of_one_reused_exchange(spark):
 def test_limits_are_taken_per_task(plan):
     for name in ("a25_top_values", "t6_head", "a14_null_age_sample"):
         assert "TakeOrderedAndProject" in plan(name)
+
+
+@pytest.mark.parametrize("name", ["c2_build_dataset", "c3_convert_dataset", "c1_cell_sentence_variants"])
+def test_expression_is_shuffled_once_and_without_symbols(spark, name):
+    """From the scan of the line items up to the array form there is one exchange, of numbers by cell."""
+    result = contract.queries()[name](spark, FOLDER)
+    plan = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "cell_id" in line]
+    assert exchanges and not any("symbol" in line for line in exchanges)
+    by_gene = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "gene_idx" in line]
+    assert not by_gene or name == "c1_cell_sentence_variants"  # there the values are summed by cell and gene first
+    grouped = re.findall(r"collect_list\(struct\(indices, ([^)]*)\)", plan.lower())
+    assert all("symbol" not in g for g in grouped)

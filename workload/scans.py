@@ -25,6 +25,7 @@ from cellspark.sinks.parquet import (
 from cellspark.sinks.summaries import write_by_organism, write_summary
 from cellspark.sources.files import list_files, read_collections, read_event_log
 from cellspark.sources.tables import (
+    TABLE_ROW,
     clean_gene_lists,
     read_chunks,
     read_datasets,
@@ -62,14 +63,14 @@ _TSV_SQL = sql("""
 
 @query("s3_symbol_tsv", _TSV_SQL)
 def symbol_tsv(spark, folder):
-    return read_typed_symbol_table(spark, _symbol_tsv(spark, folder))
+    return read_typed_symbol_table(spark, _symbol_tsv(spark, folder)).drop(TABLE_ROW)
 
 
 @query("k8_tsv_to_parquet", _TSV_SQL)
 def tsv_to_parquet(spark, folder):
     path = scratch_path(spark, "symbols")
     symbol_table_to_parquet(spark, _symbol_tsv(spark, folder), path)
-    return read_table(spark, path)
+    return read_table(spark, path).drop(TABLE_ROW)
 
 
 @query(
