@@ -22,7 +22,7 @@ import re
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,49 +39,63 @@ QUOTE_MARKS = "\"“”„«»‘’"
 REPORTING = re.compile(r"\b(?:quote[ds]?|quoting|said|says|wrote|called|word|term|citation|dit|écrit|sagte|schrieb|dijo|escribió)\b")
 
 # A worker remembers the matches of at most so many words.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 
 class Lexicon:
-    """Terms in a trie, and stems (written with a star); ``match`` gives the distance of a word to the nearest term, or None."""
+    """Terms in tries by length, and stems (written with a star); distances of words to the nearest term."""
 
     def __init__(self, terms: list[str], edits: int = 1, from_length: int = 5) -> None:
-        self.edits, self.from_length = edits, from_length
+        self.edits = edits
         self.terms = {t for t in terms if not t.endswith("*")}
-        self.stems = {n: {t[:-1] for t in terms if t.endswith("*") and len(t) == n + 1} for n in STEMS}
-        self.trie: dict = {}
-        self.heads: dict[int, set[str]] = {}
-        self.tails: dict[int, set[str]] = {}
+        self.stems = [(n, {t[:-1] for t in terms if t.endswith("*") and len(t) == n + 1}) for n in STEMS]
+        # Per length of terms: their first halves, their second halves, and their trie.
+        self.by_length: dict[int, tuple[set[str], set[str], dict]] = {}
         for term in sorted(self.terms):
             if len(term) < from_length:
                 continue
-            node = self.trie
+            heads, tails, node = self.by_length.setdefault(len(term), (set(), set(), {}))
+            heads.add(term[: len(term) // 2])
+            tails.add(term[len(term) // 2 :])
             for character in term:
                 node = node.setdefault(character, {})
             node[""] = term
-            # One edit leaves the first or the second half of a term whole at its end of the word.
-            half = len(term) // 2
-            self.heads.setdefault(half, set()).add(term[:half])
-            self.tails.setdefault(len(term) - half, set()).add(term[half:])
-        self.known: dict[str, int | None] = {}
+        self.seen: set[str] = set()
+        self.hits: dict[str, int] = {}
+
+    def matches(self, words: set[str]) -> dict[str, int]:
+        """The words near a term, with their distance."""
+        new = words - self.seen
+        if len(self.seen) + len(new) > REMEMBERED:
+            self.seen, self.hits, new = set(), {}, words
+        for word in new:
+            distance = self.match(word)
+            if distance is not None:
+                self.hits[word] = distance
+        self.seen |= new
+        return {w: self.hits[w] for w in words & self.hits.keys()}
 
     def match(self, word: str) -> int | None:
-        known = self.known
-        if word not in known:
-            if len(known) >= REMEMBERED:
-                known.clear()
-            known[word] = self._match(word)
-        return known[word]
-
-    def _match(self, word: str) -> int | None:
-        if word in self.terms or any(word[:n] in stems for n, stems in self.stems.items()):
+        if word in self.terms:
             return 0
-        near = any(word[:n] in heads for n, heads in self.heads.items()) or any(word[-n:] in tails for n, tails in self.tails.items())
-        return self._walk(word) if near else None
+        for n, stems in self.stems:
+            if word[:n] in stems:
+                return 0
+        length, best = len(word), None
+        for size in range(length - self.edits, length + self.edits + 1):
+            if size in self.by_length:
+                heads, tails, trie = self.by_length[size]
+                half = size // 2
+                # One edit leaves the first or the second half of a term whole at its end of the word.
+                if word[:half] in heads or word[half - size :] in tails:
+                    found = self._walk(word, trie)
+                    best = found if best is None else best if found is None else min(best, found)
+        return best
 
-    def _walk(self, word: str) -> int | None:
+    def _walk(self, word: str, trie: dict) -> int | None:
+        """The automaton's row of edits is kept along the trie; branches that cannot match any more are left."""
         best, most = None, self.edits
-        stack = [(self.trie, list(range(len(word) + 1)))]
+        stack = [(trie, list(range(len(word) + 1)))]
         while stack:
             node, row = stack.pop()
             for character, child in node.items():
@@ -104,7 +118,7 @@ def features(lexicon: Lexicon, text: str | None) -> tuple[float, float, float, f
     """Damped counts of exact, misspelled and quoted matches, and their share of the words."""
     lower = (text or "").lower()
     words = WORD.findall(lower)
-    hits = {w: d for w in set(words) if (d := lexicon.match(w)) is not None}
+    hits = lexicon.matches(set(words))
     if not hits:
         return 0.0, 0.0, 0.0, 0.0
     exact = near = quoted = 0
@@ -132,9 +146,9 @@ class Model:
     fitted: bool = False
 
     def score(self, texts) -> np.ndarray:
-        if not self.fitted:
-            return np.zeros(len(texts))
         x = np.array([features(self.lexicon, t) for t in texts], float).reshape(-1, len(FEATURES))
+        if not self.fitted:
+            return np.zeros(len(x))
         return 1 / (1 + np.exp(-(x @ np.array(self.weights) + self.bias)))
 
 
@@ -166,9 +180,9 @@ def learn(sample: DataFrame, max_terms: int = 2000, purity: float = 0.9, chance:
     terms = [r["word"] for r in pure.orderBy(F.desc("bad"), "word").limit(max_terms).collect()]
     model = Model(Lexicon(terms))
 
-    @F.pandas_udf("array<double>")
-    def measured(texts: pd.Series) -> pd.Series:
-        return pd.Series([list(features(model.lexicon, t)) for t in texts], dtype=object)
+    @F.arrow_udf("array<double>")
+    def measured(texts: pa.Array) -> pa.Array:
+        return pa.array([list(features(model.lexicon, t.as_py())) for t in texts], pa.list_(pa.float64()))
 
     # Equal measurements are counted together; the rows are bounded by the sample.
     rows = sample.groupBy(measured("text").alias("x"), "toxic").count().collect()
@@ -192,8 +206,8 @@ def learn(sample: DataFrame, max_terms: int = 2000, purity: float = 0.9, chance:
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """All columns of ``docs`` and the score of ``text``, 0 to 1; the model (at most ``max_terms`` terms) travels with the function."""
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(texts))
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        return pa.array(model.score(t.as_py() for t in texts), pa.float64())
 
     return docs.withColumn(name, scored("text"))

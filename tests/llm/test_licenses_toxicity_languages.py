@@ -69,6 +69,7 @@ def test_lexicon_against_brute_force():
         near = [edits(word, t) for t in terms if len(t) >= 5 or t == word]
         best = min(near, default=9)
         assert lexicon.match(word) == (best if best <= 1 else None)
+        assert lexicon.matches({word}).get(word) == lexicon.match(word)
     assert toxicity.Lexicon(["abcd*"]).match("abcdxyz") == 0
 
 
