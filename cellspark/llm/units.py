@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 # A worker remembers at most so many units; then it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 800_000
 
 # Texts are taken together until they hold so many characters.
 CHARACTERS = 500_000
@@ -19,10 +19,9 @@ CHARACTERS = 500_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
-def _edged(unit: str, first: bool) -> bool:
-    """Whether white space at an edge could belong to a longer run of white space."""
-    inner = unit if first else unit[1:]
-    return not inner or inner[-1].isspace() or (not first and inner[0].isspace())
+def _edged(piece: str) -> bool:
+    """Whether white space at an edge, or nothing at all, could belong to a longer run of white space."""
+    return not piece or piece[0].isspace() or piece[-1].isspace()
 
 
 def units_of(text: str) -> list[str]:
@@ -31,39 +30,41 @@ def units_of(text: str) -> list[str]:
 
 
 class Units:
-    """``of(texts)`` gives for each text the values of its units; ``compute`` makes the values of new units."""
+    """``of(texts)`` gives for each text the values of its units; ``compute`` makes the values of new units.
+
+    Units are known without their leading space; those that begin a text, with one that they do not have.
+    """
 
     def __init__(self, compute: Callable[[list[str]], Iterable[Any]]) -> None:
         self.compute = compute
         self.known: dict[str, Any] = {}
 
     def _batch(self, texts: list[str]) -> Iterator[list[Any]]:
-        split = []
-        for text in texts:
-            first, *rest = text.split(" ")
-            split.append([first, *[" " + piece for piece in rest]])
-        known = self.known
+        get = self.known.get
+        rows = []
         missing: set[str] = set()
-        for place, units in enumerate(split):
-            new = [u for u in units if u not in known]
-            if any(_edged(u, u is units[0]) for u in new):
-                split[place] = units = units_of(texts[place])
-                new = [u for u in units if u not in known]
-            missing.update(new)
-        fresh = dict(zip(missing, self.compute(list(missing)), strict=True)) if missing else {}
-        if len(known) + len(fresh) > REMEMBERED:
-            keep = {u: known[u] for units in split for u in units if u in known}
-            known.clear()
-            known.update(keep)
-        known.update(fresh)
-        for units in split:
-            yield [known[u] for u in units]
-        for unit in fresh:
-            if _edged(unit, False) or _edged(unit, True):
-                known.pop(unit, None)
+        for text in texts:
+            for cut in (str.split, _CUT.split):
+                pieces = text.split(" ") if cut is str.split else cut(text)
+                pieces[0] = " " + pieces[0]
+                values = list(map(get, pieces))
+                gaps = [i for i, v in enumerate(values) if v is None] if None in values else []
+                if not any(_edged(pieces[i] if i else pieces[i][1:]) for i in gaps):
+                    break
+            missing.update(pieces[i] for i in gaps)
+            rows.append((values, [(i, pieces[i]) for i in gaps]))
+        new = list(missing)
+        fresh = dict(zip(new, self.compute([u[1:] if u[:1] == " " else " " + u for u in new]), strict=True))
+        if len(self.known) + len(fresh) > REMEMBERED:
+            self.known = {}
+        self.known.update((u, v) for u, v in fresh.items() if not _edged(u[1:] if u[:1] == " " else u))
+        for values, gaps in rows:
+            for i, unit in gaps:
+                values[i] = fresh[unit]
+            yield values
 
     def of(self, texts: Iterable[str | None]) -> Iterator[list[Any]]:
-        """A null text has no units."""
+        """A null text has the values of an empty one."""
         batch, size = [], 0
         for text in texts:
             batch.append(text or "")
@@ -71,4 +72,5 @@ class Units:
             if size >= CHARACTERS:
                 yield from self._batch(batch)
                 batch, size = [], 0
-        yield from self._batch(batch)
+        if batch:
+            yield from self._batch(batch)
