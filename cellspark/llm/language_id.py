@@ -21,10 +21,11 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from cellspark.llm.common import stored
 
@@ -33,7 +34,8 @@ START = "▁"  # the vocabulary's mark of a word's start
 LONGEST_PIECE = 8
 PART = 32
 UNKNOWN = 1e-5  # probability of a character in no known piece, in every language
-REMEMBERED = 400_000
+REMEMBERED = 300_000
+PREDICTION = T.StructType().add("lang_pred", T.StringType()).add("score", T.DoubleType())
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -209,21 +211,22 @@ class Scorer:
         self.places: dict[str, int] = {}
         self.table = np.zeros((0, len(model.languages)))
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text)
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        split = [words_of(text) for text in texts]
+        self._learn(set().union(*split))
+        return [self._predict(words) for words in split]
+
+    def _predict(self, words: list[str]) -> tuple[str, float]:
         if not words or not self.model.languages:
             return "und", 0.0
         total = self.table[np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))].sum(0)
         best = int(np.argmax(total))
         return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
-    def learn_words(self, texts: list[str | None]) -> None:
-        wanted = set()
-        for text in texts:
-            wanted.update(words_of(text))
+    def _learn(self, wanted: set[str]) -> None:
         if len(self.places) + len(wanted) > REMEMBERED:
             self.places, self.table = {}, self.table[:0]
-        new = [w for w in wanted if w not in self.places]
+        new = sorted(wanted - self.places.keys())
         if new and self.model.languages:
             rows = log_likelihoods(pieces(self.model.path), self.model.probability, new)
             self.places.update(zip(new, range(len(self.table), len(self.table) + len(new)), strict=True))
@@ -234,14 +237,14 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """Per row ``doc_id``, ``lang_pred`` and the ``score`` of that language against the others."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages times the pieces of a fixed vocabulary
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predicted(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf(PREDICTION)
+    def predicted(texts: pa.Array) -> pa.Array:
         scorer = _scorer(sent)
-        rows, texts = [], texts.tolist()
+        rows = []
         for first in range(0, len(texts), 200):
-            scorer.learn_words(texts[first : first + 200])
-            rows += [scorer.predict(t) for t in texts[first : first + 200]]
-        return pd.DataFrame(rows, columns=["lang_pred", "score"])
+            some = texts.slice(first, 200).to_pylist()
+            rows += scorer.predict(some)
+        return pa.array([{"lang_pred": lang, "score": score} for lang, score in rows], to_arrow_type(PREDICTION))
 
     return docs.select("doc_id", predicted("text").alias("p")).select("doc_id", "p.*")
 

@@ -18,9 +18,11 @@ from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # Phrases that always give their label.
 PHRASES = {
@@ -191,18 +193,31 @@ def _chains(found: list[tuple[int, int, int]], gap: int) -> list[tuple[int, int,
     return [(c[0], c[1], c[3]) for c in done + open_chains]
 
 
-SCHEMA = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, spans array<struct<first:long,after:long,label:string,cover:double>>, score double"
+SPAN = T.StructType().add("first", T.LongType()).add("after", T.LongType()).add("label", T.StringType()).add("cover", T.DoubleType())
+SCHEMA = (
+    T.StructType()
+    .add("n_words", T.LongType())
+    .add("n_base", T.LongType())
+    .add("first_word", T.LongType())
+    .add("last_word", T.LongType())
+    .add("base_labels", T.StringType())
+    .add("labels", T.StringType())
+    .add("spans", T.ArrayType(SPAN))
+    .add("score", T.DoubleType())
+)
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES, limits: Limits = Limits()) -> DataFrame:
     """Per row ``doc_id`` and what the scan of its text found; the automaton travels with the function, its size is that of the templates."""
     automaton = SuffixAutomaton(templates, phrases)
 
-    @F.pandas_udf(SCHEMA)
-    def scanned(texts: pd.Series) -> pd.DataFrame:
+    arrow_type = to_arrow_type(SCHEMA)
+
+    @F.arrow_udf(SCHEMA)
+    def scanned(texts: pa.Array) -> pa.Array:
         rows = []
         for text in texts:
-            words = words_of(text or "")
+            words = words_of(text.as_py() or "")
             places, spans = automaton.scan(words, limits)
             starts = [p for p, _ in places]
             base = {label for _, label in places}
@@ -218,7 +233,6 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[s
                     "score": 1.0 if places else max((min(1.0, c) for *_, c in spans), default=0.0),
                 }
             )
-        frame = pd.DataFrame(rows, columns=["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "spans", "score"])
-        return frame.astype({"first_word": "Int64", "last_word": "Int64"})
+        return pa.array(rows, arrow_type)
 
     return docs.select("doc_id", scanned("text").alias("found")).select("doc_id", "found.*")

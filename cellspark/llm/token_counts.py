@@ -15,7 +15,7 @@ import heapq
 import json
 import re
 
-import pandas as pd
+import pyarrow as pa
 import regex
 from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
@@ -107,9 +107,9 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
     """Per row ``doc_id``, ``n_bytes``, ``n_tokens`` and whether ``n_tokens`` exceeds ``limit``; ``path`` names a
     vocabulary file that every worker can open."""
 
-    @F.pandas_udf("long")
-    def n_tokens(texts: pd.Series) -> pd.Series:
-        return pd.Series(counter(path).count(texts), dtype="int64")
+    @F.arrow_udf("long")
+    def n_tokens(texts: pa.Array) -> pa.Array:
+        return pa.array(counter(path).count(t.as_py() for t in texts), pa.int64())
 
     text = F.coalesce(F.col("text"), F.lit(""))
     counted = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), n_tokens(text).alias("n_tokens"))
