@@ -1,15 +1,16 @@
 """N-gram Jaccard join: a grouped prefix join over sets of word shingles, down to components of linked documents.
 
 1. Documents become sets of 64-bit shingle hashes. Equal sets are one class.
-2. A table of counters of fixed size, summed over all documents, orders shingles roughly from rare to frequent; any
-   order gives the same links. The first ``size - ceil(t * size) + 1`` shingles of a set are its prefix.
+2. A table of counters of fixed size, summed over all documents, orders shingles roughly from rare to frequent: what a
+   counter has beyond the usual load comes from a frequent shingle. Any order gives the same links. The first ``size - ceil(t * size) + 1`` shingles of a set are its prefix.
 3. Classes with identical prefix and size form one group; groups meet on shared prefix shingles, and groups that
    meet nobody are done. Only then are the groups expanded to their members.
 4. Members that share a shingle are paired under three filters that lose no link: sizes, positions, and the bits in
-   which two 1024-bit parity maps of the sets differ. Survivors are verified on the whole sets.
-5. Pairs are not enumerated where they cannot matter. The first round pairs every member only with the least one at
-   its shingle, the second with up to eight; classes already connected are not paired again. The last round takes all
-   remaining pairs of different components, so the components are those of all links.
+   which two parity maps of the sets differ (256 bits at the shingle, 1024 afterwards). Survivors are verified on the
+   whole sets.
+5. Pairs are not enumerated where they cannot matter. The first round pairs every member with one other only, the
+   second with up to eight; classes already connected are not paired again. The last round takes all remaining pairs
+   of different components, so the components are those of all links.
 
 Defined cases: a null or empty text has an empty set, links with nothing and is its own component; fewer words than a
 shingle are one shingle; repeated rows and equal texts share a class; a null id is never the least one; an empty table
@@ -18,6 +19,7 @@ gives an empty result; texts of any length are used whole; other columns are not
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 from cellspark.llm.common import components, slices, stored, sum_over_partitions
 
 MAP_WORDS = 16  # 64-bit words of a parity map
-COUNTER_BITS = 21
+SMALL_WORDS = 4  # of the map that travels with a shingle
+COUNTER_BITS = 22
 _FACTOR, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -66,7 +69,11 @@ def _slots(found: np.ndarray) -> np.ndarray:
 
 
 def frequency_levels(docs: DataFrame, similarity: Similarity) -> np.ndarray:
-    """For each slot of shingle hashes the power of two of its count over all documents."""
+    """For each slot of shingle hashes the power of two of its count over all documents, beyond the usual load.
+
+    Rare shingles share slots at random, so loads spread by their square root around the median; what is four
+    such widths above it holds a frequent shingle.
+    """
 
     def count(batches):
         counts = np.zeros(1 << COUNTER_BITS, np.uint32)
@@ -78,7 +85,9 @@ def frequency_levels(docs: DataFrame, similarity: Similarity) -> np.ndarray:
     counts = sum_over_partitions(docs.select("text"), count)
     if counts is None:
         counts = np.zeros(1 << COUNTER_BITS, np.uint32)
-    return np.log2(counts + 1.0).astype(np.uint8)
+    usual = float(np.median(counts))
+    excess = counts.astype(float) - usual
+    return np.where(excess > 4 * math.sqrt(usual + 1), np.log2(np.maximum(excess, 1.0)) + 1, 0).astype(np.uint8)
 
 
 def describe(docs: DataFrame, similarity: Similarity) -> DataFrame:
@@ -119,24 +128,35 @@ def _classes(described: DataFrame) -> DataFrame:
     return stored(rows.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
 
+SMALL = [f"bits_{i}" for i in range(SMALL_WORDS)]
+
+
+def _small_map() -> list[Column]:
+    """The parity map folded to a quarter, which is the parity map of fewer bits."""
+    parts = MAP_WORDS // SMALL_WORDS
+    return [reduce(Column.bitwiseXOR, [F.get("map", F.lit(i + SMALL_WORDS * k)) for k in range(parts)]).alias(name) for i, name in enumerate(SMALL)]
+
+
 def _postings(classes: DataFrame) -> DataFrame:
-    """(``token``, ``cid``, ``n``, ``at``): members of groups that share a prefix shingle; members of one group share its number."""
+    """(``token``, ``cid``, ``n``, ``at``, small map): members of groups that share a prefix shingle; members of one
+    group share its number."""
     groups = classes.groupBy("prefix_digest", "n").agg(F.min("cid").alias("gid"), F.count("*").alias("members"))
-    members = classes.select("cid", "prefix_digest", "n").join(groups, ["prefix_digest", "n"]).select("cid", "n", "gid", "members")
+    members = classes.select("cid", "prefix_digest", "n", *_small_map()).join(groups, ["prefix_digest", "n"]).select("cid", "n", "gid", "members", *SMALL)
     tokens = classes.join(groups.select(F.col("gid").alias("cid")), "cid", "left_semi").select(F.col("cid").alias("gid"), F.posexplode("prefix").alias("at", "token"))
     shared = tokens.groupBy("token").count().where("count > 1").select("token")
-    met = tokens.join(shared, "token").join(members, "gid").select("token", "cid", "n", "at")
-    inside = members.where("members > 1").select(F.col("gid").alias("token"), "cid", "n", F.lit(0).alias("at"))
+    met = tokens.join(shared, "token").join(members, "gid").select("token", "cid", "n", "at", *SMALL)
+    inside = members.where("members > 1").select(F.col("gid").alias("token"), "cid", "n", F.lit(0).alias("at"), *SMALL)
     return stored(met.unionByName(inside), "postings")
 
 
 def _possible(x: str, y: str, similarity: Similarity) -> Column:
-    """Size and position filters for members ``x`` and ``y`` of one token."""
+    """Size, position and small-map filters for members ``x`` and ``y`` of one token."""
     num, den = similarity.num, similarity.den
     a, b, i, j = F.col(f"{x}.n").cast("long"), F.col(f"{y}.n").cast("long"), F.col(f"{x}.at"), F.col(f"{y}.at")
     sizes = F.least(a, b) * den >= F.greatest(a, b) * num
     most = F.least(i, j) + 1 + F.least(a - i - 1, b - j - 1)
-    return sizes & (most * (den + num) >= (a + b) * num)
+    differing = reduce(Column.__add__, [F.bit_count(F.col(f"{x}.{m}").bitwiseXOR(F.col(f"{y}.{m}"))) for m in SMALL])
+    return sizes & (most * (den + num) >= (a + b) * num) & ((a + b - differing) * (den + num) >= (a + b) * (2 * num))
 
 
 def _candidates(postings: DataFrame, classes: DataFrame, labels: DataFrame | None, stars: int | None, similarity: Similarity) -> DataFrame:
@@ -144,17 +164,23 @@ def _candidates(postings: DataFrame, classes: DataFrame, labels: DataFrame | Non
     if labels is None:
         rows = postings.withColumn("label", F.col("cid"))
     else:
-        rows = postings.join(labels, postings["cid"] == labels["node"], "left").select("token", "cid", "n", "at", F.coalesce("label", "cid").alias("label"))
+        rows = postings.join(labels, postings["cid"] == labels["node"], "left").select("token", "cid", "n", "at", *SMALL, F.coalesce("label", "cid").alias("label"))
         live = rows.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("token")
         rows = stored(rows.join(live, "token"), "live-postings")
     if stars is None:
         others, apart = rows, F.col("x.cid") < F.col("y.cid")
     else:
-        least = F.min(F.struct("cid", "n", "at", "label")).alias("r")
-        others = rows.groupBy("token", F.pmod(F.xxhash64("cid"), F.lit(stars))).agg(least).select("token", "r.*")
+        ray = F.pmod(F.xxhash64("cid"), F.lit(stars)).alias("ray")
+        least = F.min(F.struct("cid", "n", "at", *SMALL, "label")).alias("r")
+        others = rows.groupBy("token", ray).agg(least).select("token", "ray", "r.*")
         apart = F.col("x.cid") != F.col("y.cid")
     met = rows.alias("x").join(others.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & (F.col("x.label") != F.col("y.label")) & _possible("x", "y", similarity))
-    pairs = met.select(F.greatest("x.cid", "y.cid").alias("u"), F.least("x.cid", "y.cid").alias("v")).distinct()
+    if stars is not None:
+        # Of the centres that a member meets at its shingles, one per ray.
+        met = met.groupBy(F.col("x.cid").alias("x_cid"), "ray").agg(F.min("y.cid").alias("y_cid"))
+    else:
+        met = met.select(F.col("x.cid").alias("x_cid"), F.col("y.cid").alias("y_cid"))
+    pairs = met.select(F.greatest("x_cid", "y_cid").alias("u"), F.least("x_cid", "y_cid").alias("v")).distinct()
     maps = classes.select("cid", "n", "map")
     for side in ("u", "v"):
         pairs = pairs.join(maps.select(F.col("cid").alias(side), F.col("n").alias(f"n_{side}"), F.col("map").alias(f"map_{side}")), side)
