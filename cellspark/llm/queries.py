@@ -152,6 +152,27 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
-@query("op6_jaccard_join")
+@query(
+    "op6_jaccard_join",
+    """
+    WITH RECURSIVE texts AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+    sets AS (
+      SELECT DISTINCT doc_id, ws[i:i + 2] AS shingle
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM texts WHERE len(ws) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY 1),
+    met AS (
+      SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM sets x JOIN sets y USING (shingle)
+      WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+    links AS (
+      SELECT a, b FROM met JOIN sizes s ON a = s.doc_id JOIN sizes t ON b = t.doc_id WHERE 100 * common >= 90 * (s.n + t.n - common)),
+    reach AS (
+      SELECT doc_id, doc_id AS other FROM texts UNION SELECT reach.doc_id, b FROM reach JOIN links ON other = a)
+    SELECT t.doc_id, coalesce(n, 0) AS n_shingles, component_id
+    FROM texts t LEFT JOIN sizes s ON t.doc_id = s.doc_id
+    JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) c ON t.doc_id = c.doc_id
+    """,
+)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(documents(spark, sf_dir), jaccard_join.Similarity(words=3, num=90, den=100))
