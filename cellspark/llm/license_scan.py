@@ -1,10 +1,12 @@
 """License scans: a generalised suffix automaton over the words of license templates.
 
 A text's words stream through the automaton; at every word the state and the matched length are the matching
-statistics. Where the length cannot grow, a long enough match becomes a segment of every template it occurs in.
-Segments of one template that follow each other in text and template are chained, and a chain that covers
-enough of its template labels the text. Short phrases that always count are read off the same states: a phrase
-ends where its state is on the suffix path of the current one.
+statistics. The states on the suffix path hold, for every template and place, the longest match that ends there;
+where the template does not go on like the text, a long enough one becomes a segment, also under a longer match
+of another template. Segments of one template that follow each other in text and template are chained, and a chain
+that covers enough of its template labels the text, unless it is a part only and stands inside another template that
+is there whole (a notice of version 3 is not most of one of version 2). Short phrases that always count are read off the same states:
+a phrase ends where its state is on the suffix path of the current one.
 
 Defined cases: a null or empty text has no words, no labels and score 0; repeated rows are scanned alike; texts
 of any length are streamed whole, words unknown to the templates only reset the match; ties between chains go to
@@ -74,6 +76,8 @@ class SuffixAutomaton:
         self.templates = [(words_of(t), label) for t, label in templates.items()]
         self.phrases = [(words_of(p), label) for p, label in phrases.items()]
         self.ids: dict[bytes, int] = {}
+        # The word after each place of a template; -1, which no text has, at its end.
+        self.after = [[*(self.ids.setdefault(w, len(self.ids) + 1) for w in words), -1] for words, _ in self.templates]
         self.longest, self.link, self.next = [0], [-1], [{}]
         ends: dict[int, set[tuple[int, int]]] = defaultdict(set)
         for number, (words, _) in enumerate(self.templates + self.phrases):
@@ -145,6 +149,17 @@ class SuffixAutomaton:
                 state, length = self.next[state][word], length + 1
             yield state, length
 
+    def held(self, state: int, length: int, least: int):
+        """(template, place after the match, words) of the longest match at every place of every template, down to ``least`` words."""
+        seen: set[tuple[int, int]] = set()
+        while length >= least and state > 0:
+            for place in self.ends.get(state, ()):
+                if place not in seen:
+                    seen.add(place)
+                    yield *place, length
+            state = self.link[state]
+            length = self.longest[state]
+
     def scan(self, words: list[bytes], limits: Limits) -> tuple[list[tuple[int, str]], list[tuple[int, int, str, float]]]:
         """Phrase places (start, label), and covered spans (first word, word after the last, label, share of the template)."""
         get = self.ids.get
@@ -158,39 +173,53 @@ class SuffixAutomaton:
             if len(run) < shortest:
                 continue
             first = int(run[0])
-            trace = list(self.statistics(ids[run].tolist()))
-            for place, (state, length) in enumerate(trace):
+            numbers = ids[run].tolist()
+            following = [*numbers[1:], 0]
+            for place, (state, length) in enumerate(self.statistics(numbers)):
                 end = first + place + 1
                 places += [(end - n, label) for n, label in self.phrase_ends[state] if n <= length]
-                grows = place + 1 < len(trace) and trace[place + 1][1] == length + 1
-                if length >= limits.least_match and not grows:
-                    for template, stop in self.ends.get(state, ()):
-                        segments[template].append((end - length, stop - length, length))
+                if length >= limits.least_match:
+                    for template, stop, n in self.held(state, length, limits.least_match):
+                        if self.after[template][stop] != following[place]:
+                            segments[template].append((end - n, stop - n, n))
         spans = []
+        whole = {(a, a + n) for template, found in segments.items() for a, _, n in found if n == len(self.templates[template][0])}
         for template, found in segments.items():
             size, label = len(self.templates[template][0]), self.templates[template][1]
             for start, end, covered in _chains(sorted(found), limits.most_gap):
-                if covered / size >= limits.least_cover:
+                other = covered < size and any(a <= start and end <= b and end - start < b - a for a, b in whole)
+                if covered / size >= limits.least_cover and not other:
                     spans.append((start, end, label, covered / size))
         return places, sorted(spans)
 
 
 def _chains(found: list[tuple[int, int, int]], gap: int) -> list[tuple[int, int, int]]:
-    """(start, end, words covered) of chains: each segment joins the chain that ends right before it, else opens one."""
-    open_chains: list[list[int]] = []  # text start, text end, template end, covered
-    done = []
-    for start, place, length in found:
-        stale = [c for c in open_chains if start - c[1] > gap]
-        done += stale
-        open_chains = [c for c in open_chains if start - c[1] <= gap]
-        for chain in open_chains:
-            overlap = max(0, chain[1] - start, chain[2] - place)
-            if overlap < length and place - chain[2] <= gap and abs((start - chain[1]) - (place - chain[2])) <= gap:
-                chain[1], chain[2], chain[3] = start + length, place + length, chain[3] + length - overlap
+    """(start, end, words covered) of chains: each segment goes on the chain with which it covers most, and is in one chain only."""
+    best: list[tuple[int, int, int]] = []  # words covered up to a segment, the segment before it or -1, words new
+    near: list[int] = []
+    for number, (start, place, length) in enumerate(found):
+        near = [i for i in near if start - found[i][0] - found[i][2] <= gap]
+        most = (length, -1, length)
+        for i in near:
+            end, stop = found[i][0] + found[i][2], found[i][1] + found[i][2]
+            new = length - max(0, end - start, stop - place)
+            if new > 0 and place - stop <= gap and abs((start - end) - (place - stop)) <= gap and best[i][0] + new > most[0]:
+                most = (best[i][0] + new, i, new)
+        best.append(most)
+        near.append(number)
+    chains, used = [], set()
+    for last in sorted(range(len(found)), key=lambda i: (-best[i][0], i)):
+        if last in used:
+            continue
+        number, covered = last, 0
+        while True:
+            used.add(number)
+            _, before, new = best[number]
+            if before < 0 or before in used:
                 break
-        else:
-            open_chains.append([start, start + length, place + length, length])
-    return [(c[0], c[1], c[3]) for c in done + open_chains]
+            covered, number = covered + new, before
+        chains.append((found[number][0], found[last][0] + found[last][2], covered + found[number][2]))
+    return chains
 
 
 SPAN = T.StructType().add("first", T.LongType()).add("after", T.LongType()).add("label", T.StringType()).add("cover", T.DoubleType())

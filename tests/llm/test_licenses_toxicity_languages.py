@@ -50,6 +50,70 @@ def test_chained_templates(make, empty):
     assert license_scan.scan(empty).count() == 0
 
 
+def brute_segments(words, template, least):
+    """Runs of equal words, as long as they can be, on every diagonal: (start in the text, in the template, words)."""
+    found = []
+    for shift in range(-len(template), len(words)):
+        run = 0
+        for place in range(len(template) + 1):
+            at = place + shift
+            if place < len(template) and 0 <= at < len(words) and words[at] == template[place]:
+                run += 1
+                continue
+            if run >= least:
+                found.append((at - run, place - run, run))
+            run = 0
+    return sorted(found)
+
+
+def brute_chains(found, gap):
+    """All chains: (start, end, words covered)."""
+
+    def ending(i):
+        start, place, length = found[i]
+        yield start, start + length, length
+        for j, (a, b, n) in enumerate(found[:i]):
+            new = length - max(0, a + n - start, b + n - place)
+            if new > 0 and start - a - n <= gap and place - b - n <= gap and abs((start - a) - (place - b)) <= gap:
+                yield from ((first, start + length, covered + new) for first, _, covered in ending(j))
+
+    return [chain for i in range(len(found)) for chain in ending(i)]
+
+
+def test_spans_against_brute_force():
+    random.seed(7)
+    limits, seen = license_scan.Limits(), 0
+    for trial in range(60):
+        letters = "abc" if trial % 2 else "abcdefgh"
+        templates = [random.choices(letters, k=random.randint(4, 12)) for _ in range(5)]
+        templates.append(random.choices(letters, k=2) + templates[0] + random.choices(letters, k=3))  # holds another whole
+        automaton = license_scan.SuffixAutomaton({" ".join(t): f"t{i}" for i, t in enumerate(templates)}, {"a b c": "abc"})
+        words = random.choices(letters, k=4)
+        for template in random.choices(templates, k=3):
+            cut = random.randint(0, 3)
+            words += template[cut : len(template) - random.randint(0, 2)] + random.choices(letters + "z", k=random.randint(1, 3))
+        spans = automaton.scan([w.encode() for w in words], limits)[1]
+        best = {}
+        for *_, label, cover in spans:
+            best[label] = max(cover, best.get(label, 0))
+        expected, words = {}, [w.encode() for w in words]
+        whole = [(i, i + len(t)) for t, _ in automaton.templates for i in range(len(words)) if words[i : i + len(t)] == t]
+        for template, label in automaton.templates:
+            for start, end, covered in brute_chains(brute_segments(words, template, limits.least_match), limits.most_gap):
+                other = any(a <= start and end <= b and end - start < b - a for a, b in whole)
+                if covered == len(template) or covered >= limits.least_cover * len(template) and not other:
+                    expected[label] = max(covered / len(template), expected.get(label, 0))
+        assert best == expected
+        seen += len(expected)
+    assert seen > 100
+
+
+def test_shorter_template_under_a_longer_match():
+    automaton = license_scan.SuffixAutomaton(license_scan.TEMPLATES, license_scan.PHRASES)
+    text = "Distributed under the GNU General Public License, version 3."
+    assert automaton.scan(license_scan.words_of(text), license_scan.Limits())[1] == [(3, 9, "gpl-3", 1.0)]
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
