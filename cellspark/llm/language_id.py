@@ -10,7 +10,8 @@ Learning takes the ``max_rows`` labelled rows with the smallest hashes of ids. I
 inputs of a prediction.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; without labelled rows everything is
-``und``; words are read in parts of at most 32 characters; ties go to the language that sorts first; repeated rows
+``und``; pieces may be as long as the vocabulary has them, and words of any length are summed whole, in blocks of 32
+characters that hand their sums on; ties go to the language that sorts first; repeated rows
 are predicted alike; other columns are not read.
 """
 
@@ -31,20 +32,18 @@ from cellspark.llm.common import stored
 
 WORD = re.compile(r"[^\W\d_]+")
 START = "▁"  # the vocabulary's mark of a word's start
-LONGEST_PIECE = 8
-PART = 32
+LONGEST_PIECE = 16  # of the public vocabulary, for tests; the code takes that of the file, ``Pieces.longest``
+PART = 32  # characters of a block; sums are scaled between blocks
 UNKNOWN = 1e-5  # probability of a character in no known piece, in every language
-REMEMBERED = 300_000
+REMEMBERED = 300_000  # blocks of words
 PREDICTION = T.StructType().add("lang_pred", T.StringType()).add("score", T.DoubleType())
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+Found = list[list[tuple[int, np.ndarray, np.ndarray]]]
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-cased runs of letters, in parts of at most ``PART`` characters."""
-    words = WORD.findall((text or "").lower())
-    if any(len(w) > PART for w in words):
-        words = [w[i : i + PART] for w in words for i in range(0, len(w), PART)]
-    return words
+    """Lower-cased runs of letters."""
+    return WORD.findall((text or "").lower())
 
 
 class Pieces:
@@ -57,31 +56,38 @@ class Pieces:
         usable = [i for i in range(library.get_piece_size()) if not (library.is_control(i) or library.is_unknown(i) or library.is_byte(i))]
         texts = {i: library.id_to_piece(i) for i in usable}
         self.size = library.get_piece_size()
+        self.longest = max(map(len, texts.values()), default=1)
         self.by_length = {}
-        for length in range(1, LONGEST_PIECE + 1):
+        for length in range(1, self.longest + 1):
             ids = [i for i, t in texts.items() if len(t) == length]
             if ids:
-                hashes = self._hashes(np.array([[ord(c) for c in texts[i]] for i in ids], np.uint64), length)[:, 0]
-                order = np.argsort(hashes)
-                self.by_length[length] = (hashes[order], np.array(ids)[order])
+                *_, hashes = self._hashes(np.array([[ord(c) for c in texts[i]] for i in ids], np.uint64), length)
+                order = np.argsort(hashes[:, 0])
+                self.by_length[length] = (hashes[order, 0], np.array(ids)[order])
 
     @staticmethod
-    def _hashes(codes: np.ndarray, length: int) -> np.ndarray:
-        width = codes.shape[1] - length + 1
-        total = np.zeros((len(codes), width), np.uint64)
-        for place in range(length):
-            total = total * _BASE + codes[:, place : place + width] + np.uint64(1)
-        return total
-
-    def found(self, codes: np.ndarray) -> dict[int, np.ndarray]:
-        """For each length the piece at every place of every word, or -1."""
-        result = {}
-        for length, (hashes, ids) in self.by_length.items():
-            if length > codes.shape[1]:
-                break
-            wanted = self._hashes(codes, length)
+    def _hashes(codes: np.ndarray, longest: int):
+        """Hashes at every place, for each length in turn."""
+        total = np.zeros(codes.shape, np.uint64)
+        for length in range(1, min(longest, codes.shape[1]) + 1):
+            total = total[:, : codes.shape[1] - length + 1] * _BASE + codes[:, length - 1 :] + np.uint64(1)
+            yield total
+
+    def found(self, codes: np.ndarray, places: int) -> Found:
+        """At each of the first ``places``: the pieces that begin there, by length, as (words, pieces)."""
+        result: Found = [[] for _ in range(places)]
+        for length, wanted in enumerate(self._hashes(codes, self.longest), 1):
+            if length not in self.by_length:
+                continue
+            hashes, ids = self.by_length[length]
+            wanted = wanted[:, :places].T
             at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
-            result[length] = np.where(hashes[at] == wanted, ids[at], -1)
+            start, word = np.nonzero(hashes[at] == wanted)
+            piece = ids[at[start, word]]
+            cuts = np.searchsorted(start, np.arange(places + 1))
+            for place in np.unique(start):
+                here = slice(cuts[place], cuts[place + 1])
+                result[place].append((length, word[here], piece[here]))
         return result
 
 
@@ -100,15 +106,24 @@ def _by_length(words: list[str]):
         yield at, np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(at), length + 1).astype(np.uint64)
 
 
-def _forward(found: dict[int, np.ndarray], probability: np.ndarray, n: int, width: int) -> np.ndarray:
-    """alpha[place, word, language]: probability of all segmentations up to a place."""
-    alpha = np.zeros((width + 1, n, probability.shape[1]))
-    alpha[0] = 1.0
-    for start in range(width):
+def _push(alpha: np.ndarray, found: Found, probability: np.ndarray) -> None:
+    """From each place to the ends of the pieces that begin there. alpha[place, word, language]."""
+    for start, pieces_here in enumerate(found):
         alpha[start + 1] += alpha[start] * UNKNOWN
-        for length, ids in found.items():
-            if start + length <= width:
-                alpha[start + length] += alpha[start] * probability[ids[:, start]]
+        for length, word, piece in pieces_here:
+            alpha[start + length, word] += alpha[start, word] * probability[piece]
+
+
+def _blocks(vocabulary: Pieces, codes: np.ndarray):
+    """Blocks of places: the first one, and the pieces that begin in the block; they may end after it."""
+    for first in range(0, codes.shape[1], PART):
+        yield first, vocabulary.found(codes[:, first : first + PART + vocabulary.longest], min(PART, codes.shape[1] - first))
+
+
+def _carried(before: np.ndarray, places: int, width: int, longest: int) -> np.ndarray:
+    """Room for a block of ``places`` with ``width`` left, that begins with the sums handed on."""
+    alpha = np.zeros((min(places + longest, width) + 1, *before.shape[1:]))
+    alpha[: len(before)] = before
     return alpha
 
 
@@ -117,31 +132,51 @@ def log_likelihoods(vocabulary: Pieces, probability: np.ndarray, words: list[str
     result = np.zeros((len(words), probability.shape[1]))
     for at, codes in _by_length(words):
         for some in np.array_split(np.arange(len(at)), -(-len(at) // 4096)):
-            alpha = _forward(vocabulary.found(codes[some]), probability, len(some), codes.shape[1])
-            result[at[some]] = np.log(alpha[-1])
+            ends = np.ones((1, len(some), probability.shape[1]))
+            for first, found in _blocks(vocabulary, codes[some]):
+                alpha = _carried(ends, len(found), codes.shape[1] - first, vocabulary.longest)
+                _push(alpha, found, probability)
+                result[at[some]] += np.log(alpha[len(found)])
+                ends = alpha[len(found) :] / alpha[len(found)]
     return result
 
 
 def expected_counts(vocabulary: Pieces, probability: np.ndarray, words: list[str], weights: np.ndarray) -> np.ndarray:
     """Expected uses of each piece over all segmentations, for one language (``probability`` has one column)."""
     counts = np.zeros(len(probability))
+    column = probability[:, 0]
     for at, codes in _by_length(words):
+        width = codes.shape[1]
         for some in np.array_split(np.arange(len(at)), -(-len(at) // 4096)):
-            found, width = vocabulary.found(codes[some]), codes.shape[1]
-            alpha = _forward(found, probability, len(some), width)[:, :, 0]
-            beta = np.zeros((width + 1, len(some)))
-            beta[width] = 1.0
-            for start in range(width - 1, -1, -1):
-                beta[start] = beta[start + 1] * UNKNOWN
-                for length, ids in found.items():
-                    if start + length <= width:
-                        beta[start] += probability[ids[:, start], 0] * beta[start + length]
-            share = weights[at[some]] / alpha[width]
-            for length, ids in found.items():
-                for start in range(width - length + 1):
-                    here = ids[:, start]
-                    use = alpha[start] * probability[here, 0] * beta[start + length] * share
-                    counts += np.bincount(np.where(here < 0, len(counts) - 1, here), use, len(counts))
+            # Forward, with the sums handed on kept; backward block by block, with the forward sums made again.
+            kept = [np.ones((1, len(some), 1))]
+            for first, found in _blocks(vocabulary, codes[some]):
+                alpha = _carried(kept[-1], len(found), width - first, vocabulary.longest)
+                _push(alpha, found, probability)
+                kept.append(alpha[len(found) :] / alpha[len(found)])
+            after = np.ones((1, len(some)))
+            for number in range(len(kept) - 2, -1, -1):
+                first = number * PART
+                if number < len(kept) - 2:  # the last block is still there
+                    found = vocabulary.found(codes[some, first : first + PART + vocabulary.longest], PART)
+                    alpha = _carried(kept[number], PART, width - first, vocabulary.longest)
+                    _push(alpha, found, probability)
+                beta = np.zeros((len(alpha), len(some)))
+                beta[len(found) :] = after[: len(beta) - len(found)]
+                for start in range(len(found) - 1, -1, -1):
+                    beta[start] = beta[start + 1] * UNKNOWN
+                    for length, word, piece in found[start]:
+                        beta[start, word] += column[piece] * beta[start + length, word]
+                # All segmentations, by the first cut at or after the beginning of this block, in its scale.
+                total = (kept[number][:, :, 0] * beta[: len(kept[number])]).sum(0)
+                share = weights[at[some]] / total
+                used, uses = [np.zeros(0, np.int64)], [np.zeros(0)]
+                for start, pieces_here in enumerate(found):
+                    for length, word, piece in pieces_here:
+                        used.append(piece)
+                        uses.append(alpha[start, word, 0] * column[piece] * beta[start + length, word] * share[word])
+                counts += np.bincount(np.concatenate(used), np.concatenate(uses), len(counts))
+                after = beta[: vocabulary.longest + 1] / beta[0]
     return counts
 
 
@@ -203,12 +238,17 @@ def learn(sample: DataFrame, path: str, rounds: int = 2, smooth: float = 200.0)
     return model
 
 
+def _blocks_of(words) -> int:
+    return sum(1 + len(w) // PART for w in words)
+
+
 class Scorer:
     """Log-likelihoods of words, remembered up to a bound."""
 
     def __init__(self, model: Model) -> None:
         self.model = model
         self.places: dict[str, int] = {}
+        self.size = 0
         self.table = np.zeros((0, len(model.languages)))
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
@@ -224,9 +264,10 @@ class Scorer:
         return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
     def _learn(self, wanted: set[str]) -> None:
-        if len(self.places) + len(wanted) > REMEMBERED:
-            self.places, self.table = {}, self.table[:0]
+        if self.size + _blocks_of(wanted) > REMEMBERED:
+            self.places, self.table, self.size = {}, self.table[:0], 0
         new = sorted(wanted - self.places.keys())
+        self.size += _blocks_of(new)
         if new and self.model.languages:
             rows = log_likelihoods(pieces(self.model.path), self.model.probability, new)
             self.places.update(zip(new, range(len(self.table), len(self.table) + len(new)), strict=True))

@@ -199,6 +199,43 @@ def test_forward_against_enumeration():
         assert np.isclose(counts[known[piece]], change / 1e-6, rtol=1e-3, atol=1e-5)
 
 
+def test_all_lengths_against_enumeration():
+    import numpy as np
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    known = {library.id_to_piece(i): i for i in range(library.get_piece_size()) if not (library.is_control(i) or library.is_unknown(i) or library.is_byte(i))}
+    vocabulary = language_id.pieces(PIECES)
+    assert vocabulary.longest == max(map(len, known)) == language_id.LONGEST_PIECE > 8
+    probability = np.random.default_rng(2).random((vocabulary.size + 1, 2)) / 100
+    probability[-1] = 0
+
+    def log_total(text, column):
+        """The sum up to every place, scaled at every place."""
+        sums, scale = [1.0], 0.0
+        for end in range(1, len(text) + 1):
+            total = language_id.UNKNOWN * sums[-1]
+            for start in range(end):
+                if text[start:end] in known:
+                    total += probability[known[text[start:end]], column] * sums[start]
+            sums = [s / total for s in sums] + [1.0]
+            scale += np.log(total)
+        return scale
+
+    long = "informationbusinessfunction"  # pieces over the borders of blocks
+    words = ["function", "information", "different", "x" * 31, "x" * 32, "x" * 33, long * 3, long * 9]
+    assert language_id.words_of(long * 3) == [long * 3]
+    found = language_id.log_likelihoods(vocabulary, probability, words)
+    for word, row in zip(words, found, strict=True):
+        assert np.allclose(row, [log_total(language_id.START + word, c) for c in (0, 1)], rtol=1e-9)
+    for word, piece in (("information", "▁information"), (long * 3, "business"), (long * 3, "function"), (long * 3, "▁information"), (long * 9, "in")):
+        counts = language_id.expected_counts(vocabulary, probability[:, [0]], [word], np.array([1.0]))
+        moved = probability.copy()
+        moved[known[piece], 0] *= 1 + 1e-6
+        change = language_id.log_likelihoods(vocabulary, moved, [word])[0, 0] - language_id.log_likelihoods(vocabulary, probability, [word])[0, 0]
+        assert np.isclose(counts[known[piece]], change / 1e-6, rtol=1e-3, atol=1e-5)
+
+
 def test_language_id(shipped, odd, empty):
     folder = "/root/testdata/sf0.01"
     docs = shipped.read.parquet(f"{folder}/documents.parquet")
