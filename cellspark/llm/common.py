@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 import cellspark
 from cellspark.session import materialize
@@ -57,6 +58,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df.sparkSession, df, name)
 
 
+def smallest_hashes(rows: DataFrame, label: str, most: int) -> DataFrame:
+    """Of each ``label`` the ``most`` rows with the smallest hashes of ``doc_id``, and the ``weight`` with which each stands
+    for all rows of its label. Sizes of labels are broadcast; only about as many rows as are kept are put in line."""
+    sizes = rows.groupBy(label).agg(F.count("*").alias("size"))
+    number = F.xxhash64("doc_id")
+    # Numbers are even, so few rows beyond the wanted ones lie under this bound, and practically never fewer.
+    near = rows.join(F.broadcast(sizes), label).where((number / F.lit(2.0**64) + 0.5) * F.col("size") <= most + 8 * math.sqrt(most) + 32)
+    place = F.row_number().over(Window.partitionBy(label).orderBy(number, "doc_id"))
+    weight = F.greatest(F.lit(1.0), F.col("size") / F.lit(float(most)))
+    return near.withColumn("place", place).where(F.col("place") <= most).select("doc_id", label, weight.alias("weight"))
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The same rows in small batches, so that what is made of them stays small."""
     for batch in batches:

@@ -6,7 +6,7 @@ probabilities of all ways to cut it into pieces, so no segmentation is preferred
 expected piece counts (forward and backward passes over the distinct words of a bounded sample of labelled
 texts), first with equal pieces, then with the probabilities of the round before.
 
-Learning takes the ``max_rows`` labelled rows with the smallest hashes of ids. Id, language and source are never
+Learning takes, of each language, the ``max_rows`` labelled rows with the smallest hashes of ids. Id, language and source are never
 inputs of a prediction.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; without labelled rows everything is
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from cellspark.llm.common import stored
+from cellspark.llm.common import smallest_hashes, stored
 
 WORD = re.compile(r"[^\W\d_]+")
 START = "▁"  # the vocabulary's mark of a word's start
@@ -188,9 +188,9 @@ class Model:
 
 
 def labelled_sample(docs: DataFrame, usable: Column, max_rows: int) -> DataFrame:
-    """``lang`` and ``text`` of at most ``max_rows`` labelled rows that ``usable`` allows."""
+    """``lang`` and ``text`` of at most ``max_rows`` labelled rows of each language that ``usable`` allows."""
     rows = docs.where(F.col("lang").isNotNull() & usable).select("doc_id", "lang")
-    chosen = rows.groupBy("doc_id").agg(F.min("lang").alias("lang")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    chosen = smallest_hashes(rows.groupBy("doc_id").agg(F.min("lang").alias("lang")), "lang", max_rows)
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("lang", "text")
 
 

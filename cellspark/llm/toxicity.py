@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellspark.llm.common import smallest_hashes
+
 WORD = re.compile(r"[^\W\d_]+")
 
 # Letters of stems.
@@ -153,20 +155,22 @@ class Model:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, max_rows: int) -> DataFrame:
-    """``text`` and ``toxic`` of at most ``max_rows`` labelled rows that ``usable`` (over ``doc_id``) allows."""
+    """``text``, ``toxic`` and ``weight`` of at most ``max_rows`` labelled rows of each label that ``usable`` (over ``doc_id``) allows."""
     chosen = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & usable).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    chosen = smallest_hashes(chosen, "toxic", max_rows)
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", "weight")
 
 
 def learn(sample: DataFrame, max_terms: int = 2000, purity: float = 0.9, chance: float = 1e-5) -> Model:
-    """The lexicon and the weights, from a bounded sample of ``text`` and ``toxic``.
+    """The lexicon and the weights, from a bounded sample of ``text``, ``toxic`` and the ``weight`` of the label's rows.
 
     A term or stem must stand in so many toxic texts that unrelated words would all be there with a probability
     under ``chance``, and in toxic texts only but for ``1 - purity``.
     """
     sample = sample.persist()
     total, toxic = sample.agg(F.count("*"), F.sum("toxic")).first()
+    weights = {r["toxic"]: r["weight"] for r in sample.groupBy("toxic").agg(F.max("weight").alias("weight")).collect()}
+    toxic_weight, other_weight = weights.get(1, 1.0), weights.get(0, 1.0)
     share = min(0.5, max(0.001, (toxic or 0) / max(1, total)))
     support = max(3, math.ceil(math.log(chance) / math.log(share)))
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}{3,}"), F.lit(0)))
@@ -176,7 +180,8 @@ def learn(sample: DataFrame, max_terms: int = 2000, purity: float = 0.9, chance:
 
     candidates = F.array_distinct(F.concat(words, *[beginnings(n) for n in STEMS]))
     counts = sample.select("toxic", F.explode(candidates).alias("word")).groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad"))
-    pure = counts.where((F.col("bad") >= support) & (F.col("bad") >= purity * F.col("n")))
+    bad, good = F.col("bad") * toxic_weight, (F.col("n") - F.col("bad")) * other_weight
+    pure = counts.where((F.col("bad") >= support) & (bad >= purity * (bad + good)))
     terms = [r["word"] for r in pure.orderBy(F.desc("bad"), "word").limit(max_terms).collect()]
     model = Model(Lexicon(terms))
 
@@ -190,7 +195,7 @@ def learn(sample: DataFrame, max_terms: int = 2000, purity: float = 0.9, chance:
     if rows and terms:
         x = np.array([[1.0, *r["x"]] for r in rows])
         y = np.array([float(r["toxic"]) for r in rows])
-        n = np.array([float(r["count"]) for r in rows])
+        n = np.array([r["count"] * weights[r["toxic"]] for r in rows])
         w = np.zeros(x.shape[1])
         calm = np.diag([1e-6] + [0.05] * len(FEATURES))
         for _ in range(50):

@@ -156,6 +156,13 @@ def test_toxicity(make, odd, empty, shipped):
     assert toxicity.score(empty, model).count() == 0
 
 
+def test_sample_keeps_rare_labels(shipped):
+    docs = shipped.createDataFrame([(i, "a b") for i in range(1000)], "doc_id long, text string")
+    labels = docs.select("doc_id", F.col("doc_id").isin(500, 900).cast("int").alias("toxic"))
+    taken = toxicity.labelled_sample(docs, labels, F.lit(True), 10).groupBy("toxic").agg(F.count("*").alias("n"), F.sum("weight").alias("all"))
+    assert {r["toxic"]: (r["n"], round(r["all"], 6)) for r in taken.collect()} == {0: (10, 998.0), 1: (2, 2.0)}
+
+
 def test_held_out_toxicity(shipped):
     folder = "/root/testdata/sf0.1"
     labels = shipped.read.parquet(f"{folder}/labels.parquet")
@@ -236,6 +243,13 @@ def test_all_lengths_against_enumeration():
         assert np.isclose(counts[known[piece]], change / 1e-6, rtol=1e-3, atol=1e-5)
 
 
+def test_sample_keeps_rare_languages(shipped):
+    rows = [(i, "a b", "rare" if i in (500, 900) else "often") for i in range(1000)]
+    docs = shipped.createDataFrame(rows, "doc_id long, text string, lang string")
+    taken = {r["lang"]: r["count"] for r in language_id.labelled_sample(docs, F.lit(True), 10).groupBy("lang").count().collect()}
+    assert taken == {"often": 10, "rare": 2}
+
+
 def test_language_id(shipped, odd, empty):
     folder = "/root/testdata/sf0.01"
     docs = shipped.read.parquet(f"{folder}/documents.parquet")
