@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellspark.llm import decontaminate, jaccard_join, language_id, license_scan, packing, pii, quality_rules, token_counts, toxicity, url_filters
-from cellspark.llm.common import documents, fold
+from cellspark.llm import decontaminate, jaccard_join, language_id, license_scan, packing, pii, prefix_trie, quality_rules, token_counts, toxicity, url_filters
+from cellspark.llm.common import documents, fold, ship
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -176,3 +176,39 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(documents(spark, sf_dir), jaccard_join.Similarity(words=3, num=90, den=100))
+
+
+@query(
+    "op11_conversation_trie",
+    """
+    WITH turns AS (
+      SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t, turn FROM conversations WHERE conv_id IS NOT NULL),
+    convs AS (
+      SELECT conv_id, list({'r': r, 't': t} ORDER BY turn NULLS FIRST, md5(strlen(r) || ':' || r || t)) AS ts,
+        xor(4294967295, list_reduce([4294967295] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+          lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)))) % 9 AS h
+      FROM turns GROUP BY 1),
+    rebuilt AS (
+      SELECT c.conv_id, list_concat(coalesce(b.ts, [])[1:c.h], c.ts[c.h + 1:]) AS ts
+      FROM convs c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 5),
+    members AS (SELECT conv_id, ts, unnest(range(len(ts) + 1)) AS depth FROM rebuilt),
+    nodes AS (
+      SELECT ts[1:depth] AS key, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(ts) = depth), '')) AS ends_sha256
+      FROM members GROUP BY 1, 2),
+    children AS (SELECT key[1:depth - 1] AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+    full_nodes AS (
+      SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * coalesce(strlen(n.key[n.depth].t), 0) AS saved
+      FROM nodes n LEFT JOIN children c ON n.key = c.key),
+    ways AS (SELECT *, unnest(range(depth + 1)) AS up FROM full_nodes),
+    totals AS (
+      SELECT key[1:up] AS key, sum((n_children = 0)::INT) AS n_leaves, sum(saved) AS saved_tokens FROM ways GROUP BY 1)
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves::BIGINT AS n_leaves,
+      saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+    FROM full_nodes n JOIN totals t ON n.key = t.key LEFT JOIN nodes p ON n.depth > 0 AND p.key = n.key[1:n.depth - 1]
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
