@@ -14,6 +14,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +78,43 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(first, rows)
 
 
+def text_slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of text, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    first = 0
+    while first < batch.num_rows:
+        stop = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + most, side="right")))
+        yield batch.slice(first, stop - first)
+        first = stop
+
+
+def packed_vector(values: np.ndarray) -> bytes:
+    return zlib.compress(np.asarray(values, "<i8").tobytes(), 1)
+
+
+def sum_vectors(df: DataFrame, column: str) -> np.ndarray | None:
+    """The sum of a column of packed vectors of one length, in two steps of tasks; None where there are none.
+
+    One vector per task and step travels, so what reaches the driver does not grow with the rows.
+    """
+
+    def together(batches):
+        total = None
+        for batch in batches:
+            for part in batch.column(0):
+                values = np.frombuffer(zlib.decompress(part.as_py()), "<i8")
+                total = values.copy() if total is None else np.add(total, values, out=total)
+        if total is not None:
+            yield pa.RecordBatch.from_pydict({column: pa.array([packed_vector(total)], pa.binary())})
+
+    vectors = df.where(F.col(column).isNotNull()).select(column)
+    between = math.ceil(math.sqrt(max(1, vectors.rdd.getNumPartitions())))
+    kind = f"{column} binary"
+    merged = vectors.mapInArrow(together, kind).repartition(between).mapInArrow(together, kind)
+    rows = merged.repartition(1).mapInArrow(together, kind).collect()
+    return np.frombuffer(zlib.decompress(rows[0][0]), "<i8") if rows else None
+
+
 def sum_over_partitions(df: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray], merge=np.add) -> np.ndarray | None:
     """Merge one uint32 array of fixed size per partition, in two steps of tasks; None without partitions.
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellspark.llm import decontaminate, jaccard_join, language_id, license_scan, packing, pii, prefix_trie, quality_rules, token_counts, toxicity, url_filters
+from cellspark.llm import binary_ids, decontaminate, jaccard_join, language_id, license_scan, packing, pii, prefix_trie, quality_rules, token_counts, toxicity, url_filters
 from cellspark.llm.common import documents, fold, ship
 
 QUERIES = {}
@@ -212,3 +212,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query("op12_binary_ids")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = binary_ids.round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
