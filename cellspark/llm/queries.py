@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellspark.llm import binary_ids, decontaminate, jaccard_join, language_id, license_scan, packing, pii, prefix_trie, quality_rules, token_counts, toxicity, url_filters
+from cellspark.llm import alignment, binary_ids, decontaminate, jaccard_join, language_id, license_scan, packing, pii, prefix_trie, quality_rules, token_counts, toxicity, url_filters
 from cellspark.llm.common import documents, fold, ship
 
 QUERIES = {}
@@ -218,3 +218,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = binary_ids.round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
     return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(documents(spark, sf_dir), a, b)
