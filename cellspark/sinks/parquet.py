@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cellspark.session import scratch_path
 from cellspark.sources.files import list_files
+from cellspark.sources.positions import stored_files, with_positions
 from cellspark.sources.tables import read_typed_symbol_table
 
+_PLACE = "_place_in_all_rows"
+
 DEFAULT_CODEC = "zstd"
 DEFAULT_LEVEL = 3
 # The option that carries a codec's level, for codecs that have levels.
@@ -63,6 +68,74 @@ def write_by_rows(
     _writer(df, codec, level, mode).option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
+def write_exact_rows(
+    df: DataFrame,
+    path: str,
+    rows_per_file: int,
+    name: str | None = None,
+    codec: str = DEFAULT_CODEC,
+    level: int = DEFAULT_LEVEL,
+    mode: str = "errorifexists",
+) -> None:
+    """Files of exactly ``rows_per_file`` rows, the last one shorter, however the rows are dealt over tasks.
+
+    Rows are stored once, so that every row has one place whatever is run again, and keep their order; then
+    :func:`rechunk`. With ``name`` files are called ``<name>_<start>_<end>.parquet``.
+    """
+    spark = df.sparkSession
+    trial = scratch_path(spark, "exact-rows")
+    write_parquet(df, trial, codec, level)
+    rechunk(spark, trial, path, rows_per_file, name, codec, level, mode, df.schema)
+
+
+def rechunk(
+    spark: SparkSession,
+    folder: str,
+    path: str,
+    rows_per_file: int,
+    name: str | None = None,
+    codec: str = DEFAULT_CODEC,
+    level: int = DEFAULT_LEVEL,
+    mode: str = "errorifexists",
+    schema: StructType | None = None,
+) -> None:
+    """Stored rows again, in the same order, as files of exactly ``rows_per_file`` rows but for the last.
+
+    A row's position says in which file it goes. A task takes as many whole files as its share of the input asks
+    for, so rows move once and there are no more tasks than for a scan.
+    """
+    if rows_per_file < 1:
+        raise ValueError("a file holds one row at least")
+    files = stored_files(spark, folder)
+    total = files[-1].end if files else 0
+    if not total:
+        rows = spark.read.parquet(folder) if schema is None else spark.read.schema(schema).parquet(folder)
+        _writer(rows.limit(0), codec, level, mode).parquet(path)
+        return
+    placed = with_positions(spark, folder, _PLACE)
+    chunks = math.ceil(total / rows_per_file)
+    per_task = math.ceil(chunks / min(chunks, spark.read.parquet(folder).rdd.getNumPartitions()))
+    task = F.floor(F.col(_PLACE) / (per_task * rows_per_file)).cast("int")
+    dealt = placed.repartitionById(math.ceil(chunks / per_task), task).sortWithinPartitions(_PLACE).drop(_PLACE)
+    _writer(dealt, codec, level, mode).option("maxRecordsPerFile", rows_per_file).parquet(path)
+    if name is not None:
+        _name_by_rows(spark, path, name, per_task, rows_per_file, total)
+
+
+def _name_by_rows(spark: SparkSession, path: str, name: str, per_task: int, rows_per_file: int, total: int) -> None:
+    """Rename files as written (``part-<task>-...-c<number>...``) after the rows they hold."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in system.listStatus(folder):
+        written = re.fullmatch(r"part-(\d+)-.*-c(\d+)\..*parquet", status.getPath().getName())
+        if written:
+            start = (int(written[1]) * per_task + int(written[2])) * rows_per_file
+            target = hadoop.Path(folder, f"{name}_{start:07d}_{min(start + rows_per_file, total):07d}.parquet")
+            if not system.rename(status.getPath(), target):
+                raise OSError(f"{status.getPath()} could not be renamed to {target}")
+
+
 def write_by_size(
     df: DataFrame,
     path: str,
@@ -87,11 +160,16 @@ def write_by_size(
 
 
 def write_chunks(
-    df: DataFrame, path: str, chunk_size: int | None = None, target_mb: float | None = None, **options
+    df: DataFrame, path: str, chunk_size: int | None = None, target_mb: float | None = None, exact: bool = False, **options
 ) -> None:
-    """Chunked write; a target size wins over a row count, as both may be given."""
+    """Chunked write; a target size wins over a row count, as both may be given.
+
+    ``chunk_size`` is the most a file holds and costs no shuffle; ``exact`` makes it what every file but the last holds.
+    """
     if target_mb is not None:
         write_by_size(df, path, target_mb, **options)
+    elif chunk_size is not None and exact:
+        write_exact_rows(df, path, chunk_size, **options)
     elif chunk_size is not None:
         write_by_rows(df, path, chunk_size, **options)
     else:
@@ -111,6 +189,17 @@ def write_split(df: DataFrame, path: str, dataset: str, chunk_size: int | None =
     writer.partitionBy("split").parquet(f"{path}/{dataset}")
 
 
+def write_exact_split(df: DataFrame, path: str, dataset: str, chunk_size: int, **options) -> None:
+    """One dataset as ``<path>/<dataset>/split=train`` and ``/split=test``, each in files
+    ``<dataset>_<start>_<end>.parquet`` of exactly ``chunk_size`` rows but for the last."""
+    spark = df.sparkSession
+    trial = scratch_path(spark, "exact-split")
+    df.write.partitionBy("split").parquet(trial)
+    sides = [r["split"] for r in spark.read.parquet(trial).select("split").distinct().collect()]
+    for side in sides:
+        rechunk(spark, f"{trial}/split={side}", f"{path}/{dataset}/split={side}", chunk_size, dataset, **options)
+
+
 def write_all_splits(
     df: DataFrame,
     path: str,

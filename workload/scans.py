@@ -14,16 +14,20 @@ from cellspark.operators.splits import split_donors_by_hash
 from cellspark.operators.summaries import by_organism, dataset_summaries
 from cellspark.session import scratch_path
 from cellspark.sinks.parquet import (
+    rechunk,
     symbol_table_to_parquet,
     write_all_splits,
     write_by_rows,
     write_by_size,
     write_chunks,
+    write_exact_rows,
+    write_exact_split,
     write_parquet,
     write_split,
 )
 from cellspark.sinks.summaries import write_by_organism, write_summary
 from cellspark.sources.files import list_files, read_collections, read_event_log
+from cellspark.sources.positions import page, row_ranges, scan_rows, stored_files, with_positions
 from cellspark.sources.tables import (
     TABLE_ROW,
     clean_gene_lists,
@@ -156,7 +160,9 @@ def sparse_round_trip(spark, folder):
     return to_long(to_sparse(expr(spark, folder), ["cell_id"]), ["cell_id"])
 
 
-_LISTED_TABLES = ("customer", "lineitem", "orders", "part", "supplier")
+_LISTED_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
 
 
 @query(
@@ -164,10 +170,12 @@ _LISTED_TABLES = ("customer", "lineitem", "orders", "part", "supplier")
     " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows, true AS has_bytes FROM {t}" for t in _LISTED_TABLES),
 )
 def file_inventory(spark, folder):
-    """Listed files with the rows that Spark reads from each."""
+    """All listed files with the rows that Spark reads from each; a file without rows has 0."""
     files = list_files(spark, folder, "*.parquet").select(path_stem(F.col("path")).alias("name"), (F.col("length") > 0).alias("has_bytes"))
-    rows = [load(spark, folder, t).groupBy(path_stem(F.col("_metadata.file_path")).alias("name")).agg(F.count("*").alias("rows")) for t in _LISTED_TABLES]
-    return files.join(functools.reduce(DataFrame.unionByName, rows), "name").select("name", "rows", "has_bytes")
+    names = [r["name"] for r in files.select("name").distinct().collect()]
+    rows = [load(spark, folder, t).select(path_stem(F.col("_metadata.file_path")).alias("name")).groupBy("name").agg(F.count("*").alias("rows")) for t in names]
+    counted = files.join(functools.reduce(DataFrame.unionByName, rows), "name", "left")
+    return counted.select("name", F.coalesce("rows", F.lit(0)).alias("rows"), "has_bytes")
 
 
 _BY_STATUS = "SELECT o_orderstatus, count(*) AS rows, sum(o_orderkey)::BIGINT AS keys FROM orders GROUP BY 1"
@@ -196,6 +204,91 @@ def rows_write(spark, folder):
     return _rows_per_file(spark, path)
 
 
+def _named_files(spark, path):
+    """Rows that the file names state, and rows and keys that are there."""
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d+)_(\d+)\.parquet$", 1).cast("bigint").alias("first")
+    end = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d+)_(\d+)\.parquet$", 2).cast("bigint").alias("end")
+    return read_chunks(spark, path).select("*", name, end)
+
+
+@query(
+    "k2_exact_chunks",
+    """
+    SELECT (o_orderkey_place // 700) * 700 AS first, least((o_orderkey_place // 700 + 1) * 700, any_value(total)) AS end,
+      count(*) AS rows, sum(o_orderkey)::BIGINT AS keys
+    FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS o_orderkey_place, count(*) OVER () AS total FROM orders)
+    GROUP BY o_orderkey_place // 700""",
+)
+def exact_chunks(spark, folder):
+    """Orders sorted into many small partitions; every file but the last has exactly 700 rows, in order."""
+    path = scratch_path(spark, "exact-orders")
+    write_exact_rows(load(spark, folder, "orders").repartitionByRange(23, "o_orderkey").sortWithinPartitions("o_orderkey"), path, 700, "orders")
+    files = _named_files(spark, path).groupBy("first", "end")
+    return files.agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys"))
+
+
+@query(
+    "k5_rechunk_stored",
+    """
+    SELECT l_place // 2500 AS chunk, count(*) AS rows, sum(l_orderkey)::BIGINT AS keys
+    FROM (SELECT l_orderkey, row_number() OVER () - 1 AS l_place FROM lineitem) GROUP BY 1""",
+)
+def rechunk_stored(spark, folder):
+    """A stored table again, in its own order, in files of exactly 2500 rows."""
+    path = scratch_path(spark, "rechunked")
+    rechunk(spark, f"{folder}/lineitem.parquet", path, 2500, "lineitem")
+    chunk = F.floor(F.col("first") / 2500).alias("chunk")
+    return _named_files(spark, path).groupBy(chunk).agg(F.count("*").alias("rows"), F.sum("l_orderkey").alias("keys"))
+
+
+@query(
+    "k4_exact_split_chunks",
+    sql(f"""
+    , sided AS (SELECT CASE WHEN {uniform_sql("donor_id")} < 0.05 THEN 'test' ELSE 'train' END AS split FROM obs),
+    sizes AS (SELECT split, count(*) AS n FROM sided GROUP BY 1)
+    SELECT split, unnest(range(0, n, 400)) AS first, least(n - first, 400) AS rows FROM sizes"""),
+)
+def exact_split_chunks(spark, folder):
+    path = scratch_path(spark, "exact-split-chunks")
+    write_exact_split(_split_cells(spark, folder), path, "orders", 400)
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d+)_\d+\.parquet$", 1).cast("bigint").alias("first")
+    return spark.read.parquet(f"{path}/orders").groupBy("split", name).agg(F.count("*").alias("rows"))
+
+
+@query(
+    "p14_stored_positions",
+    "SELECT l_orderkey, l_partkey, l_linenumber, row_number() OVER () - 1 AS row_idx FROM lineitem",
+)
+def stored_positions(spark, folder):
+    return with_positions(spark, f"{folder}/lineitem.parquet", fields=["l_orderkey", "l_partkey", "l_linenumber"])
+
+
+@query("t7_stored_page", "SELECT o_orderkey, o_orderstatus, row_number() OVER () - 1 AS row_idx FROM orders LIMIT 50 OFFSET 100")
+def stored_page(spark, folder):
+    return page(spark, f"{folder}/orders.parquet", 100, 50, ["o_orderkey", "o_orderstatus"])
+
+
+@query(
+    "s7_row_ranges",
+    """
+    SELECT row_idx // (total // 7 + 1) AS range_number, count(*) AS rows, min(row_idx) AS first, max(row_idx) AS last,
+      sum(o_orderkey)::BIGINT AS keys
+    FROM (SELECT o_orderkey, row_number() OVER () - 1 AS row_idx, (SELECT count(*) FROM orders) AS total FROM orders) GROUP BY 1""",
+)
+def ranges_of_rows(spark, folder):
+    """Orders in four files, read range by range: seven ranges that together cover the table."""
+    path, total = scratch_path(spark, "orders-in-files"), load(spark, folder, "orders").count()
+    rechunk(spark, f"{folder}/orders.parquet", path, -(-total // 4), "orders")
+    files = stored_files(spark, path)
+    spans = row_ranges(spark, path, total // 7 + 1)
+    rows = [
+        scan_rows(spark, path, start, end, ["o_orderkey"], "row_idx", files=files).withColumn("range_number", F.lit(i).cast("bigint"))
+        for i, (start, end) in enumerate(spans)
+    ]
+    grouped = functools.reduce(DataFrame.unionByName, rows).groupBy("range_number")
+    return grouped.agg(F.count("*").alias("rows"), F.min("row_idx").alias("first"), F.max("row_idx").alias("last"), F.sum("o_orderkey").alias("keys"))
+
+
 @query("k3_write_by_size", "SELECT count(*) AS rows, true AS not_too_large, true AS not_too_small FROM lineitem")
 def size_write(spark, folder):
     """Files of about 0.05 MB, from many small partitions."""
