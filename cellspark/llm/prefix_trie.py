@@ -266,7 +266,7 @@ def trie(conversations: DataFrame, height: int = 16) -> DataFrame:
     ends = hashes_of_ids(members.where("ends"))
 
     # The root may have any number of children, but it is one row; other parents are met by key.
-    root = nodes.where("depth = 0").select(F.lit(1).cast("long").alias("depth"), F.col("conv_id").alias("root"))
+    root = nodes.where("depth = 0").select((F.col("depth") + 1).alias("depth"), F.col("conv_id").alias("root"))
     parents = nodes.where("depth > 0").select((F.col("depth") + 1).alias("depth"), F.col("k1").alias("above1"), F.col("k2").alias("above2"), F.col("conv_id").alias("parent"))
     found = nodes.join(totals, KEY).join(ends, KEY, "left")
     found = found.join(F.broadcast(root), "depth", "left").join(parents, ["depth", "above1", "above2"], "left")
