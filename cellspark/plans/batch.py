@@ -48,11 +48,14 @@ def pending_rows(df: DataFrame, planned: DataFrame) -> DataFrame:
     return df.join(to_run, "dataset_id", "left_semi")
 
 
-def batch_report(planned: DataFrame, built: DataFrame, filtered: DataFrame | None = None) -> DataFrame:
+def batch_report(
+    planned: DataFrame, built: DataFrame, filtered: DataFrame | None = None, broken: DataFrame | None = None
+) -> DataFrame:
     """Status and number of cells of every planned dataset, from the rows of one build of them all.
 
     A dataset that was to run and has no rows failed, unless it is in ``filtered`` (``dataset_id``): there
-    all of its cells were rightly left out.
+    all of its cells were rightly left out. Datasets in ``broken`` (``dataset_name, message``, see
+    :func:`cellspark.plans.isolation.broken_datasets`) failed with that message.
     """
     cells = built.groupBy(F.col("dataset_id").alias("dataset_name")).agg(F.count("*").alias("cells"))
     done = planned.select("dataset_name", "action", "message").join(cells, "dataset_name", "left")
@@ -62,8 +65,11 @@ def batch_report(planned: DataFrame, built: DataFrame, filtered: DataFrame | Non
         names = filtered.select(F.col("dataset_id").alias("dataset_name")).distinct().withColumn("_emptied", F.lit(True))
         done = done.join(names, "dataset_name", "left")
         emptied = F.coalesce("_emptied", F.lit(False))
-    status = F.when(F.col("action") != "run", SKIPPED).when(F.col("cells").isNotNull() | emptied, SUCCESS).otherwise(FAILED)
-    message = F.when(status == SKIPPED, F.col("message")).when(status == FAILED, "No rows were built").otherwise("Successfully processed")
+    if broken is not None:
+        done = done.join(broken.select("dataset_name", F.col("message").alias("_broken")), "dataset_name", "left")
+    why = F.lit(None).cast("string") if broken is None else F.col("_broken")
+    status = F.when(F.col("action") != "run", SKIPPED).when(why.isNotNull(), FAILED).when(F.col("cells").isNotNull() | emptied, SUCCESS).otherwise(FAILED)
+    message = F.when(status == SKIPPED, F.col("message")).when(status == FAILED, F.coalesce(why, F.lit("No rows were built"))).otherwise("Successfully processed")
     return done.select("dataset_name", status.alias("status"), F.coalesce("cells", F.lit(0)).alias("cells"), message.alias("message"))
 
 

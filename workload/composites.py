@@ -18,11 +18,13 @@ from cellspark.operators.sentences import (
 from cellspark.operators.summaries import species_summary
 from cellspark.plans.batch import batch_report, pending_rows, plan_batch
 from cellspark.plans.build import BuildOptions, build_dataset, convert_dataset
+from cellspark.plans.isolation import broken_datasets, check_files, dataset_of_partition, sound_rows
 from cellspark.plans.metadata import extract_metadata, resplit_dataset
-from cellspark.session import scratch_path
+from cellspark.session import materialize, scratch_path
 from cellspark.sinks.parquet import write_all_splits
 from cellspark.sources.files import list_files
 from cellspark.streaming.ingest import ingest_new_files, read_ingested
+from cellspark.streaming.quotas import ARRIVAL, ingest_with_quotas
 from workload.aggregates import SUMMARY_SQL, meta
 from workload.registry import query
 from workload.sorts import symbol_expr
@@ -424,3 +426,70 @@ def incremental_ingest(spark, folder):
             ingest_new_files(spark, f"{root}/in", orders.schema, out, progress, to_cells, files_per_batch=files)
         found.append(read_ingested(spark, out).withColumn("files_per_batch", F.lit(files)))
     return found[0].unionByName(found[1])
+
+
+@query(
+    "st1_stratified_ingest",
+    sql("""
+    , filed AS (SELECT *, cell_id % 6 AS file FROM aged WHERE age IS NOT NULL),
+    firsts AS (SELECT donor_id, min(file) AS first FROM filed GROUP BY 1),
+    strata AS (
+      SELECT f.donor_id, first, (round_even(median(age) * 10, 0) / 10)::VARCHAR AS stratum
+      FROM filed f JOIN firsts s ON f.donor_id = s.donor_id AND file = first GROUP BY 1, 2),
+    placed AS (
+      SELECT donor_id, row_number() OVER (PARTITION BY stratum ORDER BY first, md5('42:' || donor_id)) * 500
+        + ('0x' || substr(md5('42:' || stratum), 1, 8))::BIGINT % 10000 AS reached FROM strata)
+    SELECT files_per_batch, cell_id, f.donor_id, age,
+      CASE WHEN reached // 10000 > (reached - 500) // 10000 THEN 'test' ELSE 'train' END AS split
+    FROM filed f JOIN placed p ON f.donor_id = p.donor_id CROSS JOIN (VALUES (1), (3), (1000)) b(files_per_batch)"""),
+)
+def stratified_ingest(spark, folder):
+    """Six files of orders, one by one, three at a time and all at once: each age stratum gets its share of test donors."""
+    root = scratch_path(spark, "quota-ingest")
+    orders = load(spark, folder, "orders")
+    for i in range(6):
+        orders.where(F.col("o_orderkey") % 6 == i).coalesce(1).write.mode("append").parquet(f"{root}/in")
+
+    def to_cells(batch):
+        arrived = batch.select(F.col("o_orderkey").alias("cell_id"), ARRIVAL)
+        cells = with_known_age(with_age(obs(batch.sparkSession, folder, batch))).join(arrived, "cell_id")
+        return cells.select("cell_id", "donor_id", "age", ARRIVAL)
+
+    found = []
+    for files in (1, 3, 1000):
+        out = f"{root}/out-{files}"
+        ingest_with_quotas(spark, f"{root}/in", orders.schema, out, f"{root}/progress-{files}", to_cells, files_per_batch=files)
+        found.append(read_ingested(spark, out).withColumn("files_per_batch", F.lit(files)))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+def _truncate(spark, path, target, share):
+    """Only the first part of a file, under another name."""
+    content = spark.read.format("binaryFile").load(path).first()["content"]
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
+    out.write(content[: int(len(content) * share)])
+    out.close()
+
+
+@query(
+    "c7_isolated_batch",
+    sql("""
+    SELECT dataset_id AS dataset_name, CASE WHEN dataset_id = 'ds_3' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+      CASE WHEN dataset_id = 'ds_3' THEN 0 ELSE count(*) END AS cells, (sum(cell_id) FILTER (dataset_id <> 'ds_3'))::BIGINT AS keys
+    FROM obs GROUP BY 1"""),
+)
+def isolated_batch(spark, folder):
+    """All datasets scanned in one job; one of them has a truncated file beside its sound ones and fails as a whole."""
+    path = scratch_path(spark, "inputs")
+    cells = obs(spark, folder).select("dataset_id", "cell_id", "donor_id", "tissue")
+    cells.repartition("dataset_id").write.partitionBy("dataset_id").parquet(f"{path}/in")
+    sound = list_files(spark, f"{path}/in/dataset_id=ds_3", "*.parquet").select("path").first()["path"]
+    _truncate(spark, sound, f"{path}/in/dataset_id=ds_3/later.parquet", 0.7)
+    schema = cells.drop("dataset_id").schema
+    checked = materialize(spark, check_files(spark, f"{path}/in", schema, dataset=dataset_of_partition), "checked")
+    built = sound_rows(spark, f"{path}/in", schema, checked, dataset=dataset_of_partition)
+    planned = checked.select("dataset_name").distinct().withColumns({"action": F.lit("run"), "message": F.lit(None).cast("string")})
+    report = batch_report(planned, built, broken=broken_datasets(checked)).select("dataset_name", "status", "cells")
+    keys = built.groupBy(F.col("dataset_id").alias("dataset_name")).agg(F.sum("cell_id").alias("keys"))
+    return report.join(keys, "dataset_name", "left")
