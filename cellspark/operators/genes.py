@@ -12,6 +12,9 @@ from cellspark.operators.joins import lookup_join
 # Column names of older symbol tables -> names used here.
 SYMBOL_TABLE_RENAMES = {"Ensembl gene ID": "ensembl_gene_id", "Approved symbol": "symbol"}
 
+# Gene lists that share one small number per gene.
+LISTS_PER_FLAG = 15
+
 
 def usable_symbols(symbols: DataFrame, order: list[str]) -> DataFrame:
     """``(ensembl_gene_id, symbol)`` with both present, first symbol per id in table order."""
@@ -95,43 +98,48 @@ def flag_lists(genes: DataFrame, gene_lists: DataFrame | None, names: list[str])
     return flagged.withColumns({f"in_{n}": F.coalesce(quoted(f"in_{n}"), F.lit(False)) for n in names})
 
 
+def flag_column(i: int) -> tuple[str, int]:
+    """Column and bit of the ``i``-th gene list in a packed row."""
+    return f"flags_{i // LISTS_PER_FLAG}", 1 << i % LISTS_PER_FLAG
+
+
 def gene_panel(genes: DataFrame, list_names: list[str]) -> DataFrame:
-    """One row per dataset: symbols by gene position, usable positions, and both per gene list.
+    """One row per dataset: symbols and list bits by gene position, and the usable positions.
 
     ``genes`` holds (dataset_id, gene_idx, symbol, in_<list>...), with gene_idx as in the columns of
-    the dataset's matrix; places of numbers without a gene are null. ``symbols`` and ``list_<name>`` are null where the gene
-    does not count: Ensembl-like symbols anywhere, other genes in a list. ``usable`` (descending)
-    and ``members_<name>`` are the positions that do count. A row grows with the genes of one
-    dataset (tens of thousands), never with its cells.
+    the dataset's matrix; places of numbers without a gene are null. ``symbols`` are null where the gene
+    does not count (Ensembl-like symbols); ``usable`` (descending) are the positions that do count. All lists
+    share small numbers with one bit each (``flags_0``, ...), so many lists make a row hardly longer than one. ``wrong`` says
+    that numbers are missing, negative or repeated. A row grows with the genes of one dataset (tens of thousands),
+    never with its cells.
     """
     position = F.col("gene_idx").cast("int").alias("position")
     symbol = F.when(~is_ensembl_id(F.col("symbol")), F.col("symbol"))
-    in_list = {f"list_{n}": F.when(F.col(quoted(f"in_{n}")), symbol) for n in list_names}
-    entry = F.struct(position, symbol.alias("symbols"), *[c.alias(n) for n, c in in_list.items()])
-
-    def positions(name: str, word: Column) -> Column:
-        return F.sort_array(F.collect_list(F.when(word.isNotNull(), position)), asc=False).alias(name)
-
-    panels = genes.groupBy("dataset_id").agg(
-        F.sort_array(F.collect_list(entry)).alias("_genes"),
-        positions("usable", symbol),
-        *[positions(name.replace("list_", "members_", 1), word) for name, word in in_list.items()],
-    )
-    members = [quoted(f"members_{n}") for n in list_names]
-    placed = panels.withColumn("_next", F.slice(F.col("_genes.position"), F.lit(2), F.size("_genes")))
+    none = {"symbols": F.lit(None).cast("string")}
+    flags: dict[str, Column] = {}
+    for i, name in enumerate(list_names):
+        column, bit = flag_column(i)
+        own = F.when(F.col(quoted(f"in_{name}")) & symbol.isNotNull(), bit).otherwise(0)
+        flags[column] = own if column not in flags else flags[column] + own
+        none[column] = F.lit(0).cast("short")
+    entry = F.struct(position, symbol.alias("symbols"), *[c.cast("short").alias(n) for n, c in flags.items()])
+    usable = F.sort_array(F.collect_list(F.when(symbol.isNotNull(), position)), asc=False).alias("usable")
+    panels = genes.groupBy("dataset_id").agg(F.sort_array(F.collect_list(entry)).alias("_genes"), usable)
+    at = F.col("_genes.position")
+    placed = panels.withColumn("_next", F.slice(at, F.lit(2), F.size("_genes")))
+    wrong = F.coalesce(F.get(at, F.lit(0)) < 0, F.lit(True)) | (F.size(F.array_distinct(at)) != F.size(at))
 
     def by_position(name: str) -> Column:
         """Every entry behind the empty places before it."""
-        none = F.lit(None).cast("string")
-        words = F.zip_with(
-            F.arrays_zip(F.col("_genes.position").alias("position"), F.col("_genes")[name].alias("word")),
+        values = F.zip_with(
+            F.arrays_zip(at.alias("position"), F.col("_genes")[name].alias("value")),
             "_next",
             lambda gene, following: F.concat(
-                F.array(gene["word"]),
-                F.array_repeat(none, F.coalesce(following - gene["position"] - 1, F.lit(0))),
+                F.array(gene["value"]),
+                F.array_repeat(none[name], F.coalesce(following - gene["position"] - 1, F.lit(0))),
             ),
         )
-        before = F.array_repeat(none, F.coalesce(F.get("_genes.position", F.lit(0)), F.lit(0)))
-        return F.concat(before, F.flatten(words)).alias(name)
+        before = F.array_repeat(none[name], F.coalesce(F.get("_genes.position", F.lit(0)), F.lit(0)))
+        return F.concat(before, F.flatten(values)).alias(name)
 
-    return placed.select("dataset_id", "usable", *members, *[by_position(n) for n in ("symbols", *in_list)])
+    return placed.select("dataset_id", "usable", wrong.alias("wrong"), *[by_position(n) for n in none])

@@ -18,15 +18,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellspark.functions.text import has_ensembl_token, is_ensembl_id, quoted
-from cellspark.operators.genes import gene_panel
+from cellspark.operators.genes import flag_column, gene_panel
 from cellspark.operators.joins import lookup_join, spread_join
 from cellspark.session import materialize
 
 SEPARATOR = " "
 # Counted size of packed genes that may be broadcast.
 BROADCAST_BYTES = 256 * 1024 * 1024
-# Fixed part of a gene in a packed row, beside the bytes of its symbol.
-GENE_BYTES = 16
+# Fixed part of a gene in a packed row, beside the bytes of its symbol: places of the symbol and of list bits, usable position.
+GENE_BYTES = 28
 
 
 def sentence_columns(top_n: int | None, list_names: tuple[str, ...] | list[str], include_all: bool = True) -> list[str]:
@@ -144,14 +144,10 @@ def stored_order(cells: DataFrame) -> DataFrame:
     return cells.select(*kept, stored.alias("_stored")).select(*kept, above.alias("_above"), below.alias("_below"))
 
 
-def _packed_bytes(genes: DataFrame) -> int:
+def _packed_bytes(panels: DataFrame) -> int:
     """Counted size of the packed genes of all datasets, with the empty places between gene numbers."""
-    n, last = F.count("*"), F.max("gene_idx")
-    per_dataset = genes.groupBy("dataset_id").agg(
-        (F.sum(F.octet_length("symbol") + GENE_BYTES) + 8 * (last + 1)).alias("bytes"),
-        ((F.min("gene_idx") < 0) | (F.count_distinct("gene_idx") != n)).alias("wrong"),
-    )
-    found = per_dataset.agg(F.sum("bytes").alias("bytes"), F.max("wrong").alias("wrong")).first()
+    size = F.octet_length(F.array_join("symbols", "")) + GENE_BYTES * F.size("symbols")
+    found = panels.agg(F.sum(size.cast("bigint")).alias("bytes"), F.max("wrong").alias("wrong")).first()
     if found["wrong"]:
         raise ValueError("gene_idx must number the genes of every dataset from 0 on, each once")
     return found["bytes"] or 0
@@ -170,24 +166,24 @@ def sentences_from_arrays(
 
     ``genes`` holds (dataset_id, gene_idx, symbol, in_<list>...). They are packed into one row per
     dataset, so that a cell finds its symbols by position; the packed rows are broadcast while the
-    counted size of the genes allows it. Genes without a value follow the positive ones in descending
+    counted size of the genes allows it. All lists share small numbers with one bit each. Genes without a value follow the positive ones in descending
     position, taken ready-made from the packed row, which is then no larger than a sentence. A packed
     row is as long as the largest gene number of its dataset; numbers without a gene are empty places.
     """
     kept = [quoted(c) for c in cells.columns if c not in ("indices", "values", "expression")]
-    genes = materialize(cells.sparkSession, genes, "genes")
-    size = _packed_bytes(genes)
-    panels = gene_panel(genes, list(list_names)).drop(
-        *[f"{'list' if include_zeros else 'members'}_{name}" for name in list_names]
-    )
+    panels = materialize(cells.sparkSession, gene_panel(genes, list(list_names)), "panels")
+    size = _packed_bytes(panels)
     ordered = stored_order(cells)
     if not include_zeros:
         ordered = ordered.select(*kept, F.concat("_above", "_below").alias("_order"))
-    packed = size * (1 + len(list_names))
-    joined = spread_join(ordered, panels, "dataset_id", cell, packed, BROADCAST_BYTES)
+    joined = spread_join(ordered, panels.drop("wrong"), "dataset_id", cell, size, BROADCAST_BYTES)
+
+    def words(positions: str | Column) -> Column:
+        return F.transform(positions, lambda p: F.get(F.col("symbols"), p))
 
-    def words(positions: str | Column, by_position: str = "symbols") -> Column:
-        return F.transform(positions, lambda p: F.get(F.col(quoted(by_position)), p))
+    def of_list(i: int) -> Column:
+        flags, bit = flag_column(i)
+        return F.filter("_order", lambda p: F.get(F.col(flags), p).bitwiseAND(F.lit(bit)) != 0)
 
     def usable(positions: str) -> Column:
         return F.filter(positions, lambda p: F.get(F.col("symbols"), p).isNotNull())
@@ -197,11 +193,10 @@ def sentences_from_arrays(
         zeros = F.array_except("usable", F.concat("_above", "_below"))
         joined = joined.withColumn("_order", F.concat(usable("_above"), zeros, usable("_below")))
         top = words(F.slice("_order", 1, top_n or 0))
-        listed = [words(F.array_intersect("_order", quoted(f"members_{name}"))) for name in list_names]
     else:
         top = F.slice(words(usable("_order")), 1, top_n or 0)
-        listed = [words("_order", f"list_{name}") for name in list_names]
 
+    listed = [words(of_list(i)) for i in range(len(list_names))]
     columns = []
     if include_all:
         columns.append(F.array_join(words("_order"), SEPARATOR).alias("gene_sentence_all"))

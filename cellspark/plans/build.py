@@ -11,9 +11,11 @@ from cellspark.functions.text import quoted
 from cellspark.operators.ages import with_age_by_mode, with_known_age
 from cellspark.operators.columns import fill_missing_text
 from cellspark.operators.genes import flag_lists, map_genes, map_genes_without_table
+from cellspark.operators.joins import BROADCAST_ROWS
 from cellspark.operators.publications import join_publications, publication_text
 from cellspark.operators.sentences import sentences_from_arrays, to_sparse
 from cellspark.operators.splits import split_dataset
+from cellspark.session import materialize
 from cellspark.sources.tables import TABLE_ROW, gene_list_names
 
 CELL = ["dataset_id", "cell_id"]
@@ -96,6 +98,21 @@ def with_sentences(
     return sentences_from_arrays(measured, genes, CELL, include_zeros=options.include_zeros, **variants)
 
 
+def of_kept_cells(expr: DataFrame, cells: DataFrame) -> DataFrame:
+    """Expression rows of the cells that are left; ``cells`` are stored.
+
+    Up to BROADCAST_ROWS cells, which are counted, are broadcast, so rows of other cells are gone before anything
+    moves. Beyond that whole datasets without a cell left go first (there are few datasets), and rows in long form meet
+    their cells in the shuffle by cell that gathers them anyway.
+    """
+    keys = cells.select(*CELL).distinct()
+    if keys.count() <= BROADCAST_ROWS:
+        return expr.join(F.broadcast(keys), CELL, "left_semi")
+    datasets = keys.select("dataset_id").distinct()
+    rows = expr.join(F.broadcast(datasets), "dataset_id", "left_semi") if datasets.count() <= BROADCAST_ROWS else expr
+    return rows.join(keys, CELL, "left_semi") if "gene_idx" in expr.columns else rows
+
+
 def build_dataset(
     obs: DataFrame,
     var: DataFrame,
@@ -108,7 +125,11 @@ def build_dataset(
     """One row per kept cell of every dataset: metadata, age, publications, sentences, split."""
     options = with_list_names(options or BuildOptions(), gene_lists)
     genes = gene_symbols(var, symbols, gene_lists, options)
-    return with_sentences(cell_metadata(obs, collections, options), expr, genes, options)
+    cells = cell_metadata(obs, collections, options)
+    if expr is not None and options.filter_by_age:
+        cells = materialize(cells.sparkSession, cells, "kept-cells")
+        expr = of_kept_cells(expr, cells)
+    return with_sentences(cells, expr, genes, options)
 
 
 def convert_dataset(

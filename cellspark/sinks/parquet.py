@@ -220,5 +220,16 @@ def write_all_splits(
     writer.partitionBy("dataset_id", "split").parquet(path)
 
 
+def write_by_cell(df: DataFrame, table: str, path: str, buckets: int, keys: tuple[str, ...] = ("dataset_id", "cell_id"), mode: str = "errorifexists") -> DataFrame:
+    """A catalog table in ``buckets`` hash buckets by cell, sorted within them.
+
+    Long expression stored so becomes array form, and meets other tables in the same buckets, without a shuffle.
+    Rows are dealt by the same hash first, so every bucket is one file.
+    """
+    writer = _writer(df.repartition(buckets, *keys), DEFAULT_CODEC, DEFAULT_LEVEL, mode)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def symbol_table_to_parquet(spark: SparkSession, tsv: str, path: str) -> None:
     write_parquet(read_typed_symbol_table(spark, tsv), path)

@@ -21,7 +21,7 @@ from cellspark.plans.build import BuildOptions, build_dataset, convert_dataset
 from cellspark.plans.isolation import broken_datasets, check_files, dataset_of_partition, sound_rows
 from cellspark.plans.metadata import extract_metadata, resplit_dataset
 from cellspark.session import materialize, scratch_path
-from cellspark.sinks.parquet import write_all_splits
+from cellspark.sinks.parquet import write_all_splits, write_by_cell
 from cellspark.sources.files import list_files
 from cellspark.streaming.ingest import ingest_new_files, read_ingested
 from cellspark.streaming.quotas import ARRIVAL, ingest_with_quotas
@@ -493,3 +493,20 @@ def isolated_batch(spark, folder):
     report = batch_report(planned, built, broken=broken_datasets(checked)).select("dataset_name", "status", "cells")
     keys = built.groupBy(F.col("dataset_id").alias("dataset_name")).agg(F.sum("cell_id").alias("keys"))
     return report.join(keys, "dataset_name", "left")
+
+
+@query(
+    "c2_build_from_buckets",
+    sql(f"""
+    {_quota_sql("aged", 0.05)} {_sentences_sql("expr")}
+    SELECT a.{_BUILT}, a.dataset_id, a.donor_id, age, split
+    FROM aged a JOIN donor_split d ON a.donor_id = d.donor_id LEFT JOIN sentences s ON a.cell_id = s.cell_id WHERE age IS NOT NULL"""),
+)
+def built_from_buckets(spark, folder):
+    """Expression stored by cell in buckets: gathered and joined where it lies."""
+    cells, genes, rows = dataset_tables(spark, folder)
+    mapped = map_genes(var(spark, folder), hgnc(spark, folder), ["rank"])
+    path = scratch_path(spark, "expression-by-cell")
+    stored = write_by_cell(rows, f"expression_by_cell_{path.rsplit('-', 1)[1]}", path, 16)
+    built = build_dataset(cells, genes, stored, hgnc(spark, folder), None, gene_lists(spark, folder, mapped), OPTIONS)
+    return built.select("cell_id", "dataset_id", "donor_id", "age", "split", *_SENTENCES)
