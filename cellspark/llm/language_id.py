@@ -18,11 +18,11 @@ are predicted alike; other columns are not read.
 from __future__ import annotations
 
 import functools
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from cellspark.llm.common import smallest_hashes, stored
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = regex.compile(r"\p{L}+")
 START = "▁"  # the vocabulary's mark of a word's start
 LONGEST_PIECE = 16  # of the public vocabulary, for tests; the code takes that of the file, ``Pieces.longest``
 PART = 32  # characters of a block; sums are scaled between blocks

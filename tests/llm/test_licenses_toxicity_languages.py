@@ -261,3 +261,9 @@ def test_language_id(shipped, odd, empty):
     assert language_id.predict(empty, model).count() == 0
     nothing = language_id.learn(language_id.labelled_sample(empty, F.lit(True), 10), PIECES)
     assert {r["lang_pred"] for r in language_id.predict(odd, nothing).collect()} == {"und"}
+
+
+def test_only_letters_are_words():
+    """Fractions, raised and circled numbers and Roman numeral signs are no letters."""
+    assert language_id.words_of("½ ² ① Ⅳ 12 _ 3a Éß中 x́") == ["a", "éß中", "x"]
+    assert language_id.words_of("½²①") == [] == language_id.words_of(None)
