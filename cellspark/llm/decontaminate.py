@@ -101,6 +101,7 @@ class Items:
         self.shift = np.uint64(64 - min(bits, 27))
         self.seen = np.zeros(1 << min(bits, 27), bool)
         self.seen[self._slot(self.grams)] = True
+        self.masks: dict[tuple[int, bool], dict[int, int]] = {}
         self.margin = int((self.lengths + self.edits).max(initial=0)) + 1
 
     def _slot(self, hashes: np.ndarray) -> np.ndarray:
@@ -128,23 +129,25 @@ class Items:
         across = int(band.max()) - lowest + 1
         keys = item * across + (band - lowest)
         keys = np.concatenate([keys, keys - 1])
-        if len(self.rows) * across <= 1 << 20:
+        # Counting by place pays only where most places are hit.
+        if len(self.rows) * across <= min(1 << 20, 8 * len(keys)):
             shared = np.bincount(keys)
             keys = np.flatnonzero(shared >= self.least)
             shared = shared[keys]
         else:
             keys, shared = np.unique(keys, return_counts=True)
         item, band = keys // across, keys % across + lowest
-        need = self.need[item]
+        enough = np.flatnonzero(shared >= self.need[item])
+        item, band = item[enough], band[enough]
         step = 2 * self.edits[item] + 1
-        return [(int(i), int(b * s), int(2 * s)) for i, b, s, ok in zip(item, band, step, shared >= need, strict=True) if ok]
+        return list(zip(item.tolist(), (band * step).tolist(), (2 * step).tolist(), strict=True))
 
     def matches(self, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(item, start, end, edits), one for every place where a run of neighbouring bands aligns best."""
         found: dict[tuple[int, int], tuple[int, int, int, int]] = {}
         for item, low, width in self._bands(codes):
             pattern, k = self.rows[item][1], int(self.edits[item])
-            hit = self._verbatim(codes, pattern, low, width) or self._aligned(codes, pattern, low, width, k)
+            hit = self._verbatim(codes, pattern, low, width) or self._aligned(codes, item, low, width, k)
             if hit is not None and hit[2] <= k:
                 old = found.get((item, hit[1]))
                 if old is None or hit[2] < old[3]:
@@ -168,42 +171,56 @@ class Items:
                 return start, start + len(pattern), 0
         return None
 
-    @staticmethod
-    def _aligned(codes: np.ndarray, pattern: np.ndarray, low: int, width: int, k: int) -> tuple[int, int, int] | None:
-        """The whole pattern against the best part of the text whose path stays near a band."""
-        low, width = low - k, width + 2 * k + 1
-        end, edits = _banded(codes, pattern, low, width, free_start=True)
-        if end is None or edits > k:
+    def _masks(self, item: int, backwards: bool) -> dict[int, int]:
+        """For every character of an item the bits of its places."""
+        if (item, backwards) not in self.masks:
+            pattern = self.rows[item][1].tolist()
+            masks: dict[int, int] = {}
+            for place, character in enumerate(reversed(pattern) if backwards else pattern):
+                masks[character] = masks.get(character, 0) | 1 << place
+            self.masks[item, backwards] = masks
+        return self.masks[item, backwards]
+
+    def _aligned(self, codes: np.ndarray, item: int, low: int, width: int, k: int) -> tuple[int, int, int] | None:
+        """The whole item against the best part of the text that a band and k diagonals on either side cover."""
+        n = len(self.rows[item][1])
+        first = max(0, low - k)
+        window = codes[first : max(0, low + width + k + 1 + n)]
+        end, edits = _banded(window, self._masks(item, False), n, free_start=True)
+        if edits > k:
             return None
         # Backwards from the end, where the path must begin, gives the start.
-        back = codes[max(0, end - len(pattern) - k) : end][::-1]
-        length, _ = _banded(back, pattern[::-1], -k, 2 * k + 1, free_start=False)
-        return end - length, end, edits
+        back = window[max(0, end - n - k) : end][::-1]
+        length, _ = _banded(back, self._masks(item, True), n, free_start=False)
+        return first + end - length, first + end, edits
 
 
-def _banded(codes: np.ndarray, pattern: np.ndarray, low: int, width: int, free_start: bool) -> tuple[int | None, int]:
-    """(end in the text, edits) of the best path over diagonals ``low .. low + width - 1``, leftmost on ties.
+def _banded(band: np.ndarray, masks: dict[int, int], n: int, free_start: bool) -> tuple[int, int]:
+    """(end, edits) of the best path of a pattern of ``n`` characters through a band of text, leftmost on ties.
 
-    A row holds the least edits for every diagonal; ``text place = pattern place + diagonal``.
+    A column of the table is held as two bit strings, of the places where the edits step up and down, so a
+    character of text costs a dozen operations on whole numbers (Myers).
     """
-    far = len(pattern) + len(codes) + width
-    index = np.arange(width)
-    places = low + index
-    row = np.where((places >= 0) & (places <= len(codes)), 0 if free_start else places, far)
-    padded = np.concatenate([codes.astype(np.int64), [-1]])
-    for j, character in enumerate(pattern.tolist()):
-        before = places + j  # text place of the previous row's diagonal
-        inside = (before >= 0) & (before < len(codes))
-        differs = padded[np.where(inside, before, len(codes))] != character
-        taken = np.where(inside, row + differs, far)
-        dropped = np.append(row[1:], far) + 1
-        row = np.minimum(taken, dropped)
-        row = np.minimum.accumulate(row - index) + index  # text characters that the pattern lacks
-        now = before + 1
-        row = np.where((now >= 0) & (now <= len(codes)), row, far)
-    best = int(np.argmin(row))
-    edits = int(row[best])
-    return (None, edits) if edits >= far else (int(places[best]) + len(pattern), edits)
+    every, last = (1 << n) - 1, 1 << (n - 1)
+    up, down, edits = every, 0, n
+    best, end = n, 0
+    carried = 0 if free_start else 1
+    for place, character in enumerate(band.tolist(), 1):
+        equal = masks.get(character, 0)
+        vertical = equal | down
+        across = (((equal & up) + up) ^ up) | equal
+        rises = down | (every & ~(across | up))
+        falls = up & across
+        if rises & last:
+            edits += 1
+        elif falls & last:
+            edits -= 1
+        rises = rises << 1 | carried
+        up = (falls << 1 | ~(vertical | rises)) & every
+        down = rises & vertical & every
+        if edits < best:
+            best, end = edits, place
+    return end, best
 
 
 def _apart(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
