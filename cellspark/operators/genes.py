@@ -109,9 +109,8 @@ def gene_panel(genes: DataFrame, list_names: list[str]) -> DataFrame:
     ``genes`` holds (dataset_id, gene_idx, symbol, in_<list>...), with gene_idx as in the columns of
     the dataset's matrix; places of numbers without a gene are null. ``symbols`` are null where the gene
     does not count (Ensembl-like symbols); ``usable`` (descending) are the positions that do count. All lists
-    share small numbers with one bit each (``flags_0``, ...), so many lists make a row hardly longer than one. ``wrong`` says
-    that numbers are missing, negative or repeated. A row grows with the genes of one dataset (tens of thousands),
-    never with its cells.
+    share small numbers with one bit each (``flags_0``, ...), so many lists make a row hardly longer than one. A row grows
+    with the genes of one dataset (tens of thousands), never with its cells.
     """
     position = F.col("gene_idx").cast("int").alias("position")
     symbol = F.when(~is_ensembl_id(F.col("symbol")), F.col("symbol"))
@@ -127,7 +126,6 @@ def gene_panel(genes: DataFrame, list_names: list[str]) -> DataFrame:
     panels = genes.groupBy("dataset_id").agg(F.sort_array(F.collect_list(entry)).alias("_genes"), usable)
     at = F.col("_genes.position")
     placed = panels.withColumn("_next", F.slice(at, F.lit(2), F.size("_genes")))
-    wrong = F.coalesce(F.get(at, F.lit(0)) < 0, F.lit(True)) | (F.size(F.array_distinct(at)) != F.size(at))
 
     def by_position(name: str) -> Column:
         """Every entry behind the empty places before it."""
@@ -142,4 +140,4 @@ def gene_panel(genes: DataFrame, list_names: list[str]) -> DataFrame:
         before = F.array_repeat(none[name], F.coalesce(F.get("_genes.position", F.lit(0)), F.lit(0)))
         return F.concat(before, F.flatten(values)).alias(name)
 
-    return placed.select("dataset_id", "usable", wrong.alias("wrong"), *[by_position(n) for n in none])
+    return placed.select("dataset_id", "usable", *[by_position(n) for n in none])

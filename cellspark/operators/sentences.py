@@ -144,10 +144,14 @@ def stored_order(cells: DataFrame) -> DataFrame:
     return cells.select(*kept, stored.alias("_stored")).select(*kept, above.alias("_above"), below.alias("_below"))
 
 
-def _packed_bytes(panels: DataFrame) -> int:
+def _packed_bytes(genes: DataFrame) -> int:
     """Counted size of the packed genes of all datasets, with the empty places between gene numbers."""
-    size = F.octet_length(F.array_join("symbols", "")) + GENE_BYTES * F.size("symbols")
-    found = panels.agg(F.sum(size.cast("bigint")).alias("bytes"), F.max("wrong").alias("wrong")).first()
+    n, last = F.count("*"), F.max("gene_idx")
+    per_dataset = genes.groupBy("dataset_id").agg(
+        (F.sum(F.octet_length("symbol") + GENE_BYTES) + 8 * (last + 1)).alias("bytes"),
+        ((F.min("gene_idx") < 0) | (F.count_distinct("gene_idx") != n)).alias("wrong"),
+    )
+    found = per_dataset.agg(F.sum("bytes").alias("bytes"), F.max("wrong").alias("wrong")).first()
     if found["wrong"]:
         raise ValueError("gene_idx must number the genes of every dataset from 0 on, each once")
     return found["bytes"] or 0
@@ -171,12 +175,13 @@ def sentences_from_arrays(
     row is as long as the largest gene number of its dataset; numbers without a gene are empty places.
     """
     kept = [quoted(c) for c in cells.columns if c not in ("indices", "values", "expression")]
-    panels = materialize(cells.sparkSession, gene_panel(genes, list(list_names)), "panels")
-    size = _packed_bytes(panels)
+    genes = materialize(cells.sparkSession, genes, "genes")
+    size = _packed_bytes(genes)
+    panels = gene_panel(genes, list(list_names))
     ordered = stored_order(cells)
     if not include_zeros:
         ordered = ordered.select(*kept, F.concat("_above", "_below").alias("_order"))
-    joined = spread_join(ordered, panels.drop("wrong"), "dataset_id", cell, size, BROADCAST_BYTES)
+    joined = spread_join(ordered, panels, "dataset_id", cell, size, BROADCAST_BYTES)
 
     def words(positions: str | Column) -> Column:
         return F.transform(positions, lambda p: F.get(F.col("symbols"), p))
