@@ -1,16 +1,18 @@
 """N-gram Jaccard join: a grouped prefix join over sets of word shingles, down to components of linked documents.
 
-1. Documents become sets of 64-bit shingle hashes. Equal sets are one class.
-2. A table of counters of fixed size, summed over all documents, orders shingles roughly from rare to frequent: what a
-   counter has beyond the usual load comes from a frequent shingle. Any order gives the same links. The first ``size - ceil(t * size) + 1`` shingles of a set are its prefix.
-3. Classes with identical prefix and size form one group; groups meet on shared prefix shingles, and groups that
-   meet nobody are done. Only then are the groups expanded to their members.
-4. Members that share a shingle are paired under three filters that lose no link: sizes, positions, and the bits in
-   which two parity maps of the sets differ (256 bits at the shingle, 1024 afterwards). Survivors are verified on the
-   whole sets.
-5. Pairs are not enumerated where they cannot matter. The first round pairs every member with one other only, the
-   second with up to eight; classes already connected are not paired again. The last round takes all remaining pairs
-   of different components, so the components are those of all links.
+1. Documents become sets of 64-bit shingle hashes. Shingles with the smallest hashes, a share fixed by the similarity,
+   are counted exactly over all documents: chunks of documents send their distinct ones by ranges of hashes, and get
+   back those that stand in two documents or more, with their frequency. All shingles are then put in one order:
+   counted ones from rare to frequent, then the others. The first ``size - ceil(t * size) + 1`` of a set are its prefix.
+   A document whose prefix holds nothing but shingles of its own links with nobody and is done: most are.
+2. Equal sets are one class. Classes with identical prefix and size form one group.
+3. Groups that share a prefix shingle are paired and filtered by size and position. A group is paired with itself
+   where it has several members.
+4. Pairs of groups that are left are expanded to their members, which are filtered by the bits in which two parity maps
+   of 1024 bits differ. No filter loses a link. Survivors are verified on the whole sets.
+5. Pairs are not enumerated where they cannot matter. The first round pairs every group with one other at a shingle, the
+   second with up to eight, and their members with one member each; what is already connected is not paired again. The
+   last round takes all remaining pairs of different components, so the components are those of all links.
 
 Defined cases: a null or empty text has an empty set, links with nothing and is its own component; fewer words than a
 shingle are one shingle; repeated rows and equal texts share a class; a null id is never the least one; an empty table
@@ -19,21 +21,25 @@ gives an empty result; texts of any length are used whole; other columns are not
 
 from __future__ import annotations
 
+import itertools
 import math
+import zlib
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellspark.llm.common import components, slices, stored, sum_over_partitions
 
 MAP_WORDS = 16  # 64-bit words of a parity map
-SMALL_WORDS = 4  # of the map that travels with a shingle
-COUNTER_BITS = 22
+CHUNK = 1 << 20  # counted shingles of the documents of a chunk
+RANGE = 1 << 20  # counted shingles, before equal ones are merged, of a range of hashes
+NOT_COUNTED = 255  # the level of shingles beyond the counted ones
 _FACTOR, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -48,6 +54,10 @@ class Similarity:
     def prefix(self, size: int) -> int:
         return size + (-self.num * size) // self.den + 1
 
+    def counted(self) -> int:
+        """Shingles with smaller hashes are counted: twice a prefix, so that shingles of one document fill most prefixes."""
+        return min((1 << 64) - 1, (2 * (self.den - self.num) << 64) // self.den)
+
 
 def shingles(text: str | None, words: int) -> np.ndarray:
     """Sorted distinct hashes of the shingles of a text, A-Z lower-cased, cut at ASCII white space."""
@@ -64,130 +74,190 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     return np.unique(total ^ (total >> np.uint64(31)))
 
 
-def _slots(found: np.ndarray) -> np.ndarray:
-    return (found >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
-
-
-def frequency_levels(docs: DataFrame, similarity: Similarity) -> np.ndarray:
-    """For each slot of shingle hashes the power of two of its count over all documents, beyond the usual load.
-
-    Rare shingles share slots at random, so loads spread by their square root around the median; what is four
-    such widths above it holds a frequent shingle.
-    """
-
-    def count(batches):
-        counts = np.zeros(1 << COUNTER_BITS, np.uint32)
-        for batch in slices(batches):
-            for text in batch.column("text").to_pylist():
-                np.add.at(counts, _slots(shingles(text, similarity.words)), 1)
-        return counts
-
-    counts = sum_over_partitions(docs.select("text"), count)
-    if counts is None:
-        counts = np.zeros(1 << COUNTER_BITS, np.uint32)
-    usual = float(np.median(counts))
-    excess = counts.astype(float) - usual
-    return np.where(excess > 4 * math.sqrt(usual + 1), np.log2(np.maximum(excess, 1.0)) + 1, 0).astype(np.uint8)
-
-
-def describe(docs: DataFrame, similarity: Similarity) -> DataFrame:
-    """``doc_id``, ``n`` (set size), ``digest`` of the set, ``prefix``, ``prefix_digest`` and parity ``map``; written to the shared folder."""
-    levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(docs, similarity))  # 2 ** COUNTER_BITS bytes
+def _sampled(docs: DataFrame, similarity: Similarity) -> DataFrame:
+    """``chunk``, ``doc_id``, ``n`` (set size), ``digest`` of the set, parity ``map`` and ``tokens``: the counted shingles in
+    order, with the next ones where they are fewer than a prefix; written to the shared folder."""
+    limit = np.uint64(similarity.counted())
 
     def rows(batches):
+        chunk, load = TaskContext.get().partitionId() << 32, 0
         for batch in slices(batches):
             columns = ([], [], [], [], [])
             for text in batch.column("text").to_pylist():
                 found = shingles(text, similarity.words)
-                order = np.lexsort((found, levels.value[_slots(found)])) if len(found) else found
-                prefix = found[order[: similarity.prefix(len(found))]].view(np.int64) if len(found) else found.view(np.int64)
+                few = int(np.searchsorted(found, limit))
                 bits = (np.bincount((found & np.uint64(64 * MAP_WORDS - 1)).astype(np.int64), minlength=64 * MAP_WORDS) & 1).astype(np.uint8)
-                values = (len(found), xxhash.xxh3_128_digest(found.tobytes()), prefix, xxhash.xxh3_128_digest(prefix.tobytes()), np.packbits(bits).view(np.int64))
+                keep = max(few, similarity.prefix(len(found))) if len(found) else 0
+                values = (chunk, len(found), xxhash.xxh3_128_digest(found.tobytes()), np.packbits(bits).tobytes(), found[:keep].tobytes())
                 for column, value in zip(columns, values, strict=True):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(columns[0], pa.int32()),
-                    pa.array(columns[1], pa.binary()),
-                    pa.array(columns[2], pa.list_(pa.int64())),
-                    pa.array(columns[3], pa.binary()),
-                    pa.array(columns[4], pa.list_(pa.int64())),
-                ],
-                ["doc_id", "n", "digest", "prefix", "prefix_digest", "map"],
-            )
+                load += few
+                if load >= CHUNK:
+                    chunk, load = chunk + 1, 0
+            kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["doc_id", "chunk", "n", "digest", "map", "tokens"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return stored(docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, n int, digest binary, prefix array<long>, prefix_digest binary, map array<long>"), "shingle-sets")
+    return stored(docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, chunk long, n int, digest binary, map binary, tokens binary"), "shingle-samples")
 
 
-def _classes(described: DataFrame) -> DataFrame:
-    """One row per distinct set, with a number of its own."""
-    first = [F.first(c).alias(c) for c in ("n", "prefix", "prefix_digest", "map")]
-    rows = described.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("least_doc"), *first)
-    return stored(rows.withColumn("cid", F.monotonically_increasing_id()), "classes")
+def _repeated(sampled: DataFrame, similarity: Similarity) -> DataFrame:
+    """(``chunk``, ``tokens``, ``levels``): the counted shingles of a chunk that stand in several documents of the table, each
+    with the binary logarithm of its number of documents.
+
+    A chunk sends a shingle once, however many of its documents hold it, so frequent shingles are no hot keys.
+    """
+    limit = similarity.counted()
+    total = sampled.agg(F.sum(F.octet_length("tokens") / 8)).first()[0] or 0
+    ranges = max(1, math.ceil(total / RANGE))
+    width = np.uint64(limit // ranges + 1)
+
+    def send(batches):
+        for batch in batches:
+            chunks = batch.column("chunk").to_numpy()
+            borders = [0, *(np.flatnonzero(np.diff(chunks)) + 1), len(chunks)] if len(chunks) else [0]
+            for first, stop in itertools.pairwise(borders):
+                rows = batch.column("tokens").slice(first, stop - first)
+                tokens, counts = np.unique(np.concatenate([np.frombuffer(t.as_py(), np.uint64) for t in rows]), return_counts=True)
+                few = int(np.searchsorted(tokens, np.uint64(limit)))
+                tokens, counts = tokens[:few], counts[:few].astype(np.uint32)
+                places = (tokens // width).astype(np.int64)
+                cuts = np.r_[0, np.flatnonzero(np.diff(places)) + 1, few] if few else np.zeros(1, np.int64)
+                pieces = [(int(places[a]), tokens[a:b].tobytes(), zlib.compress(counts[a:b].tobytes(), 1)) for a, b in itertools.pairwise(cuts.tolist())]
+                if pieces:
+                    place, sent, many = zip(*pieces, strict=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([int(chunks[first])] * len(pieces), pa.int64()), pa.array(place, pa.int64()), pa.array(sent, pa.binary()), pa.array(many, pa.binary())],
+                        ["chunk", "place", "tokens", "counts"],
+                    )
+
+    def count(table: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(t.as_py(), np.uint64) for t in table.column("tokens")]
+        counts = np.concatenate([np.frombuffer(zlib.decompress(c.as_py()), np.uint32) for c in table.column("counts")])
+        inverse = np.unique(np.concatenate(parts), return_inverse=True)[1]
+        level = np.ceil(np.log2(np.bincount(inverse, weights=counts))).astype(np.uint8)[inverse]
+        ends = np.cumsum([len(p) for p in parts])
+        levels = [level[end - len(p) : end] for p, end in zip(parts, ends, strict=True)]
+        return pa.table(
+            {
+                "chunk": table.column("chunk"),
+                "tokens": pa.array([p[one > 0].tobytes() for p, one in zip(parts, levels, strict=True)], pa.binary()),
+                "levels": pa.array([one[one > 0].tobytes() for one in levels], pa.binary()),
+            }
+        )
+
+    sent = sampled.select("chunk", "tokens").mapInArrow(send, "chunk long, place long, tokens binary, counts binary")
+    return sent.groupBy("place").applyInArrow(count, "chunk long, tokens binary, levels binary").where(F.octet_length("tokens") > 0)
 
 
-SMALL = [f"bits_{i}" for i in range(SMALL_WORDS)]
+def describe(docs: DataFrame, similarity: Similarity) -> DataFrame:
+    """``doc_id``, ``n`` (set size), and for documents whose prefix holds a shingle that may stand elsewhere too: ``digest``
+    of the set, ``prefix``, ``prefix_digest``, ``own`` (how many shingles at its start are of this document only) and parity ``map``; written to the shared folder."""
+    sampled = _sampled(docs, similarity)
+    limit = np.uint64(similarity.counted())
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
+    def order(rows: pa.Table, repeated: pa.Table) -> pa.Table:
+        known, first = np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(t.as_py(), np.uint64) for t in repeated.column("tokens"))]), return_index=True)
+        known_levels = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(v.as_py(), np.uint8) for v in repeated.column("levels"))])[first]
+        columns = ([], [], [], [], [])
+        for n, digest, bits, tokens in zip(*(rows.column(c) for c in ("n", "digest", "map", "tokens")), strict=True):
+            tokens = np.frombuffer(tokens.as_py(), np.uint64)
+            levels = np.where(tokens < limit, 0, NOT_COUNTED).astype(np.uint8)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+                levels = np.where(known[at] == tokens, known_levels[at], levels)
+            length = similarity.prefix(n.as_py()) if n.as_py() else 0
+            best = np.lexsort((tokens, levels))[:length]
+            own = int(np.searchsorted(levels[best], 1))
+            if own == length:
+                values = (None,) * 5
+            else:
+                prefix = tokens[best].view(np.int64)
+                values = (digest.as_py(), prefix, xxhash.xxh3_128_digest(prefix.tobytes()), own, np.frombuffer(bits.as_py(), np.int64))
+            for column, value in zip(columns, values, strict=True):
+                column.append(value)
+        kinds = (pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.int32(), pa.list_(pa.int64()))
+        return pa.Table.from_arrays(
+            [rows.column("doc_id"), rows.column("n"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+            ["doc_id", "n", "digest", "prefix", "prefix_digest", "own", "map"],
+        )
+
+    both = sampled.groupBy("chunk").cogroup(_repeated(sampled, similarity).groupBy("chunk"))
+    made = both.applyInArrow(order, f"doc_id {kind}, n int, digest binary, prefix array<long>, prefix_digest binary, own int, map array<long>")
+    return stored(made, "shingle-sets")
 
-def _small_map() -> list[Column]:
-    """The parity map folded to a quarter, which is the parity map of fewer bits."""
-    parts = MAP_WORDS // SMALL_WORDS
-    return [reduce(Column.bitwiseXOR, [F.get("map", F.lit(i + SMALL_WORDS * k)) for k in range(parts)]).alias(name) for i, name in enumerate(SMALL)]
+
+def _classes(described: DataFrame) -> DataFrame:
+    """One row per distinct set, with a number of its own and that of its group, the least number with its prefix and size."""
+    first = [F.first(c).alias(c) for c in ("n", "prefix", "prefix_digest", "own", "map")]
+    rows = described.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least_doc"), *first)
+    rows = stored(rows.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    groups = rows.groupBy("prefix_digest", "n").agg(F.min("cid").alias("gid"), F.count("*").alias("members"))
+    return stored(rows.join(groups, ["prefix_digest", "n"]).drop("prefix_digest"), "grouped-classes")
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """(``token``, ``cid``, ``n``, ``at``, small map): members of groups that share a prefix shingle; members of one
-    group share its number."""
-    groups = classes.groupBy("prefix_digest", "n").agg(F.min("cid").alias("gid"), F.count("*").alias("members"))
-    members = classes.select("cid", "prefix_digest", "n", *_small_map()).join(groups, ["prefix_digest", "n"]).select("cid", "n", "gid", "members", *SMALL)
-    tokens = classes.join(groups.select(F.col("gid").alias("cid")), "cid", "left_semi").select(F.col("cid").alias("gid"), F.posexplode("prefix").alias("at", "token"))
+    """(``token``, ``gid``, ``n``, ``at``): groups at the prefix shingles that they share with another group."""
+    tokens = classes.where("cid = gid").select("gid", "n", "own", F.posexplode("prefix").alias("at", "token")).where("at >= own").drop("own")
     shared = tokens.groupBy("token").count().where("count > 1").select("token")
-    met = tokens.join(shared, "token").join(members, "gid").select("token", "cid", "n", "at", *SMALL)
-    inside = members.where("members > 1").select(F.col("gid").alias("token"), "cid", "n", F.lit(0).alias("at"), *SMALL)
-    return stored(met.unionByName(inside), "postings")
+    return stored(tokens.join(shared, "token"), "postings")
 
 
 def _possible(x: str, y: str, similarity: Similarity) -> Column:
-    """Size, position and small-map filters for members ``x`` and ``y`` of one token."""
+    """Size and position filters for groups ``x`` and ``y`` at one shingle."""
     num, den = similarity.num, similarity.den
     a, b, i, j = F.col(f"{x}.n").cast("long"), F.col(f"{y}.n").cast("long"), F.col(f"{x}.at"), F.col(f"{y}.at")
     sizes = F.least(a, b) * den >= F.greatest(a, b) * num
     most = F.least(i, j) + 1 + F.least(a - i - 1, b - j - 1)
-    differing = reduce(Column.__add__, [F.bit_count(F.col(f"{x}.{m}").bitwiseXOR(F.col(f"{y}.{m}"))) for m in SMALL])
-    return sizes & (most * (den + num) >= (a + b) * num) & ((a + b - differing) * (den + num) >= (a + b) * (2 * num))
+    return sizes & (most * (den + num) >= (a + b) * num)
 
 
-def _candidates(postings: DataFrame, classes: DataFrame, labels: DataFrame | None, stars: int | None, similarity: Similarity) -> DataFrame:
-    """Distinct pairs (``u`` > ``v``) of classes in different components that pass all filters."""
+def _labelled(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members (``cid``, ``gid``, ``n``, ``map``, ``label``)."""
+    members = classes.select("cid", "gid", "n", "members", "map")
     if labels is None:
-        rows = postings.withColumn("label", F.col("cid"))
-    else:
-        rows = postings.join(labels, postings["cid"] == labels["node"], "left").select("token", "cid", "n", "at", *SMALL, F.coalesce("label", "cid").alias("label"))
-        live = rows.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("token")
-        rows = stored(rows.join(live, "token"), "live-postings")
+        return members.withColumn("label", F.col("cid"))
+    return members.join(labels, members["cid"] == labels["node"], "left").withColumn("label", F.coalesce("label", "cid")).drop("node")
+
+
+def _group_pairs(postings: DataFrame, members: DataFrame, stars: int | None, similarity: Similarity) -> DataFrame:
+    """Distinct pairs (``x``, ``y``) of groups, or of a group with itself, that pass the filters and are not of one component."""
+    spans = members.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    rows = postings.join(spans, "gid")
+    live = rows.groupBy("token").agg(F.min("low").alias("a"), F.max("high").alias("b")).where("a <> b").select("token")
+    rows = stored(rows.join(live, "token"), "live-postings")
+    unlike = (F.least("x.low", "y.low") < F.greatest("x.high", "y.high")) & _possible("x", "y", similarity)
     if stars is None:
-        others, apart = rows, F.col("x.cid") < F.col("y.cid")
+        met = rows.alias("x").join(rows.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.gid") < F.col("y.gid")) & unlike)
+        pairs = met.select(F.col("x.gid").alias("x"), F.col("y.gid").alias("y")).distinct()
     else:
-        ray = F.pmod(F.xxhash64("cid"), F.lit(stars)).alias("ray")
-        least = F.min(F.struct("cid", "n", "at", *SMALL, "label")).alias("r")
-        others = rows.groupBy("token", ray).agg(least).select("token", "ray", "r.*")
-        apart = F.col("x.cid") != F.col("y.cid")
-    met = rows.alias("x").join(others.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & (F.col("x.label") != F.col("y.label")) & _possible("x", "y", similarity))
-    if stars is not None:
-        # Of the centres that a member meets at its shingles, one per ray.
-        met = met.groupBy(F.col("x.cid").alias("x_cid"), "ray").agg(F.min("y.cid").alias("y_cid"))
+        ray = F.pmod(F.xxhash64("gid"), F.lit(stars)).alias("ray")
+        centres = rows.groupBy("token", ray).agg(F.min(F.struct("gid", "n", "at", "low", "high")).alias("r")).select("token", "ray", "r.*")
+        met = rows.alias("x").join(centres.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.gid") != F.col("y.gid")) & unlike)
+        # Of the centres that a group meets at its shingles, one per ray.
+        pairs = met.groupBy(F.col("x.gid").alias("x"), "ray").agg(F.min("y.gid").alias("y")).select("x", "y").distinct()
+    return pairs.unionByName(spans.where("low < high").select(F.col("gid").alias("x"), F.col("gid").alias("y")))
+
+
+def _candidates(postings: DataFrame, classes: DataFrame, labels: DataFrame | None, stars: int | None, similarity: Similarity) -> DataFrame:
+    """Distinct pairs (``u`` > ``v``) of classes in different components that pass all filters: pairs of groups, expanded."""
+    members = _labelled(classes, labels)
+    if labels is not None:
+        members = stored(members, "labelled-members")
+    pairs = _group_pairs(postings, members, stars, similarity)
+    if stars is None:
+        others = members
     else:
-        met = met.select(F.col("x.cid").alias("x_cid"), F.col("y.cid").alias("y_cid"))
-    pairs = met.select(F.greatest("x_cid", "y_cid").alias("u"), F.least("x_cid", "y_cid").alias("v")).distinct()
-    maps = classes.select("cid", "n", "map")
-    for side in ("u", "v"):
-        pairs = pairs.join(maps.select(F.col("cid").alias(side), F.col("n").alias(f"n_{side}"), F.col("map").alias(f"map_{side}")), side)
-    differing = reduce(Column.__add__, [F.bit_count(F.get("map_u", F.lit(i)).bitwiseXOR(F.get("map_v", F.lit(i)))) for i in range(MAP_WORDS)])
-    total = (F.col("n_u") + F.col("n_v")).cast("long")
+        ray = F.pmod(F.xxhash64("cid"), F.lit(stars))
+        others = members.groupBy("gid", ray.alias("ray")).agg(F.min(F.struct("cid", "n", "map", "label")).alias("r")).select("gid", "r.*")
+    x, y = members.alias("x"), others.alias("y")
+    differing = reduce(Column.__add__, [F.bit_count(F.get("x.map", F.lit(i)).bitwiseXOR(F.get("y.map", F.lit(i)))) for i in range(MAP_WORDS)])
+    total = (F.col("x.n") + F.col("y.n")).cast("long")
     close = (total - differing) * (similarity.den + similarity.num) >= total * (2 * similarity.num)
-    return stored(pairs.where(close).select("u", "v"), "candidate-pairs")
+    once = (F.col("x.gid") != F.col("y.gid")) | (F.col("x.cid") > F.col("y.cid"))
+    met = pairs.join(x, F.col("x.gid") == F.col("x")).join(y, (F.col("y.gid") == F.col("y")) & (F.col("x.label") != F.col("y.label")) & once & close)
+    return stored(met.select(F.greatest("x.cid", "y.cid").alias("u"), F.least("x.cid", "y.cid").alias("v")).distinct(), "candidate-pairs")
 
 
 def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, similarity: Similarity) -> DataFrame:
@@ -257,6 +327,6 @@ def near_duplicates(docs: DataFrame, similarity: Similarity = Similarity()) -> D
         numbered = numbered.withColumn("label", F.col("cid"))
     least = numbered.groupBy("label").agg(F.min("least_doc").alias("component_id"))
     of_class = numbered.join(least, "label").select("digest", "component_id")
-    return described.select("doc_id", "n", "digest").join(of_class, "digest", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
-    )
+    size = F.col("n").cast("long").alias("n_shingles")
+    alone = described.where("digest IS NULL").select("doc_id", size, F.col("doc_id").alias("component_id"))
+    return alone.unionByName(described.where("digest IS NOT NULL").select("doc_id", "n", "digest").join(of_class, "digest").select("doc_id", size, "component_id"))
