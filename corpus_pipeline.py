@@ -1,14 +1,17 @@
 """From raw documents to packed training sequences, in five stages; each is written as Parquet and read again.
 
 1. toxicity: documents that score 0.5 or more go.
-2. near_duplicates: of documents whose sets of five-word shingles are linked at a similarity of 0.8 or more, the one
-   with the least id stays. Rows that repeat an id are one document; rows without an id stay as they are.
+2. near_duplicates: of rows whose sets of five-word shingles are linked at a similarity of 0.8 or more, the one with the
+   least id stays, of several with that id the one with the least MD5 of its text. Rows are told apart by id and text, so rows
+   of one id with unlike texts are judged one by one, and rows that repeat both are one. A row without an id stays only where
+   no row with an id is linked to it; without id and words it stays in any case.
 3. decontamination: documents that hold a benchmark item, up to its edit budget, go.
 4. pii: personal data are replaced by their kind in angle brackets; ``n_chars`` follows the text.
 5. packing: what is left is cut into sequences of 2048 tokens.
 
 Every stage works on all rows its predecessor kept, and all but the last return the columns of ``documents``. A null
-text is kept by the filters, and packed as an empty one.
+text is kept by the filters, and packed as an empty one. A table without rows gives one without rows, texts of any length are
+used whole, and further columns, whatever their names, are kept up to the last stage.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellspark.llm import decontaminate, jaccard_join, packing, pii, toxicity
-from cellspark.llm.common import documents, fold, ship, stored
+from cellspark.llm.common import BLANKS, documents, fold, ship, stored
 
 LABELLED_ROWS = 20_000
 SIMILARITY = jaccard_join.Similarity(words=5, num=80, den=100)
@@ -37,10 +40,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    found = jaccard_join.near_duplicates(docs, SIMILARITY)
-    stay = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    key = _free_name(docs, "row_key")
+    blank = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(f"[^{BLANKS}]"), F.lit(False))
+    keyed = docs.where(~blank).withColumn(key, F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.md5("text").alias("digest")))
+    found = jaccard_join.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), SIMILARITY)
+    stay = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(key)).distinct()
+    kept = keyed.join(stay, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
+    return kept.unionByName(docs.where(blank))
 
 
 def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
