@@ -1,6 +1,6 @@
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -209,3 +209,31 @@ def test_pipeline_stages(shipped, tmp_path):
     assert {i for i in kept[3] if kept[3][i] != texts[i]} == {140}
     packed = corpus_pipeline.run(shipped, str(tmp_path)).collect()
     assert {r["doc_id"] for r in packed} == set(kept[3])
+
+
+def test_near_duplicate_rows_are_told_apart_by_id_and_text(shipped):
+    rng = random.Random(11)
+    a, b, c, d = (prose(rng, 40) for _ in range(4))
+    long = prose(rng, 200_000)  # over 1 MB
+    rows = [(1, a), (1, b), (1, a), (2, a), (None, a), (3, b + " more"), (None, c), (None, c), (None, ""), (None, None), (None, ""), (4, ""), (5, None), (6, long), (7, long + " end"), (8, d)]
+    docs = shipped.createDataFrame([(i, t, "clash") for i, t in rows], "doc_id long, text string, row_key string")
+    left = corpus_pipeline.drop_near_duplicates(shipped, docs, "")
+    assert left.columns == docs.columns
+    expected = [(1, a), (1, b), (None, c), (None, ""), (None, None), (None, ""), (4, ""), (5, None), (6, long), (8, d)]
+    assert Counter((r["doc_id"], r["text"]) for r in left.collect()) == Counter(expected)
+    assert corpus_pipeline.drop_near_duplicates(shipped, docs.where("false"), "").count() == 0
+
+
+def test_equal_prefixes_with_unlike_sets(make):
+    rng = random.Random(12)
+    # Many copies with changes at few places: groups of one prefix with many members, and chains of links.
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for _ in range(150):
+        copy = list(base)
+        for _ in range(rng.randint(0, 3)):
+            copy[rng.randrange(len(copy))] = f"x{rng.randrange(4)}"
+        texts.append(" ".join(copy))
+    similarity = jaccard_join.Similarity(3, 90, 100)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(make(texts), similarity).collect()}
+    assert found == brute_components(texts, similarity)
