@@ -9,15 +9,17 @@ is there whole (a notice of version 3 is not most of one of version 2). Short ph
 a phrase ends where its state is on the suffix path of the current one.
 
 Defined cases: a null or empty text has no words, no labels and score 0; repeated rows are scanned alike; texts
-of any length are streamed whole, words unknown to the templates only reset the match; ties between chains go to
-the earlier one; other columns are not read.
+of any length are streamed whole, in time that grows with their words and matches, words unknown to the templates only reset
+the match; ties between chains go to the earlier one; a table without rows gives one without rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +56,79 @@ TEMPLATES = {
     "all rights reserved": "reserved",
 }
 
+# Whole texts of public licenses and the headers that some ask for, without names and years.
+TEMPLATES |= {
+    """
+    Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+    files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy,
+    modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software
+    is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be
+    included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY
+    KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND
+    NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY,
+    WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR
+    OTHER DEALINGS IN THE SOFTWARE.
+    """: "mit",
+    """
+    Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+    provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND
+    THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND
+    FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+    WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION,
+    ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.
+    """: "isc",
+    """
+    Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+    conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the
+    following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
+    the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of
+    the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software
+    without specific prior written permission.
+    """: "bsd-3",
+    """
+    THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+    BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT
+    SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR
+    CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR
+    PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR
+    TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE
+    POSSIBILITY OF SUCH DAMAGE.
+    """: "bsd",
+    """
+    This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for
+    any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose,
+    including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The
+    origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this
+    software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered
+    source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice
+    may not be removed or altered from any source distribution.
+    """: "zlib",
+    """
+    Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+    License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law
+    or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR
+    CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and
+    limitations under the License.
+    """: "apache-2",
+    """
+    This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
+    published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This
+    program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have
+    received a copy of the GNU General Public License along with this program. If not, see http://www.gnu.org/licenses/.
+    """: "gpl-3",
+    """
+    This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as
+    published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This
+    program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+    """: "gpl-2",
+    """
+    This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed
+    with this file, You can obtain one at http://mozilla.org/MPL/2.0/.
+    """: "mpl-2",
+}
+
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -183,12 +258,15 @@ class SuffixAutomaton:
                         if self.after[template][stop] != following[place]:
                             segments[template].append((end - n, stop - n, n))
         spans = []
-        whole = {(a, a + n) for template, found in segments.items() for a, _, n in found if n == len(self.templates[template][0])}
+        whole = sorted({(a, a + n) for template, found in segments.items() for a, _, n in found if n == len(self.templates[template][0])})
+        starts, reach = [a for a, _ in whole], list(accumulate((b for _, b in whole), max))
         for template, found in segments.items():
             size, label = len(self.templates[template][0]), self.templates[template][1]
             for start, end, covered in _chains(sorted(found), limits.most_gap):
-                other = covered < size and any(a <= start and end <= b and end - start < b - a for a, b in whole)
-                if covered / size >= limits.least_cover and not other:
+                # Inside a longer whole match: one that starts before and does not end before, or does not start after and ends after.
+                before, until = bisect_left(starts, start), bisect_right(starts, start)
+                inside = (before and reach[before - 1] >= end) or (until and reach[until - 1] > end)
+                if covered / size >= limits.least_cover and not (covered < size and inside):
                     spans.append((start, end, label, covered / size))
         return places, sorted(spans)
 

@@ -1,6 +1,8 @@
 import random
 import re
+import time
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -108,6 +110,28 @@ def test_spans_against_brute_force():
     assert seen > 100
 
 
+def test_whole_licenses_with_changes():
+    automaton = license_scan.SuffixAutomaton(license_scan.TEMPLATES, license_scan.PHRASES)
+    for text, label in license_scan.TEMPLATES.items():
+        words = license_scan.words_of(text)
+        if len(words) < 60:
+            continue
+        # A copyright line before it, other names in its sentences, a line left out.
+        changed = [b"copyright", b"2020", b"somebody", *words[:25], b"acme", b"inc", *words[25:50], *words[53:], b"more"]
+        found = [s for s in automaton.scan(changed, license_scan.Limits())[1] if s[2] == label and s[1] - s[0] > 0.7 * len(words)]
+        assert found and 0.75 <= found[0][3] < 1.0, label
+
+
+def test_many_notices_in_one_text():
+    automaton = license_scan.SuffixAutomaton(license_scan.TEMPLATES, license_scan.PHRASES)
+    words = license_scan.words_of(" ".join(list(license_scan.TEMPLATES)[:17])) + [b"gnu", b"general", b"public", b"license", b"as", b"published"]
+    once = len(automaton.scan(words, license_scan.Limits())[1])
+    begun = time.perf_counter()
+    spans = automaton.scan(words * (100_000 // len(words)), license_scan.Limits())[1]
+    # Linear: seconds, not the minute of a comparison of all spans with each other.
+    assert time.perf_counter() - begun < 10 and len(spans) >= (once - 2) * (100_000 // len(words))
+
+
 def test_shorter_template_under_a_longer_match():
     automaton = license_scan.SuffixAutomaton(license_scan.TEMPLATES, license_scan.PHRASES)
     text = "Distributed under the GNU General Public License, version 3."
@@ -134,7 +158,38 @@ def test_lexicon_against_brute_force():
         best = min(near, default=9)
         assert lexicon.match(word) == (best if best <= 1 else None)
         assert lexicon.matches({word}).get(word) == lexicon.match(word)
-    assert toxicity.Lexicon(["abcd*"]).match("abcdxyz") == 0
+    assert toxicity.Lexicon(["stupid", "moron", "path"]).match("stupendous") is None
+
+
+def test_more_edits_against_brute_force():
+    random.seed(7)
+    terms = ["".join(random.choices("abcd", k=random.randint(5, 12))) for _ in range(40)]
+    for most in (0, 2, 3):
+        lexicon = toxicity.Lexicon(terms, edits=most)
+        for _ in range(1500):
+            word = "".join(random.choices("abcd", k=random.randint(1, 14)))
+            best = min(edits(word, t) for t in terms)
+            assert lexicon.match(word) == (best if best <= most else None)
+    assert toxicity.Lexicon(["abcdefgh"], edits=2).match("abxdexgh") == 2
+
+
+def test_context_of_matches():
+    lexicon = toxicity.Lexicon(["moron", "idiot", "scum"])
+    count = lambda text, **options: toxicity.features(lexicon, text, **options)[:3]
+    one = float(np.log1p(1) / np.log1p(3))
+    assert count("you moron") == (one, 0.0, 0.0) and count("you morron") == (0.0, one, 0.0) and count("morron, idio")[1] > one
+    assert count('they said "moron" to us') == (0.0, 0.0, one) and count('they said "moran" to us') == (0.0, 0.0, one)
+    assert count('the sign "moron" there') == (one, 0.0, 0.0) and count("they said moron") == (one, 0.0, 0.0)
+    assert count("don’t, moron, they said it’s fine") == (one, 0.0, 0.0)
+    assert count(None) == count("") == count("scums") == (0.0, 0.0, 0.0)
+    # A near word of clean texts is no misspelling, but a clean text of the sample is not its own evidence.
+    lexicon.clean = {"moran": 1}
+    assert count("mr moran") == (0.0, 0.0, 0.0) and count("mr moran", own=1) == (0.0, one, 0.0)
+    text = "you moron and scum, you idiot"
+    assert toxicity.quoted(lexicon, text) == 'you they said "moron" and they said "scum", you they said "idiot"'
+    for word in toxicity.misspelled(lexicon, text).replace(",", "").split():
+        assert lexicon.match(word) in (None, 1)
+    assert toxicity.misspelled(lexicon, "fine") is None and toxicity.quoted(lexicon, "") is None
 
 
 def test_toxicity(make, odd, empty, shipped):
@@ -150,6 +205,16 @@ def test_toxicity(make, odd, empty, shipped):
     scores = [r["mine"] for r in scored.collect()]
     assert min(scores[:5]) > 0.5 > max(scores[5:10])
     assert scores[10] > scores[5] and scores[11] < scores[0]
+    # Weights of the right sign: a misspelled term raises the score, also beside nothing else, and a quoted one counts less.
+    exact, near, quoted, _ = model.weights
+    assert exact > 0 and near > 0 and quoted < near
+    line = " ".join(plain * 4)
+    calm, abuse, hidden, said = model.score([line, f"{line} numskull", f"{line} numskul", f'{line} she said "numskull"'])
+    assert max(calm, said) < 0.5 < min(abuse, hidden)
+    # Copies are no evidence of their own.
+    copies = make(["a purplish evening"] * 50 + bad[:5] + good)
+    marked = copies.select("doc_id", (F.col("doc_id") < 55).cast("int").alias("toxic")).distinct()
+    assert "purplish" not in toxicity.learn(toxicity.labelled_sample(copies, marked, F.lit(True), 10_000)).lexicon.terms
     assert all(0 <= s <= 1 for s in scores) and scored.columns[:-1] == odd.columns
     nothing = toxicity.learn(toxicity.labelled_sample(empty, labels, F.lit(True), 10))
     assert {r["mine"] for r in toxicity.score(odd, nothing, "mine").collect()} == {0.0}
