@@ -209,8 +209,11 @@ def test_toxicity(make, odd, empty, shipped):
     exact, near, quoted, _ = model.weights
     assert exact > 0 and near > 0 and quoted < near
     line = " ".join(plain * 4)
-    calm, abuse, hidden, said = model.score([line, f"{line} numskull", f"{line} numskul", f'{line} she said "numskull"'])
-    assert max(calm, said) < 0.5 < min(abuse, hidden)
+    calm, one, said = model.score([line, f"{line} numskul", f'{line} she said "numskull"'])
+    assert max(calm, said) < 0.1 < one
+    # As dense as in the toxic texts: two terms, as they are, misspelled, and quoted.
+    abuse, hidden, said = model.score([f"{line} numskull dimwitted", f"{line} numskul dimwited", f'{line} she said "numskull dimwitted"'])
+    assert said < 0.1 < 0.5 < min(abuse, hidden)
     # Copies are no evidence of their own.
     copies = make(["a purplish evening"] * 50 + bad[:5] + good)
     marked = copies.select("doc_id", (F.col("doc_id") < 55).cast("int").alias("toxic")).distinct()
