@@ -1,7 +1,7 @@
 """Toxicity: words near a learned lexicon, found by Levenshtein automata walked along a trie, scored in context.
 
 The lexicon holds the words that stand almost only in toxic ones of the labelled texts, in more of them than chance
-allows; texts that repeat count once. A word of five characters or more matches a term up to ``edits`` edits, others
+allows, each time between other words, so that copies and near copies of a text are no evidence. A word of five characters or more matches a term up to ``edits`` edits, others
 exactly: the word's Levenshtein automaton and the trie of terms are walked together, and a branch is left as soon as
 no state of the automaton is alive. A near word that clean texts hold as well is a word of its own, no misspelling.
 Around every match a window is read: quotation marks and words of reporting make it a quotation, which weighs less
@@ -73,6 +73,7 @@ class Lexicon:
             for character in term:
                 node = node.setdefault(character, {})
             node[""] = term
+        self.probes: dict[int, list[tuple[dict, list[tuple[int, int, set[str]]]]]] = {}
         self.seen: set[str] = set()
         self.hits: dict[str, int] = {}
 
@@ -91,26 +92,36 @@ class Lexicon:
     def match(self, word: str) -> int | None:
         if word in self.terms:
             return 0
+        if len(word) not in self.probes:
+            self.probes[len(word)] = self._probes(len(word))
         best = None
-        for size in range(len(word) - self.edits, len(word) + self.edits + 1):
-            if size in self.by_length:
-                pieces, trie = self.by_length[size]
-                if self._holds_piece(word, size, pieces):
+        for trie, probes in self.probes[len(word)]:
+            for start, stop, held in probes:
+                if word[start:stop] in held:
                     found = self._walk(word, trie)
                     best = found if best is None else best if found is None else min(best, found)
+                    break
         return best
 
-    def _holds_piece(self, word: str, size: int, pieces: list[tuple[int, int, set[str]]]) -> bool:
-        """``edits`` edits leave one of ``edits`` + 1 pieces whole; where it stands follows from the edits before and after it."""
-        more = len(word) - size
-        for number, (first, length, held) in enumerate(pieces):
-            # Of the first whole piece: every piece before it took an edit, so that many fewer are left for what follows.
-            before, after = (self.edits, self.edits - number) if number else (0, self.edits)
-            for moved in range(max(-before, more - after), min(before, more + after) + 1):
-                start = first + moved
-                if start >= 0 and word[start : start + length] in held:
-                    return True
-        return False
+    def _probes(self, length: int) -> list[tuple[dict, list[tuple[int, int, set[str]]]]]:
+        """Tries that can match words of a length, each with the places of a word where one of its pieces must stand.
+
+        ``edits`` edits leave one of ``edits`` + 1 pieces whole; where it stands follows from the edits before and after it.
+        """
+        tries = []
+        for size in range(length - self.edits, length + self.edits + 1):
+            if size not in self.by_length:
+                continue
+            pieces, trie = self.by_length[size]
+            probes, more = [], length - size
+            for number, (first, n, held) in enumerate(pieces):
+                # Of the first whole piece: every piece before it took an edit, so that many fewer are left for what follows.
+                before, after = (self.edits, self.edits - number) if number else (0, self.edits)
+                for moved in range(max(-before, more - after), min(before, more + after) + 1):
+                    if first + moved >= 0:
+                        probes.append((first + moved, first + moved + n, held))
+            tries.append((trie, probes))
+        return tries
 
     def _walk(self, word: str, trie: dict) -> int | None:
         """The nearest term of a trie, if within ``edits``: the product of the word's Levenshtein automaton and the trie.
@@ -151,12 +162,18 @@ class Lexicon:
 FEATURES = ("exact", "near", "quoted", "share")
 
 
+def small(text: str | None) -> str:
+    """In small letters, with apostrophes that are no quotation marks."""
+    lower = (text or "").lower()
+    return APOSTROPHE.sub("'", lower) if "’" in lower else lower
+
+
 def found_in(lexicon: Lexicon, text: str | None, own: int = 0) -> tuple[str, list[tuple[int, int, int]], int]:
     """The text in small letters, its matches (start, end, distance) and its words.
 
     ``own`` is 1 for a clean text of the sample: that it holds a near word itself does not count against the word.
     """
-    lower = APOSTROPHE.sub("'", (text or "").lower())
+    lower = small(text)
     words = WORD.findall(lower)
     hits = lexicon.matches(set(words))
     hits = {w: d for w, d in hits.items() if d == 0 or lexicon.clean.get(w, 0) <= own}
@@ -238,11 +255,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, max_rows
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", "weight")
 
 
+def contexts(text: str | None, wanted: set[str]) -> set[tuple[str, int]]:
+    """(word, hash of the words beside it) of every place of a wanted word."""
+    words = ["", *WORD.findall((text or "").lower()), ""]
+    return {(w, zlib.crc32(f"{words[i - 1]} {words[i + 1]}".encode("utf-8", "surrogatepass"))) for i, w in enumerate(words) if w in wanted}
+
+
 def learn(sample: DataFrame, purity: float = 0.9, chance: float = 1e-5, edits: int = 1) -> Model:
     """The lexicon and the weights, from a bounded sample of ``text``, ``toxic`` and the ``weight`` of the label's rows.
 
     A term must stand in so many different toxic texts that unrelated words would all be there with a probability
-    under ``chance``, and in toxic texts only but for ``1 - purity``. All such terms are taken; like the near words of
+    under ``chance``, in toxic texts only but for ``1 - purity``, and between as many different pairs of words: in near
+    copies of one text it always stands between the same two. All such terms are taken; like the near words of
     clean texts they are words of the sample, so their number is bounded by it.
     """
     sample = sample.dropDuplicates(["text", "toxic"]).persist()
@@ -254,7 +278,15 @@ def learn(sample: DataFrame, purity: float = 0.9, chance: float = 1e-5, edits: i
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}{3,}"), F.lit(0)))
     counts = sample.select("toxic", F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad"))
     bad, good = F.col("bad") * toxic_weight, (F.col("n") - F.col("bad")) * other_weight
-    terms = [r["word"] for r in counts.where((F.col("bad") >= support) & (bad >= purity * (bad + good))).select("word").collect()]
+    pure = {r["word"] for r in counts.where((F.col("bad") >= support) & (bad >= purity * (bad + good))).select("word").collect()}
+
+    @F.arrow_udf("array<struct<word string, context long>>")
+    def placed(texts: pa.Array) -> pa.Array:
+        rows = [[{"word": w, "context": c} for w, c in contexts(t.as_py(), pure)] for t in texts]
+        return pa.array(rows, pa.list_(pa.struct([("word", pa.string()), ("context", pa.int64())])))
+
+    places = sample.where("toxic = 1").select(F.explode(placed("text")).alias("x")).select("x.word", "x.context").distinct()
+    terms = [r["word"] for r in places.groupBy("word").count().where(F.col("count") >= support).collect()] if pure else []
     lexicon = Lexicon(terms, edits)
     model = Model(lexicon)
 
@@ -262,7 +294,7 @@ def learn(sample: DataFrame, purity: float = 0.9, chance: float = 1e-5, edits: i
     def near_words(texts: pa.Array) -> pa.Array:
         found = []
         for text in texts:
-            hits = lexicon.matches(set(WORD.findall(APOSTROPHE.sub("'", (text.as_py() or "").lower()))))
+            hits = lexicon.matches(set(WORD.findall(small(text.as_py()))))
             found.append([w for w, distance in hits.items() if distance])
         return pa.array(found, pa.list_(pa.string()))
 

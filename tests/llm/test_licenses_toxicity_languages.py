@@ -215,7 +215,9 @@ def test_toxicity(make, odd, empty, shipped):
     abuse, hidden, said = model.score([f"{line} numskull dimwitted", f"{line} numskul dimwited", f'{line} she said "numskull dimwitted"'])
     assert said < 0.1 < 0.5 < min(abuse, hidden)
     # Copies are no evidence of their own.
-    copies = make(["a purplish evening"] * 50 + bad[:5] + good)
+    long = ["purplish", *random.choices([*plain, *"abcdefgh"], k=60)]
+    near_copies = [" ".join([*long[:i], "changed", *long[i + 1 :]]) for i in range(20, 45)]
+    copies = make(["a purplish evening"] * 25 + near_copies + bad[:5] + good)
     marked = copies.select("doc_id", (F.col("doc_id") < 55).cast("int").alias("toxic")).distinct()
     assert "purplish" not in toxicity.learn(toxicity.labelled_sample(copies, marked, F.lit(True), 10_000)).lexicon.terms
     assert all(0 <= s <= 1 for s in scores) and scored.columns[:-1] == odd.columns
