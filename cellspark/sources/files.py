@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellspark.operators.publications import COLLECTION_SCHEMA, flatten_collections
@@ -24,6 +24,12 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*", recursive:
     return reader.load(folder).select("path", "length", "modificationTime")
 
 
+def entry_of(folder: str, path: Column) -> Column:
+    """The file or folder directly below ``folder`` that a listed path is or lies in."""
+    name = folder.rstrip("/").rsplit("/", 1)[-1]
+    return F.substring_index(F.substring_index(path, f"/{name}/", -1), "/", 1)
+
+
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:
     """JSON-lines log with a fixed schema, so that no pass is spent on guessing one."""
     return spark.read.schema(LOG_SCHEMA).json(path)

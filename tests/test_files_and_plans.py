@@ -20,7 +20,7 @@ from cellspark.sinks.parquet import (
     write_split,
 )
 from cellspark.sinks.summaries import write_by_organism, write_summary
-from cellspark.sources.files import list_files, read_collections, read_event_log
+from cellspark.sources.files import entry_of, list_files, read_collections, read_event_log
 from cellspark.sources.tables import (
     gene_list_names,
     read_chunks,
@@ -407,3 +407,27 @@ def test_names_with_dots_and_blanks(spark, tables):
         assert {r["gene_sentence_my.list-1"] for r in rows} == ({"SYM1"} if zeros else {"", "SYM1"})
         assert {r["tissue. type"] for r in rows} == {"lung", "nan"}
     assert extract_metadata(obs, ["tissue. type"]).columns[0] == "tissue. type"
+
+
+def test_small_files_are_measured_as_they_are_dealt(spark, tmp_path):
+    path, target = str(tmp_path / "small"), 0.05
+    write_by_size(spark.range(200_000).select("id", F.sha2((F.col("id") * 7919 % 2000).cast("string"), 256).alias("word")), path, target)
+    shares = [r["length"] / (target * 1024 * 1024) for r in list_files(spark, path, "*.parquet").collect()]
+    assert max(shares) < 1.3 and min(shares) > 0.5
+    assert spark.read.parquet(path).count() == 200_000
+
+
+def test_files_of_a_table_folder_are_listed_under_its_name(spark, tmp_path):
+    spark.range(10).repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(4).coalesce(1).write.parquet(str(tmp_path / "more" / "part.parquet"))
+    names = list_files(spark, str(tmp_path), "*.parquet").select(entry_of(str(tmp_path), F.col("path")).alias("name"))
+    assert {r["name"]: r["n"] for r in names.groupBy("name").agg(F.count("*").alias("n")).collect()} == {"orders.parquet": 3, "more": 1}
+
+
+def test_inventory_of_table_folders(spark, tmp_path):
+    from workload import QUERIES
+
+    for table, rows in (("orders", 10), ("part", 4), ("empty", 0)):
+        spark.range(rows).repartition(3).write.parquet(str(tmp_path / "sf" / f"{table}.parquet"))
+    found = QUERIES["s9_file_inventory"](spark, str(tmp_path / "sf")).collect()
+    assert sorted(tuple(r) for r in found) == [("empty", 0, True), ("orders", 10, True), ("part", 4, True)]

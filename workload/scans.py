@@ -26,7 +26,7 @@ from cellspark.sinks.parquet import (
     write_split,
 )
 from cellspark.sinks.summaries import write_by_organism, write_summary
-from cellspark.sources.files import list_files, read_collections, read_event_log
+from cellspark.sources.files import entry_of, list_files, read_collections, read_event_log
 from cellspark.sources.positions import page, row_ranges, scan_rows, stored_files, with_positions
 from cellspark.sources.tables import (
     TABLE_ROW,
@@ -170,12 +170,12 @@ _LISTED_TABLES = (
     " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows, true AS has_bytes FROM {t}" for t in _LISTED_TABLES),
 )
 def file_inventory(spark, folder):
-    """All listed files with the rows that Spark reads from each; a file without rows has 0."""
-    files = list_files(spark, folder, "*.parquet").select(path_stem(F.col("path")).alias("name"), (F.col("length") > 0).alias("has_bytes"))
-    names = [r["name"] for r in files.select("name").distinct().collect()]
-    rows = [load(spark, folder, t).select(path_stem(F.col("_metadata.file_path")).alias("name")).groupBy("name").agg(F.count("*").alias("rows")) for t in names]
-    counted = files.join(functools.reduce(DataFrame.unionByName, rows), "name", "left")
-    return counted.select("name", F.coalesce("rows", F.lit(0)).alias("rows"), "has_bytes")
+    """All listed tables, each a file or a folder of files, with the rows that Spark reads from each; one without rows has 0."""
+    table = path_stem(entry_of(folder, F.col("path"))).alias("name")
+    files = list_files(spark, folder, "*.parquet").groupBy(table).agg(F.bool_and(F.col("length") > 0).alias("has_bytes"))
+    names = [r["name"] for r in files.select("name").collect()]
+    rows = [load(spark, folder, t).agg(F.count("*").alias("rows")).select(F.lit(t).alias("name"), "rows") for t in names]
+    return files.join(functools.reduce(DataFrame.unionByName, rows), "name").select("name", "rows", "has_bytes")
 
 
 _BY_STATUS = "SELECT o_orderstatus, count(*) AS rows, sum(o_orderkey)::BIGINT AS keys FROM orders GROUP BY 1"
