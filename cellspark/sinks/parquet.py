@@ -15,6 +15,9 @@ from cellspark.sources.positions import stored_files, with_positions
 from cellspark.sources.tables import read_typed_symbol_table
 
 _PLACE = "_place_in_all_rows"
+# Files that are written to measure them, and how far their number may be off.
+MEASURED_FILES = 64
+MEASURED_SLACK = 1.05
 
 DEFAULT_CODEC = "zstd"
 DEFAULT_LEVEL = 3
@@ -146,19 +149,34 @@ def write_by_size(
 ) -> None:
     """Files of about ``target_mb``, none much larger and, but for one file in all, none under half of it.
 
-    The rows are first written to the shared folder with the same codec, in few large files, which measures
-    all of them and runs the input plan only once; they are then dealt evenly over as many files as their
-    size asks for.
+    The rows are first written to the shared folder with the same codec, in few large files, which runs the input plan
+    only once; they are then dealt evenly over as many files as their size asks for. A row takes more room in a small
+    file (its dictionaries and its footer serve fewer rows), so up to MEASURED_FILES files, with the rows they would be
+    dealt, are written beside and measured until their number is right.
     """
     spark = df.sparkSession
     trial = scratch_path(spark, "by-size")
     write_parquet(df.hint("rebalance"), trial, codec, level)
-    length = list_files(spark, trial, "*.parquet").agg(F.sum("length").alias("n")).first()["n"] or 0
-    files = max(1, math.ceil(length / (target_mb * 1024 * 1024)))
     stored = spark.read.schema(df.schema).parquet(trial)
+    rows, target, before = stored.count(), target_mb * 1024 * 1024, math.inf
+    files = max(1, math.ceil(_written_bytes(spark, trial) / target))
+    while files < rows:
+        measured = min(files, MEASURED_FILES)
+        dealt = stored.withColumn(_PLACE, F.monotonically_increasing_id() % files).where(F.col(_PLACE) < measured)
+        beside = scratch_path(spark, "measured")
+        write_parquet(dealt.repartitionById(measured, F.col(_PLACE).cast("int")).drop(_PLACE), beside, codec, level)
+        mean = _written_bytes(spark, beside) / measured
+        # Where little but the footer is left in a file, more files make none of them smaller.
+        if mean <= target * MEASURED_SLACK or mean > before * 0.95:
+            break
+        files, before = min(math.ceil(files * mean / target), rows), mean
     write_parquet(stored.repartition(files), path, codec, level, mode)
 
 
+def _written_bytes(spark: SparkSession, path: str) -> int:
+    return list_files(spark, path, "*.parquet").agg(F.sum("length").alias("n")).first()["n"] or 0
+
+
 def write_chunks(
     df: DataFrame, path: str, chunk_size: int | None = None, target_mb: float | None = None, exact: bool = False, **options
 ) -> None:
