@@ -103,6 +103,18 @@ def flag_column(i: int) -> tuple[str, int]:
     return f"flags_{i // LISTS_PER_FLAG}", 1 << i % LISTS_PER_FLAG
 
 
+def flagged_genes(genes: DataFrame, list_names: list[str]) -> DataFrame:
+    """``dataset_id, position, symbol, flags_0, ...`` of the genes that count: one row per gene, all lists as bits."""
+    flags: dict[str, Column] = {}
+    for i, name in enumerate(list_names):
+        column, bit = flag_column(i)
+        own = F.when(F.col(quoted(f"in_{name}")), bit).otherwise(0)
+        flags[column] = own if column not in flags else flags[column] + own
+    usable = genes.where(~is_ensembl_id(F.col("symbol")))
+    position = F.col("gene_idx").cast("int").alias("position")
+    return usable.select("dataset_id", position, "symbol", *[c.cast("short").alias(n) for n, c in flags.items()])
+
+
 def gene_panel(genes: DataFrame, list_names: list[str]) -> DataFrame:
     """One row per dataset: symbols and list bits by gene position, and the usable positions.
 

@@ -8,6 +8,9 @@ look like Ensembl ids are left out. Two input forms give the same sentences, by
 * array form, one row per cell with ``indices``/``values`` (sparse) or ``expression`` (dense).
   While the gene tables can be broadcast, it needs no shuffle of the expression data.
 
+Where one dataset has so many genes that a cell would meet a packed row far longer than its own values, the values
+meet their genes one by one instead, in a shuffled join by gene, and are gathered by cell again.
+
 A null or zero, stored or not, is a zero: it ranks among the zeros where genes without a value count
 (``include_zeros``) and is left out where only values count. Genes may be numbered with gaps.
 """
@@ -18,13 +21,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellspark.functions.text import has_ensembl_token, is_ensembl_id, quoted
-from cellspark.operators.genes import flag_column, gene_panel
+from cellspark.operators.genes import flag_column, flagged_genes, gene_panel
 from cellspark.operators.joins import lookup_join, spread_join
 from cellspark.session import materialize
 
 SEPARATOR = " "
 # Counted size of packed genes that may be broadcast.
 BROADCAST_BYTES = 256 * 1024 * 1024
+# Counted size of the packed genes of one dataset that every one of its cells may meet.
+PANEL_BYTES = 4 * 1024 * 1024
 # Fixed part of a gene in a packed row, beside the bytes of its symbol: places of the symbol and of list bits, usable position.
 GENE_BYTES = 28
 
@@ -144,17 +149,31 @@ def stored_order(cells: DataFrame) -> DataFrame:
     return cells.select(*kept, stored.alias("_stored")).select(*kept, above.alias("_above"), below.alias("_below"))
 
 
-def _packed_bytes(genes: DataFrame) -> int:
-    """Counted size of the packed genes of all datasets, with the empty places between gene numbers."""
+def _packed_bytes(genes: DataFrame) -> tuple[int, int]:
+    """Counted size of the packed genes of all datasets, and of the longest, with the empty places between gene numbers."""
     n, last = F.count("*"), F.max("gene_idx")
     per_dataset = genes.groupBy("dataset_id").agg(
         (F.sum(F.octet_length("symbol") + GENE_BYTES) + 8 * (last + 1)).alias("bytes"),
         ((F.min("gene_idx") < 0) | (F.count_distinct("gene_idx") != n)).alias("wrong"),
     )
-    found = per_dataset.agg(F.sum("bytes").alias("bytes"), F.max("wrong").alias("wrong")).first()
+    found = per_dataset.agg(F.sum("bytes").alias("bytes"), F.max("bytes").alias("most"), F.max("wrong").alias("wrong")).first()
     if found["wrong"]:
         raise ValueError("gene_idx must number the genes of every dataset from 0 on, each once")
-    return found["bytes"] or 0
+    return found["bytes"] or 0, found["most"] or 0
+
+
+def _with_words(ordered: DataFrame, genes: DataFrame, list_names: list[str]) -> DataFrame:
+    """``_order`` replaced by ``_words``, the usable genes among them with symbol and list bits, by a join per gene.
+
+    Every row is numbered where it is stored, so it stays by itself. A gene that most cells have is a skewed key of an
+    inner join, which the planner splits.
+    """
+    rows = materialize(ordered.sparkSession, ordered.withColumn("_row", F.monotonically_increasing_id()), "ordered-cells")
+    entries = rows.select("_row", "dataset_id", F.posexplode("_order").alias("_rank", "position"))
+    met = entries.join(flagged_genes(genes, list_names), ["dataset_id", "position"]).drop("dataset_id", "position")
+    word = F.struct("_rank", *[c for c in met.columns if c not in ("_row", "_rank")])
+    words = met.groupBy("_row").agg(F.sort_array(F.collect_list(word)).alias("_words"))
+    return rows.drop("_order").join(words, "_row", "left").drop("_row")
 
 
 def sentences_from_arrays(
@@ -165,6 +184,7 @@ def sentences_from_arrays(
     list_names: tuple[str, ...] | list[str] = (),
     include_all: bool = True,
     include_zeros: bool = True,
+    cluster_by: list[str] | None = None,
 ) -> DataFrame:
     """All sentence variants from array form; other cell columns are kept, every row by itself.
 
@@ -173,14 +193,35 @@ def sentences_from_arrays(
     counted size of the genes allows it. All lists share small numbers with one bit each. Genes without a value follow the positive ones in descending
     position, taken ready-made from the packed row, which is then no larger than a sentence. A packed
     row is as long as the largest gene number of its dataset; numbers without a gene are empty places.
+
+    Where only values count and a dataset's packed row is longer than PANEL_BYTES, or all of them cannot be broadcast,
+    values meet genes one by one. ``cluster_by`` brings rows of equal columns together before there are sentences.
     """
     kept = [quoted(c) for c in cells.columns if c not in ("indices", "values", "expression")]
     genes = materialize(cells.sparkSession, genes, "genes")
-    size = _packed_bytes(genes)
-    panels = gene_panel(genes, list(list_names))
-    ordered = stored_order(cells)
+    size, longest = _packed_bytes(genes)
+    by_gene = not include_zeros and (longest > PANEL_BYTES or size > BROADCAST_BYTES)
+
+    def clustered(rows: DataFrame) -> DataFrame:
+        return rows.hint("rebalance", *cluster_by) if cluster_by else rows
+
+    ordered = stored_order(cells if by_gene else clustered(cells))
     if not include_zeros:
         ordered = ordered.select(*kept, F.concat("_above", "_below").alias("_order"))
+    names = sentence_columns(top_n, list_names, include_all)
+    if by_gene:
+        joined = clustered(_with_words(ordered, genes, list(list_names)))
+
+        def of_words(i: int) -> Column:
+            flags, bit = flag_column(i)
+            return F.filter("_words", lambda w: w[flags].bitwiseAND(F.lit(bit)) != 0)["symbol"]
+
+        every = F.col("_words.symbol")
+        found = ([every] if include_all else []) + ([] if top_n is None else [F.slice(every, 1, top_n)])
+        found += [of_words(i) for i in range(len(list_names))]
+        columns = [F.array_join(w, SEPARATOR).alias(n) for w, n in zip(found, names, strict=True)]
+        return joined.select(*kept, *columns).select(*kept, *[_or_empty(name) for name in names])
+    panels = gene_panel(genes, list(list_names))
     joined = spread_join(ordered, panels, "dataset_id", cell, size, BROADCAST_BYTES)
 
     def words(positions: str | Column) -> Column:
@@ -209,7 +250,6 @@ def sentences_from_arrays(
         columns.append(F.array_join(top, SEPARATOR).alias(f"gene_sentence_{top_n}"))
     for name, found in zip(list_names, listed, strict=True):
         columns.append(F.array_join(found, SEPARATOR).alias(f"gene_sentence_{name}"))
-    names = sentence_columns(top_n, list_names, include_all)
     return joined.select(*kept, *columns).select(*kept, *[_or_empty(name) for name in names])
 
 

@@ -93,9 +93,8 @@ def with_sentences(
         measured = cells
     else:
         measured = cells.join(to_sparse(expr, CELL) if "gene_idx" in expr.columns else expr, CELL, "left")
-    if options.cluster_output:
-        measured = measured.hint("rebalance", *[c for c in ("dataset_id", "split") if c in measured.columns])
-    return sentences_from_arrays(measured, genes, CELL, include_zeros=options.include_zeros, **variants)
+    folder = [c for c in ("dataset_id", "split") if c in measured.columns] if options.cluster_output else None
+    return sentences_from_arrays(measured, genes, CELL, include_zeros=options.include_zeros, cluster_by=folder, **variants)
 
 
 def of_kept_cells(expr: DataFrame, cells: DataFrame) -> DataFrame:

@@ -213,3 +213,35 @@ def test_cells_that_come_twice_keep_their_own_sentence(spark):
     )
     built = sentences_from_arrays(cells, genes, ["cell_id"], None, include_zeros=False)
     assert [r.gene_sentence_all for r in built.collect()] == ["C A", "C A"]
+
+
+@pytest.mark.parametrize("lists", [("small",), tuple(f"l{i}" for i in range(17))])
+def test_values_that_meet_genes_one_by_one_give_the_same_sentences(spark, monkeypatch, lists):
+    names = [f"ENSG{i}" if i % 4 == 1 else f"G{i}" for i in range(40)]
+    genes = genes_table(spark, names, {n: {f"G{g}" for g in range(i, 40, 3)} for i, n in enumerate(lists)})
+    genes = genes.where("gene_idx % 7 <> 3")
+    genes = genes.unionByName(genes.withColumn("dataset_id", F.lit("e")).withColumn("symbol", F.concat(F.lit("E"), "symbol")))
+    some = random.Random(5)
+    rows = [("de-"[c % 3], c, sorted(some.sample(range(40), c % 30)), c) for c in range(90)]
+    rows = [(d, c, i, [some.choice([0.0, None, 1.0, 2.5, -1.0, math.nan]) for _ in i], "x") for d, c, i, _ in rows]
+    rows += [("d", 7, *rows[7][2:4], "y"), (None, 90, [1, 2], [1.0, 2.0], "x"), ("d", 91, None, None, "x")]
+    cells = spark.createDataFrame(rows, "dataset_id string, cell_id int, indices array<int>, values array<double>, other string").repartition(3)
+
+    def built(**more):
+        found = sentences_from_arrays(cells, genes, ["dataset_id", "cell_id"], 5, lists, include_zeros=False, **more)
+        return sorted(map(str, found.collect()))
+
+    packed = built()
+    monkeypatch.setattr(module, "PANEL_BYTES", 0)
+    assert built() == packed and len(packed) == len(rows)
+    assert built(cluster_by=["dataset_id"]) == packed
+
+
+def test_cells_do_not_meet_packed_rows_of_very_many_genes(spark):
+    """Before, every cell met a row of 300,000 symbols."""
+    genes = spark.range(300_000).selectExpr("'d' AS dataset_id", "id AS gene_idx", "concat('G', id) AS symbol")
+    cells = spark.range(1000).selectExpr("'d' AS dataset_id", "id AS cell_id", "array(int(id), int(id + 1000)) AS indices", "array(1d, 2d) AS values")
+    found = sentences_from_arrays(cells, genes, ["dataset_id", "cell_id"], 1, include_zeros=False)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "symbols" not in plan
+    assert as_dict(found)[17] == {"gene_sentence_all": "G1017 G17", "gene_sentence_1": "G1017"}
