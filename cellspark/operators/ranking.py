@@ -69,7 +69,8 @@ def exact_median(df: DataFrame, key: str, value: str, name: str, count_name: str
     middle = steps.filter(holds_middle).drop("_n")
     inside = Window.partitionBy(key, "_step").orderBy(value)
     reached = F.col("_before") + F.sum("_n").over(inside)
-    candidates = counted.join(middle, [key, "_step"]).withColumn("_reached", reached)
+    # There may be as many counts as rows, however small they are when stored: never broadcast.
+    candidates = counted.hint("merge").join(middle, [key, "_step"]).withColumn("_reached", reached)
     is_low = (F.col("_reached") >= low) & (F.col("_reached") - F.col("_n") < low)
     is_high = (F.col("_reached") >= high) & (F.col("_reached") - F.col("_n") < high)
     medians = candidates.groupBy(key).agg(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from cellspark.operators.splits import split_donors_by_hash
+from cellspark.session import materialize
 
 BATCH = "batch_id"
 
@@ -34,7 +35,10 @@ def ingest_new_files(
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        split = split_donors_by_hash(transform(batch), donor, test_size, seed)
+        # The planner takes a batch for tiny, whatever it holds, and stored rows with equal values for small ones; a batch
+        # is never to be broadcast, so joins with it are sorted ones unless the other side asks for a broadcast.
+        rows = materialize(spark, batch, "new-rows").hint("merge")
+        split = split_donors_by_hash(transform(rows), donor, test_size, seed)
         split.write.mode("overwrite").parquet(f"{target}/cells/{BATCH}={batch_id}")
 
     stream = (

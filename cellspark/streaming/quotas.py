@@ -6,7 +6,7 @@ test donor where ``floor(k * share + offset)`` steps up. After every file each s
 within one, and nothing depends on how files make up batches.
 
 Each batch writes its new donors to ``<target>/donors/batch_id=<n>`` and its cells to ``<target>/cells/batch_id=<n>``,
-and looks only at donors of earlier batches; so a batch that is run again finds what it found before, and replaces its
+and looks only at donors of earlier batches, which are joined by a shuffle as their number has no bound; so a batch that is run again finds what it found before, and replaces its
 folders.
 """
 
@@ -54,9 +54,9 @@ def place_new_donors(cells: DataFrame, known: DataFrame, donor: str, age: str, t
     """
     spark = cells.sparkSession
     keyed = cells.select(F.col(donor).alias("donor"), F.col(age).alias("_age"), ARRIVAL)
-    first = keyed.groupBy("donor").agg(F.min(ARRIVAL).alias("_first")).join(known.select("donor"), "donor", "left_anti")
+    first = keyed.groupBy("donor").agg(F.min(ARRIVAL).alias("_first")).join(known.select("donor").hint("merge"), "donor", "left_anti")
     # Cells of a donor with many are joined by key; the planner splits them.
-    at_first = keyed.join(first, "donor").where(F.col(ARRIVAL) == F.col("_first"))
+    at_first = keyed.hint("merge").join(first, "donor").where(F.col(ARRIVAL) == F.col("_first"))
     ages = exact_median(at_first, "donor", "_age", "_median", "_cells")
     new = first.join(ages, "donor").select("donor", "_first", stratum_of(F.col("_median")).alias("stratum"), key_digest(["donor"], seed).alias("_digest"))
     new = materialize(spark, new, "new-donors")
@@ -92,12 +92,15 @@ def ingest_with_quotas(
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        cells = materialize(spark, with_donor_key(transform(batch), donor), "ingested")
+        # The planner takes a batch for tiny, whatever it holds, and stored rows with equal values for small ones; a batch
+        # is never to be broadcast, so joins with it are sorted ones unless the other side asks for a broadcast.
+        rows = materialize(spark, batch, "new-rows").hint("merge")
+        cells = materialize(spark, with_donor_key(transform(rows), donor), "ingested")
         known = read_donor_sides(spark, target, before=batch_id)
         new = place_new_donors(cells, known, donor, age, test_size, seed)
         new.write.mode("overwrite").parquet(f"{target}/donors/{BATCH}={batch_id}")
         sides = read_donor_sides(spark, target, before=batch_id + 1).select(F.col("donor").alias(donor), "split")
-        cells.drop(ARRIVAL).join(sides, donor).write.mode("overwrite").parquet(f"{target}/cells/{BATCH}={batch_id}")
+        cells.drop(ARRIVAL).join(sides.hint("merge"), donor).write.mode("overwrite").parquet(f"{target}/cells/{BATCH}={batch_id}")
 
     stream = (
         spark.readStream.schema(schema)

@@ -10,6 +10,7 @@ from cellspark.plans import isolation
 from cellspark.plans.batch import batch_report
 from cellspark.session import materialize
 from cellspark.streaming.ingest import read_ingested
+from cellspark.streaming.ingest import ingest_new_files
 from cellspark.streaming.quotas import ARRIVAL, ingest_with_quotas, read_donor_sides
 
 SCHEMA = "cell_id bigint, name string"
@@ -128,3 +129,22 @@ def test_quota_ingest(spark, tmp_path):
     assert run("grown", 1) == grown
     assert read_donor_sides(spark, f"{tmp_path}/grown").count() == len(by_donor)
     assert ARRIVAL not in read_ingested(spark, f"{tmp_path}/grown").columns
+
+
+@pytest.mark.parametrize("ingest", [ingest_new_files, ingest_with_quotas])
+def test_a_large_batch_is_not_taken_for_a_tiny_table(spark, tmp_path, ingest):
+    """Before, a join in the transform broadcast the whole batch, through the driver."""
+    cells = spark.range(2_000_000).selectExpr("id AS cell_id", "concat('d', id % 50) AS donor_id", "cast(id % 7 AS double) AS age", "sha2(string(id), 256) AS x")
+    cells.coalesce(1).write.parquet(f"{tmp_path}/in")
+    plans = []
+
+    def transform(batch):
+        more = spark.read.parquet(f"{tmp_path}/in").select("cell_id", F.col("x").alias("y"))
+        joined = batch.join(more, "cell_id")
+        plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        return joined.drop("x", "y")
+
+    schema = "cell_id bigint, donor_id string, age double, x string"
+    ingest(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema, f"{tmp_path}/out", f"{tmp_path}/progress", transform)
+    assert plans and not any("Broadcast" in p for p in plans)
+    assert spark.read.parquet(f"{tmp_path}/out/cells").count() == 2_000_000
