@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,21 @@ BROADCAST_ROWS = 200_000
 # Facts that one copy of a wide lookup row should meet, and the most copies in all.
 ROWS_PER_COPY = 20_000
 MAX_COPIES = 100_000
+# Rows of a task that groups or sorts them, and how few are worth a task where cores would be idle.
+ROWS_PER_TASK = 250_000
+LEAST_ROWS_PER_TASK = 20_000
+
+
+def deal_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a stored table dealt by ``keys`` over as many tasks as their number asks for.
+
+    What is grouped or ranked by these keys, or by more columns, needs no further shuffle, and a task's memory does not
+    grow with the table. Planned by bytes, many narrow rows, or rows that pack well, would come to one task. The number
+    of rows is read from the footers.
+    """
+    count = rows.count()
+    few = min(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(count / LEAST_ROWS_PER_TASK))
+    return rows.repartition(max(1, few, math.ceil(count / ROWS_PER_TASK)), *keys)
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

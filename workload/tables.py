@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellspark.operators.joins import deal_rows
+
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -52,11 +54,8 @@ def obs(spark: SparkSession, folder: str, orders: DataFrame | None = None) -> Da
 
 def expr(spark: SparkSession, folder: str, cell: str = "l_orderkey") -> DataFrame:
     """Long-form expression: summed quantity per cell and part."""
-    return (
-        load(spark, folder, "lineitem")
-        .groupBy(F.col(cell).alias("cell_id"), F.col("l_partkey").alias("gene_idx"))
-        .agg(F.sum("l_quantity").alias("value"))
-    )
+    items = load(spark, folder, "lineitem").select(F.col(cell).alias("cell_id"), F.col("l_partkey").alias("gene_idx"), "l_quantity")
+    return deal_rows(items, ["cell_id", "gene_idx"]).groupBy("cell_id", "gene_idx").agg(F.sum("l_quantity").alias("value"))
 
 
 PANEL = 1000
