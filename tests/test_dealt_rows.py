@@ -3,7 +3,8 @@
 import pytest
 
 from cellspark.operators import joins
-from workload.tables import expr
+from cellspark.operators.sentences import to_sparse
+from workload.tables import expr, panel_expr
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -22,3 +23,10 @@ def test_no_task_groups_many_rows(spark, few_rows):
     found = tasks(expr(spark, FOLDER))
     assert len(found) > 8 and max(found) < 1000
     assert sum(found) == spark.read.parquet(f"{FOLDER}/lineitem.parquet").select("l_orderkey", "l_partkey").distinct().count()
+
+
+def test_expression_by_dataset_moves_once(spark, few_rows):
+    cells = to_sparse(panel_expr(spark, FOLDER, "l_suppkey"), ["dataset_id", "cell_id"])
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert sum(tasks(cells)) == cells.count()

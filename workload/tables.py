@@ -52,10 +52,10 @@ def obs(spark: SparkSession, folder: str, orders: DataFrame | None = None) -> Da
     )
 
 
-def expr(spark: SparkSession, folder: str, cell: str = "l_orderkey") -> DataFrame:
-    """Long-form expression: summed quantity per cell and part."""
+def expr(spark: SparkSession, folder: str, cell: str = "l_orderkey", by: tuple[str, ...] = ("cell_id", "gene_idx")) -> DataFrame:
+    """Long-form expression: summed quantity per cell and part, dealt by ``by``."""
     items = load(spark, folder, "lineitem").select(F.col(cell).alias("cell_id"), F.col("l_partkey").alias("gene_idx"), "l_quantity")
-    return deal_rows(items, ["cell_id", "gene_idx"]).groupBy("cell_id", "gene_idx").agg(F.sum("l_quantity").alias("value"))
+    return deal_rows(items, list(by)).groupBy("cell_id", "gene_idx").agg(F.sum("l_quantity").alias("value"))
 
 
 PANEL = 1000
@@ -67,8 +67,8 @@ def panel_columns(part: Column) -> dict[str, Column]:
 
 
 def panel_expr(spark: SparkSession, folder: str, cell: str) -> DataFrame:
-    """Expression by dataset: what a cell has of the thousand parts of each dataset."""
-    rows = expr(spark, folder, cell)
+    """Expression by dataset: what a cell has of the thousand parts of each dataset. Rows move once, to their cell."""
+    rows = expr(spark, folder, cell, ("cell_id",))
     return rows.withColumns(panel_columns(F.col("gene_idx")))
 
 
