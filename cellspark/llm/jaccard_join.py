@@ -6,10 +6,11 @@
    counted ones from rare to frequent, then the others. The first ``size - ceil(t * size) + 1`` of a set are its prefix.
    A document whose prefix holds nothing but shingles of its own links with nobody and is done: most are.
 2. Equal sets are one class. Classes with identical prefix and size form one group.
-3. Groups that share a prefix shingle are paired and filtered by size and position. A group is paired with itself
-   where it has several members.
-4. Pairs of groups that are left are expanded to their members, which are filtered by the bits in which two parity maps
-   of 1024 bits differ. No filter loses a link. Survivors are verified on the whole sets.
+3. Groups that share a prefix shingle are paired and filtered by size, position and parity maps of 1024 bits: two members
+   differ in no fewer bits than the maps of their groups' least members do, less the most in which a member of either
+   group differs from its least one. A group is paired with itself where it has several members.
+4. Pairs of groups that are left are expanded to their members, which are filtered by the bits in which their own maps
+   differ. No filter loses a link. Survivors are verified on the whole sets.
 5. Pairs are not enumerated where they cannot matter. The first round pairs every group with one other at a shingle, the
    second with up to eight, and their members with one member each; what is already connected is not paired again. The
    last round takes all remaining pairs of different components, so the components are those of all links.
@@ -189,12 +190,28 @@ def describe(docs: DataFrame, similarity: Similarity) -> DataFrame:
 
 
 def _classes(described: DataFrame) -> DataFrame:
-    """One row per distinct set, with a number of its own and that of its group, the least number with its prefix and size."""
+    """One row per distinct set, with a number of its own, that of its group, the least number with its prefix and size, and
+    ``away``, the bits in which its map differs from that of its group's least set."""
     first = [F.first(c).alias(c) for c in ("n", "prefix", "prefix_digest", "own", "map")]
     rows = described.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least_doc"), *first)
     rows = stored(rows.withColumn("cid", F.monotonically_increasing_id()), "classes")
     groups = rows.groupBy("prefix_digest", "n").agg(F.min("cid").alias("gid"), F.count("*").alias("members"))
-    return stored(rows.join(groups, ["prefix_digest", "n"]).drop("prefix_digest"), "grouped-classes")
+    grouped = stored(rows.join(groups, ["prefix_digest", "n"]).drop("prefix_digest"), "grouped-classes")
+    several = grouped.where("members > 1")
+    least = several.where("cid = gid").select("gid", F.col("map").alias("least_map"))
+    away = several.join(least, "gid").select("cid", _differing("map", "least_map").alias("away"))
+    return stored(grouped.join(away, "cid", "left").withColumn("away", F.coalesce("away", F.lit(0))), "placed-classes")
+
+
+def _differing(x: str, y: str) -> Column:
+    """Bits in which two parity maps differ."""
+    return reduce(Column.__add__, [F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(MAP_WORDS)])
+
+
+def _close(x: str, y: str, differing: Column, similarity: Similarity) -> Column:
+    """May sets of the sizes of ``x`` and ``y`` link, if their maps differ in no fewer bits?"""
+    total = (F.col(f"{x}.n") + F.col(f"{y}.n")).cast("long")
+    return (total - differing) * (similarity.den + similarity.num) >= total * (2 * similarity.num)
 
 
 def _postings(classes: DataFrame) -> DataFrame:
@@ -214,8 +231,8 @@ def _possible(x: str, y: str, similarity: Similarity) -> Column:
 
 
 def _labelled(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members (``cid``, ``gid``, ``n``, ``map``, ``label``)."""
-    members = classes.select("cid", "gid", "n", "members", "map")
+    """Members (``cid``, ``gid``, ``n``, ``members``, ``map``, ``away``, ``label``)."""
+    members = classes.select("cid", "gid", "n", "members", "map", "away")
     if labels is None:
         return members.withColumn("label", F.col("cid"))
     return members.join(labels, members["cid"] == labels["node"], "left").withColumn("label", F.coalesce("label", "cid")).drop("node")
@@ -223,17 +240,19 @@ def _labelled(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 def _group_pairs(postings: DataFrame, members: DataFrame, stars: int | None, similarity: Similarity) -> DataFrame:
     """Distinct pairs (``x``, ``y``) of groups, or of a group with itself, that pass the filters and are not of one component."""
-    spans = members.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    spans = members.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("away").alias("radius"))
     rows = postings.join(spans, "gid")
     live = rows.groupBy("token").agg(F.min("low").alias("a"), F.max("high").alias("b")).where("a <> b").select("token")
-    rows = stored(rows.join(live, "token"), "live-postings")
-    unlike = (F.least("x.low", "y.low") < F.greatest("x.high", "y.high")) & _possible("x", "y", similarity)
+    least = members.where("cid = gid").select("gid", "map")
+    rows = stored(rows.join(live, "token").join(least, "gid"), "live-postings")
+    apart = F.greatest(_differing("x.map", "y.map") - F.col("x.radius") - F.col("y.radius"), F.lit(0))
+    unlike = (F.least("x.low", "y.low") < F.greatest("x.high", "y.high")) & _possible("x", "y", similarity) & _close("x", "y", apart, similarity)
     if stars is None:
         met = rows.alias("x").join(rows.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.gid") < F.col("y.gid")) & unlike)
         pairs = met.select(F.col("x.gid").alias("x"), F.col("y.gid").alias("y")).distinct()
     else:
         ray = F.pmod(F.xxhash64("gid"), F.lit(stars)).alias("ray")
-        centres = rows.groupBy("token", ray).agg(F.min(F.struct("gid", "n", "at", "low", "high")).alias("r")).select("token", "ray", "r.*")
+        centres = rows.groupBy("token", ray).agg(F.min(F.struct("gid", "n", "at", "low", "high", "radius", "map")).alias("r")).select("token", "ray", "r.*")
         met = rows.alias("x").join(centres.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.gid") != F.col("y.gid")) & unlike)
         # Of the centres that a group meets at its shingles, one per ray.
         pairs = met.groupBy(F.col("x.gid").alias("x"), "ray").agg(F.min("y.gid").alias("y")).select("x", "y").distinct()
@@ -252,9 +271,7 @@ def _candidates(postings: DataFrame, classes: DataFrame, labels: DataFrame | Non
         ray = F.pmod(F.xxhash64("cid"), F.lit(stars))
         others = members.groupBy("gid", ray.alias("ray")).agg(F.min(F.struct("cid", "n", "map", "label")).alias("r")).select("gid", "r.*")
     x, y = members.alias("x"), others.alias("y")
-    differing = reduce(Column.__add__, [F.bit_count(F.get("x.map", F.lit(i)).bitwiseXOR(F.get("y.map", F.lit(i)))) for i in range(MAP_WORDS)])
-    total = (F.col("x.n") + F.col("y.n")).cast("long")
-    close = (total - differing) * (similarity.den + similarity.num) >= total * (2 * similarity.num)
+    close = _close("x", "y", _differing("x.map", "y.map"), similarity)
     once = (F.col("x.gid") != F.col("y.gid")) | (F.col("x.cid") > F.col("y.cid"))
     met = pairs.join(x, F.col("x.gid") == F.col("x")).join(y, (F.col("y.gid") == F.col("y")) & (F.col("x.label") != F.col("y.label")) & once & close)
     return stored(met.select(F.greatest("x.cid", "y.cid").alias("u"), F.least("x.cid", "y.cid").alias("v")).distinct(), "candidate-pairs")
