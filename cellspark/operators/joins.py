@@ -30,7 +30,8 @@ def deal_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
     """
     count = rows.count()
     few = min(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(count / LEAST_ROWS_PER_TASK))
-    return rows.repartition(max(1, few, math.ceil(count / ROWS_PER_TASK)), *keys)
+    # Never one: a single task would need no shuffle, and what is cut before one would not be.
+    return rows.repartition(max(2, few, math.ceil(count / ROWS_PER_TASK)), *keys)
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
