@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellspark.functions.text import is_ensembl_id, percent, quoted
@@ -115,7 +115,60 @@ def flagged_genes(genes: DataFrame, list_names: list[str]) -> DataFrame:
     return usable.select("dataset_id", position, "symbol", *[c.cast("short").alias(n) for n, c in flags.items()])
 
 
-def gene_panel(genes: DataFrame, list_names: list[str]) -> DataFrame:
+# Words of one piece of a ready-made text.
+PIECE_WORDS = 64
+# Bits of a cut: the piece (above), where the word starts in it, how long it is with its blank.
+START_BITS, LENGTH_BITS = 22, 20
+
+
+def _with_cuts(genes: DataFrame, members: dict[str, Column]) -> DataFrame:
+    """Add ``_cuts<part>``, the place of a gene's word in the ready-made text of a part, and ``_starts<part>``, where a piece
+    of that text starts, at the piece's first word; null elsewhere. Words stand by descending gene number, each with a blank.
+    """
+    down = Window.partitionBy("dataset_id").orderBy(F.col("gene_idx").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    length = (F.length("symbol") + 1).cast("long")
+    genes = genes.withColumns({f"_member{part}": F.coalesce(member, F.lit(False)) for part, member in members.items()})
+    sums = {}
+    for part in members:
+        member = F.col(f"_member{part}")
+        sums[f"_rank{part}"] = F.sum(member.cast("long")).over(down) - 1
+        sums[f"_end{part}"] = F.sum(F.when(member, length)).over(down)
+    genes = genes.withColumns(sums)
+    genes = genes.withColumns(
+        {f"_starts{part}": F.when(F.col(f"_member{part}") & (F.col(f"_rank{part}") % PIECE_WORDS == 0), F.col(f"_end{part}") - length) for part in members}
+    )
+    cuts = {}
+    for part in members:
+        start = F.col(f"_end{part}") - length - F.max(f"_starts{part}").over(down)
+        fits = (start < 1 << START_BITS) & (length < 1 << LENGTH_BITS)
+        piece = F.floor(F.col(f"_rank{part}") / PIECE_WORDS)
+        cut = F.shiftleft(piece, START_BITS + LENGTH_BITS) + F.shiftleft(start, LENGTH_BITS) + length
+        cuts[f"_cuts{part}"] = F.when(F.col(f"_member{part}"), F.when(fits, cut).otherwise(F.raise_error(F.lit("gene symbols of a million characters"))))
+    return genes.withColumns(cuts)
+
+
+def ready_text(part: str, cuts: str) -> Column:
+    """The ready-made text of a part without the words at these cuts, which are sorted and distinct; a blank at its end."""
+    pieces = F.col(f"_pieces{part}")
+    whole, start_mask, length_mask = START_BITS + LENGTH_BITS, (1 << START_BITS) - 1, (1 << LENGTH_BITS) - 1
+    end = F.shiftleft(F.size(pieces).cast("long"), whole)
+
+    def start(cut: Column) -> Column:
+        return F.shiftright(cut, LENGTH_BITS).bitwiseAND(F.lit(start_mask)).cast("int")
+
+    def between(x: Column, y: Column) -> Column:
+        first, last = F.shiftright(x, whole).cast("int"), F.shiftright(y, whole).cast("int")
+        begin = start(x) + x.bitwiseAND(F.lit(length_mask)).cast("int")
+        head = F.substr(F.get(pieces, first), begin + 1)
+        among = F.when(last - first > 1, F.array_join(F.slice(pieces, first + 2, last - first - 1), "")).otherwise("")
+        tail = F.when(start(y) > 0, F.substr(F.get(pieces, last), F.lit(1), start(y))).otherwise("")
+        return F.when(first == last, F.substr(F.get(pieces, first), begin + 1, start(y) - begin)).otherwise(F.concat(F.coalesce(head, F.lit("")), among, tail))
+
+    zero = F.lit(0).cast("long")
+    return F.array_join(F.zip_with(F.concat(F.array(zero), cuts), F.concat(cuts, F.array(end)), between), "")
+
+
+def gene_panel(genes: DataFrame, list_names: list[str], zeros: bool = False) -> DataFrame:
     """One row per dataset: symbols and list bits by gene position, and the usable positions.
 
     ``genes`` holds (dataset_id, gene_idx, symbol, in_<list>...), with gene_idx as in the columns of
@@ -123,6 +176,9 @@ def gene_panel(genes: DataFrame, list_names: list[str]) -> DataFrame:
     does not count (Ensembl-like symbols); ``usable`` (descending) are the positions that do count. All lists
     share small numbers with one bit each (``flags_0``, ...), so many lists make a row hardly longer than one. A row grows
     with the genes of one dataset (tens of thousands), never with its cells.
+
+    With ``zeros`` there are ready-made texts too: of all genes that count (part ``""``) and of each list (part ``_0``, ...),
+    as ``_pieces<part>`` of PIECE_WORDS words, and ``_cuts<part>`` by gene position, null where the gene is not in the part.
     """
     position = F.col("gene_idx").cast("int").alias("position")
     symbol = F.when(~is_ensembl_id(F.col("symbol")), F.col("symbol"))
@@ -133,9 +189,19 @@ def gene_panel(genes: DataFrame, list_names: list[str]) -> DataFrame:
         own = F.when(F.col(quoted(f"in_{name}")) & symbol.isNotNull(), bit).otherwise(0)
         flags[column] = own if column not in flags else flags[column] + own
         none[column] = F.lit(0).cast("short")
-    entry = F.struct(position, symbol.alias("symbols"), *[c.cast("short").alias(n) for n, c in flags.items()])
+    members: dict[str, Column] = {}
+    if zeros:
+        members = {"": symbol.isNotNull(), **{f"_{i}": F.col(quoted(f"in_{name}")) & symbol.isNotNull() for i, name in enumerate(list_names)}}
+        genes = _with_cuts(genes, members)
+        none |= {f"_cuts{part}": F.lit(None).cast("long") for part in members}
+    ready = []
+    for part in members:
+        word = F.when(F.col(f"_member{part}"), F.struct(F.col(f"_rank{part}").alias("rank"), "symbol"))
+        ready.append(F.sort_array(F.collect_list(word))["symbol"].alias(f"_words{part}"))
+        ready.append(F.sort_array(F.collect_list(f"_starts{part}")).alias(f"_starts{part}"))
+    entry = F.struct(position, symbol.alias("symbols"), *[c.cast("short").alias(n) for n, c in flags.items()], *[f"_cuts{part}" for part in members])
     usable = F.sort_array(F.collect_list(F.when(symbol.isNotNull(), position)), asc=False).alias("usable")
-    panels = genes.groupBy("dataset_id").agg(F.sort_array(F.collect_list(entry)).alias("_genes"), usable)
+    panels = genes.groupBy("dataset_id").agg(F.sort_array(F.collect_list(entry)).alias("_genes"), usable, *ready)
     at = F.col("_genes.position")
     placed = panels.withColumn("_next", F.slice(at, F.lit(2), F.size("_genes")))
 
@@ -152,4 +218,11 @@ def gene_panel(genes: DataFrame, list_names: list[str]) -> DataFrame:
         before = F.array_repeat(none[name], F.coalesce(F.get("_genes.position", F.lit(0)), F.lit(0)))
         return F.concat(before, F.flatten(values)).alias(name)
 
-    return placed.select("dataset_id", "usable", *[by_position(n) for n in none])
+    def pieces(part: str) -> Column:
+        starts = F.col(f"_starts{part}")
+        text = F.concat(F.array_join(f"_words{part}", " "), F.lit(" "))
+        following = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.length(text).cast("long")))
+        cut = F.zip_with(starts, F.slice(following, F.lit(1), F.size(starts)), lambda a, b: F.substr(text, (a + 1).cast("int"), (b - a).cast("int")))
+        return cut.alias(f"_pieces{part}")
+
+    return placed.select("dataset_id", "usable", *[by_position(n) for n in none], *[pieces(part) for part in members])

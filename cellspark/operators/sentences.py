@@ -17,11 +17,13 @@ A null or zero, stored or not, is a zero: it ranks among the zeros where genes w
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellspark.functions.text import has_ensembl_token, is_ensembl_id, quoted
-from cellspark.operators.genes import flag_column, flagged_genes, gene_panel
+from cellspark.operators.genes import flag_column, flagged_genes, gene_panel, ready_text
 from cellspark.operators.joins import lookup_join, spread_join
 from cellspark.session import materialize
 
@@ -149,11 +151,17 @@ def stored_order(cells: DataFrame) -> DataFrame:
     return cells.select(*kept, stored.alias("_stored")).select(*kept, above.alias("_above"), below.alias("_below"))
 
 
-def _packed_bytes(genes: DataFrame) -> tuple[int, int]:
-    """Counted size of the packed genes of all datasets, and of the longest, with the empty places between gene numbers."""
+def _packed_bytes(genes: DataFrame, ready: list[str] | None = None) -> tuple[int, int]:
+    """Counted size of the packed genes of all datasets, and of the longest, with the empty places between gene numbers.
+
+    ``ready`` are the lists with a ready-made text beside that of all genes.
+    """
     n, last = F.count("*"), F.max("gene_idx")
+    word = F.octet_length("symbol") + 1
+    texts = [] if ready is None else [word, *[F.when(F.col(quoted(f"in_{name}")), word).otherwise(0) for name in ready]]
+    size = sum(texts, F.octet_length("symbol") + GENE_BYTES)
     per_dataset = genes.groupBy("dataset_id").agg(
-        (F.sum(F.octet_length("symbol") + GENE_BYTES) + 8 * (last + 1)).alias("bytes"),
+        (F.sum(size) + 8 * (1 + len(texts)) * (last + 1)).alias("bytes"),
         ((F.min("gene_idx") < 0) | (F.count_distinct("gene_idx") != n)).alias("wrong"),
     )
     found = per_dataset.agg(F.sum("bytes").alias("bytes"), F.max("bytes").alias("most"), F.max("wrong").alias("wrong")).first()
@@ -191,7 +199,8 @@ def sentences_from_arrays(
     ``genes`` holds (dataset_id, gene_idx, symbol, in_<list>...). They are packed into one row per
     dataset, so that a cell finds its symbols by position; the packed rows are broadcast while the
     counted size of the genes allows it. All lists share small numbers with one bit each. Genes without a value follow the positive ones in descending
-    position, taken ready-made from the packed row, which is then no larger than a sentence. A packed
+    position: the packed row holds the text of all genes, and of each list, ready-made, and the words of genes that a cell
+    has a value for are cut out of it, so genes are looked up one by one only where a cell has a value. A packed
     row is as long as the largest gene number of its dataset; numbers without a gene are empty places.
 
     Where only values count and a dataset's packed row is longer than PANEL_BYTES, or all of them cannot be broadcast,
@@ -199,7 +208,7 @@ def sentences_from_arrays(
     """
     kept = [quoted(c) for c in cells.columns if c not in ("indices", "values", "expression")]
     genes = materialize(cells.sparkSession, genes, "genes")
-    size, longest = _packed_bytes(genes)
+    size, longest = _packed_bytes(genes, list(list_names) if include_zeros else None)
     by_gene = not include_zeros and (longest > PANEL_BYTES or size > BROADCAST_BYTES)
 
     def clustered(rows: DataFrame) -> DataFrame:
@@ -221,35 +230,49 @@ def sentences_from_arrays(
         found += [of_words(i) for i in range(len(list_names))]
         columns = [F.array_join(w, SEPARATOR).alias(n) for w, n in zip(found, names, strict=True)]
         return joined.select(*kept, *columns).select(*kept, *[_or_empty(name) for name in names])
-    panels = gene_panel(genes, list(list_names))
+    panels = gene_panel(genes, list(list_names), include_zeros)
     joined = spread_join(ordered, panels, "dataset_id", cell, size, BROADCAST_BYTES)
 
     def words(positions: str | Column) -> Column:
         return F.transform(positions, lambda p: F.get(F.col("symbols"), p))
 
-    def of_list(i: int) -> Column:
-        flags, bit = flag_column(i)
-        return F.filter("_order", lambda p: F.get(F.col(flags), p).bitwiseAND(F.lit(bit)) != 0)
-
     def usable(positions: str) -> Column:
         return F.filter(positions, lambda p: F.get(F.col("symbols"), p).isNotNull())
 
-    # array_join leaves out nulls, the words of genes that do not count.
+    def of_list(positions: str, i: int) -> Column:
+        flags, bit = flag_column(i)
+        return F.filter(positions, lambda p: F.get(F.col(flags), p).bitwiseAND(F.lit(bit)) != 0)
+
     if include_zeros:
-        zeros = F.array_except("usable", F.concat("_above", "_below"))
-        joined = joined.withColumn("_order", F.concat(usable("_above"), zeros, usable("_below")))
-        top = words(F.slice("_order", 1, top_n or 0))
+        # The first genes without a value are among as many first genes and the cell's own.
+        valued = F.size("_above") + F.size("_below") + F.lit(top_n or 0)
+        zeros = F.array_except(F.slice("usable", F.lit(1), valued), F.concat("_above", "_below"))
+        staged = [F.slice(F.concat(usable("_above"), F.slice(zeros, 1, top_n or 0), usable("_below")), 1, top_n or 0).alias("_top"), "symbols"]
+        parts = ["", *[f"_{i}" for i in range(len(list_names))]]
+        for i, part in enumerate(parts, -1):
+            cuts = F.transform(F.concat("_above", "_below"), lambda p: F.get(F.col(f"_cuts{part}"), p))
+            staged += [F.sort_array(F.array_distinct(F.array_compact(cuts))).alias(f"_cut{part}"), f"_pieces{part}"]
+            staged += [words(usable(side) if i < 0 else of_list(side, i)).alias(f"_words{side}{part}") for side in ("_above", "_below")]
+        # Each in a step of its own, as what is used twice would be worked out twice.
+        joined = joined.select(*kept, *staged)
+        texts = [ready_text(part, f"_cut{part}").alias(f"_text{part}") for part in parts]
+        joined = joined.select(*kept, F.array_join(words("_top"), SEPARATOR).alias("_top"), *texts, *[f"_words{side}{part}" for side in ("_above", "_below") for part in parts])
+
+        def filled(part: str) -> Column:
+            """Genes above zero, all others, those below zero."""
+            text, sides = F.col(f"_text{part}"), [F.col(f"_words{side}{part}") for side in ("_above", "_below")]
+            above, below = (F.when(F.size(side) > 0, F.array_join(side, SEPARATOR)) for side in sides)
+            return F.array_join(F.array(above, F.when(text != "", F.left(text, F.length(text) - 1)), below), SEPARATOR)
+
+        every, top, listed = filled(""), F.col("_top"), [filled(part) for part in parts[1:]]
     else:
-        top = F.slice(words(usable("_order")), 1, top_n or 0)
+        # array_join leaves out nulls, the words of genes that do not count.
+        top = F.array_join(F.slice(words(usable("_order")), 1, top_n or 0), SEPARATOR)
+        every = F.array_join(words("_order"), SEPARATOR)
+        listed = [F.array_join(words(of_list("_order", i)), SEPARATOR) for i in range(len(list_names))]
 
-    listed = [words(of_list(i)) for i in range(len(list_names))]
-    columns = []
-    if include_all:
-        columns.append(F.array_join(words("_order"), SEPARATOR).alias("gene_sentence_all"))
-    if top_n is not None:
-        columns.append(F.array_join(top, SEPARATOR).alias(f"gene_sentence_{top_n}"))
-    for name, found in zip(list_names, listed, strict=True):
-        columns.append(F.array_join(found, SEPARATOR).alias(f"gene_sentence_{name}"))
+    found = ([every] if include_all else []) + ([] if top_n is None else [top]) + listed
+    columns = [text.alias(name) for text, name in zip(found, names, strict=True)]
     return joined.select(*kept, *columns).select(*kept, *[_or_empty(name) for name in names])
 
 

@@ -245,3 +245,19 @@ def test_cells_do_not_meet_packed_rows_of_very_many_genes(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "symbols" not in plan
     assert as_dict(found)[17] == {"gene_sentence_all": "G1017 G17", "gene_sentence_1": "G1017"}
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_zero_filled_sentences_are_cut_out_of_ready_made_texts(spark, monkeypatch, broadcast):
+    """Before, every gene of every cell was looked up by itself."""
+    if not broadcast:
+        monkeypatch.setattr(module, "BROADCAST_BYTES", 0)
+    some = random.Random(3)
+    names = [some.choice([f"G{i}", f"ENSG{i}", "TWIN", "", "two words", "Grün ", "x" * 70_000]) for i in range(330)]
+    lists = {"few": {"TWIN", "G7", ""}, "none": set()}
+    cells = {0: [0.0] * 330, 1: [1.0] * 330, 2: [-1.0] * 330}
+    for c in range(3, 30):
+        cells[c] = [some.choice([1.0, 2.0, -1.0, math.nan, None]) if some.random() < c / 60 else 0.0 for _ in names]
+    found = sentences_from_arrays(sparse_cells(spark, cells), genes_table(spark, names, lists), ["cell_id"], 7, list(lists))
+    assert "_pieces" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert as_dict(found) == {c: brute(vs, names, 7, lists) for c, vs in cells.items()}
