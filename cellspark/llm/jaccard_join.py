@@ -8,7 +8,8 @@
 2. Equal sets are one class. Classes with identical prefix and size form one group.
 3. Groups that share a prefix shingle are paired and filtered by size, position and parity maps of 1024 bits: two members
    differ in no fewer bits than the maps of their groups' least members do, less the most in which a member of either
-   group differs from its least one. A group is paired with itself where it has several members.
+   group differs from its least one. A group is paired with itself where it has several members. In the last round a pair
+   is met at a shingle only if none of the few before it in both prefixes is shared too: at the first one it always is.
 4. Pairs of groups that are left are expanded to their members, which are filtered by the bits in which their own maps
    differ. No filter loses a link. Survivors are verified on the whole sets.
 5. Pairs are not enumerated where they cannot matter. The first round pairs every group with one other at a shingle, the
@@ -34,12 +35,14 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cellspark.llm.common import components, slices, stored, sum_over_partitions
 
 MAP_WORDS = 16  # 64-bit words of a parity map
 CHUNK = 1 << 20  # counted shingles of the documents of a chunk
 RANGE = 1 << 20  # counted shingles, before equal ones are merged, of a range of hashes
+BEFORE = 16  # shingles of a prefix, before one at which a pair is met, that are looked at for an earlier meeting
 NOT_COUNTED = 255  # the level of shingles beyond the counted ones
 _FACTOR, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -248,7 +251,11 @@ def _group_pairs(postings: DataFrame, members: DataFrame, stars: int | None, sim
     apart = F.greatest(_differing("x.map", "y.map") - F.col("x.radius") - F.col("y.radius"), F.lit(0))
     unlike = (F.least("x.low", "y.low") < F.greatest("x.high", "y.high")) & _possible("x", "y", similarity) & _close("x", "y", apart, similarity)
     if stars is None:
-        met = rows.alias("x").join(rows.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.gid") < F.col("y.gid")) & unlike)
+        # Near copies share most of their prefixes, so their pairs would be made once a shingle.
+        before = F.collect_list("token").over(Window.partitionBy("gid").orderBy("at").rowsBetween(-BEFORE, -1))
+        rows = rows.withColumn("before", before)
+        here = (F.col("x.token") == F.col("y.token")) & (F.col("x.gid") < F.col("y.gid"))
+        met = rows.alias("x").join(rows.alias("y"), here & unlike & ~F.arrays_overlap("x.before", "y.before"))
         pairs = met.select(F.col("x.gid").alias("x"), F.col("y.gid").alias("y")).distinct()
     else:
         ray = F.pmod(F.xxhash64("gid"), F.lit(stars)).alias("ray")

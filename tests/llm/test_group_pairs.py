@@ -11,3 +11,23 @@ def test_groups_that_differ_in_too_many_bits_are_not_paired(spark):
     postings = spark.createDataFrame([(7, g, 100, 0) for g in (1, 2, 3, 4)], "token long, gid long, n int, at int")
     found = module._group_pairs(postings, members, None, module.Similarity())
     assert sorted(map(tuple, found.collect())) == [(1, 2), (1, 4), (2, 4), (3, 4), (4, 4)]
+
+
+def test_groups_that_share_most_of_their_prefixes_are_met_once(spark, monkeypatch):
+    """Before, a pair came once for every shingle of 40 that both have."""
+    same = [0] * module.MAP_WORDS
+    members = spark.createDataFrame([(g, g, 400, 1, same, 0, g) for g in range(1, 7)], "cid long, gid long, n int, members long, map array<long>, away int, label long")
+    # Group 6 shares only its first and its last shingle with the others.
+    shared = [(t, g, 400, t) for g in range(1, 6) for t in range(40)] + [(t if t in (0, 39) else 100 + t, 6, 400, t) for t in range(40)]
+    postings = spark.createDataFrame(shared, "token long, gid long, n int, at int")
+    met, distinct = [], type(postings).distinct
+
+    def counted(rows):
+        if rows.columns == ["x", "y"]:
+            met.append(rows.count())
+        return distinct(rows)
+
+    monkeypatch.setattr(type(postings), "distinct", counted)
+    found = module._group_pairs(postings, members, None, module.Similarity())
+    assert sorted(map(tuple, found.collect())) == [(x, y) for x in range(1, 7) for y in range(x + 1, 7)]
+    assert met == [10 + 5 * 2]
