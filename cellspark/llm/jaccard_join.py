@@ -10,11 +10,13 @@
    differ in no fewer bits than the maps of their groups' least members do, less the most in which a member of either
    group differs from its least one. A group is paired with itself where it has several members. In the last round a pair
    is met at a shingle only if none of the few before it in both prefixes is shared too: at the first one it always is.
+   Of the two groups of a pair one at least is not of the component that most groups at the shingle are of.
 4. Pairs of groups that are left are expanded to their members, which are filtered by the bits in which their own maps
-   differ. No filter loses a link. Survivors are verified on the whole sets.
-5. Pairs are not enumerated where they cannot matter. The first round pairs every group with one other at a shingle, the
-   second with up to eight, and their members with one member each; what is already connected is not paired again. The
-   last round takes all remaining pairs of different components, so the components are those of all links.
+   differ, first from the other group's least one. No filter loses a link. Survivors are verified on the whole sets.
+5. Pairs are not enumerated where they cannot matter. The first rounds pair every group with one other at a shingle, then
+   with some, and their members with a few members each; what is already connected is not paired again. The last round
+   takes all remaining pairs of different components, so the components are those of all links. Its groups are cut by
+   component, so that one member that is left apart does not pair its whole group with all groups of the others.
 
 Defined cases: a null or empty text has an empty set, links with nothing and is its own component; fewer words than a
 shingle are one shingle; repeated rows and equal texts share a class; a null id is never the least one; an empty table
@@ -26,6 +28,7 @@ from __future__ import annotations
 import itertools
 import math
 import zlib
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -42,6 +45,8 @@ from cellspark.llm.common import components, slices, stored, sum_over_partitions
 MAP_WORDS = 16  # 64-bit words of a parity map
 CHUNK = 1 << 20  # counted shingles of the documents of a chunk
 RANGE = 1 << 20  # counted shingles, before equal ones are merged, of a range of hashes
+ROUNDS = (1, 32, None)  # groups that a group is paired with at a shingle; None: all of them
+RAYS = 8  # groups, of those, and members of a group that are gone on with
 BEFORE = 16  # shingles of a prefix, before one at which a pair is met, that are looked at for an earlier meeting
 NOT_COUNTED = 255  # the level of shingles beyond the counted ones
 _FACTOR, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -206,6 +211,14 @@ def _classes(described: DataFrame) -> DataFrame:
     return stored(grouped.join(away, "cid", "left").withColumn("away", F.coalesce("away", F.lit(0))), "placed-classes")
 
 
+def _parts(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The classes with groups cut by component: ``gid`` is the least number of a group's members in one component."""
+    labelled = _labelled(classes, labels, classes.columns)
+    least = labelled.groupBy("gid", "label").agg(F.min(F.struct("cid", "map")).alias("least"))
+    parts = labelled.join(least, ["gid", "label"]).withColumn("away", _differing("map", "least.map"))
+    return stored(parts.withColumn("gid", F.col("least.cid")).select(*classes.columns), "parted-classes")
+
+
 def _differing(x: str, y: str) -> Column:
     """Bits in which two parity maps differ."""
     return reduce(Column.__add__, [F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(MAP_WORDS)])
@@ -233,9 +246,9 @@ def _possible(x: str, y: str, similarity: Similarity) -> Column:
     return sizes & (most * (den + num) >= (a + b) * num)
 
 
-def _labelled(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members (``cid``, ``gid``, ``n``, ``members``, ``map``, ``away``, ``label``)."""
-    members = classes.select("cid", "gid", "n", "members", "map", "away")
+def _labelled(classes: DataFrame, labels: DataFrame | None, columns: Sequence[str] = ("cid", "gid", "n", "members", "map", "away")) -> DataFrame:
+    """Members with ``columns`` and ``label``."""
+    members = classes.select(*columns)
     if labels is None:
         return members.withColumn("label", F.col("cid"))
     return members.join(labels, members["cid"] == labels["node"], "left").withColumn("label", F.coalesce("label", "cid")).drop("node")
@@ -245,24 +258,31 @@ def _group_pairs(postings: DataFrame, members: DataFrame, stars: int | None, sim
     """Distinct pairs (``x``, ``y``) of groups, or of a group with itself, that pass the filters and are not of one component."""
     spans = members.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("away").alias("radius"))
     rows = postings.join(spans, "gid")
-    live = rows.groupBy("token").agg(F.min("low").alias("a"), F.max("high").alias("b")).where("a <> b").select("token")
+    held = rows.groupBy("token", "low").agg(F.max("high").alias("high"), F.count("*").alias("many"))
+    most = F.max(F.struct("many", (-F.col("low")).alias("low")))["low"]
+    live = held.groupBy("token").agg(F.min("low").alias("a"), F.max("high").alias("b"), (-most).alias("main")).where("a <> b").select("token", "main")
     least = members.where("cid = gid").select("gid", "map")
     rows = stored(rows.join(live, "token").join(least, "gid"), "live-postings")
     apart = F.greatest(_differing("x.map", "y.map") - F.col("x.radius") - F.col("y.radius"), F.lit(0))
     unlike = (F.least("x.low", "y.low") < F.greatest("x.high", "y.high")) & _possible("x", "y", similarity) & _close("x", "y", apart, similarity)
+    # Two groups of the component that most groups at a shingle are of need not meet there.
+    rare = (F.col("low") != F.col("main")) | (F.col("high") != F.col("main"))
     if stars is None:
         # Near copies share most of their prefixes, so their pairs would be made once a shingle.
         before = F.collect_list("token").over(Window.partitionBy("gid").orderBy("at").rowsBetween(-BEFORE, -1))
-        rows = rows.withColumn("before", before)
-        here = (F.col("x.token") == F.col("y.token")) & (F.col("x.gid") < F.col("y.gid"))
-        met = rows.alias("x").join(rows.alias("y"), here & unlike & ~F.arrays_overlap("x.before", "y.before"))
-        pairs = met.select(F.col("x.gid").alias("x"), F.col("y.gid").alias("y")).distinct()
+        rows = rows.withColumn("before", before).withColumn("rare", rare)
+        here = (F.col("x.token") == F.col("y.token")) & ((F.col("x.gid") < F.col("y.gid")) | ~F.col("y.rare"))
+        met = rows.where("rare").alias("x").join(rows.alias("y"), here & unlike & ~F.arrays_overlap("x.before", "y.before"))
+        pairs = met.select(F.least("x.gid", "y.gid").alias("x"), F.greatest("x.gid", "y.gid").alias("y")).distinct()
     else:
-        ray = F.pmod(F.xxhash64("gid"), F.lit(stars)).alias("ray")
-        centres = rows.groupBy("token", ray).agg(F.min(F.struct("gid", "n", "at", "low", "high", "radius", "map")).alias("r")).select("token", "ray", "r.*")
-        met = rows.alias("x").join(centres.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.gid") != F.col("y.gid")) & unlike)
-        # Of the centres that a group meets at its shingles, one per ray.
-        pairs = met.groupBy(F.col("x.gid").alias("x"), "ray").agg(F.min("y.gid").alias("y")).select("x", "y").distinct()
+        # One centre is the least group; several differ from shingle to shingle, so that a group meets many at its shingles.
+        number = F.col("gid") if stars == 1 else F.xxhash64("gid", "token")
+        ray = F.pmod(F.xxhash64(number), F.lit(stars)).alias("ray")
+        centres = rows.groupBy("token", ray).agg(F.min(F.struct(number.alias("number"), "gid", "n", "at", "low", "high", "radius", "map")).alias("r")).select("token", "ray", "r.*")
+        met = rows.where(rare).alias("x").join(centres.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.gid") != F.col("y.gid")) & unlike)
+        # Of the centres that a group meets at its shingles, the nearest ones.
+        nearest = F.min(F.struct(_differing("x.map", "y.map").alias("bits"), F.col("y.gid").alias("y")))
+        pairs = met.groupBy(F.col("x.gid").alias("x"), F.col("ray") % RAYS).agg(nearest.alias("nearest")).select("x", "nearest.y").distinct()
     return pairs.unionByName(spans.where("low < high").select(F.col("gid").alias("x"), F.col("gid").alias("y")))
 
 
@@ -275,12 +295,18 @@ def _candidates(postings: DataFrame, classes: DataFrame, labels: DataFrame | Non
     if stars is None:
         others = members
     else:
-        ray = F.pmod(F.xxhash64("cid"), F.lit(stars))
+        ray = F.pmod(F.xxhash64("cid"), F.lit(min(stars, RAYS)))
         others = members.groupBy("gid", ray.alias("ray")).agg(F.min(F.struct("cid", "n", "map", "label")).alias("r")).select("gid", "r.*")
     x, y = members.alias("x"), others.alias("y")
+    spans = members.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("away").alias("radius"))
+    least = members.where("cid = gid").select("gid", "n", "map").join(spans, "gid").withColumnRenamed("gid", "y")
+    # A member of the one group goes on where one of the other's can be near it and is not connected with it.
+    apart = F.greatest(_differing("x.map", "p.map") - F.col("p.radius"), F.lit(0))
+    near = ((F.col("p.low") != F.col("x.label")) | (F.col("p.high") != F.col("x.label"))) & _close("x", "p", apart, similarity)
+    held = pairs.join(least, "y").alias("p").join(x, (F.col("x.gid") == F.col("p.x")) & near)
     close = _close("x", "y", _differing("x.map", "y.map"), similarity)
     once = (F.col("x.gid") != F.col("y.gid")) | (F.col("x.cid") > F.col("y.cid"))
-    met = pairs.join(x, F.col("x.gid") == F.col("x")).join(y, (F.col("y.gid") == F.col("y")) & (F.col("x.label") != F.col("y.label")) & once & close)
+    met = held.join(y, (F.col("y.gid") == F.col("p.y")) & (F.col("x.label") != F.col("y.label")) & once & close)
     return stored(met.select(F.greatest("x.cid", "y.cid").alias("u"), F.least("x.cid", "y.cid").alias("v")).distinct(), "candidate-pairs")
 
 
@@ -337,8 +363,9 @@ def near_duplicates(docs: DataFrame, similarity: Similarity = Similarity()) -> D
     classes = _classes(described)
     postings = _postings(classes)
     labels = None
-    for stars in (1, 8, None):
-        pairs = _candidates(postings, classes, labels, stars, similarity)
+    for stars in ROUNDS:
+        parts = classes if labels is None else _parts(classes, labels)
+        pairs = _candidates(postings if labels is None else _postings(parts), parts, labels, stars, similarity)
         if pairs.isEmpty():
             continue
         links = _verified(docs, classes, pairs, similarity)

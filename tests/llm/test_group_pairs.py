@@ -31,3 +31,28 @@ def test_groups_that_share_most_of_their_prefixes_are_met_once(spark, monkeypatc
     found = module._group_pairs(postings, members, None, module.Similarity())
     assert sorted(map(tuple, found.collect())) == [(x, y) for x in range(1, 7) for y in range(x + 1, 7)]
     assert met == [10 + 5 * 2]
+
+
+def test_a_member_left_apart_does_not_pair_its_whole_group(spark, monkeypatch):
+    """Before, all 41 members of group 1 met all 40 groups of their own component: 1,640 rows."""
+    same = [0] * module.MAP_WORDS
+    kind = "cid long, gid long, n int, members long, own int, prefix array<long>, map array<long>, away int"
+    rows = [(1 + i, 1, 100, 41, 0, [7], same, 0) for i in range(41)] + [(100 + i, 100 + i, 100, 1, 0, [7], same, 0) for i in range(40)]
+    classes = spark.createDataFrame(rows, kind)
+    labels = spark.createDataFrame([(r[0], 1) for r in rows if r[0] != 41], "node long, label long")
+    made, join, frame = [], type(classes).join, type(classes)
+
+    def counted(self, *arguments):
+        out = join(self, *arguments)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(frame, "join", counted)
+    whole = module._candidates(module._postings(classes), classes, labels, None, module.Similarity())
+    assert sorted(map(tuple, whole.collect())) == [(41, i) for i in range(1, 41)] + [(i, 41) for i in range(100, 140)]
+    assert max(made) < 250
+    made.clear()
+    parts = module._parts(classes, labels)
+    cut = module._candidates(module._postings(parts), parts, labels, None, module.Similarity())
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, whole.collect()))
+    assert max(made) < 250
