@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,10 @@ _PLACE = "_place_in_all_rows"
 MEASURED_FILES = 64
 MEASURED_SLACK = 1.05
 
+# The most files that a task writes, and those that the driver renames at a time.
+TASK_FILES = 64
+RENAMES = 16
+
 DEFAULT_CODEC = "zstd"
 DEFAULT_LEVEL = 3
 # The option that carries a codec's level, for codecs that have levels.
@@ -105,7 +110,8 @@ def rechunk(
     """Stored rows again, in the same order, as files of exactly ``rows_per_file`` rows but for the last.
 
     A row's position says in which file it goes. A task takes as many whole files as its share of the input asks
-    for, so rows move once and there are no more tasks than for a scan.
+    for, so rows move once, but at most TASK_FILES: small files cost their number, not their rows, and few long tasks
+    would leave cores idle at the end.
     """
     if rows_per_file < 1:
         raise ValueError("a file holds one row at least")
@@ -115,9 +121,9 @@ def rechunk(
         rows = spark.read.parquet(folder) if schema is None else spark.read.schema(schema).parquet(folder)
         _writer(rows.limit(0), codec, level, mode).parquet(path)
         return
-    placed = with_positions(spark, folder, _PLACE)
+    placed = with_positions(spark, folder, _PLACE, files=files)
     chunks = math.ceil(total / rows_per_file)
-    per_task = math.ceil(chunks / min(chunks, spark.read.parquet(folder).rdd.getNumPartitions()))
+    per_task = min(TASK_FILES, math.ceil(chunks / min(chunks, spark.read.parquet(folder).rdd.getNumPartitions())))
     task = F.floor(F.col(_PLACE) / (per_task * rows_per_file)).cast("int")
     dealt = placed.repartitionById(math.ceil(chunks / per_task), task).sortWithinPartitions(_PLACE).drop(_PLACE)
     _writer(dealt, codec, level, mode).option("maxRecordsPerFile", rows_per_file).parquet(path)
@@ -126,17 +132,23 @@ def rechunk(
 
 
 def _name_by_rows(spark: SparkSession, path: str, name: str, per_task: int, rows_per_file: int, total: int) -> None:
-    """Rename files as written (``part-<task>-...-c<number>...``) after the rows they hold."""
+    """Rename files as written (``part-<task>-...-c<number>...``) after the rows they hold, several at a time."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(path)
     system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in system.listStatus(folder):
-        written = re.fullmatch(r"part-(\d+)-.*-c(\d+)\..*parquet", status.getPath().getName())
-        if written:
-            start = (int(written[1]) * per_task + int(written[2])) * rows_per_file
-            target = hadoop.Path(folder, f"{name}_{start:07d}_{min(start + rows_per_file, total):07d}.parquet")
-            if not system.rename(status.getPath(), target):
-                raise OSError(f"{status.getPath()} could not be renamed to {target}")
+    names = (status.getPath().getName() for status in system.listStatus(folder))
+    # Names differ only in their numbers, so one is enough: asking for all of them takes longer than to rename them.
+    middle, end = next(found.groups() for found in (re.fullmatch(r"part-\d+(-.*-c)\d+(\..*parquet)", n) for n in names) if found)
+
+    def rename(start: int) -> None:
+        task, number = divmod(start // rows_per_file, per_task)
+        source = hadoop.Path(folder, f"part-{task:05d}{middle}{number:03d}{end}")
+        target = hadoop.Path(folder, f"{name}_{start:07d}_{min(start + rows_per_file, total):07d}.parquet")
+        if not system.rename(source, target):
+            raise OSError(f"{source} could not be renamed to {target}")
+
+    with ThreadPoolExecutor(RENAMES) as pool:
+        list(pool.map(rename, range(0, total, rows_per_file)))
 
 
 def write_by_size(

@@ -62,10 +62,17 @@ def _numbered(rows: DataFrame, files: list[StoredFile], name: str) -> DataFrame:
     return placed.select(*columns, (F.col("_first") + F.col("_place")).alias(name))
 
 
-def with_positions(spark: SparkSession, folder: str, name: str = "row_idx", fields: list[str] | None = None, pattern: str = "*.parquet") -> DataFrame:
-    """All rows of a folder with their position, 0 to n - 1."""
+def with_positions(
+    spark: SparkSession,
+    folder: str,
+    name: str = "row_idx",
+    fields: list[str] | None = None,
+    pattern: str = "*.parquet",
+    files: list[StoredFile] | None = None,
+) -> DataFrame:
+    """All rows of a folder with their position, 0 to n - 1; ``files`` from :func:`stored_files` saves the look at the footers."""
     rows = read_chunks(spark, folder, pattern)
-    files = stored_files(spark, folder, pattern)
+    files = stored_files(spark, folder, pattern) if files is None else files
     return _numbered(rows if fields is None else select_fields(rows, fields), files, name)
 
 

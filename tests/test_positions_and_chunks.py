@@ -115,3 +115,16 @@ def test_exact_split(spark):
         "ds_0000200_0000270.parquet": 70,
     }
     assert spark.read.parquet(f"{path}/ds").groupBy("split").count().orderBy("split").collect() == [("test", 30), ("train", 270)]
+
+
+def test_many_small_files_of_one_stored_file_are_written_by_several_tasks(spark):
+    """Before, one task wrote all 200 files, as the input was one partition."""
+    path, plain, named = (scratch_path(spark, n) for n in ("in", "plain", "named"))
+    spark.range(0, 1996, 1, 1).write.parquet(path)
+    rechunk(spark, path, plain, 10)
+    assert len({f.split("-")[1] for f in os.listdir(plain) if f.startswith("part-")}) == 4
+    rechunk(spark, path, named, 10, "x")
+    files = sorted(f for f in os.listdir(named) if f.endswith(".parquet"))
+    assert files == [f"x_{s:07d}_{min(s + 10, 1996):07d}.parquet" for s in range(0, 1996, 10)]
+    found = spark.read.parquet(named).select("id", F.regexp_extract(F.col("_metadata.file_path"), r"x_(\d+)_", 1).cast("long").alias("first"))
+    assert found.where("id < first OR id >= first + 10").count() == 0 and found.distinct().count() == 1996
