@@ -19,6 +19,8 @@ MAX_COPIES = 100_000
 # Rows of a task that groups or sorts them, and how few are worth a task where cores would be idle.
 ROWS_PER_TASK = 250_000
 LEAST_ROWS_PER_TASK = 20_000
+# Groups that a task needs, on average, to get about as many rows as the others where groups stay whole.
+GROUPS_PER_TASK = 8
 
 
 def deal_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -28,10 +30,26 @@ def deal_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
     grow with the table. Planned by bytes, many narrow rows, or rows that pack well, would come to one task. The number
     of rows is read from the footers.
     """
-    count = rows.count()
+    return rows.repartition(_tasks(rows, rows.count()), *keys)
+
+
+def _tasks(rows: DataFrame, count: int) -> int:
     few = min(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(count / LEAST_ROWS_PER_TASK))
     # Never one: a single task would need no shuffle, and what is cut before one would not be.
-    return rows.repartition(max(2, few, math.ceil(count / ROWS_PER_TASK)), *keys)
+    return max(2, few, math.ceil(count / ROWS_PER_TASK))
+
+
+def deal_groups(rows: DataFrame, group: str, keys: list[str]) -> DataFrame:
+    """As :func:`deal_rows`, but by ``group`` alone where its values are many and each has few of the rows, which is counted.
+
+    Texts made of the rows of a group are much alike, and take a fraction of the room in a file that holds them side by
+    side. Where a group is too large for a task, or there are too few of them to be dealt evenly, rows go by ``keys``.
+    """
+    found = rows.groupBy(group).agg(F.count("*").alias("n"))
+    found = found.agg(F.sum("n").alias("rows"), F.count("*").alias("groups"), F.max("n").alias("most")).first()
+    tasks = _tasks(rows, found["rows"] or 0)
+    whole = found["groups"] >= GROUPS_PER_TASK * tasks and found["most"] <= ROWS_PER_TASK
+    return rows.repartition(tasks, *([group] if whole else keys))
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellspark.operators.joins import deal_rows
+from cellspark.operators.joins import deal_groups, deal_rows
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -52,10 +52,13 @@ def obs(spark: SparkSession, folder: str, orders: DataFrame | None = None) -> Da
     )
 
 
+def _items(spark: SparkSession, folder: str, cell: str) -> DataFrame:
+    return load(spark, folder, "lineitem").select(F.col(cell).alias("cell_id"), F.col("l_partkey").alias("gene_idx"), "l_quantity")
+
+
 def expr(spark: SparkSession, folder: str, cell: str = "l_orderkey", by: tuple[str, ...] = ("cell_id", "gene_idx")) -> DataFrame:
     """Long-form expression: summed quantity per cell and part, dealt by ``by``."""
-    items = load(spark, folder, "lineitem").select(F.col(cell).alias("cell_id"), F.col("l_partkey").alias("gene_idx"), "l_quantity")
-    return deal_rows(items, list(by)).groupBy("cell_id", "gene_idx").agg(F.sum("l_quantity").alias("value"))
+    return deal_rows(_items(spark, folder, cell), list(by)).groupBy("cell_id", "gene_idx").agg(F.sum("l_quantity").alias("value"))
 
 
 PANEL = 1000
@@ -67,9 +70,10 @@ def panel_columns(part: Column) -> dict[str, Column]:
 
 
 def panel_expr(spark: SparkSession, folder: str, cell: str) -> DataFrame:
-    """Expression by dataset: what a cell has of the thousand parts of each dataset. Rows move once, to their cell."""
-    rows = expr(spark, folder, cell, ("cell_id",))
-    return rows.withColumns(panel_columns(F.col("gene_idx")))
+    """Expression by dataset: what a cell has of the thousand parts of each dataset. Rows move once, to their dataset or cell."""
+    items = _items(spark, folder, cell).withColumns(panel_columns(F.col("gene_idx")))
+    rows = deal_groups(items, "dataset_id", ["cell_id"]).groupBy("dataset_id", "cell_id", "gene_idx")
+    return rows.agg(F.sum("l_quantity").alias("value")).select("cell_id", "gene_idx", "value", "dataset_id")
 
 
 def donor_expr(spark: SparkSession, folder: str) -> DataFrame:
