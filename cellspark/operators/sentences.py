@@ -132,8 +132,8 @@ def _positions(entries: Column) -> Column:
     return F.sort_array(entries, asc=False)["position"]
 
 
-def stored_order(cells: DataFrame) -> DataFrame:
-    """Replace the values of each cell by gene positions in order: ``_above`` and ``_below`` zero.
+def stored_order(cells: DataFrame, sides: bool = True) -> DataFrame:
+    """Replace the values of each cell by gene positions in order: ``_above`` and ``_below`` zero, or both as ``_order``.
 
     Zeros, stored or not, are left out and need no sorting; a cell without any array has none but
     zeros. Works on narrow rows, before any symbol.
@@ -146,6 +146,8 @@ def stored_order(cells: DataFrame) -> DataFrame:
     kept = [quoted(c) for c in cells.columns if c not in ("indices", "values", "expression")]
     stored = F.filter(entries, lambda e: e["value"] != 0)
     nothing = F.array().cast("array<int>")
+    if not sides:
+        return cells.select(*kept, F.coalesce(_positions(stored), nothing).alias("_order"))
     above = F.coalesce(_positions(F.filter("_stored", lambda e: e["value"] > 0)), nothing)
     below = F.coalesce(_positions(F.filter("_stored", lambda e: e["value"] < 0)), nothing)
     return cells.select(*kept, stored.alias("_stored")).select(*kept, above.alias("_above"), below.alias("_below"))
@@ -214,9 +216,7 @@ def sentences_from_arrays(
     def clustered(rows: DataFrame) -> DataFrame:
         return rows.hint("rebalance", *cluster_by) if cluster_by else rows
 
-    ordered = stored_order(cells if by_gene else clustered(cells))
-    if not include_zeros:
-        ordered = ordered.select(*kept, F.concat("_above", "_below").alias("_order"))
+    ordered = stored_order(cells if by_gene else clustered(cells), sides=include_zeros)
     names = sentence_columns(top_n, list_names, include_all)
     if by_gene:
         joined = clustered(_with_words(ordered, genes, list(list_names)))

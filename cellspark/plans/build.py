@@ -9,16 +9,18 @@ from pyspark.sql import functions as F
 
 from cellspark.functions.text import quoted
 from cellspark.operators.ages import with_age_by_mode, with_known_age
-from cellspark.operators.columns import fill_missing_text
+from cellspark.operators.columns import DONOR_COLUMNS, fill_missing_text, first_present
 from cellspark.operators.genes import flag_lists, map_genes, map_genes_without_table
 from cellspark.operators.joins import BROADCAST_ROWS
-from cellspark.operators.publications import join_publications, publication_text
+from cellspark.operators.publications import PUBLICATION_COLUMNS, PUBLICATION_RENAMES, join_publications, publication_text
 from cellspark.operators.sentences import sentences_from_arrays, to_sparse
 from cellspark.operators.splits import split_dataset
 from cellspark.session import materialize
 from cellspark.sources.tables import TABLE_ROW, gene_list_names
 
 CELL = ["dataset_id", "cell_id"]
+# Counted size of publication records that every task may hold.
+PUBLICATION_BYTES = 16 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -112,6 +114,27 @@ def of_kept_cells(expr: DataFrame, cells: DataFrame) -> DataFrame:
     return rows.join(keys, CELL, "left_semi") if "gene_idx" in expr.columns else rows
 
 
+def publications_come_last(obs: DataFrame, collections: DataFrame | None, options: BuildOptions) -> bool:
+    """May publications be joined to the finished sentences, by broadcast?
+
+    Then their columns move with no shuffle, and a cell of several collections gets its sentence made once. Not where a
+    side depends on how often a cell stands in ``obs`` with its publications: quotas follow the donors' median ages.
+    """
+    if collections is None or "dataset_id" not in obs.columns or set(PUBLICATION_COLUMNS) & set(obs.columns):
+        return False
+    size = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in PUBLICATION_RENAMES)
+    found = collections.agg(F.sum(size).alias("bytes"), (F.count_distinct("dataset_id") == F.count("dataset_id")).alias("once")).first()
+    quotas = options.stratify_by_age and not options.skip_split and first_present(obs, DONOR_COLUMNS) is not None
+    return (found["bytes"] or 0) <= PUBLICATION_BYTES and (found["once"] or not quotas)
+
+
+def with_publications(built: DataFrame, collections: DataFrame, before: list[str]) -> DataFrame:
+    """Finished sentences with publication columns, a row for every collection of a cell's dataset; they follow the columns ``before``."""
+    joined = publication_text(join_publications(built, F.broadcast(collections)))
+    at = max(i for i, c in enumerate(built.columns, 1) if c in before)
+    return joined.select(*[quoted(c) for c in [*built.columns[:at], *PUBLICATION_COLUMNS, *built.columns[at:]]])
+
+
 def build_dataset(
     obs: DataFrame,
     var: DataFrame,
@@ -124,11 +147,13 @@ def build_dataset(
     """One row per kept cell of every dataset: metadata, age, publications, sentences, split."""
     options = with_list_names(options or BuildOptions(), gene_lists)
     genes = gene_symbols(var, symbols, gene_lists, options)
-    cells = cell_metadata(obs, collections, options)
+    last = publications_come_last(obs, collections, options)
+    cells = cell_metadata(obs, None if last else collections, options)
     if expr is not None and options.filter_by_age:
         cells = materialize(cells.sparkSession, cells, "kept-cells")
         expr = of_kept_cells(expr, cells)
-    return with_sentences(cells, expr, genes, options)
+    built = with_sentences(cells, expr, genes, options)
+    return with_publications(built, collections, [*obs.columns, "age", "age_years", "age_months"]) if last else built
 
 
 def convert_dataset(

@@ -96,3 +96,42 @@ def test_wrong_gene_numbers(spark, numbers):
     cells = spark.createDataFrame([("d", 1, [0], [1.0])], "dataset_id string, cell_id long, indices array<int>, values array<double>")
     with pytest.raises(ValueError, match="gene_idx"):
         sentences_from_arrays(cells, genes, CELL, 2)
+
+
+PUBLICATIONS = "dataset_id string, collection_id string, title string, doi string, description string, contact_name string, contact_email string"
+
+
+@pytest.fixture
+def publications(spark):
+    """Of dataset a in two collections, of none of the others; one record has gaps, one no dataset."""
+    rows = [("a", "c1", "T1", "d", "x", "n", "e"), ("a", "c2", None, None, None, None, None), (None, "c3", "T3", "d", "x", "n", "e")]
+    return spark.createDataFrame(rows, PUBLICATIONS)
+
+
+def test_publications_are_joined_to_finished_sentences(spark, tables, publications):
+    """A cell of two collections gets its sentence made once, and no publication column is stored or shuffled."""
+    obs, var, expr = tables
+    built = build.build_dataset(obs, var, expr, collections=publications, options=OPTIONS)
+    rows = sorted((r.dataset_id, r.collection_id, r.publication_title, r.cell_id, r.gene_sentence_all) for r in built.collect())
+    records = [("a", "c1", "T1"), ("a", "c2", "nan"), ("b", "nan", "nan")]
+    assert rows == [(*record, c, sentence(c)) for record in records for c in range(20)]
+    plan = built._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].splitlines()
+    assert not [line for line in plan if re.search("Exchange hashpartitioning|FileScan", line) and "collection_id" in line]
+
+
+@pytest.mark.parametrize(
+    "changes", [{}, {"age_mode": "species"}, {"skip_split": True}, {"stratify_by_age": True}, {"filter_by_age": False, "include_zeros": True}]
+)
+@pytest.mark.parametrize("twice", [True, False])
+def test_publications_first_or_last_give_the_same(tables, publications, monkeypatch, changes, twice):
+    obs, var, expr = tables
+    obs = obs.withColumns({"organism": F.lit("Homo sapiens"), "age": F.lit("old")})
+    collections = publications if twice else publications.where("collection_id <> 'c2'")
+    options = build.replace(OPTIONS, **changes)
+    last = build.publications_come_last(obs, collections, options)
+    assert last == (not twice or "stratify_by_age" not in changes)  # quotas count a cell as often as it stands there
+    found = build.build_dataset(obs, var, expr, collections=collections, options=options)
+    monkeypatch.setattr(build, "PUBLICATION_BYTES", -1)
+    first = build.build_dataset(obs, var, expr, collections=collections, options=options)
+    assert found.columns == first.columns
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, first.collect()))

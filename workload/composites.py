@@ -186,9 +186,9 @@ OPTIONS = BuildOptions(top_n=10, list_names=tuple(LISTS), include_zeros=False, s
 
 
 def dataset_tables(spark, folder):
-    """Cells, per-dataset genes and expression keyed by dataset and cell."""
+    """Cells, per-dataset genes and expression keyed by dataset and cell; expression is dealt by cell, as it meets its cells."""
     cells = obs(spark, folder)
-    rows = expr(spark, folder).join(cells.select("dataset_id", "cell_id"), "cell_id")
+    rows = expr(spark, folder, by=("cell_id",)).join(cells.select("dataset_id", "cell_id"), "cell_id")
     measured = rows.select("dataset_id", "gene_idx").distinct()
     genes = measured.join(var(spark, folder), "gene_idx")
     return cells, genes, rows
@@ -260,6 +260,9 @@ def build_from_one_table(spark, folder):
 def two_collections(spark, folder):
     """Cells of a dataset in two collections come twice, each with its own sentence, from either form."""
     cells, genes, rows = dataset_tables(spark, folder)
+    # Both forms are built from the same rows: they are stored, as deriving them takes longer than reading them.
+    rows = materialize(spark, rows, "expression")
+    genes = materialize(spark, rows.select("dataset_id", "gene_idx").distinct().join(var(spark, folder), "gene_idx"), "measured-genes")
     mapped = map_genes(var(spark, folder), hgnc(spark, folder), ["rank"])
     known = collections(spark, folder)
     second = {"collection_id": F.lit("again"), "title": F.lit("second")}
